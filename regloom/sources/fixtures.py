@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from regloom.sources.tables import Tables
 
-NL = F.lit("\n")
 
 
 def _case(expr: Column, mapping: list[tuple[int, object]], default) -> Column:
@@ -40,7 +39,7 @@ def fx_source_text(documents: DataFrame) -> DataFrame:
             (3, F.concat(t, F.lit(" a 15 minute counseling visit or 20 min session; 45 minutes of therapy."))),
             (4, F.concat(t, F.lit(" modifier HF applies at POS-58; use HD before HG."))),
             (5, F.concat(t, F.lit(" Z59.01 and Z55.0 with polysubstance and alcohol use."))),
-            (6, F.replace(t, NL, F.concat(NL, F.lit(" "), NL))),
+            (6, F.replace(t, F.lit("\n"), F.lit("\n \n"))),
         ],
         t,
     )
