@@ -1 +1,161 @@
-"""Queries (filled in below)."""
+"""Rule-matrix queries (M1-M20) over fx_results and fx_ptp_rows."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from regloom.operators import extract as X
+from regloom.operators import matrix as M
+from regloom.operators import ptp as P
+from regloom.operators.coverage import coverage_report
+from regloom.operators.templates import FACT_TYPES, RULE_SCHEMA_VERSION
+from regloom.plans.q_ptp import _STAGED_SQL, raw_rows
+from regloom.plans.q_extract import _first, _search, _word_or_int
+from regloom.plans.registry import register
+from regloom.sources import fixtures as FX
+from regloom.sources.tables import Tables
+
+CH39, CH17, FCSO = "cms_pub_100_04_ch39", "cms_pub_100_02_ch17", "fl_mac_fcso_otp"
+
+
+def matrix_results(documents: DataFrame) -> DataFrame:
+    """Scrape results with typed facts, derived from fx_results."""
+    fx = FX.fx_results(documents)
+    t, k = F.col("text"), F.col("source_key")
+    return fx.select(
+        "result_ord",
+        "source_key",
+        F.col("source_key").alias("source_name"),
+        F.lit("2026-05-22T00:00:00Z").alias("fetched_at"),
+        F.sha2(t, 256).alias("content_sha256"),
+        F.when(F.col("warning") != "", F.array("warning")).otherwise(F.array().cast("array<string>")).alias("warnings"),
+        F.col("parsed_is_empty").alias("parsed_empty"),
+        F.when(k == CH39, X.weekly_min_services(t)).alias("weekly_bundle_min_services"),
+        F.when(k == CH39, X.cms_g_codes(t)).when(k == FCSO, X.any_g_codes(t)).alias("g_codes_mentioned"),
+        F.col("iop_threshold_services").cast("bigint").alias("iop_threshold_services"),
+        F.when(F.col("iop_threshold_services").isNotNull(), F.lit(7)).alias("iop_window_days"),
+    )
+
+
+_DUCK_TYPES = {"bigint": "bigint", "int": "integer", "boolean": "boolean", "array<string>": "varchar[]"}
+_GIVEN = {
+    "weekly_bundle_min_services": f"case when source_key = '{CH39}' then "
+    f"(case when {_search('text', X.RE_WEEKLY_THRESHOLD)} then {_word_or_int(_first('text', X.RE_WEEKLY_THRESHOLD))} else 1 end) end",
+    "g_codes_mentioned": f"case when source_key = '{CH39}' then list_sort(list_distinct(regexp_extract_all(text, '{X.RE_G_CODE_CMS}', 1))) "
+    f"when source_key = '{FCSO}' then list_sort(list_distinct(regexp_extract_all(text, '{X.RE_G_CODE_ANY}', 1))) end",
+    "iop_threshold_services": "iop_threshold_services",
+    "iop_window_days": "case when iop_threshold_services is not null then 7 end",
+}
+_FACTS_SQL = (
+    """,
+facts as (
+  select result_ord, source_key, warning like '%scrape_failed%' as failed, parsed_is_empty as parsed_empty,
+         sha256(text) as content_sha256, '2026-05-22T00:00:00Z' as fetched_at, """
+    + ",\n         ".join(
+        f"cast({_GIVEN.get(c, 'null')} as {_DUCK_TYPES[t]}) as {c}" for c, t in FACT_TYPES.items()
+    )
+    + """
+  from fx_results)"""
+)
+
+
+@register(
+    "rule_matrix",
+    covers=("M1", "M2", "M3", "M4", "M6", "M7", "M8", "M9", "M10", "M12", "M13", "M14", "M15", "M16", "M17", "M18", "M19"),
+    oracle=FX.with_fixtures(
+        _FACTS_SQL
+        + f""",
+rules as ({M.duck_template_sql('facts')})
+select row_number() over (order by case when source_key in ({M.federal_sql_list()}) then 0 else 1 end,
+                                   result_ord, template_ord, edit_ord) - 1 as rule_ord,
+       rule_id, payer_type, code, required_modifier, logic_type, source_key, friendly_message, params_json
+from rules""",
+        "fx_results",
+    ),
+)
+def q_rule_matrix(spark, sf_dir):
+    return M.build_rules(matrix_results(Tables(spark, sf_dir).documents))
+
+
+@register(
+    "matrix_provenance",
+    covers=("M5",),
+    oracle=FX.with_fixtures(
+        _FACTS_SQL
+        + """
+select result_ord, source_key, content_sha256, fetched_at from facts
+where not failed and not parsed_empty
+  and source_key in ('cms_pub_100_04_ch39', 'cms_pub_100_02_ch17', 'fl_mac_fcso_otp', 'ecfr_42_part_8')""",
+        "fx_results",
+    ),
+)
+def q_matrix_provenance(spark, sf_dir):
+    return M.provenance(matrix_results(Tables(spark, sf_dir).documents))
+
+
+@register(
+    "matrix_header",
+    covers=("M6",),
+    oracle=FX.with_fixtures(
+        _FACTS_SQL
+        + f""",
+rules as ({M.duck_template_sql('facts')})
+select '{RULE_SCHEMA_VERSION}' as schema_version, count(*) as rule_count from rules""",
+        "fx_results",
+    ),
+)
+def q_matrix_header(spark, sf_dir):
+    rules = M.build_rules(matrix_results(Tables(spark, sf_dir).documents))
+    return M.header(rules).drop("generated_at")
+
+
+def ncci_inputs(part: DataFrame):
+    """Two PTP tables from fx_ptp_rows: the text members as the Medicare table
+    (result 0), the workbook as the Medicaid table (result 1)."""
+    raw = raw_rows(part)
+    tables = []
+    for key, ord_, cond in (("cms_ncci_edits", 0, F.col("file_ord") < 2), ("cms_ncci_medicaid", 1, F.col("file_ord") == 2)):
+        e = P.relevant_edits(raw.filter(cond)).select(
+            F.lit(key).alias("source_key"), F.lit(ord_).cast("bigint").alias("result_ord"), "*"
+        )
+        tables.append(e)
+    edits = M.number_edits(tables[0].unionByName(tables[1]))
+    spark = part.sparkSession
+    results = spark.createDataFrame(
+        [(0, "cms_ncci_edits", "cms_ncci_edits", "", "", [], False), (1, "cms_ncci_medicaid", "cms_ncci_medicaid", "", "", [], False)],
+        "result_ord bigint, source_key string, source_name string, fetched_at string, content_sha256 string, warnings array<string>, parsed_empty boolean",
+    )
+    return results, edits
+
+
+@register(
+    "ncci_bundle_rules",
+    covers=("M11", "P5", "P6"),
+    oracle=FX.with_fixtures(
+        _STAGED_SQL.replace("from fx_ptp_rows),\nf as", "from fx_ptp_rows),\nf0 as").replace(
+            "select * from r\n  where", "select *, case when file_ord < 2 then 'cms_ncci_edits' else 'cms_ncci_medicaid' end as tbl from r\n  where"
+        ).replace("d as (", "f as (select * from f0),\nd as (").replace(
+            "partition by column1, column2, edit_kind order by", "partition by tbl, column1, column2, edit_kind order by"
+        )
+        + """,
+n as (select *, row_number() over (partition by tbl order by file_ord, row_ord) - 1 as i from d)
+select row_number() over (order by case when tbl = 'cms_ncci_edits' then 0 else 1 end, i) - 1 as rule_ord,
+       printf('%s-%04d', case when tbl = 'cms_ncci_edits' then 'R-NCCI' else 'R-NCCIMCD' end, i) as rule_id,
+       case when tbl = 'cms_ncci_edits' then 'Standard Clearinghouse' else 'Medicaid Clearinghouse' end as payer_type,
+       column1 as code, cast(null as varchar) as required_modifier, 'BundleGuard' as logic_type, tbl as source_key,
+       printf('NCCI PTP edit: %s cannot be billed on the same day as %s without an appropriate modifier.', column1, column2)
+         as friendly_message,
+       cast(json_object('mutually_exclusive_with', column2) as varchar) as params_json
+from n""",
+        "fx_ptp_rows",
+    ),
+)
+def q_ncci_bundle_rules(spark, sf_dir):
+    results, edits = ncci_inputs(Tables(spark, sf_dir).part)
+    return M.build_rules(results, edits).filter(F.col("logic_type") == "BundleGuard")
+
+
+@register("rule_coverage", covers=("M20", "M19", "S1"))
+def q_rule_coverage(spark, sf_dir):
+    rules = M.build_rules(matrix_results(Tables(spark, sf_dir).documents))
+    return coverage_report(spark, rules)
