@@ -1 +1,129 @@
-"""Queries (filled in below)."""
+"""Diff queries (D1-D6) over fx_rules_live / fx_rules_candidate."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from regloom.operators import diff as D
+from regloom.plans.registry import register
+from regloom.sources import fixtures as FX
+from regloom.sources.tables import Tables
+
+COMPARE = ["payer_type", "code", "min_services"]
+
+
+def _with_ord(rules: DataFrame) -> DataFrame:
+    """Matrix order of the fixture rules: the part key inside the id."""
+    return rules.withColumn("rule_ord", F.substring("rule_id", 3, 20).cast("bigint"))
+
+
+def fixture_changes(spark, sf_dir) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    live = _with_ord(FX.fx_rules_live(t.part))
+    cand = _with_ord(FX.fx_rules_candidate(t.part))
+    return D.diff_rules(live, cand, COMPARE)
+
+
+_JOIN_SQL = """,
+j as (
+  select coalesce(l.rule_id, c.rule_id) as rule_id, l.rule_id is not null as in_live, c.rule_id is not null as in_cand,
+         l.payer_type as l_payer, c.payer_type as c_payer, l.code as l_code, c.code as c_code,
+         l.min_services as l_min, c.min_services as c_min
+  from fx_rules_live l full outer join fx_rules_candidate c on l.rule_id = c.rule_id)
+"""
+
+
+@register(
+    "diff_added_removed",
+    covers=("D2", "D6"),
+    oracle=FX.with_fixtures(
+        _JOIN_SQL
+        + """
+select rule_id, case when in_live then 'rule_removed' else 'rule_added' end as change_type
+from j where not (in_live and in_cand)""",
+        "fx_rules_live",
+        "fx_rules_candidate",
+    ),
+)
+def q_diff_added_removed(spark, sf_dir):
+    ch = fixture_changes(spark, sf_dir)
+    return ch.filter(F.col("change_type").isin("rule_added", "rule_removed")).select("rule_id", "change_type")
+
+
+@register(
+    "diff_changed_fields",
+    covers=("D3",),
+    oracle=FX.with_fixtures(
+        _JOIN_SQL
+        + """
+select rule_id, 'values_changed' as change_type, 'root[''payer_type'']' as path, l_payer as old_value, c_payer as new_value
+from j where in_live and in_cand and l_payer is distinct from c_payer
+union all
+select rule_id, 'values_changed', 'root[''code'']', l_code, c_code from j where in_live and in_cand and l_code is distinct from c_code
+union all
+select rule_id, 'values_changed', 'root[''min_services'']', cast(l_min as varchar), cast(c_min as varchar)
+from j where in_live and in_cand and l_min is distinct from c_min""",
+        "fx_rules_live",
+        "fx_rules_candidate",
+    ),
+)
+def q_diff_changed_fields(spark, sf_dir):
+    ch = fixture_changes(spark, sf_dir)
+    return ch.filter(~F.col("change_type").isin("rule_added", "rule_removed"))
+
+
+@register(
+    "diff_summary",
+    covers=("D4", "D6"),
+    oracle=FX.with_fixtures(
+        _JOIN_SQL
+        + """
+select count(*) filter (where in_cand and not in_live) as added_count,
+       count(*) filter (where in_live and not in_cand) as removed_count,
+       count(*) filter (where in_live and in_cand and (l_payer is distinct from c_payer or l_code is distinct from c_code
+                                                      or l_min is distinct from c_min)) as changed_count,
+       count(*) filter (where not (in_live and in_cand)
+                           or l_payer is distinct from c_payer or l_code is distinct from c_code
+                           or l_min is distinct from c_min) > 0 as is_material
+from j""",
+        "fx_rules_live",
+        "fx_rules_candidate",
+    ),
+)
+def q_diff_summary(spark, sf_dir):
+    return D.summary(fixture_changes(spark, sf_dir))
+
+
+@register(
+    "diff_first_deploy",
+    covers=("D5",),
+    oracle=FX.with_fixtures(
+        """
+select rule_id, 'rule_added' as change_type, cast(substring(rule_id, 3, 20) as bigint) as rule_ord
+from fx_rules_candidate""",
+        "fx_rules_candidate",
+    ),
+)
+def q_diff_first_deploy(spark, sf_dir):
+    cand = _with_ord(FX.fx_rules_candidate(Tables(spark, sf_dir).part))
+    return D.first_deploy(cand).select("rule_id", "change_type", "rule_ord")
+
+
+@register(
+    "rules_last_wins",
+    covers=("D1",),
+    oracle="""
+select rule_id, rule_ord, payer_type, min_services from (
+  select 'B-' || p_brand as rule_id, p_partkey as rule_ord, p_type as payer_type, p_size as min_services,
+         row_number() over (partition by p_brand order by p_partkey desc) as rn
+  from part) where rn = 1""",
+)
+def q_rules_last_wins(spark, sf_dir):
+    part = Tables(spark, sf_dir).part
+    rules = part.select(
+        F.concat(F.lit("B-"), F.col("p_brand")).alias("rule_id"),
+        F.col("p_partkey").alias("rule_ord"),
+        F.col("p_type").alias("payer_type"),
+        F.col("p_size").alias("min_services"),
+    )
+    return D.index_last(rules).select("rule_id", "rule_ord", "payer_type", "min_services")
