@@ -44,6 +44,7 @@ def all_queries() -> dict[str, Query]:
         q_diff,
         q_extract,
         q_links,
+        q_markup,
         q_matrix,
         q_ptp,
         q_reports,
