@@ -313,3 +313,30 @@ def extract_facts(docs: DataFrame, text: str = "text", key: str = "source_key")
         F.when(k.isin(excerpt_keys), excerpt(t)).alias("raw_excerpt"),
         F.when(k.isin(full_keys), t).alias("full_text"),
     )
+
+
+# The 'doc' label each extractor stamps on its facts.
+DOC_LABELS = {
+    "cms_pub_100_02_ch17": "Pub 100-02 Ch 17",
+    "cms_pub_100_04_ch39": "Pub 100-04 Ch 39",
+    "cms_mln_otp_booklet": "MLN OTP Booklet",
+    "fl_ahca_cbh_handbook": "FL AHCA Community Behavioral Health",
+    "fl_mac_fcso_otp": "FCSO OTP Specialty Page (HTML)",
+    "cms_ncci_edits": "NCCI PTP Edits (practitioner, FULL table)",
+    "cms_ncci_medicaid": "Medicaid NCCI PTP Edits (practitioner)",
+    "ecfr_42_part_8": "42 CFR Part 8",
+    "samhsa_tip_63": "SAMHSA TIP 63",
+    "cdc_icd10_z_codes": "CDC ICD-10-CM Guidelines",
+    "sunshine_provider_manual": "Sunshine Health Provider Manual",
+    "simply_provider_resources": "Simply Healthcare Provider Manual",
+}
+NCCI_DELTA_DOC = "NCCI PTP Edits (practitioner, DELTA fallback)"
+NCCI_NO_LINK_DOC = "NCCI"
+MEDICAID_NO_LINK_DOC = "Medicaid NCCI PTP Edits"
+
+
+def doc_label(source_key: Column) -> Column:
+    out = None
+    for k, v in DOC_LABELS.items():
+        out = F.when(source_key == k, F.lit(v)) if out is None else out.when(source_key == k, F.lit(v))
+    return out.otherwise(F.lit(""))
