@@ -155,7 +155,8 @@ def number_edits(edits: DataFrame, scope: list[str] = ["source_key", "result_ord
 def check_messages(rules: DataFrame) -> DataFrame:
     """M1: a blank friendly_message fails the job (assert_true, no collect)."""
     ok = F.assert_true(F.trim(F.coalesce(F.col("friendly_message"), F.lit(""))) != "", F.concat(F.col("rule_id"), F.lit(": friendly_message is required")))
-    return rules.withColumn("_ok", ok).drop("_ok")
+    # The check is folded into the message column so column pruning keeps it.
+    return rules.withColumn("friendly_message", F.coalesce(ok.cast("string"), F.col("friendly_message")))
 
 
 def build_rules(results: DataFrame, edits: DataFrame | None = None) -> DataFrame:
