@@ -59,9 +59,10 @@ def _json_kind(v: Column) -> Column:
 
 
 def canonical_json_value(v: Column) -> Column:
-    """Lists compare ignoring order and repetition; objects with sorted keys."""
+    """Lists compare ignoring order and repetition; objects already come with
+    sorted keys from VARIANT."""
     as_list = F.to_json(F.array_sort(F.array_distinct(F.from_json(v, "array<string>"))))
-    return F.when(F.substring(v, 1, 1) == "[", as_list).otherwise(F.to_json(F.parse_json(v)))
+    return F.when(F.substring(v, 1, 1) == "[", as_list).otherwise(v)
 
 
 def _params_changes(params_col: str) -> Column:
@@ -72,12 +73,13 @@ def _params_changes(params_col: str) -> Column:
         F.when(o.isNull() & n.isNotNull(), F.array(_change("dictionary_item_added", root, F.lit(None), n)))
         .when(o.isNotNull() & n.isNull(), F.array(_change("dictionary_item_removed", root, o, F.lit(None))))
     )
-    om = F.from_json(o, "map<string,string>")
-    nm = F.from_json(n, "map<string,string>")
+    # VARIANT keeps each value's JSON type and renders objects with sorted keys.
+    om = F.parse_json(o).cast("map<string,variant>")
+    nm = F.parse_json(n).cast("map<string,variant>")
     keys = F.array_sort(F.array_union(F.map_keys(om), F.map_keys(nm)))
 
     def per_key(k: Column) -> Column:
-        ov, nv = om[k], nm[k]
+        ov, nv = F.to_json(om[k]), F.to_json(nm[k])
         path = F.concat(F.lit(root + "['"), k, F.lit("']"))
         mk = lambda t, a, b: F.struct(F.lit(t).alias("change_type"), path.alias("path"), a.alias("old_value"), b.alias("new_value"))
         return (
