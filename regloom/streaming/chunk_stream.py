@@ -44,7 +44,8 @@ def run_available(
     max_files_per_trigger: int | None = None,
 ) -> None:
     """Process every text file landed since the last call, then stop."""
-    reader = spark.readStream.schema(schema).format("parquet")
+    # Each landing batch may be its own folder of part files.
+    reader = spark.readStream.schema(schema).format("parquet").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)

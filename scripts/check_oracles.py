@@ -1,91 +1,29 @@
-"""Run every registered query in Spark and its oracle in DuckDB; compare.
-
-Compares row count, column names and an order-insensitive hash of the values
-(columns sorted by name), like the driver's correctness gate.
+"""Compare every registered query with its DuckDB oracle (driver-style gate).
 
     python scripts/check_oracles.py [sf_dir] [name ...]
 """
 from __future__ import annotations
 
-import hashlib
 import os
 import sys
-import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-
+from regloom.plans.verify import compare  # noqa: E402
 from regloom.session import local_session  # noqa: E402
-from regloom.sources.tables import TABLE_NAMES  # noqa: E402
-
-
-def _norm(v):
-    if isinstance(v, float):
-        return repr(round(v, 6))
-    if isinstance(v, (list, tuple)):
-        return "[" + ",".join(_norm(x) for x in v) + "]"
-    if hasattr(v, "asDict"):
-        return _norm(list(v))
-    return repr(v)
-
-
-def digest(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
-    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16], lines
 
 
 def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
-    import __spark_entry__ as E
-
     spark = local_session()
-    con = duckdb.connect()
-    for t in TABLE_NAMES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
-    qs = E.queries()
-    oracles = E.oracle_sql()
     bad = 0
-    for name, fn in qs.items():
-        if names and name not in names:
-            continue
-        t0 = time.time()
-        try:
-            df = fn(spark, sf_dir)
-            rows = [tuple(r) for r in df.collect()]
-            cols = df.columns
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL {name}: spark error {type(e).__name__}: {str(e)[:400]}")
-            bad += 1
-            continue
-        ts = time.time() - t0
-        if name not in oracles:
-            print(f"ROWS {name}: {len(rows)} rows (no oracle) {ts:.1f}s")
-            continue
-        try:
-            res = con.execute(oracles[name])
-            ocols = [d[0] for d in res.description]
-            orows = res.fetchall()
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL {name}: duckdb error {str(e)[:400]}")
-            bad += 1
-            continue
-        h1, l1 = digest(cols, rows)
-        h2, l2 = digest(ocols, orows)
-        ok = sorted(cols) == sorted(ocols) and len(rows) == len(orows) and h1 == h2
-        if ok:
-            print(f"OK   {name}: {len(rows)} rows {ts:.1f}s")
-        else:
-            bad += 1
-            print(f"FAIL {name}: spark {len(rows)} rows {sorted(cols)} vs duck {len(orows)} rows {sorted(ocols)}")
-            s1, s2 = set(l1), set(l2)
-            for x in sorted(s1 - s2)[:3]:
-                print("   spark-only:", x[:300])
-            for x in sorted(s2 - s1)[:3]:
-                print("   duck-only: ", x[:300])
+    for o in compare(spark, sf_dir, names or None):
+        tag = "OK  " if o.ok else "FAIL"
+        extra = f" ({o.message})" if o.message else ""
+        print(f"{tag} {o.name}: {o.rows} rows {o.seconds:.1f}s{extra}", flush=True)
+        bad += not o.ok
     print(f"{bad} failing")
     spark.stop()
 
