@@ -11,10 +11,11 @@ Scale notes:
   with partial aggregation, so a patient holding a third of all lines becomes
   one row per day before the range window; A1 and A2 share that partitioning
   and are computed in one select.
-- The same-day pair rule (A11) never pairs lines inside a group: it reduces
-  claims to distinct (patient, day, code), joins the pair table on the first
-  code and semi-joins the second code on (patient, day, code). Output is
-  bounded by distinct codes x pair fan-out, not by lines squared.
+- The same-day pair rule (A11) never pairs lines inside a group: each line
+  meets the pair-role table on its code, and a partial-aggregating group-by
+  on (patient, day, pair) keeps pairs whose two roles both occurred. One scan
+  of the claims, one shuffle; work is bounded by lines x pair fan-out, not by
+  lines squared.
 - Dimension tables with a fixed size (code lists, cap schedule, TPC-H nation
   and region) are broadcast; data-sized sides are left to AQE, which
   broadcasts only after measuring them.
@@ -176,13 +177,26 @@ def payer_blocker(claims: DataFrame, allowed: DataFrame) -> DataFrame:
 
 def same_day_pairs(claims: DataFrame, pairs: DataFrame) -> DataFrame:
     """A11 (BundleGuard): both codes of a PTP pair (column1, column2) billed
-    for one patient on one day. Orientation is kept; modifiers are ignored."""
+    for one patient on one day. Orientation is kept; modifiers are ignored.
+
+    One pass: each line meets the pair-role table on its code (a line can be
+    the first or the second code of a pair), then a partial-aggregating
+    group-by on (patient, day, pair) keeps pairs where both roles occurred.
+    Lines are never paired with each other, and a hot patient-day collapses
+    map-side. The role table is sized by the pair table; AQE broadcasts it
+    only after measuring it.
+    """
     pair = pairs.select("column1", "column2").distinct()
-    codes = pair.select(F.col("column1").alias("code")).union(pair.select(F.col("column2").alias("code"))).distinct()
-    day_codes = claims.select("patient_id", "service_date", "code").join(codes, "code", "left_semi").distinct()
-    first = day_codes.join(pair, day_codes.code == pair.column1).select("patient_id", "service_date", "column1", "column2")
-    second = day_codes.select("patient_id", "service_date", F.col("code").alias("column2"))
-    hits = first.join(second, ["patient_id", "service_date", "column2"], "left_semi")
+    roles = pair.select(F.col("column1").alias("code"), "column1", "column2", F.lit(True).alias("is_first")).unionByName(
+        pair.select(F.col("column2").alias("code"), "column1", "column2", F.lit(False).alias("is_first"))
+    )
+    lines = claims.select("patient_id", "service_date", "code")
+    hits = (
+        lines.join(roles, "code")
+        .groupBy("patient_id", "service_date", "column1", "column2")
+        .agg(F.bool_or("is_first").alias("_a"), F.bool_or(~F.col("is_first")).alias("_b"))
+        .filter(F.col("_a") & F.col("_b"))
+    )
     return finding(
         hits, "R-NCCI", F.col("patient_id"), F.col("service_date"),
         F.concat(F.col("column1"), F.lit("+"), F.col("column2")),
