@@ -8,8 +8,14 @@ partition's offset, and the offsets are joined back by broadcast. The
 position inside a partition comes from ``monotonically_increasing_id``, whose
 low 33 bits count rows in iteration order.
 
-``order_cols`` (with ``group_cols``) must be a total order: equal keys would
-make the numbering depend on shuffle fetch order.
+Invariants that make the two uses of the ranged data agree (the count branch
+reads only the key columns, so it is a separate, cheaper plan):
+- the range exchange has an explicit partition count (REPARTITION_BY_NUM),
+  which AQE never coalesces, so both branches see the same partition ids;
+- range bounds come from a deterministic sample of the same keys;
+- ``order_cols`` (with ``group_cols``) must be a total order, so the sort
+  inside a partition, and a recomputation after a lost executor, give the
+  same positions.
 """
 from __future__ import annotations
 

@@ -94,10 +94,9 @@ def by_key(catalog: DataFrame, keys: DataFrame, key_col: str = "source_key") ->
     """
     cat = F.broadcast(catalog.withColumnRenamed("key", key_col))
     joined = keys.join(cat, key_col, "left")
-    return joined.withColumn(
-        "_known",
-        F.assert_true(F.col("catalog_ord").isNotNull(), F.concat(F.lit("Unknown source key: "), F.col(key_col))),
-    ).drop("_known")
+    known = F.assert_true(F.col("catalog_ord").isNotNull(), F.concat(F.lit("Unknown source key: "), F.col(key_col)))
+    # Folded into a kept column so column pruning cannot drop the check.
+    return joined.withColumn("catalog_ord", F.coalesce(known.cast("int"), F.col("catalog_ord")))
 
 
 def select_sources(catalog: DataFrame, only: list[str] | None = None) -> DataFrame:
