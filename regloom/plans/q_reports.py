@@ -158,3 +158,27 @@ from {_sub('diff_summary')} s""",
 )
 def q_diff_overview(spark, sf_dir):
     return RP.diff_overview(fixture_changes(spark, sf_dir))
+
+
+_ONLY = ["cms_pub_100_04_ch39", "ecfr_42_part_8", "fl_mac_fcso_otp", "not_a_source"]
+
+
+@register(
+    "source_selection",
+    covers=("S1", "S2", "S3"),
+    oracle=FX.with_fixtures(
+        f"""
+select source_key, count(*) as result_count from fx_results
+where source_key in ('cms_pub_100_04_ch39', 'ecfr_42_part_8', 'fl_mac_fcso_otp')
+group by source_key""",
+        "fx_results",
+    ),
+)
+def q_source_selection(spark, sf_dir):
+    """Results of a run restricted to ``only`` (unknown keys ignored), registered
+    sources only, counted per source."""
+    from regloom.sources import catalog as S
+
+    cat = S.registered(S.select_sources(S.catalog_df(spark), _ONLY), spark).select(F.col("key").alias("source_key"))
+    res = FX.fx_results(Tables(spark, sf_dir).documents)
+    return res.join(F.broadcast(cat), "source_key", "left_semi").groupBy("source_key").agg(F.count(F.lit(1)).alias("result_count"))
