@@ -131,12 +131,27 @@ def chunk_for_rag(
 
     ``results`` columns: result_ord, source_key, source_name, sections
     (ARRAY<STRUCT<id,label,text>>, may be null), full_text, raw_excerpt.
-    Output carries (result_ord, unit_ord, window_ord) so order is explicit.
+    Both routes build the same ARRAY<STRUCT<label,text>> in one projection,
+    so the input is scanned once and exploded once. Output carries
+    (result_ord, unit_ord, window_ord) so order is explicit.
     """
     has_sections = F.coalesce(F.size("sections") > 0, F.lit(False))
-    sec = section_units(results.filter(has_sections))
-    free = free_text_units(results.filter(~has_sections))
-    units = sec.unionByName(free)
+    sec_units = F.transform(
+        "sections",
+        lambda s: F.struct(
+            F.concat(F.coalesce(s["id"], F.lit("?")), F.lit(" "), F.coalesce(s["label"], F.lit(""))).alias("label"),
+            F.coalesce(s["text"], F.lit("")).alias("text"),
+        ),
+    )
+    body = F.coalesce(F.nullif(F.col("full_text"), F.lit("")), F.nullif(F.col("raw_excerpt"), F.lit("")), F.lit(""))
+    free_units = F.transform(
+        split_paragraphs(body), lambda p: F.struct(F.col("source_name").alias("label"), p.alias("text"))
+    )
+    units = results.select(
+        "result_ord",
+        "source_key",
+        F.posexplode(F.when(has_sections, sec_units).otherwise(free_units)).alias("unit_ord", "u"),
+    ).select("result_ord", "source_key", "unit_ord", F.col("u.label").alias("label"), F.col("u.text").alias("text"))
     out = explode_windows(units, size=size, overlap=overlap)
     return out.select("result_ord", "unit_ord", "window_ord", *CHUNK_COLUMNS)
 
