@@ -252,14 +252,16 @@ def handbook_facts(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def handbook_rollup(handbooks: DataFrame, key: str = "source_key") -> DataFrame:
+def handbook_rollup(handbooks: DataFrame, key: str = "source_key", extra: list[Column] | None = None) -> DataFrame:
     """Any-flag rollup and handbook count per source (partial aggregation,
-    one shuffle on the source key; a hot source is pre-aggregated map-side)."""
+    one shuffle on the source key; a hot source is pre-aggregated map-side).
+    ``extra`` aggregates ride along in the same pass."""
     return handbooks.groupBy(key).agg(
         F.count(F.lit(1)).alias("handbook_count"),
         F.coalesce(F.bool_or("mentions_HF_modifier"), F.lit(False)).alias("any_HF_mentioned"),
         F.coalesce(F.bool_or("mentions_POS_58"), F.lit(False)).alias("any_POS_58_mentioned"),
         F.coalesce(F.bool_or("mentions_HD_HG_pair"), F.lit(False)).alias("any_HD_HG_pair_mentioned"),
+        *(extra or []),
     )
 
 

@@ -232,9 +232,9 @@ from h group by source_key""",
 def q_extract_handbooks(spark, sf_dir):
     docs = FX.fx_source_text(Tables(spark, sf_dir).documents).select("source_key", "text")
     hb = X.handbook_facts(docs)
-    roll = X.handbook_rollup(hb)
-    hc = hb.groupBy("source_key").agg(F.count_if(F.size("h_codes_referenced") > 0).alias("handbooks_with_h_codes"))
-    return roll.join(hc, "source_key")
+    return X.handbook_rollup(
+        hb, extra=[F.count_if(F.size("h_codes_referenced") > 0).alias("handbooks_with_h_codes")]
+    )
 
 
 @register(
