@@ -155,7 +155,32 @@ def q_ncci_bundle_rules(spark, sf_dir):
     return M.build_rules(results, edits).filter(F.col("logic_type") == "BundleGuard")
 
 
-@register("rule_coverage", covers=("M20", "M19", "S1"))
+def _coverage_values() -> str:
+    from regloom.operators.coverage import COVERAGE
+
+    def q(v):
+        return "'" + str(v).replace("'", "''") + "'"
+
+    rows = ",\n  ".join(f"({n}, {q(f)}, {q(i)}, {q(k)}, {q(st)}, {q(m)})" for n, f, i, k, st, m in COVERAGE)
+    return f"cov(rule_number, focus, rule_ids, source_keys, status, maturity) as (values\n  {rows})"
+
+
+def _rule_coverage_oracle() -> str:
+    from regloom.plans.registry import _REGISTRY
+
+    matrix = _REGISTRY["rule_matrix"].oracle.strip()
+    return f"""
+with {_coverage_values()},
+built as (select regexp_replace(rule_id, '^(R-NCCI(?:MCD)?)-\\d+$', '\\1-*') as family, count(*) as n
+          from ({matrix}) m group by 1),
+ids as (select rule_number, unnest(list_filter(string_split(rule_ids, ','), lambda x: x <> '')) as family from cov),
+per as (select cov.rule_number, cast(coalesce(sum(built.n), 0) as bigint) as built_rule_count
+        from cov left join ids using (rule_number) left join built using (family) group by cov.rule_number)
+select cast(rule_number as integer) as rule_number, focus, rule_ids, source_keys, status, maturity, built_rule_count
+from cov join per using (rule_number)"""
+
+
+@register("rule_coverage", covers=("M20", "M19", "S1"), oracle=_rule_coverage_oracle())
 def q_rule_coverage(spark, sf_dir):
     rules = M.build_rules(matrix_results(Tables(spark, sf_dir).documents))
     return coverage_report(spark, rules)
