@@ -9,6 +9,8 @@ overwriting the path the plan reads.
 
 ``landed`` columns: source_key, fetched_at, content_sha256, raw_path, text,
 warnings ARRAY<STRING>; optional: sections (for the section route).
+``run_id`` must sort in time order (e.g. an ISO timestamp): the live
+version is the greatest one.
 """
 from __future__ import annotations
 
@@ -63,8 +65,9 @@ def read_live(spark: SparkSession, live_root: str) -> DataFrame | None:
         allv = spark.read.parquet(live_root)
     except AnalysisException:
         return None
+    # One row; broadcast so the join never shuffles all versions onto one key.
     newest = allv.agg(F.max("version").alias("version"))
-    return allv.join(newest, "version").drop("version")
+    return allv.join(F.broadcast(newest), "version").drop("version")
 
 
 def run(

@@ -20,17 +20,28 @@ TEXT_SCHEMA = "doc_id bigint, source_key string, label string, text string"
 
 
 def _append_new(sink_path: str):
+    """foreachBatch body, idempotent per batch: the batch overwrites only its
+    own ``batch_id`` partition and ignores that partition when reading the
+    known ids, so a retried batch neither duplicates nor drops chunks."""
+
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         chunks = C.explode_windows(C.paragraph_units(batch)).select(
             "doc_id", "unit_ord", "window_ord", *C.CHUNK_COLUMNS
         )
         try:
-            known = spark.read.parquet(sink_path).select("chunk_id")
+            stored = spark.read.parquet(sink_path)
+            known = stored.filter(F.col("batch_id") != epoch_id).select("chunk_id")
             fresh = C.new_chunks(chunks, known)
         except AnalysisException:  # first batch: nothing stored yet
             fresh = chunks
-        fresh.withColumn("batch_id", F.lit(epoch_id)).write.mode("append").parquet(sink_path)
+        (
+            fresh.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(sink_path)
+        )
 
     return handle
 

@@ -63,3 +63,15 @@ def test_streaming_adds_only_new_chunks(spark, scratch):
     df = spark.read.parquet(sink)
     assert df.count() == 4  # 'alpha' was known; only 'delta' is new
     assert sorted(r.text for r in df.collect()) == ["alpha", "beta", "delta", "gamma"]
+
+
+def test_stream_batch_retry_is_idempotent(spark, scratch):
+    sink = os.path.join(scratch, "chunks_retry")
+    handle = chunk_stream._append_new(sink)
+    b0 = spark.createDataFrame([(1, "s", "l", "alpha")], "doc_id bigint, source_key string, label string, text string")
+    b1 = spark.createDataFrame([(2, "s", "l", "alpha"), (3, "s", "l", "omega")], "doc_id bigint, source_key string, label string, text string")
+    handle(b0, 0)
+    handle(b1, 1)
+    handle(b1, 1)  # a retried batch
+    got = sorted((r.batch_id, r.text) for r in spark.read.parquet(sink).collect())
+    assert got == [(0, "alpha"), (1, "omega")]
