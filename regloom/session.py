@@ -18,6 +18,9 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # HTML/XML/zip stages hand whole documents to Python; smaller Arrow
+    # batches bound the worker's memory when pages are megabytes each.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
