@@ -140,8 +140,9 @@ def chunk_samples(chunks: DataFrame, order: list[str]) -> DataFrame:
     return top.select(*order, "source_key", "label", "char_count", cut.alias("sample"))
 
 
-def diff_overview(changes: DataFrame) -> DataFrame:
-    """Change counts and the first five added ids (sorted)."""
+def diff_overview(changes: DataFrame, order_col: str = "rule_id") -> DataFrame:
+    """Change counts and the first five added ids: sorted ids normally,
+    matrix order (``order_col="rule_ord"``) on a first deploy."""
     k = F.lit(1).alias("_k")
     counts = changes.groupBy(k).agg(
         F.count_if(F.col("change_type") == "rule_added").alias("added_count"),
@@ -150,11 +151,11 @@ def diff_overview(changes: DataFrame) -> DataFrame:
     )
     first = (
         changes.filter(F.col("change_type") == "rule_added")
-        .select("rule_id")
-        .orderBy("rule_id")
+        .select("rule_id", F.col(order_col).alias("_o"))
+        .orderBy("_o", "rule_id")
         .limit(DIFF_ID_COUNT)
         .groupBy(k)
-        .agg(F.array_join(F.array_sort(F.collect_list("rule_id")), ",").alias("first_added"))
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "rule_id"))), lambda x: x["rule_id"]), ",").alias("first_added"))
     )
     out = counts.join(first, "_k", "left")
     return out.select("added_count", "removed_count", "changed_count", F.coalesce("first_added", F.lit("")).alias("first_added"))

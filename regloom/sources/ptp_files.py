@@ -51,18 +51,32 @@ def read_text_tables(spark: SparkSession, paths: list[str] | str, *, part_ord: i
         .option("mode", "PERMISSIVE")
         .csv(paths)
     )
-    member = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
+    path = F.input_file_name()
     cells = F.array(*[F.coalesce(F.col(f"_c{i}"), F.lit("")) for i in range(MAX_CELLS)])
     # Trailing empty cells are padding from the fixed schema, not data.
     last = F.array_max(F.filter(F.transform(cells, lambda c, i: F.when(c != "", i)), lambda x: x.isNotNull()))
     trimmed = F.when(last.isNull(), F.array().cast("array<string>")).otherwise(F.slice(cells, 1, last + 1))
-    return df.select(
-        F.lit(part_ord).alias("part_ord"),
-        F.lit(0).alias("file_ord"),
-        member.alias("member"),
-        F.lit(None).cast("string").alias("sheet"),
+    rows = df.select(
+        path.alias("_path"),
         F.monotonically_increasing_id().alias("row_ord"),
         trimmed.alias("cells"),
+    )
+    # Spark packs files into splits by size, so file order comes from the
+    # reader's file index (metadata, no data scan): one row per file, ordered by
+    # path and broadcast back; its size is bounded by the file count.
+    norm = lambda c: F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    listed = sorted(df.inputFiles())
+    ordered = spark.createDataFrame([(p, i) for i, p in enumerate(listed)], "_listed string, file_ord int").select(
+        norm(F.col("_listed")).alias("_key"), "file_ord"
+    )
+    rows = rows.withColumn("_key", norm(F.col("_path")))
+    return rows.join(F.broadcast(ordered), "_key").select(
+        F.lit(part_ord).alias("part_ord"),
+        "file_ord",
+        F.regexp_extract("_path", r"([^/]+)$", 1).alias("member"),
+        F.lit(None).cast("string").alias("sheet"),
+        "row_ord",
+        "cells",
         F.lit(None).cast("string").alias("warning"),
     )
 
