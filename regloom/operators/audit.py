@@ -169,10 +169,11 @@ def payer_blocker(claims: DataFrame, allowed: DataFrame) -> DataFrame:
     """
     g = claims.filter(F.col("code").rlike("^G[0-9]{4}$"))
     codes = allowed.select("code").distinct()
-    # At most one row (limit 1), so broadcasting it is size-safe; a shuffle on
-    # the constant key would send every line to one task.
-    has_list = allowed.select(F.lit(1).alias("_k")).limit(1)
-    gated = g.withColumn("_k", F.lit(1)).join(F.broadcast(has_list), "_k", "left_semi").drop("_k")
+    # "The list is not empty" as an equi-join on the code family letter: the
+    # right side has at most one row ('G'), so it is broadcast.
+    family = F.substring("code", 1, 1).alias("_family")
+    has_list = allowed.filter(F.col("code").rlike("^G[0-9]{4}$")).select(family).distinct()
+    gated = g.withColumn("_family", F.substring("code", 1, 1)).join(F.broadcast(has_list), "_family", "left_semi").drop("_family")
     bad = gated.join(codes, "code", "left_anti")
     return finding(bad, "R-FLMAC-01", _claim_key(), F.col("service_date"), F.concat(F.lit("code="), F.col("code")))
 

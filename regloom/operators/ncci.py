@@ -40,27 +40,35 @@ def _parts_to_edits(chosen: DataFrame, payloads: DataFrame, listed_warning: str)
 
 
 def _result(scope: str, chosen: DataFrame, edits: DataFrame, digests: DataFrame, warns: DataFrame, extra_warning: str | None) -> DataFrame:
-    k = F.lit(1).alias("_k")
-    zips = chosen.groupBy(k).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("part_ord", "url"))), lambda x: x["url"]).alias("source_zips"),
-        F.count(F.lit(1)).alias("part_count"),
+    """One result row from four small inputs, tagged and reduced in a single
+    aggregation (parts and warnings are a handful of rows; edits are only counted)."""
+    po = F.col("part_ord").cast("bigint")
+    s = "struct<o:bigint,v:string>"
+    nul = F.lit(None).cast(s)
+    rows = (
+        chosen.select(F.lit("zip").alias("_t"), F.struct(po.alias("o"), F.col("url").alias("v")).cast(s).alias("_x"))
+        .unionByName(edits.select(F.lit("edit").alias("_t"), nul.alias("_x")))
+        .unionByName(digests.select(F.lit("dig").alias("_t"), F.struct(po.alias("o"), F.col("digest").alias("v")).cast(s).alias("_x")))
+        .unionByName(warns.select(F.lit("warn").alias("_t"), F.struct(po.alias("o"), F.col("w").alias("v")).cast(s).alias("_x")))
     )
-    n = edits.groupBy(k).agg(F.count(F.lit(1)).alias("edit_count_relevant"))
-    dig = digests.groupBy(k).agg(
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part_ord", "digest"))), lambda x: x["digest"]), ""), 256).alias("content_sha256")
+    t = F.col("_t")
+
+    def values(kind: str):
+        return F.transform(F.array_sort(F.collect_list(F.when(t == kind, F.col("_x")))), lambda x: x["v"])
+
+    agg = rows.agg(
+        values("zip").alias("source_zips"),
+        F.count_if(t == "zip").alias("part_count"),
+        F.count_if(t == "edit").alias("edit_count_relevant"),
+        F.sha2(F.array_join(values("dig"), ""), 256).alias("content_sha256"),
+        values("warn").alias("warnings"),
     )
-    w = warns.groupBy(k).agg(F.transform(F.array_sort(F.collect_list(F.struct("part_ord", "w"))), lambda x: x["w"]).alias("warnings"))
-    out = zips.join(n, "_k", "left").join(dig, "_k", "left").join(w, "_k", "left")
-    base = F.coalesce(F.col("warnings"), F.array().cast("array<string>"))
+    warnings = F.col("warnings")
     if extra_warning:
-        base = F.concat(base, F.array(F.lit(extra_warning)))
-    return out.select(
-        F.lit(scope).alias("table_scope"),
-        "source_zips",
-        "part_count",
-        F.coalesce("edit_count_relevant", F.lit(0)).alias("edit_count_relevant"),
-        F.coalesce("content_sha256", F.sha2(F.lit(""), 256)).alias("content_sha256"),
-        base.alias("warnings"),
+        warnings = F.concat(warnings, F.array(F.lit(extra_warning)))
+    return agg.select(
+        F.lit(scope).alias("table_scope"), "source_zips", "part_count", "edit_count_relevant", "content_sha256",
+        warnings.alias("warnings"),
     )
 
 

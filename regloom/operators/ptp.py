@@ -157,3 +157,18 @@ def combined_digest(parts: DataFrame, group_cols: list[str], ord_col: str = "par
         F.sha2(F.array_join(F.transform(ordered, lambda x: x["d"]), ""), 256).alias("combined_sha256"),
         F.count(F.lit(1)).alias("part_count"),
     )
+
+
+def scan_summary(edits: DataFrame, parts: DataFrame) -> DataFrame:
+    """P6 count and S5 digest in one row: edits and parts are tagged, unioned
+    and reduced in a single aggregation (the part list is a handful of rows)."""
+    part = F.struct(F.col("part_ord").alias("o"), F.col("digest").alias("d"))
+    rows = edits.select(F.lit(True).alias("_edit"), F.lit(None).cast("struct<o:int,d:string>").alias("_p")).unionByName(
+        parts.select(F.lit(False).alias("_edit"), part.cast("struct<o:int,d:string>").alias("_p"))
+    )
+    ordered = F.array_sort(F.collect_list("_p"))
+    return rows.agg(
+        F.count_if(F.col("_edit")).alias("edit_count_relevant"),
+        F.sha2(F.array_join(F.transform(ordered, lambda x: x["d"]), ""), 256).alias("combined_sha256"),
+        F.count(F.col("_p")).alias("part_count"),
+    )

@@ -111,19 +111,19 @@ def chunk_table(chunks: DataFrame) -> DataFrame:
 def totals(results: DataFrame, rules: DataFrame, chunks: DataFrame) -> DataFrame:
     """Ok / fail sources, rule and chunk counts (one row).
 
-    Three global aggregates of one row each, joined on a constant key.
-    """
-    k = F.lit(1).alias("_k")
-    r = results.groupBy(k).agg(
-        F.count_if(~failed(F.col("warnings"))).alias("ok"), F.count_if(failed(F.col("warnings"))).alias("fail")
+    The three inputs are tagged and unioned, then counted in ONE aggregation
+    (no joins between single-row aggregates)."""
+    tagged = (
+        results.select(F.when(failed(F.col("warnings")), F.lit("fail")).otherwise(F.lit("ok")).alias("_t"))
+        .unionByName(rules.select(F.lit("rule").alias("_t")))
+        .unionByName(chunks.select(F.lit("chunk").alias("_t")))
     )
-    n_rules = rules.groupBy(k).agg(F.count(F.lit(1)).alias("rule_count"))
-    n_chunks = chunks.groupBy(k).agg(F.count(F.lit(1)).alias("chunk_count"))
-    out = r.join(n_rules, "_k", "left").join(n_chunks, "_k", "left")
-    return out.select(
-        "ok", "fail",
-        F.coalesce("rule_count", F.lit(0)).alias("rule_count"),
-        F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"),
+    t = F.col("_t")
+    return tagged.agg(
+        F.count_if(t == "ok").alias("ok"),
+        F.count_if(t == "fail").alias("fail"),
+        F.count_if(t == "rule").alias("rule_count"),
+        F.count_if(t == "chunk").alias("chunk_count"),
     )
 
 
@@ -142,20 +142,25 @@ def chunk_samples(chunks: DataFrame, order: list[str]) -> DataFrame:
 
 def diff_overview(changes: DataFrame, order_col: str = "rule_id") -> DataFrame:
     """Change counts and the first five added ids: sorted ids normally,
-    matrix order (``order_col="rule_ord"``) on a first deploy."""
-    k = F.lit(1).alias("_k")
-    counts = changes.groupBy(k).agg(
-        F.count_if(F.col("change_type") == "rule_added").alias("added_count"),
-        F.count_if(F.col("change_type") == "rule_removed").alias("removed_count"),
-        F.count_distinct(F.when(~F.col("change_type").isin("rule_added", "rule_removed"), F.col("rule_id"))).alias("changed_count"),
-    )
-    first = (
-        changes.filter(F.col("change_type") == "rule_added")
+    matrix order (``order_col="rule_ord"``) on a first deploy.
+
+    The five ids come from a top-k (sort + limit 5); they are unioned with the
+    change rows and everything is counted in one aggregation."""
+    ct = F.col("change_type")
+    top = (
+        changes.filter(ct == "rule_added")
         .select("rule_id", F.col(order_col).alias("_o"))
         .orderBy("_o", "rule_id")
         .limit(DIFF_ID_COUNT)
-        .groupBy(k)
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "rule_id"))), lambda x: x["rule_id"]), ",").alias("first_added"))
+        .select(F.lit(None).cast("string").alias("change_type"), "rule_id", F.struct("_o", "rule_id").alias("_top"))
+    )
+    rows = changes.select(
+        "change_type", "rule_id", F.lit(None).cast(top.schema["_top"].dataType).alias("_top")
+    ).unionByName(top)
+    first = F.array_join(F.transform(F.array_sort(F.collect_list("_top")), lambda x: x["rule_id"]), ",")
+    return rows.agg(
+        F.count_if(ct == "rule_added").alias("added_count"),
+        F.count_if(ct == "rule_removed").alias("removed_count"),
+        F.count_distinct(F.when(ct.isNotNull() & ~ct.isin("rule_added", "rule_removed"), F.col("rule_id"))).alias("changed_count"),
+        first.alias("first_added"),
     )
-    out = counts.join(first, "_k", "left")
-    return out.select("added_count", "removed_count", "changed_count", F.coalesce("first_added", F.lit("")).alias("first_added"))

@@ -86,14 +86,8 @@ select (select count(*) from d) as edit_count_relevant, combined_sha256, part_co
 def q_ptp_scan_summary(spark, sf_dir):
     raw = raw_rows(Tables(spark, sf_dir).part)
     edits = P.relevant_edits(raw)
-    key = F.lit("cms_ncci_edits").alias("source_key")
-    count = edits.groupBy(key).agg(F.count(F.lit(1)).alias("edit_count_relevant"))
     # Part digests stand in for the downloaded payloads: one per member.
     parts = raw.select(F.col("file_ord").alias("part_ord"), "member").distinct().select(
-        "part_ord", F.sha2(F.col("member"), 256).alias("digest"), key
-    )
-    dig = P.combined_digest(parts, ["source_key"])
-    out = dig.join(count, "source_key", "left")
-    return out.select(
-        F.coalesce("edit_count_relevant", F.lit(0)).alias("edit_count_relevant"), "combined_sha256", "part_count"
+        "part_ord", F.sha2(F.col("member"), 256).alias("digest")
     )
+    return P.scan_summary(edits, parts)
