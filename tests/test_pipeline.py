@@ -75,3 +75,29 @@ def test_stream_batch_retry_is_idempotent(spark, scratch):
     handle(b1, 1)  # a retried batch
     got = sorted((r.batch_id, r.text) for r in spark.read.parquet(sink).collect())
     assert got == [(0, "alpha"), (1, "omega")]
+
+
+def test_run_from_landed_files(spark, scratch):
+    import hashlib
+
+    from regloom.sources.landed import landed_documents
+
+    root = os.path.join(scratch, "raw")
+
+    def land(key, suffix, body):
+        d = os.path.join(root, key)
+        os.makedirs(d, exist_ok=True)
+        data = body.encode("utf-8")
+        open(os.path.join(d, hashlib.sha256(data).hexdigest()[:12] + suffix), "wb").write(data)
+
+    land("cms_pub_100_02_ch17", ".txt", "G0137 requires a minimum of nine services. G2067")
+    land("fl_mac_fcso_otp", ".html", "<html><nav>G9999</nav><article>Bill G2067 <a href='/a.pdf'>a</a></article></html>")
+    land("ecfr_42_part_8", ".xml", '<ECFR><DIV8 TYPE="SECTION" N="8.1"><HEAD>Scope</HEAD><P>Body</P></DIV8></ECFR>')
+    land("samhsa_tip_63", ".txt", "Polysubstance use.\n\nSecond paragraph.")
+    docs = landed_documents(spark, root)
+    got = {r.source_key: r for r in docs.collect()}
+    assert got["fl_mac_fcso_otp"].text == "Bill G2067 a"
+    assert got["ecfr_42_part_8"].sections[0].id == "8.1" and got["ecfr_42_part_8"].text is None
+    s = run(spark, docs, os.path.join(scratch, "out3"), "r1")
+    # R-FED-02, R-FLMAC-01, R-FED-03..06; chunks: eCFR 1 + TIP 63 2.
+    assert s.rule_count == 6 and s.chunk_count == 3
