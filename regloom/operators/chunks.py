@@ -64,17 +64,12 @@ def explode_windows(
     text = F.coalesce(F.col(text_col), F.lit(""))
     n = F.length(text)
     keep = [c for c in units.columns if c != text_col]
-    exploded = units.select(
-        *keep,
-        text.alias("_text"),
-        F.explode(F.sequence(F.lit(0), window_count(n, size, stride) - 1)).alias(window_ord_col),
-    )
-    piece = F.col("_text").substr(F.col(window_ord_col) * F.lit(stride) + F.lit(1), F.lit(size))
+    # The pieces are cut inside one array expression, so exploded rows carry
+    # only their own piece, never the whole document.
+    starts = F.sequence(F.lit(0), window_count(n, size, stride) - 1)
+    pieces = F.transform(starts, lambda i: F.substring(text, i * F.lit(stride) + F.lit(1), F.lit(size)))
+    exploded = units.select(*keep, F.posexplode(pieces).alias(window_ord_col, "text"))
     return exploded.select(
-        *keep,
-        F.col(window_ord_col),
-        piece.alias("text"),
-    ).select(
         *keep,
         F.col(window_ord_col),
         chunk_id(F.col("source_key"), F.col("label"), F.col("text")).alias("chunk_id"),
