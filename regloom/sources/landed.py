@@ -65,15 +65,19 @@ def landed_documents(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
     )
     key = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
-    newest = files.groupBy(key.alias("source_key")).agg(
-        F.max_by(F.struct("path", "content", "modificationTime"), F.col("modificationTime")).alias("f")
+    # Newest file per source from metadata only (binaryFile skips the content
+    # column when it is not selected); at most one row per source, so the path
+    # list is broadcast and file contents are never shuffled.
+    newest = files.select(key.alias("source_key"), "path", "modificationTime").groupBy("source_key").agg(
+        F.max_by("path", "modificationTime").alias("path")
     )
-    base = newest.select(
-        "source_key",
-        F.date_format(F.col("f.modificationTime"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"),
-        F.sha2(F.col("f.content"), 256).alias("content_sha256"),
-        F.col("f.path").alias("raw_path"),
-        F.col("f.content").cast("string").alias("body"),
-        F.lower(F.regexp_extract("f.path", r"\.([^.]+)$", 1)).alias("kind"),
+    chosen = files.join(F.broadcast(newest), "path", "left_semi")
+    base = chosen.select(
+        key.alias("source_key"),
+        F.date_format(F.col("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"),
+        F.sha2(F.col("content"), 256).alias("content_sha256"),
+        F.col("path").alias("raw_path"),
+        F.col("content").cast("string").alias("body"),
+        F.lower(F.regexp_extract("path", r"\.([^.]+)$", 1)).alias("kind"),
     )
     return base.mapInPandas(_decode, DECODED_SCHEMA)
