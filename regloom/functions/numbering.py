@@ -8,14 +8,15 @@ partition's offset, and the offsets are joined back by broadcast. The
 position inside a partition comes from ``monotonically_increasing_id``, whose
 low 33 bits count rows in iteration order.
 
-Invariants that make the two uses of the ranged data agree (the count branch
-reads only the key columns, so it is a separate, cheaper plan):
-- the range exchange has an explicit partition count (REPARTITION_BY_NUM),
-  which AQE never coalesces, so both branches see the same partition ids;
-- range bounds come from a deterministic sample of the same keys;
-- ``order_cols`` (with ``group_cols``) must be a total order, so the sort
-  inside a partition, and a recomputation after a lost executor, give the
-  same positions.
+The ranged, tagged rows are materialized once with a reliable
+``checkpoint()`` into ``spark.checkpoint.dir`` (the cluster's shared folder),
+so the count branch and the numbered rows read the very same partitions: no
+re-planning (AQE coalescing, pruned columns, re-sampled range bounds) can make
+them disagree, and a lost executor re-reads the checkpoint instead of
+recomputing. The checkpoint holds one copy of the rows being numbered.
+
+``order_cols`` (with ``group_cols``) should be a total order so the result is
+reproducible across runs.
 """
 from __future__ import annotations
 
@@ -24,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regloom.session import checkpoint_dir
+
 
 def contiguous_index(
     df: DataFrame,
@@ -37,8 +40,11 @@ def contiguous_index(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     keys = [F.col(c) if isinstance(c, str) else c for c in (*group_cols, *order_cols)]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).withColumn(
-        "_pid", F.shiftrightunsigned(F.col("_mid"), 33)
+    checkpoint_dir(spark)
+    tagged = (
+        ranged.withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), 33))
+        .checkpoint(eager=True)
     )
     counts = tagged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"),

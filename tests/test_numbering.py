@@ -21,3 +21,19 @@ def test_global_numbering(spark):
     df = spark.range(0, 1000).select((999 - F.col("id")).alias("k"))
     got = {r.k: r.idx for r in contiguous_index(df, ["k"], num_partitions=5).collect()}
     assert got == {k: k for k in range(1000)}
+
+
+def test_after_coalescible_shuffle(spark):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        base = spark.range(0, 20000).select((F.col("id") % 4000).alias("k"), F.col("id").alias("v"))
+        agg = base.groupBy("k").agg(F.min("v").alias("first_v"), F.count(F.lit(1)).alias("n"))
+        got = {r.k: r.idx for r in contiguous_index(agg, ["first_v", "k"], num_partitions=6).collect()}
+        assert sorted(got.values()) == list(range(4000))
+        assert all(got[k] == k for k in got)  # first_v == k, so the order is by k
+    finally:
+        if old is None:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        else:
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
