@@ -107,8 +107,14 @@ def run(
         changes = D.diff_rules(live, cand, COMPARE_COLS, params_col="params_json")
         first = False
     diff_path = sinks.write_json(changes, f"{root}/runs/{run_id}/diff")
-    summary = D.summary(spark.read.json(diff_path, schema=changes.schema), first_deploy=first)
-    material = bool(summary.select("is_material").first()[0])
+    summary_path = sinks.write_json(
+        D.summary(spark.read.json(diff_path, schema=changes.schema), first_deploy=first), f"{root}/runs/{run_id}/diff_summary"
+    )
+    material = bool(spark.read.json(summary_path).select("is_material").first()[0])
+
+    # Matrix header and provenance next to the rules.
+    sinks.write_json(M.header(cand), f"{root}/runs/{run_id}/matrix_header")
+    sinks.write_json(M.provenance(e1), f"{root}/runs/{run_id}/matrix_sources")
 
     # Chunks (C) for engine-2 sources.
     e2 = C.route_engine2(stored, S.catalog_df(spark))

@@ -101,3 +101,21 @@ def test_run_from_landed_files(spark, scratch):
     s = run(spark, docs, os.path.join(scratch, "out3"), "r1")
     # R-FED-02, R-FLMAC-01, R-FED-03..06; chunks: eCFR 1 + TIP 63 2.
     assert s.rule_count == 6 and s.chunk_count == 3
+
+
+def test_reports_from_a_run(spark, scratch):
+    from regloom.plans.reports import write_reports
+
+    out = os.path.join(scratch, "out4")
+    run(spark, landed(spark), out, "r1")
+    paths = write_reports(spark, out, "r1")
+    summary = spark.read.option("header", True).csv(paths["run_summary"])
+    got = {r.source_key: (r.status, r.extracted_unit) for r in summary.collect()}
+    assert got["fl_mac_fcso_otp"][0] == "FAIL"
+    assert got["ecfr_42_part_8"] == ("OK", "sections")
+    assert got["cms_pub_100_04_ch39"] == ("OK", "G-codes mentioned")
+    rules = spark.read.option("header", True).csv(paths["rules"])
+    assert rules.count() == 10 and rules.filter(F.col("params_json") == "{}").count() == 2
+    t = spark.read.option("header", True).csv(paths["totals"]).first()
+    assert (t.ok, t.fail, t.rule_count, t.chunk_count) == ("6", "1", "10", "5")
+    assert spark.read.json(os.path.join(out, "runs", "r1", "matrix_header")).first().rule_count == 10
