@@ -13,8 +13,6 @@ per-partition offsets rather than a single-task window.
 """
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -237,10 +235,3 @@ def duck_template_sql(facts: str) -> str:
 
 def federal_sql_list() -> str:
     return ", ".join(f"'{k}'" for k in FEDERAL_KEYS)
-
-
-def params_dict(t: Template) -> dict | None:
-    """Python view of a template's literal params (tests)."""
-    if not t.params:
-        return None
-    return {k: (None if isinstance(v, Expr) else json.loads(json.dumps(v))) for k, v in t.params}

@@ -2,7 +2,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from regloom.operators import audit as A
 

@@ -2,7 +2,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from regloom.operators import matrix as M
 from regloom.operators.coverage import status_totals

@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from regloom.operators import audit as A
 from regloom.operators import ptp as P
