@@ -6,7 +6,7 @@ Input ``results`` (one row per scrape result):
   templates.FACT_TYPES (missing ones are treated as absent).
 Input ``edits`` (optional, NCCI): source_key, result_ord, edit_ord, column1, column2.
 
-Plan: the guard (M3) is a narrow filter; the template table (16 fixed rows)
+Plan: the guard (M3) is a narrow filter; the template table (19 fixed rows)
 is broadcast into the results, so building rules is a map-side join; the
 only wide step is the final numbering (M4), done with range partitioning and
 per-partition offsets rather than a single-task window.

@@ -1,7 +1,7 @@
 """Rule templates as data.
 
 One row per (source_key, template): the matrix job joins results with this
-fixed table (16 rows, broadcast by size) instead of running per-source code.
+fixed table (19 rows, broadcast by size) instead of running per-source code.
 Message arguments and parameter values are SQL expressions over the fact
 columns, written in the subset both Spark SQL and DuckDB accept, so the same
 definitions also render the DuckDB oracle.
