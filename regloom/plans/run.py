@@ -37,6 +37,7 @@ class RunSummary:
     chunk_count: int
     diff_material: bool
     promoted: bool
+    new_chunk_count: int = 0
 
 
 def select_results(spark: SparkSession, landed: DataFrame, only: list[str] | None = None) -> DataFrame:
@@ -120,6 +121,16 @@ def run(
     e2 = C.route_engine2(stored, S.catalog_df(spark))
     chunks = C.chunk_for_rag(e2)
     chunk_path = sinks.write_json(chunks, f"{root}/runs/{run_id}/chunks")
+    # Only chunk ids no earlier run produced need embedding.
+    stored_chunks = spark.read.json(chunk_path, schema=chunks.schema)
+    try:
+        earlier = spark.read.schema(chunks.schema).json(f"{root}/runs/*/chunks").filter(
+            ~F.input_file_name().contains(f"/runs/{run_id}/chunks/")
+        )
+        fresh = C.new_chunks(stored_chunks, earlier)
+    except AnalysisException:
+        fresh = stored_chunks
+    sinks.write_json(fresh, f"{root}/runs/{run_id}/new_chunks")
 
     promoted = False
     if promote and material:
@@ -128,4 +139,5 @@ def run(
 
     rule_count = spark.read.json(cand_path, schema=rules.schema).count()
     chunk_count = spark.read.json(chunk_path, schema=chunks.schema).count()
-    return RunSummary(rule_count, chunk_count, material, promoted)
+    new_count = spark.read.json(f"{root}/runs/{run_id}/new_chunks", schema=chunks.schema).count()
+    return RunSummary(rule_count, chunk_count, material, promoted, new_count)

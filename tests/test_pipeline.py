@@ -31,8 +31,10 @@ def test_run_promote_and_rerun(spark, scratch):
     # R-FED-01 + R-FED-02 + R-FL-02..05 + R-FED-03..06 = 10 rules; the failed FCSO source gives none.
     assert s1.rule_count == 10
     assert s1.chunk_count == 5  # eCFR section 1 + TIP 63 (paragraph 1: 1 window, paragraph 2 of 1514 chars: 2) + CDC 1
+    assert s1.new_chunk_count == 5
     s2 = run(spark, landed(spark), out, "r2", promote=True)
     assert not s2.diff_material and not s2.promoted
+    assert s2.new_chunk_count == 0  # same texts: nothing to re-embed
     s3 = run(spark, landed(spark, weekly="3"), out, "r3", promote=True)
     assert s3.diff_material and s3.promoted
     diff = spark.read.json(os.path.join(out, "runs", "r3", "diff"))
