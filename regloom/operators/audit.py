@@ -310,6 +310,37 @@ def credentialing(sessions: DataFrame) -> DataFrame:
 
 
 def order_findings(findings: DataFrame) -> DataFrame:
-    """Federal findings first, then by rule, record and day."""
+    """Federal findings first, then by rule, record and day (a range-partitioned
+    global sort, not one task)."""
     fed = F.when(F.col("rule_id").startswith("R-FED-"), F.lit(0)).otherwise(F.lit(1))
-    return findings.orderBy(fed, "rule_id", "record_key", "finding_date")
+    return findings.orderBy(fed, "rule_id", "record_key", "finding_date", "detail")
+
+
+def run_audits(
+    claims: DataFrame | None = None,
+    visits: DataFrame | None = None,
+    vault: DataFrame | None = None,
+    pairs: DataFrame | None = None,
+    allowed_g_codes: DataFrame | None = None,
+) -> DataFrame:
+    """Every check whose inputs are given, as one findings table, federal first.
+
+    Each check is its own narrow/aggregate plan; the union adds no shuffle."""
+    parts: list[DataFrame] = []
+    if claims is not None:
+        parts += [bundle_and_iop(claims), point_of_care(claims), substance_modifier(claims),
+                  modifier_sequence(claims), diagnosis_required(claims)]
+        if pairs is not None:
+            parts.append(same_day_pairs(claims, pairs))
+        if allowed_g_codes is not None:
+            parts.append(payer_blocker(claims, allowed_g_codes))
+    if visits is not None:
+        parts += [dosing_counseling_ratio(visits), pdmp_gate(visits)]
+    if vault is not None:
+        parts.append(vault_reconciliation(vault))
+    if not parts:
+        raise ValueError("no audit inputs given")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return order_findings(out)

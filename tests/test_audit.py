@@ -100,3 +100,15 @@ def test_takehome_and_expiry(spark):
     assert [r.record_key for r in A.takehome_stability(req).collect()] == ["2"]
     rec = spark.createDataFrame([(1, dt.date(2024, 1, 10)), (2, dt.date(2024, 3, 1))], "record_id bigint, expiry_date date")
     assert [r.record_key for r in A.expiry_warning(rec, "R-TPLAN-01", "2024-01-20", 14).collect()] == ["1"]
+
+
+def test_run_audits_orders_federal_first(spark):
+    rows, claims = make_claims(spark, n=300)
+    pairs = spark.createDataFrame([("H0020", "80305")], "column1 string, column2 string")
+    allowed = spark.createDataFrame([("G2067",)], "code string")
+    out = [r.rule_id for r in A.run_audits(claims=claims, pairs=pairs, allowed_g_codes=allowed).collect()]
+    assert out, "expected findings"
+    fed = [i for i, r in enumerate(out) if r.startswith("R-FED-")]
+    other = [i for i, r in enumerate(out) if not r.startswith("R-FED-")]
+    assert not fed or not other or max(fed) < min(other)
+    assert {"R-FL-02", "R-NCCI", "R-FLMAC-01"} <= set(out)
