@@ -1,0 +1,18 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after counting it against a row bound; above the
+bound it is returned unchanged, so the planner uses a shuffle join (and AQE
+may still broadcast it after measuring bytes). The count is one small job on
+an already-reduced table (e.g. distinct pairs), never on raw data.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

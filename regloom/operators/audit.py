@@ -27,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regloom.functions.joins import bounded_broadcast
 from regloom.operators.ptp import RELEVANT_CODES
 
 FINDING_COLUMNS = ["rule_id", "record_key", "finding_date", "severity", "detail"]
@@ -186,8 +187,9 @@ def same_day_pairs(claims: DataFrame, pairs: DataFrame) -> DataFrame:
     the first or the second code of a pair), then a partial-aggregating
     group-by on (patient, day, pair) keeps pairs where both roles occurred.
     Lines are never paired with each other, and a hot patient-day collapses
-    map-side. The role table is sized by the pair table; AQE broadcasts it
-    only after measuring it.
+    map-side. The role table (two rows per distinct pair) is broadcast only
+    after its row count is checked; above the bound it is a shuffle join
+    (skewed codes are then split by AQE).
     """
     pair = pairs.select("column1", "column2").distinct()
     roles = pair.select(F.col("column1").alias("code"), "column1", "column2", F.lit(True).alias("is_first")).unionByName(
@@ -195,7 +197,7 @@ def same_day_pairs(claims: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     lines = claims.select("patient_id", "service_date", "code")
     hits = (
-        lines.join(roles, "code")
+        lines.join(bounded_broadcast(roles), "code")
         .groupBy("patient_id", "service_date", "column1", "column2")
         .agg(F.bool_or("is_first").alias("_a"), F.bool_or(~F.col("is_first")).alias("_b"))
         .filter(F.col("_a") & F.col("_b"))
