@@ -70,6 +70,27 @@ def finding(df: DataFrame, rule_id: str, key: Column, day: Column | None, detail
     )
 
 
+def findings_one_pass(df: DataFrame, specs: list[tuple[str, Column, Column, Column | None, Column]]) -> DataFrame:
+    """Several checks over the same rows in ONE pass: each spec is (rule_id,
+    condition, key, day, detail); a row yields one finding per true condition.
+    A union of per-check filters would recompute the input once per check."""
+    items = [
+        F.when(
+            F.coalesce(cond, F.lit(False)),
+            F.struct(
+                F.lit(rule_id).alias("rule_id"),
+                key.cast("string").alias("record_key"),
+                (_day(day) if day is not None else F.lit(None).cast("string")).alias("finding_date"),
+                F.lit(severity(rule_id)).alias("severity"),
+                detail.cast("string").alias("detail"),
+            ),
+        )
+        for rule_id, cond, key, day, detail in specs
+    ]
+    hits = F.filter(F.array(*items), lambda x: x.isNotNull())
+    return df.select(F.explode(hits).alias("_f")).select(*[F.col(f"_f.{c}").alias(c) for c in FINDING_COLUMNS])
+
+
 def _claim_key() -> Column:
     return F.concat_ws(":", F.col("claim_id").cast("string"), F.col("line_no").cast("string"))
 
@@ -100,17 +121,14 @@ def bundle_and_iop(claims: DataFrame, min_services: int = 1, iop_required: int =
         F.sum("non_bundle_lines").over(w).alias("bundle_window_services"),
         F.sum("non_iop_lines").over(w).alias("iop_window_services"),
     )
-    a1 = finding(
-        win.filter((F.col("bundle_lines") > 0) & (F.col("bundle_window_services") < min_services)),
-        "R-FED-01", F.col("patient_id"), F.col("service_date"),
-        F.concat(F.lit("services_in_window="), F.col("bundle_window_services").cast("string")),
-    )
-    a2 = finding(
-        win.filter((F.col("iop_lines") > 0) & (F.col("iop_window_services") < iop_required)),
-        "R-FED-02", F.col("patient_id"), F.col("service_date"),
-        F.concat(F.lit("services_in_window="), F.col("iop_window_services").cast("string")),
-    )
-    return a1.unionByName(a2)
+    p, d = F.col("patient_id"), F.col("service_date")
+    bw, iw = F.col("bundle_window_services"), F.col("iop_window_services")
+    return findings_one_pass(win, [
+        ("R-FED-01", (F.col("bundle_lines") > 0) & (bw < min_services), p, d,
+         F.concat(F.lit("services_in_window="), bw.cast("string"))),
+        ("R-FED-02", (F.col("iop_lines") > 0) & (iw < iop_required), p, d,
+         F.concat(F.lit("services_in_window="), iw.cast("string"))),
+    ])
 
 
 def dosing_counseling_ratio(visits: DataFrame, min_sessions: int = 1, window_days: int = 30) -> DataFrame:
@@ -130,36 +148,57 @@ def dosing_counseling_ratio(visits: DataFrame, min_sessions: int = 1, window_day
 
 
 # ------------------------------------------------------------ line rules
+def _pos_spec():
+    c = F.col("code")
+    return ("R-FL-02", (c == "H0020") & ~F.coalesce(F.col("pos") == "58", F.lit(False)), _claim_key(), F.col("service_date"),
+            F.concat(F.lit("pos="), F.coalesce(F.col("pos"), F.lit("null"))))
+
+
+def _hf_spec(sud_codes: Sequence[str] = SUD_CODES):
+    return ("R-FL-03", F.col("code").isin(list(sud_codes)) & ~F.array_contains(_mods(), "HF"), _claim_key(), F.col("service_date"),
+            F.concat(F.lit("modifiers="), F.coalesce(F.col("modifiers_csv"), F.lit(""))))
+
+
+def _sequence_spec():
+    mods = _mods()
+    dx = F.split(F.coalesce(F.col("dx"), F.lit("")), ",")
+    pregnant = F.exists(dx, lambda x: x.startswith("O"))
+    hd, hg = F.array_position(mods, "HD"), F.array_position(mods, "HG")
+    ok = F.when(pregnant, (hd > 0) & (hg > 0) & (hd < hg)).otherwise((hg > 0) & (hd == 0))
+    detail = F.concat(F.when(pregnant, F.lit("pregnant ")).otherwise(F.lit("")), F.lit("modifiers="), F.coalesce(F.col("modifiers_csv"), F.lit("")))
+    return ("R-FL-04", (F.col("code") == "H0020") & ~ok, _claim_key(), F.col("service_date"), detail)
+
+
+def _dx_spec(prefix: str = "F11.2"):
+    dx = F.split(F.coalesce(F.col("dx"), F.lit("")), ",")
+    return ("R-SUNSHINE-01", F.col("code").rlike("^H[0-9]{4}$") & ~F.exists(dx, lambda x: x.startswith(prefix)), _claim_key(),
+            F.col("service_date"), F.concat(F.lit("dx="), F.coalesce(F.col("dx"), F.lit(""))))
+
+
 def point_of_care(claims: DataFrame) -> DataFrame:
     """A3 (R-FL-02): H0020 must be billed at POS 58; a null POS violates."""
-    bad = claims.filter((F.col("code") == "H0020") & ~F.coalesce(F.col("pos") == "58", F.lit(False)))
-    return finding(bad, "R-FL-02", _claim_key(), F.col("service_date"), F.concat(F.lit("pos="), F.coalesce("pos", F.lit("null"))))
+    return findings_one_pass(claims, [_pos_spec()])
 
 
 def substance_modifier(claims: DataFrame, sud_codes: Sequence[str] = SUD_CODES) -> DataFrame:
     """A4 (R-FL-03): SUD codes need the HF modifier."""
-    bad = claims.filter(F.col("code").isin(list(sud_codes)) & ~F.array_contains(_mods(), "HF"))
-    return finding(bad, "R-FL-03", _claim_key(), F.col("service_date"), F.concat(F.lit("modifiers="), F.coalesce("modifiers_csv", F.lit(""))))
+    return findings_one_pass(claims, [_hf_spec(sud_codes)])
 
 
 def modifier_sequence(claims: DataFrame) -> DataFrame:
     """A5 (R-FL-04): H0020 for a pregnant patient (a dx starting with 'O')
     needs HD before HG; otherwise HG alone (no HD)."""
-    mods = _mods()
-    dx = F.split(F.coalesce(F.col("dx"), F.lit("")), ",")
-    pregnant = F.exists(dx, lambda x: x.startswith("O"))
-    hd, hg = F.array_position(mods, "HD"), F.array_position(mods, "HG")
-    ok = F.when(pregnant, (hd > 0) & (hg > 0) & (hd < hg)).otherwise((hg > 0) & (hd == 0))
-    bad = claims.filter((F.col("code") == "H0020") & ~ok)
-    detail = F.concat(F.when(pregnant, F.lit("pregnant ")).otherwise(F.lit("")), F.lit("modifiers="), F.coalesce("modifiers_csv", F.lit("")))
-    return finding(bad, "R-FL-04", _claim_key(), F.col("service_date"), detail)
+    return findings_one_pass(claims, [_sequence_spec()])
 
 
 def diagnosis_required(claims: DataFrame, prefix: str = "F11.2") -> DataFrame:
     """A13 (R-SUNSHINE-01): H-code lines need a diagnosis starting with F11.2."""
-    dx = F.split(F.coalesce(F.col("dx"), F.lit("")), ",")
-    bad = claims.filter(F.col("code").rlike("^H[0-9]{4}$") & ~F.exists(dx, lambda x: x.startswith(prefix)))
-    return finding(bad, "R-SUNSHINE-01", _claim_key(), F.col("service_date"), F.concat(F.lit("dx="), F.coalesce("dx", F.lit(""))))
+    return findings_one_pass(claims, [_dx_spec(prefix)])
+
+
+def claim_line_checks(claims: DataFrame) -> DataFrame:
+    """A3, A4, A5 and A13 over the claim lines in one pass."""
+    return findings_one_pass(claims, [_pos_spec(), _hf_spec(), _sequence_spec(), _dx_spec()])
 
 
 def payer_blocker(claims: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -257,6 +296,20 @@ def takehome_gate(requests: DataFrame, window_days: int = 14, initial_cap: int =
     return finding(bad, "R-FED-05", F.col("request_id"), F.col("request_date"), detail)
 
 
+def takehome_checks(requests: DataFrame, window_days: int = 14, initial_cap: int = 7) -> DataFrame:
+    """A8 and A9 over the same requests in one pass."""
+    d, r = F.col("days_in_treatment"), F.col("requested_days")
+    early = (d < window_days) & (r > initial_cap)
+    unsigned = ~F.coalesce(F.col("assessment_signed"), F.lit(False))
+    over_cap = r > cap_days(d)
+    detail = F.concat_ws(",", F.when(early, F.lit("early")), F.when(unsigned, F.lit("unsigned")), F.when(over_cap, F.lit("over_cap")))
+    key, day = F.col("request_id"), F.col("request_date")
+    return findings_one_pass(requests, [
+        ("R-FED-04", ~F.coalesce(F.col("stable_home"), F.lit(False)), key, day, F.lit("stable_home not documented")),
+        ("R-FED-05", early | unsigned | over_cap, key, day, detail),
+    ])
+
+
 def counseling_minimum(narratives: DataFrame, min_minutes: int = 15) -> DataFrame:
     """A14 (R-SIMPLY-01): documented minutes below the minimum; no minutes found, no finding."""
     from regloom.operators.extract import min_counseling
@@ -330,8 +383,7 @@ def run_audits(
     Each check is its own narrow/aggregate plan; the union adds no shuffle."""
     parts: list[DataFrame] = []
     if claims is not None:
-        parts += [bundle_and_iop(claims), point_of_care(claims), substance_modifier(claims),
-                  modifier_sequence(claims), diagnosis_required(claims)]
+        parts += [bundle_and_iop(claims), claim_line_checks(claims)]
         if pairs is not None:
             parts.append(same_day_pairs(claims, pairs))
         if allowed_g_codes is not None:

@@ -105,10 +105,7 @@ from c where regexp_matches(code, '^H[0-9]{{4}}$')
     ),
 )
 def q_audit_claim_lines(spark, sf_dir):
-    c = _claims(spark, sf_dir)
-    return A.point_of_care(c).unionByName(A.substance_modifier(c)).unionByName(A.modifier_sequence(c)).unionByName(
-        A.diagnosis_required(c)
-    )
+    return A.claim_line_checks(_claims(spark, sf_dir))
 
 
 def _sub(name: str) -> str:
@@ -239,8 +236,7 @@ from req where (days_in_treatment < 14 and requested_days > 7) or not coalesce(a
     ),
 )
 def q_audit_takehome(spark, sf_dir):
-    req = takehome_requests(FX.fx_visits(Tables(spark, sf_dir).events))
-    return A.takehome_stability(req).unionByName(A.takehome_gate(req))
+    return A.takehome_checks(takehome_requests(FX.fx_visits(Tables(spark, sf_dir).events)))
 
 
 @register(
