@@ -78,3 +78,8 @@ def test_bounded_broadcast_falls_back(spark):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         else:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_multi_check_audits_scan_claims_once(plans):
+    for n in ["audit_bundle_iop", "audit_claim_lines", "audit_same_day_pairs"]:
+        assert plans[n].count("FileScan parquet [l_orderkey") == 1, n
