@@ -208,13 +208,17 @@ def payer_blocker(claims: DataFrame, allowed: DataFrame) -> DataFrame:
     reports nothing (the semi join keeps no rows).
     """
     g = claims.filter(F.col("code").rlike("^G[0-9]{4}$"))
-    codes = allowed.select("code").distinct()
-    # "The list is not empty" as an equi-join on the code family letter: the
-    # right side has at most one row ('G'), so it is broadcast.
-    family = F.substring("code", 1, 1).alias("_family")
-    has_list = allowed.filter(F.col("code").rlike("^G[0-9]{4}$")).select(family).distinct()
-    gated = g.withColumn("_family", F.substring("code", 1, 1)).join(F.broadcast(has_list), "_family", "left_semi").drop("_family")
-    bad = gated.join(codes, "code", "left_anti")
+    # The allowed list is read once: grouped by the code family letter it is
+    # one row holding at most 10,000 codes (G plus four digits), broadcast and
+    # equi-joined on the family, so an empty list joins nothing.
+    family = F.substring("code", 1, 1)
+    allowed_set = (
+        allowed.filter(F.col("code").rlike("^G[0-9]{4}$"))
+        .groupBy(family.alias("_family"))
+        .agg(F.collect_set("code").alias("_allowed"))
+    )
+    joined = g.join(F.broadcast(allowed_set), family == F.col("_family"))
+    bad = joined.filter(~F.array_contains(F.col("_allowed"), F.col("code")))
     return finding(bad, "R-FLMAC-01", _claim_key(), F.col("service_date"), F.concat(F.lit("code="), F.col("code")))
 
 
@@ -231,8 +235,12 @@ def same_day_pairs(claims: DataFrame, pairs: DataFrame) -> DataFrame:
     (skewed codes are then split by AQE).
     """
     pair = pairs.select("column1", "column2").distinct()
-    roles = pair.select(F.col("column1").alias("code"), "column1", "column2", F.lit(True).alias("is_first")).unionByName(
-        pair.select(F.col("column2").alias("code"), "column1", "column2", F.lit(False).alias("is_first"))
+    both = F.array(
+        F.struct(F.col("column1").alias("code"), F.lit(True).alias("is_first")),
+        F.struct(F.col("column2").alias("code"), F.lit(False).alias("is_first")),
+    )
+    roles = pair.select("column1", "column2", F.explode(both).alias("_r")).select(
+        F.col("_r.code").alias("code"), "column1", "column2", F.col("_r.is_first").alias("is_first")
     )
     lines = claims.select("patient_id", "service_date", "code")
     hits = (

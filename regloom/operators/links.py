@@ -2,14 +2,14 @@
 
 Input ``hrefs``: page_id, base_url, href_pos, href (one row per anchor).
 
-All choices per page are aggregates (max of the release key, min of the
-position per part), i.e. partial aggregation with one shuffle on the page
-key; a page with a huge link list is pre-aggregated map-side instead of being
-sorted in one task.
+All choices per page start with partial aggregates (min position per page,
+release and part), so a page with a huge link list is reduced map-side; the
+newest release is then picked by a window over those few aggregated rows.
+Each query scans the hrefs once.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regloom.functions import regex as R
@@ -58,10 +58,12 @@ def full_table_parts(hrefs: DataFrame) -> DataFrame:
                  _num(RE_FULL_PRACTITIONER, 3).alias("vmaj"), _num(RE_FULL_PRACTITIONER, 4).alias("vmin")).alias("rel"),
         _num(RE_FULL_PRACTITIONER, 5).alias("part"),
     )
-    best = m.groupBy("page_id").agg(F.max("rel").alias("best"))
-    chosen = m.join(best, "page_id").filter(F.col("rel") == F.col("best"))
-    first = chosen.groupBy("page_id", "part").agg(F.min(F.struct("href_pos", "href", "base_url")).alias("f"))
-    return first.select(
+    # One row per (page, release, part) first, then the newest release per page
+    # by a window over those few rows: the hrefs are scanned once.
+    first = m.groupBy("page_id", "rel", "part").agg(F.min(F.struct("href_pos", "href", "base_url")).alias("f"))
+    newest = F.max("rel").over(Window.partitionBy("page_id"))
+    chosen = first.withColumn("_best", newest).filter(F.col("rel") == F.col("_best"))
+    return chosen.select(
         "page_id",
         "part",
         F.col("f.href_pos").alias("href_pos"),
@@ -69,18 +71,19 @@ def full_table_parts(hrefs: DataFrame) -> DataFrame:
     )
 
 
-def delta_fallback(hrefs: DataFrame, parts: DataFrame) -> DataFrame:
+def delta_fallback(hrefs: DataFrame) -> DataFrame:
     """L2: per page without full-table parts, the first delta link (plain join
-    onto the base URL) with its warning, or no link with the other warning."""
-    pages = hrefs.select("page_id").distinct()
-    missing = pages.join(parts.select("page_id").distinct(), "page_id", "left_anti")
-    pat = R.pattern(RE_DELTA_PRACTITIONER, ignore_case=True)
-    first = (
-        hrefs.filter(F.col("href").rlike(pat))
-        .groupBy("page_id")
-        .agg(F.min(F.struct("href_pos", "href", "base_url")).alias("f"))
+    onto the base URL) with its warning, or no link with the other warning.
+
+    One aggregation per page: "has a full-table link" (then L1 is not empty)
+    and the first delta link, so the hrefs are scanned once."""
+    full = R.pattern(RE_FULL_PRACTITIONER, ignore_case=True)
+    delta = R.pattern(RE_DELTA_PRACTITIONER, ignore_case=True)
+    per_page = hrefs.groupBy("page_id").agg(
+        F.bool_or(F.col("href").rlike(full)).alias("_has_full"),
+        F.min(F.when(F.col("href").rlike(delta), F.struct("href_pos", "href", "base_url"))).alias("f"),
     )
-    j = missing.join(first, "page_id", "left")
+    j = per_page.filter(~F.col("_has_full"))
     found = F.col("f").isNotNull()
     return j.select(
         "page_id",
@@ -108,6 +111,6 @@ def medicaid_zips(hrefs: DataFrame) -> DataFrame:
         "page_id", "href_pos", release_key(F.col("href")).alias("rel"),
         resolve_cms_href(F.col("href"), F.col("base_url")).alias("url"),
     )
-    best = m.groupBy("page_id").agg(F.max("rel").alias("best"))
-    chosen = m.join(best, "page_id").filter(F.col("rel") == F.col("best"))
-    return chosen.groupBy("page_id", "url").agg(F.min("href_pos").alias("first_pos"))
+    per_url = m.groupBy("page_id", "rel", "url").agg(F.min("href_pos").alias("first_pos"))
+    newest = F.max("rel").over(Window.partitionBy("page_id"))
+    return per_url.withColumn("_best", newest).filter(F.col("rel") == F.col("_best")).select("page_id", "url", "first_pos")

@@ -83,7 +83,7 @@ def medicare_table(hrefs: DataFrame, payloads: DataFrame) -> TableJob:
     if parts.limit(1).count() > 0:
         edits, dig, warns = _parts_to_edits(parts, payloads, "Skipped part: ")
         return TableJob(_result("full", parts, edits, dig, warns, None), edits)
-    fb = L.delta_fallback(hrefs, parts).filter(F.col("table_scope") == "delta").select(F.lit(0).alias("part_ord"), "url")
+    fb = L.delta_fallback(hrefs).filter(F.col("table_scope") == "delta").select(F.lit(0).alias("part_ord"), "url")
     edits, dig, warns = _parts_to_edits(fb, payloads, "Skipped part: ")
     return TableJob(_result("delta", fb, edits, dig, warns, L.DELTA_WARNING), edits)
 

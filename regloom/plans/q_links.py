@@ -136,7 +136,7 @@ from missing left join firsts using (page_id)""",
 )
 def q_delta_fallback(spark, sf_dir):
     h = fx_hrefs(Tables(spark, sf_dir).pages)
-    return L.delta_fallback(h, L.full_table_parts(h))
+    return L.delta_fallback(h)
 
 
 @register(

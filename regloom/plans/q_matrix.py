@@ -18,11 +18,12 @@ from regloom.sources.tables import Tables
 CH39, CH17, FCSO = "cms_pub_100_04_ch39", "cms_pub_100_02_ch17", "fl_mac_fcso_otp"
 
 
-def matrix_results(documents: DataFrame) -> DataFrame:
+def matrix_results(documents: DataFrame, keep_text: bool = False) -> DataFrame:
     """Scrape results with typed facts, derived from fx_results."""
     fx = FX.fx_results(documents)
     t, k = F.col("text"), F.col("source_key")
     return fx.select(
+        *(["text"] if keep_text else []),
         "result_ord",
         "source_key",
         F.col("source_key").alias("source_name"),

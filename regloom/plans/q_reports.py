@@ -22,7 +22,7 @@ CH39, CH17, MLN, FCSO, ECFR = (
 def report_results(documents: DataFrame) -> DataFrame:
     """Results with the facts the run summary reads (present only when the
     result parsed: a failed or empty result has no facts)."""
-    res = matrix_results(documents).join(FX.fx_results(documents).select("result_ord", "text"), "result_ord")
+    res = matrix_results(documents, keep_text=True)
     k, t = F.col("source_key"), F.col("text")
     parsed = ~RP.failed(F.col("warnings")) & ~F.col("parsed_empty")
     g = F.when(k.isin(CH39, CH17, MLN), X.cms_g_codes(t)).when(k == FCSO, X.any_g_codes(t))

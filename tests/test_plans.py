@@ -83,3 +83,8 @@ def test_bounded_broadcast_falls_back(spark):
 def test_multi_check_audits_scan_claims_once(plans):
     for n in ["audit_bundle_iop", "audit_claim_lines", "audit_same_day_pairs"]:
         assert plans[n].count("FileScan parquet [l_orderkey") == 1, n
+
+
+def test_link_selection_scans_pages_once(plans):
+    for n in ["ncci_full_table_parts", "ncci_delta_fallback", "medicaid_ptp_zips"]:
+        assert plans[n].count("FileScan parquet [page_id") == 1, n
