@@ -8,18 +8,20 @@ partition's offset, and the offsets are joined back by broadcast. The
 position inside a partition comes from ``monotonically_increasing_id``, whose
 low 33 bits count rows in iteration order.
 
-The ranged, tagged rows are materialized once with a reliable
-``checkpoint()`` into ``spark.checkpoint.dir`` (the cluster's shared folder),
-so the count branch and the numbered rows read the very same partitions: no
-re-planning (AQE coalescing, pruned columns, re-sampled range bounds) can make
-them disagree, and a lost executor re-reads the checkpoint instead of
-recomputing. The checkpoint holds one copy of the rows being numbered.
+The ranged, tagged rows are written once as a table under
+``spark.checkpoint.dir`` (the cluster's shared folder) and read back, so the
+partition id and position are stored columns: the count branch and the
+numbered rows read the same values whatever AQE, column pruning or a lost
+executor does afterwards. Writing computes the input once (a reliable RDD
+checkpoint would compute it twice). The table holds one copy of the rows
+being numbered.
 
 ``order_cols`` (with ``group_cols``) should be a total order so the result is
 reproducible across runs.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,12 +42,13 @@ def contiguous_index(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     keys = [F.col(c) if isinstance(c, str) else c for c in (*group_cols, *order_cols)]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    checkpoint_dir(spark)
-    tagged = (
+    path = f"{checkpoint_dir(spark).rstrip('/')}/numbering-{uuid.uuid4().hex}"
+    (
         ranged.withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), 33))
-        .checkpoint(eager=True)
+        .write.parquet(path)
     )
+    tagged = spark.read.parquet(path)
     counts = tagged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_mid").alias("_base"),
