@@ -98,19 +98,24 @@ def mentions_take_home(text: Column) -> Column:
     return R.search(text, RE_TAKEHOME, ignore_case=True)
 
 
+# Each flag pattern can only match where all of its "required" substrings
+# occur (in every alternative); a lower-cased substring test skips the regex
+# scan for most documents. ``lower(text)`` is shared by the flags through
+# subexpression elimination.
 def hf_flag(text: Column) -> Column:
     """X5."""
-    return R.search(text, RE_HF, ignore_case=True)
+    return F.lower(text).contains("hf") & R.search(text, RE_HF, ignore_case=True)
 
 
 def pos58_flag(text: Column) -> Column:
     """X5."""
-    return R.search(text, RE_POS_58, ignore_case=True)
+    return F.coalesce(text.contains("58"), F.lit(False)) & R.search(text, RE_POS_58, ignore_case=True)
 
 
 def hd_hg_flag(text: Column) -> Column:
     """HD and HG in either order, across lines."""
-    return R.search(text, RE_HD_HG, ignore_case=True, dotall=True)
+    low = F.lower(text)
+    return low.contains("hd") & low.contains("hg") & R.search(text, RE_HD_HG, ignore_case=True, dotall=True)
 
 
 def counseling_minutes(text: Column) -> Column:

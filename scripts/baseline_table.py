@@ -30,7 +30,8 @@ def main(path: str) -> None:
         HEAD, "",
         "Measured with `bench.py`: every registered query built and run to completion",
         "through Spark's `noop` sink (full plan, no collect) on `local[8]`, 16 shuffle",
-        "partitions with AQE, sf0.1 tables, after a JVM warm-up. Single run per query;",
+        "partitions with AQE, sf0.1 tables, after an untimed warm-up pass of every",
+        "query on sf0.001 (JIT, generated-code cache); single timed run per query;",
         "seconds; run-to-run variance on this machine is about 20%. `ptp_synthetic_2p6m`",
         "is the filter + first-wins dedupe path on a generated 2.6M-row raw table (the",
         "size of the full practitioner table quoted above).", "",
