@@ -284,32 +284,34 @@ def takehome_stability(requests: DataFrame) -> DataFrame:
     return finding(bad, "R-FED-04", F.col("request_id"), F.col("request_date"), F.lit("stable_home not documented"))
 
 
-def cap_days(days_in_treatment: Column) -> Column:
+def cap_days(days_in_treatment: Column, schedule=CAP_SCHEDULE) -> Column:
+    """Cap for a day count from a (lo, hi, cap) schedule (hi None = open end),
+    compiled to a CASE: the schedule is a handful of rows, so no range join."""
     out = None
-    for lo, hi, cap in CAP_SCHEDULE:
+    for lo, hi, cap in schedule:
         cond = days_in_treatment >= lo if hi is None else (days_in_treatment >= lo) & (days_in_treatment <= hi)
         out = F.when(cond, F.lit(cap)) if out is None else out.when(cond, F.lit(cap))
     return out
 
 
-def takehome_gate(requests: DataFrame, window_days: int = 14, initial_cap: int = 7) -> DataFrame:
+def takehome_gate(requests: DataFrame, window_days: int = 14, initial_cap: int = 7, schedule=CAP_SCHEDULE) -> DataFrame:
     """A9 (R-FED-05): block if (days < 14 and requested > 7) or the stability
     assessment is not signed; later requests are held to the cap schedule."""
     d, r = F.col("days_in_treatment"), F.col("requested_days")
     early = (d < window_days) & (r > initial_cap)
     unsigned = ~F.coalesce(F.col("assessment_signed"), F.lit(False))
-    over_cap = r > cap_days(d)
+    over_cap = r > cap_days(d, schedule)
     bad = requests.filter(early | unsigned | over_cap)
     detail = F.concat_ws(",", F.when(early, F.lit("early")), F.when(unsigned, F.lit("unsigned")), F.when(over_cap, F.lit("over_cap")))
     return finding(bad, "R-FED-05", F.col("request_id"), F.col("request_date"), detail)
 
 
-def takehome_checks(requests: DataFrame, window_days: int = 14, initial_cap: int = 7) -> DataFrame:
+def takehome_checks(requests: DataFrame, window_days: int = 14, initial_cap: int = 7, schedule=CAP_SCHEDULE) -> DataFrame:
     """A8 and A9 over the same requests in one pass."""
     d, r = F.col("days_in_treatment"), F.col("requested_days")
     early = (d < window_days) & (r > initial_cap)
     unsigned = ~F.coalesce(F.col("assessment_signed"), F.lit(False))
-    over_cap = r > cap_days(d)
+    over_cap = r > cap_days(d, schedule)
     detail = F.concat_ws(",", F.when(early, F.lit("early")), F.when(unsigned, F.lit("unsigned")), F.when(over_cap, F.lit("over_cap")))
     key, day = F.col("request_id"), F.col("request_date")
     return findings_one_pass(requests, [
