@@ -20,7 +20,7 @@ IMPL = {
     "S5": "operators/ptp.py: combined_digest, scan_summary", "S6": "operators/report.py: failed; try_cast throughout; plans/run.py: with_facts",
     "S7": "sources/sinks.py: write_results, read_results", "S8": "sources/ptp_files.py: read_text_tables",
     "S9": "sources/ptp_files.py: read_zip_parts, workbook_rows", "S10": "sources/sinks.py: write_json",
-    "S11": "sources/sinks.py: write_csv", "S12": "sources/sinks.py: read_persisted_json",
+    "S11": "sources/sinks.py: write_csv; plans/reports.py", "S12": "sources/sinks.py: read_persisted_json",
     "X1": "functions/regex.py: sorted_distinct", "X1a": "operators/extract.py: cms_g_codes",
     "X1b": "operators/extract.py: any_g_codes, any_h_codes", "X1c": "operators/extract.py: f11_codes",
     "X1d": "operators/extract.py: sdoh_z_codes", "X2": "operators/extract.py: weekly_min_services, word_or_int",
@@ -61,17 +61,17 @@ IMPL = {
     "C1": "operators/chunks.py: split_paragraphs, paragraph_units", "C2": "operators/chunks.py: explode_windows",
     "C3": "operators/chunks.py: chunk_id", "C4": "operators/chunks.py: chunk_for_rag (section route)",
     "C5": "operators/chunks.py: chunk_for_rag (free-text route)", "C6": "operators/chunks.py: ordinal columns",
-    "C7": "operators/chunks.py: route_engine2", "C8": "operators/chunks.py: new_chunks; streaming/chunk_stream.py",
-    "R1": "operators/report.py: run_summary", "R2": "operators/report.py: extracted", "R3": "operators/report.py: raw_bytes; sources/raw.py",
+    "C7": "operators/chunks.py: route_engine2", "C8": "operators/chunks.py: new_chunks; plans/run.py (new_chunks); streaming/chunk_stream.py",
+    "R1": "operators/report.py: run_summary; plans/reports.py: write_reports", "R2": "operators/report.py: extracted", "R3": "operators/report.py: raw_bytes; sources/raw.py",
     "R4": "operators/report.py: rules_flat, python_json_style", "R5": "operators/report.py: chunk_table",
     "R6": "operators/report.py: totals", "R7": "operators/report.py: chunks_per_source", "R8": "operators/report.py: chunk_samples",
     "R9": "operators/report.py: diff_overview",
-    "A1": "operators/audit.py: bundle_and_iop", "A2": "operators/audit.py: bundle_and_iop", "A3": "operators/audit.py: point_of_care",
-    "A4": "operators/audit.py: substance_modifier", "A5": "operators/audit.py: modifier_sequence",
+    "A1": "operators/audit.py: bundle_and_iop", "A2": "operators/audit.py: bundle_and_iop", "A3": "operators/audit.py: point_of_care, claim_line_checks",
+    "A4": "operators/audit.py: substance_modifier, claim_line_checks", "A5": "operators/audit.py: modifier_sequence, claim_line_checks",
     "A6": "operators/audit.py: dosing_counseling_ratio", "A7": "operators/audit.py: admission_eligibility",
-    "A8": "operators/audit.py: takehome_stability", "A9": "operators/audit.py: takehome_gate, cap_days",
+    "A8": "operators/audit.py: takehome_stability, takehome_checks", "A9": "operators/audit.py: takehome_gate, takehome_checks, cap_days",
     "A10": "operators/audit.py: vault_reconciliation", "A11": "operators/audit.py: same_day_pairs",
-    "A12": "operators/audit.py: payer_blocker", "A13": "operators/audit.py: diagnosis_required",
+    "A12": "operators/audit.py: payer_blocker", "A13": "operators/audit.py: diagnosis_required, claim_line_checks",
     "A14": "operators/audit.py: counseling_minimum", "A15": "operators/audit.py: intake_fields",
     "A16": "operators/audit.py: expiry_warning", "A17": "operators/audit.py: regional_modifier",
     "A18": "operators/audit.py: pdmp_gate", "A19": "operators/audit.py: credentialing", "A20": "operators/audit.py: expiry_warning",
