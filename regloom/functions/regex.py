@@ -47,10 +47,16 @@ def search(text: Column, p: str, *, ignore_case: bool = False, dotall: bool = Fa
     return F.coalesce(text.rlike(pattern(p, ignore_case=ignore_case, dotall=dotall)), F.lit(False))
 
 
+# Python's whitespace set, built by rule: every code point for which
+# str.isspace() is true (29 characters).
+PY_WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+
+
 def py_strip(c: Column) -> Column:
-    """``str.strip()`` with Python's whitespace set (Spark ``trim`` strips spaces only)."""
-    return F.regexp_replace(c, pattern(f"^{PY_SPACE}+|{PY_SPACE}+$"), "")
+    """``str.strip()``: a character-set trim (no regex) with Python's whitespace
+    set; plain ``trim`` would strip spaces only."""
+    return F.trim(c, F.lit(PY_WHITESPACE))
 
 
 def py_lstrip(c: Column) -> Column:
-    return F.regexp_replace(c, pattern(f"^{PY_SPACE}+"), "")
+    return F.ltrim(c, F.lit(PY_WHITESPACE))
