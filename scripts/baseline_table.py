@@ -32,7 +32,8 @@ def main(path: str) -> None:
         "through Spark's `noop` sink (full plan, no collect) on `local[8]`, 16 shuffle",
         "partitions with AQE, sf0.1 tables, after an untimed warm-up pass of every",
         "query on sf0.001 (JIT, generated-code cache); single timed run per query;",
-        "seconds; run-to-run variance on this machine is about 20%. `ptp_synthetic_2p6m`",
+        "seconds. Timings on this shared VM vary between runs by up to 2x (all queries",
+        "move together), so compare runs by the per-query profile. `ptp_synthetic_2p6m`",
         "is the filter + first-wins dedupe path on a generated 2.6M-row raw table (the",
         "size of the full practitioner table quoted above).", "",
         f"Total over {len(q)} items: **{d['value']} s**.", "",
