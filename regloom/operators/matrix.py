@@ -157,15 +157,18 @@ def check_messages(rules: DataFrame) -> DataFrame:
     return rules.withColumn("friendly_message", F.coalesce(ok.cast("string"), F.col("friendly_message")))
 
 
-def build_rules(results: DataFrame, edits: DataFrame | None = None) -> DataFrame:
+def build_rules(results: DataFrame, edits: DataFrame | None = None, *, numbered: bool = True) -> DataFrame:
     """M4: federal first, then input order, then builder order, then edit order.
 
-    Output: rule_ord (0-based, contiguous) + RULE_COLUMNS.
+    Output: rule_ord (0-based, contiguous) + RULE_COLUMNS. ``numbered=False``
+    skips the numbering for callers that only count or group the rules.
     """
     rules = template_rules(results)
     if edits is not None:
         rules = rules.unionByName(ncci_rules(results, edits))
     rules = check_messages(rules)
+    if not numbered:
+        return rules.select(*RULE_COLUMNS)
     bucket = F.when(F.col("source_key").isin(FEDERAL_KEYS), F.lit(0)).otherwise(F.lit(1)).alias("bucket")
     staged = rules.select(bucket, "*")
     numbered = contiguous_index(staged, ["bucket", "result_ord", "template_ord", "edit_ord"], index_col="rule_ord")

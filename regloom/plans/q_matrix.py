@@ -106,7 +106,7 @@ select '{RULE_SCHEMA_VERSION}' as schema_version, count(*) as rule_count from ru
     ),
 )
 def q_matrix_header(spark, sf_dir):
-    rules = M.build_rules(matrix_results(Tables(spark, sf_dir).documents))
+    rules = M.build_rules(matrix_results(Tables(spark, sf_dir).documents), numbered=False)
     return M.header(rules).drop("generated_at")
 
 
@@ -183,5 +183,5 @@ from cov join per using (rule_number)"""
 
 @register("rule_coverage", covers=("M20", "M19", "S1"), oracle=_rule_coverage_oracle())
 def q_rule_coverage(spark, sf_dir):
-    rules = M.build_rules(matrix_results(Tables(spark, sf_dir).documents))
+    rules = M.build_rules(matrix_results(Tables(spark, sf_dir).documents), numbered=False)
     return coverage_report(spark, rules)

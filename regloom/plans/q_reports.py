@@ -141,7 +141,7 @@ select (select count(*) from documents where doc_id % 17 <> 0) as ok,
 def q_run_totals(spark, sf_dir):
     docs = Tables(spark, sf_dir).documents
     res = matrix_results(docs)
-    rules = M.build_rules(res)
+    rules = M.build_rules(res, numbered=False)
     chunks = q_chunk_engine2(spark, sf_dir)
     return RP.totals(res, rules, chunks)
 
