@@ -206,3 +206,10 @@ def test_header_and_provenance(spark):
 def test_coverage_status_totals(spark):
     got = {r.status: r.n for r in status_totals(spark).collect()}
     assert got == {"live": 8, "defined": 6, "deferred": 2}
+
+
+def test_unnumbered_rules_are_the_same_rows(spark):
+    res = results(spark, [("ecfr_42_part_8", {"doc": "x"}), ("fl_dcf_fasams", {"doc": "y"})])
+    a = sorted(tuple(r) for r in M.build_rules(res).drop("rule_ord").collect())
+    b = sorted(tuple(r) for r in M.build_rules(res, numbered=False).collect())
+    assert a == b and len(a) == 6
