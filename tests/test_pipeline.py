@@ -121,3 +121,32 @@ def test_reports_from_a_run(spark, scratch):
     t = spark.read.option("header", True).csv(paths["totals"]).first()
     assert (t.ok, t.fail, t.rule_count, t.chunk_count) == ("6", "1", "10", "5")
     assert spark.read.json(os.path.join(out, "runs", "r1", "matrix_header")).first().rule_count == 10
+
+
+def test_landed_reader_takes_newest_file(spark, scratch):
+    import time as _t
+
+    from regloom.sources.landed import landed_documents
+
+    d = os.path.join(scratch, "raw2", "samhsa_tip_63")
+    os.makedirs(d)
+    old = os.path.join(d, "aaaaaaaaaaaa.txt")
+    new = os.path.join(d, "bbbbbbbbbbbb.txt")
+    open(old, "w").write("old text")
+    os.utime(old, (_t.time() - 3600, _t.time() - 3600))
+    open(new, "w").write("new text")
+    got = landed_documents(spark, os.path.join(scratch, "raw2")).collect()
+    assert len(got) == 1 and got[0].text == "new text" and got[0].raw_path.endswith("bbbbbbbbbbbb.txt")
+
+
+def test_streaming_many_batches_in_one_run(spark, scratch):
+    src, sink, ckpt = (os.path.join(scratch, x) for x in ("land2", "chunks2", "ckpt2"))
+    schema = "doc_id bigint, source_key string, label string, text string"
+    for i, texts in enumerate([["a1", "b1"], ["a1", "c1"], ["c1", "d1"]]):
+        spark.createDataFrame([(i * 10 + j, "s", "l", t) for j, t in enumerate(texts)], schema).coalesce(1).write.parquet(
+            os.path.join(src, f"b{i}")
+        )
+    chunk_stream.run_available(spark, src, sink, ckpt, schema=schema, max_files_per_trigger=1)
+    df = spark.read.parquet(sink)
+    assert df.select("batch_id").distinct().count() == 3
+    assert sorted(r.text for r in df.collect()) == ["a1", "b1", "c1", "d1"]
