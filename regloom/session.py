@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on. AQE re-plans joins at runtime (size-checked
 # broadcast, skew-join splitting, partition coalescing).
@@ -18,10 +20,12 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # HTML/XML/zip stages hand whole documents to Python; smaller Arrow
-    # batches bound the worker's memory when pages are megabytes each.
+    # Python stages get whole documents: batches are bounded by rows and bytes,
+    # so pages of megabytes give short batches instead of gigabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "regloom") -> SparkSession:
@@ -45,26 +49,54 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 def ensure_defaults(spark: SparkSession) -> SparkSession:
     """Fill unset settings only; a cluster's configuration is never overridden."""
-    conf = spark.conf
+    conf, given = spark.conf, spark.sparkContext.getConf()
     for k, v in SQL_DEFAULTS.items():
-        if conf.get(k, None) is None:
+        if not given.contains(k):
             conf.set(k, v)
-    checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so Python
+    stages import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(root):
+        target = os.path.join(tempfile.mkdtemp(prefix="regloom-pkg-"), "regloom.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, names in os.walk(root):
+                for n in sorted(x for x in names if x.endswith(".py")):
+                    full = os.path.join(d, n)
+                    z.write(full, os.path.join("regloom", os.path.relpath(full, root)))
+        sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is unset (local tests) is a scratch folder created
-    and registered; a cluster always names a shared folder itself.
+    A scratch folder is made only in local mode (tests), where driver and
+    executors are one process; on a cluster a missing setting is an error,
+    because other machines could not read what this one wrote.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="regloom-ckpt-", dir=os.environ.get("REGLOOM_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        sc.setCheckpointDir(configured)
+        configured = sc.getCheckpointDir() or configured
+    return configured.rstrip("/")
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once as a table in the shared checkpoint folder and read it
+    back: later plans start there, and a lost executor rereads files instead of
+    recomputing. The folder's retention policy removes old tables."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
