@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import bpe, token_count
+from regloom.llm import bpe, packing, repetition, token_count
 from regloom.sources.tables import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,7 +26,17 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op5_bpe_round_trip": (op5_bpe_round_trip, None),
+    "op6_packing": (op6_packing, None),
+    "op8_quality_rules": (op8_quality_rules, None),
 }
