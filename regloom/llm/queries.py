@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import bpe, packing, repetition, token_count
+from regloom.llm import bpe, packing, repetition, setsketch, token_count
 from regloom.sources.tables import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,9 +34,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(read_table(spark, sf_dir, "documents"), setsketch.Rule(words=2, percent=80))
+
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op5_bpe_round_trip": (op5_bpe_round_trip, None),
     "op6_packing": (op6_packing, None),
     "op8_quality_rules": (op8_quality_rules, None),
+    "op9_setsketch_near_duplicates": (op9_setsketch_near_duplicates, None),
 }
