@@ -36,7 +36,7 @@ NONE = np.iinfo(np.int64).max
 #: Leaves that are merged at once: bounds the trees' memory (two 8-byte nodes and three 4-byte links a leaf).
 LEAVES_AT_ONCE = 1 << 20
 #: Chunks a worker remembers before it starts anew, and the longest that is remembered.
-CACHE_CHUNKS, CACHE_CHUNK_CHARS = 300_000, 64
+CACHE_CHUNKS, CACHE_CHUNK_CHARS = 800_000, 64
 
 
 def pair_lookup(vocab: Vocab, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,8 +173,6 @@ class ChunkCache(dict):
 
     def learn(self, missing: Iterable[str]) -> dict[str, object]:
         """Encode chunks not yet known; returns those too long to keep."""
-        if len(self) > CACHE_CHUNKS:
-            self.clear()
         todo = list(missing)
         split = [pre_tokens(self.vocab, c) for c in todo]
         distinct = list({w for ws in split for w in ws})
@@ -198,12 +196,15 @@ class ChunkCache(dict):
             for special, p in parts:
                 if not special:
                     new.update(p)
-        long = self.learn(new - self.keys()) if new else {}
-        if missing := new - self.keys() - long.keys():  # learn() began anew and dropped them
-            long |= self.learn(missing)
+        if len(self) > CACHE_CHUNKS:
+            self.clear()
+        long = self.learn(new.difference(self))
         get = self.__getitem__ if not long else lambda c: long[c] if c in long else self[c]
         for parts in parted:
-            yield [v for special, p in parts for v in ([self.value([np.array([vocab.specials[p]], "<u4").tobytes()])] if special else map(get, p))]
+            if len(parts) == 1:
+                yield list(map(get, parts[0][1]))
+            else:
+                yield [v for special, p in parts for v in ([self.value([np.array([vocab.specials[p]], "<u4").tobytes()])] if special else map(get, p))]
 
 
 #: Code points whose encodings are worked on together.

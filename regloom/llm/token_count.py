@@ -39,8 +39,6 @@ class CountCache(bpe.ChunkCache):
     proven: frozenset[str] = frozenset()
 
     def learn(self, missing):
-        if len(self) > bpe.CACHE_CHUNKS:
-            self.clear()
         todo, proven = list(missing), self.proven
         split = [bpe.pre_tokens(self.vocab, c) for c in todo]
         rest = list({w for ws in split for w in ws} - proven)
