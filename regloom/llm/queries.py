@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import bpe, packing, repetition, setsketch, token_count
+from regloom.llm import bpe, chat, kd_shards, packing, repetition, setsketch, token_count
 from regloom.sources.tables import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.kd_shards(read_table(spark, sf_dir, "documents"), shards=24)
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -30,6 +34,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op7_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"),
+    )
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(turns.unionByName(tricky)))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.report(read_table(spark, sf_dir, "documents"))
 
@@ -40,8 +53,10 @@ def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
+    "op4_kd_shards": (op4_kd_shards, None),
     "op5_bpe_round_trip": (op5_bpe_round_trip, None),
     "op6_packing": (op6_packing, None),
+    "op7_chat_prefix_targets": (op7_chat_prefix_targets, None),
     "op8_quality_rules": (op8_quality_rules, None),
     "op9_setsketch_near_duplicates": (op9_setsketch_near_duplicates, None),
 }
