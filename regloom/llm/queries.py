@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import bpe, chat, kd_shards, order_minhash, packing, repetition, setsketch, token_count
+from regloom.llm import backoff, bpe, chat, kd_shards, order_minhash, packing, repetition, setsketch, token_count
 from regloom.sources.tables import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,11 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.neighbours(read_table(spark, sf_dir, "documents"))
 
 
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff.scores(read_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.kd_shards(read_table(spark, sf_dir, "documents"), shards=24)
 
@@ -58,6 +63,7 @@ def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_order_minhash": (op2_order_minhash, None),
+    "op3_stupid_backoff": (op3_stupid_backoff, backoff.oracle()),
     "op4_kd_shards": (op4_kd_shards, None),
     "op5_bpe_round_trip": (op5_bpe_round_trip, None),
     "op6_packing": (op6_packing, None),
