@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import backoff, bpe, chat, kd_shards, order_minhash, packing, repetition, setsketch, token_count
+from regloom.llm import backoff, bpe, chat, kd_shards, line_join, order_minhash, packing, repetition, setsketch, token_count
 from regloom.sources.tables import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,10 @@ def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return setsketch.near_duplicates(read_table(spark, sf_dir, "documents"), setsketch.Rule(words=2, percent=80))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_join.report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_order_minhash": (op2_order_minhash, None),
@@ -70,4 +74,5 @@ QUERIES = {
     "op7_chat_prefix_targets": (op7_chat_prefix_targets, None),
     "op8_quality_rules": (op8_quality_rules, None),
     "op9_setsketch_near_duplicates": (op9_setsketch_near_duplicates, None),
+    "op10_line_dedup": (op10_line_dedup, None),
 }
