@@ -27,7 +27,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regloom.functions.joins import bounded_broadcast
 from regloom.operators.ptp import RELEVANT_CODES
 
 FINDING_COLUMNS = ["rule_id", "record_key", "finding_date", "severity", "detail"]
@@ -208,17 +207,11 @@ def payer_blocker(claims: DataFrame, allowed: DataFrame) -> DataFrame:
     reports nothing (the semi join keeps no rows).
     """
     g = claims.filter(F.col("code").rlike("^G[0-9]{4}$"))
-    # The allowed list is read once: grouped by the code family letter it is
-    # one row holding at most 10,000 codes (G plus four digits), broadcast and
-    # equi-joined on the family, so an empty list joins nothing.
-    family = F.substring("code", 1, 1)
-    allowed_set = (
-        allowed.filter(F.col("code").rlike("^G[0-9]{4}$"))
-        .groupBy(family.alias("_family"))
-        .agg(F.collect_set("code").alias("_allowed"))
-    )
-    joined = g.join(F.broadcast(allowed_set), family == F.col("_family"))
-    bad = joined.filter(~F.array_contains(F.col("_allowed"), F.col("code")))
+    # An anti join on the code; the list's emptiness is one flag, met on the
+    # code family letter (the list holds at most 10,000 codes: G and four digits).
+    listed = allowed.filter(F.col("code").rlike("^G[0-9]{4}$")).select("code").distinct()
+    some = listed.groupBy(F.substring("code", 1, 1).alias("_family")).agg(F.count(F.lit(1)).alias("_n"))
+    bad = g.join(listed, "code", "left_anti").join(F.broadcast(some), F.substring("code", 1, 1) == F.col("_family"), "left_semi")
     return finding(bad, "R-FLMAC-01", _claim_key(), F.col("service_date"), F.concat(F.lit("code="), F.col("code")))
 
 
@@ -226,29 +219,24 @@ def same_day_pairs(claims: DataFrame, pairs: DataFrame) -> DataFrame:
     """A11 (BundleGuard): both codes of a PTP pair (column1, column2) billed
     for one patient on one day. Orientation is kept; modifiers are ignored.
 
-    One pass: each line meets the pair-role table on its code (a line can be
-    the first or the second code of a pair), then a partial-aggregating
-    group-by on (patient, day, pair) keeps pairs where both roles occurred.
-    Lines are never paired with each other, and a hot patient-day collapses
-    map-side. The role table (two rows per distinct pair) is broadcast only
-    after its row count is checked; above the bound it is a shuffle join
-    (skewed codes are then split by AQE).
+    Lines are reduced first: codes that stand in no pair go, each patient-day
+    becomes one row with its set of codes (bounded by the code system, however
+    many lines the day has). Each code meets the pair table as first code; the
+    second is looked up in the set while joining, so lines are never paired
+    with each other. Which side is
+    broadcast, and whether a frequent code is split, is left to AQE.
     """
     pair = pairs.select("column1", "column2").distinct()
-    both = F.array(
-        F.struct(F.col("column1").alias("code"), F.lit(True).alias("is_first")),
-        F.struct(F.col("column2").alias("code"), F.lit(False).alias("is_first")),
-    )
-    roles = pair.select("column1", "column2", F.explode(both).alias("_r")).select(
-        F.col("_r.code").alias("code"), "column1", "column2", F.col("_r.is_first").alias("is_first")
-    )
-    lines = claims.select("patient_id", "service_date", "code")
-    hits = (
-        lines.join(bounded_broadcast(roles), "code")
-        .groupBy("patient_id", "service_date", "column1", "column2")
-        .agg(F.bool_or("is_first").alias("_a"), F.bool_or(~F.col("is_first")).alias("_b"))
-        .filter(F.col("_a") & F.col("_b"))
+    known = pair.select(F.explode(F.array("column1", "column2")).alias("code")).distinct()
+    days = (
+        claims.select("patient_id", "service_date", "code")
+        .join(known, "code", "left_semi")
+        .groupBy("patient_id", "service_date")
+        .agg(F.collect_set("code").alias("_codes"))
     )
+    first = days.select("patient_id", "service_date", "_codes", F.explode("_codes").alias("_code"))
+    both = (F.col("_code") == F.col("column1")) & F.array_contains("_codes", F.col("column2"))
+    hits = first.join(pair, both).select("patient_id", "service_date", "column1", "column2")
     return finding(
         hits, "R-NCCI", F.col("patient_id"), F.col("service_date"),
         F.concat(F.col("column1"), F.lit("+"), F.col("column2")),

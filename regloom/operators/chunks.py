@@ -84,38 +84,6 @@ def paragraph_units(df: DataFrame, *, text_col: str = "text", unit_ord_col: str
     return df.select(*keep, F.posexplode(split_paragraphs(F.col(text_col))).alias(unit_ord_col, text_col))
 
 
-def section_units(results: DataFrame, *, sections_col: str = "sections") -> DataFrame:
-    """C4: one unit per section; label = '<id> <heading>' ('?' for a missing id).
-
-    Sections with empty text still give one (empty) chunk.
-    """
-    exploded = results.select(
-        "result_ord",
-        "source_key",
-        F.posexplode(sections_col).alias("unit_ord", "s"),
-    )
-    return exploded.select(
-        "result_ord",
-        "source_key",
-        F.col("unit_ord"),
-        F.concat(F.coalesce(F.col("s.id"), F.lit("?")), F.lit(" "), F.coalesce(F.col("s.label"), F.lit(""))).alias("label"),
-        F.coalesce(F.col("s.text"), F.lit("")).alias("text"),
-    )
-
-
-def free_text_units(results: DataFrame) -> DataFrame:
-    """full_text, else raw_excerpt, else nothing (empty strings fall through);
-    paragraph-split, label = source name."""
-    body = F.coalesce(F.nullif(F.col("full_text"), F.lit("")), F.nullif(F.col("raw_excerpt"), F.lit("")), F.lit(""))
-    base = results.select(
-        "result_ord",
-        "source_key",
-        F.col("source_name").alias("label"),
-        body.alias("text"),
-    )
-    return paragraph_units(base)
-
-
 def chunk_for_rag(
     results: DataFrame,
     *,

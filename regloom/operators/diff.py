@@ -58,11 +58,29 @@ def _json_kind(v: Column) -> Column:
     )
 
 
-def canonical_json_value(v: Column) -> Column:
-    """Lists compare ignoring order and repetition; objects already come with
-    sorted keys from VARIANT."""
-    as_list = F.to_json(F.array_sort(F.array_distinct(F.from_json(v, "array<string>"))))
-    return F.when(F.substring(v, 1, 1) == "[", as_list).otherwise(v)
+#: Levels of nesting that are brought into canonical form; what lies deeper compares as rendered.
+CANONICAL_DEPTH = 4
+
+
+def canonical_json_value(v: Column, depth: int = CANONICAL_DEPTH) -> Column:
+    """Text of a VARIANT in which equal values are equal texts: elements keep
+    their JSON types, lists are sorted sets, objects are sorted by key, at
+    every level."""
+    text = F.to_json(v)
+    if depth == 0:
+        return text
+    items = F.try_variant_get(v, "$", "array<variant>")
+    listed = F.array_sort(F.array_distinct(F.transform(items, lambda x: F.coalesce(canonical_json_value(x, depth - 1), F.lit("null")))))
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    named = F.transform(
+        F.array_sort(F.map_keys(fields)), lambda k: F.concat(F.to_json(F.array(k)), F.lit(":"), F.coalesce(canonical_json_value(fields[k], depth - 1), F.lit("null")))
+    )
+    first = F.substring(text, 1, 1)
+    return (
+        F.when(first == "[", F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")))
+        .when(first == "{", F.concat(F.lit("{"), F.array_join(named, ","), F.lit("}")))
+        .otherwise(text)
+    )
 
 
 def _params_changes(params_col: str) -> Column:
@@ -86,7 +104,7 @@ def _params_changes(params_col: str) -> Column:
             F.when(ov.isNull() & nv.isNotNull() & ~F.map_contains_key(om, k), mk("dictionary_item_added", F.lit(None).cast("string"), nv))
             .when(nv.isNull() & ov.isNotNull() & ~F.map_contains_key(nm, k), mk("dictionary_item_removed", ov, F.lit(None).cast("string")))
             .when(~_json_kind(ov).eqNullSafe(_json_kind(nv)), mk("type_changes", ov, nv))
-            .when(~canonical_json_value(ov).eqNullSafe(canonical_json_value(nv)), mk("values_changed", ov, nv))
+            .when(~canonical_json_value(om[k]).eqNullSafe(canonical_json_value(nm[k])), mk("values_changed", ov, nv))
         )
 
     keyed = F.filter(F.transform(keys, per_key), lambda x: x.isNotNull())

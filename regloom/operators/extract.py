@@ -35,7 +35,7 @@ RE_POLYSUBSTANCE = r"(benzodiazepine|alprazolam|polysubstance|alcohol\s+use|dran
 ECFR_ARTIFACT = "thnsp;"
 EXCERPT_CHARS = 2000
 HANDBOOK_EXCERPT_CHARS = 1500
-POLYSUBSTANCE_LIMIT = 50
+POLYSUBSTANCE_LIMIT = 50  # fixed value: the limit of the parity query
 IOP_WINDOW_DAYS = 7
 WEEKLY_DEFAULT = 1
 
@@ -139,9 +139,10 @@ def strip_template(text: Column) -> Column:
     return R.py_lstrip(F.regexp_replace(text, R.pattern(RE_TEMPLATE_PLACEHOLDER, ignore_case=True), ""))
 
 
-def polysubstance_hits(text: Column) -> Column:
-    """First 50 matches, order, case and duplicates kept."""
-    return F.slice(R.find_all(text, RE_POLYSUBSTANCE, 1, ignore_case=True), 1, POLYSUBSTANCE_LIMIT)
+def polysubstance_hits(text: Column, limit: int | None = None) -> Column:
+    """Matches, order, case and duplicates kept; ``limit`` keeps the first so many."""
+    hits = R.find_all(text, RE_POLYSUBSTANCE, 1, ignore_case=True)
+    return hits if limit is None else F.slice(hits, 1, limit)
 
 
 def excerpt(text: Column, chars: int = EXCERPT_CHARS) -> Column:
@@ -190,12 +191,12 @@ def extract_mln_booklet(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def extract_tip63(df: DataFrame, text: str = "text") -> DataFrame:
-    """E10 (samhsa_tip_63)."""
+def extract_tip63(df: DataFrame, text: str = "text", limit: int | None = None) -> DataFrame:
+    """E10 (samhsa_tip_63); ``limit`` keeps the first so many hits."""
     t = F.col(text)
     return df.select(
         *[c for c in df.columns if c != text],
-        polysubstance_hits(t).alias("polysubstance_hits"),
+        polysubstance_hits(t, limit).alias("polysubstance_hits"),
         excerpt(t).alias("raw_excerpt"),
         t.alias("full_text"),
     )

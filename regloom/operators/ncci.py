@@ -1,12 +1,13 @@
-"""PTP table jobs (E7 Medicare full table / delta, E8 Medicaid) as compositions.
+"""PTP table jobs (E7 Medicare full table or delta, E8 Medicaid) over many pages.
 
-links (L1-L3) -> downloaded parts (binary payloads; fetching is not built)
--> zip member walk (S9) -> filter + first-wins dedupe across all parts (P6)
--> one result row per source with scope, parts, counts, combined digest (S5)
-and warnings, plus the edit table.
+Link choice per page (L1-L3), rows of the chosen files, filter and first-wins
+dedupe within the page (P6), and one result row per page: scope, sources,
+counts, digest (S5) and warnings.
 
-``payloads``: url, content BINARY for each part that was fetched; a listed
-part without a payload counts as a failed fetch (skipped, warned, no digest).
+Inputs: ``hrefs`` (page_id, base_url, href_pos, href), ``payloads`` (url,
+digest: the files that were fetched) and ``rows`` (url, file_ord, member,
+sheet, row_ord, cells: their unpacked rows). A chosen file without a payload
+counts as a failed fetch: skipped, warned, not in the digest.
 """
 from __future__ import annotations
 
@@ -15,81 +16,69 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regloom.operators import extract as X
 from regloom.operators import links as L
 from regloom.operators import ptp as P
-from regloom.sources.ptp_files import read_zip_parts
 
-
-@dataclass
-class TableJob:
-    result: DataFrame  # one row: table_scope, source_zips, part_count, edit_count_relevant, content_sha256, warnings
-    edits: DataFrame  # part_ord, file_ord, row_ord + EDIT_COLUMNS
+# Fixed value: warning of a page without a Medicaid zip.
+NO_MEDICAID_WARNING = "No Medicaid PTP zip link found on the edit-files page"
 
 
-def _parts_to_edits(chosen: DataFrame, payloads: DataFrame, listed_warning: str):
-    """chosen: part_ord, url. Returns (edits, digests per fetched part, warnings)."""
-    fetched = chosen.join(payloads, "url")
-    raw = read_zip_parts(fetched.select(F.col("url").alias("path"), F.col("part_ord").cast("int"), "content"))
-    edits = P.relevant_edits(raw.filter(F.col("cells").isNotNull()))
-    digests = fetched.select("part_ord", F.sha2(F.col("content"), 256).alias("digest"))
-    missing = chosen.join(payloads, "url", "left_anti").select(
-        "part_ord", F.concat(F.lit(listed_warning), F.col("url"), F.lit(" (fetch failed)")).alias("w")
+@dataclass
+class TableJobs:
+    results: DataFrame  # page_id, doc, table_scope, source_zips, part_count, edit_count_relevant, content_sha256, warnings
+    edits: DataFrame  # page_id, part_ord, file_ord, row_ord + EDIT_COLUMNS
+
+
+def _jobs(pages: DataFrame, chosen: DataFrame, payloads: DataFrame, rows: DataFrame, skipped: str) -> TableJobs:
+    """pages: page_id, doc, table_scope, note, whole (the digest is the file's own); chosen: page_id, part_ord, url."""
+    fetched = chosen.join(payloads.select("url", "digest"), "url", "left")
+    raw = fetched.where("digest is not null").select("page_id", "part_ord", "url").join(rows, "url")
+    edits = P.relevant_edits(raw, group=("page_id",))
+    # A page lists a handful of files, so its lists are short.
+    listed = fetched.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("part_ord", "url", "digest"))).alias("parts"))
+    counted = edits.groupBy("page_id").agg(F.count(F.lit(1)).alias("edit_count_relevant"))
+    all_ = pages.join(listed, "page_id", "left").join(counted, "page_id", "left")
+    parts = F.coalesce("parts", F.array().cast("array<struct<part_ord:bigint,url:string,digest:string>>"))
+    digests = F.filter(F.transform(parts, lambda p: p["digest"]), lambda d: d.isNotNull())
+    missing = F.transform(F.filter(parts, lambda p: p["digest"].isNull()), lambda p: F.concat(F.lit(skipped + " (fetch failed): "), p["url"]))
+    digest = F.when(F.size(parts) == 0, F.lit("")).when(F.col("whole"), F.coalesce(F.get(digests, 0), F.lit(""))).otherwise(F.sha2(F.array_join(digests, ""), 256))
+    results = all_.select(
+        "page_id", "doc", "table_scope",
+        F.transform(parts, lambda p: p["url"]).alias("source_zips"),
+        F.size(parts).alias("part_count"),
+        F.coalesce("edit_count_relevant", F.lit(0)).cast("bigint").alias("edit_count_relevant"),
+        digest.alias("content_sha256"),
+        F.concat(missing, F.when(F.col("note").isNull(), F.array().cast("array<string>")).otherwise(F.array("note"))).alias("warnings"),
     )
-    not_zip = raw.filter(F.col("warning").isNotNull()).select("part_ord", F.col("warning").alias("w"))
-    return edits, digests, missing.unionByName(not_zip)
+    return TableJobs(results, edits)
 
 
-def _result(scope: str, chosen: DataFrame, edits: DataFrame, digests: DataFrame, warns: DataFrame, extra_warning: str | None) -> DataFrame:
-    """One result row from four small inputs, tagged and reduced in a single
-    aggregation (parts and warnings are a handful of rows; edits are only counted)."""
-    po = F.col("part_ord").cast("bigint")
-    s = "struct<o:bigint,v:string>"
-    nul = F.lit(None).cast(s)
-    rows = (
-        chosen.select(F.lit("zip").alias("_t"), F.struct(po.alias("o"), F.col("url").alias("v")).cast(s).alias("_x"))
-        .unionByName(edits.select(F.lit("edit").alias("_t"), nul.alias("_x")))
-        .unionByName(digests.select(F.lit("dig").alias("_t"), F.struct(po.alias("o"), F.col("digest").alias("v")).cast(s).alias("_x")))
-        .unionByName(warns.select(F.lit("warn").alias("_t"), F.struct(po.alias("o"), F.col("w").alias("v")).cast(s).alias("_x")))
+def medicare_tables(hrefs: DataFrame, payloads: DataFrame, rows: DataFrame) -> TableJobs:
+    """Per page the newest full table (all parts), else its delta zip with
+    a warning, else an empty result with the other warning."""
+    parts = L.full_table_parts(hrefs).select("page_id", F.col("part").cast("bigint").alias("part_ord"), "url")
+    fallback = L.delta_fallback(hrefs)
+    delta = fallback.where(F.col("table_scope") == "delta").select("page_id", F.lit(0).cast("bigint").alias("part_ord"), "url")
+    full = parts.select("page_id").distinct().select(
+        "page_id", F.lit(X.DOC_LABELS["cms_ncci_edits"]).alias("doc"), F.lit("full").alias("table_scope"), F.lit(None).cast("string").alias("note"), F.lit(False).alias("whole")
     )
-    t = F.col("_t")
-
-    def values(kind: str):
-        return F.transform(F.array_sort(F.collect_list(F.when(t == kind, F.col("_x")))), lambda x: x["v"])
-
-    agg = rows.agg(
-        values("zip").alias("source_zips"),
-        F.count_if(t == "zip").alias("part_count"),
-        F.count_if(t == "edit").alias("edit_count_relevant"),
-        F.sha2(F.array_join(values("dig"), ""), 256).alias("content_sha256"),
-        values("warn").alias("warnings"),
+    is_delta = F.col("table_scope") == "delta"
+    other = fallback.select(
+        "page_id", F.when(is_delta, X.NCCI_DELTA_DOC).otherwise(X.NCCI_NO_LINK_DOC).alias("doc"), "table_scope", F.col("warning").alias("note"), F.lit(True).alias("whole")
     )
-    warnings = F.col("warnings")
-    if extra_warning:
-        warnings = F.concat(warnings, F.array(F.lit(extra_warning)))
-    return agg.select(
-        F.lit(scope).alias("table_scope"), "source_zips", "part_count", "edit_count_relevant", "content_sha256",
-        warnings.alias("warnings"),
+    return _jobs(full.unionByName(other), parts.unionByName(delta), payloads, rows, "Skipped part")
+
+
+def medicaid_tables(hrefs: DataFrame, payloads: DataFrame, rows: DataFrame) -> TableJobs:
+    """Per page the newest practitioner zips; an empty result with a warning without any."""
+    chosen = L.medicaid_zips(hrefs).select("page_id", F.col("first_pos").cast("bigint").alias("part_ord"), "url")
+    found = chosen.select("page_id").distinct().withColumn("found", F.lit(True))
+    pages = hrefs.select("page_id").distinct().join(found, "page_id", "left").select(
+        "page_id",
+        F.when(F.col("found"), X.DOC_LABELS["cms_ncci_medicaid"]).otherwise(X.MEDICAID_NO_LINK_DOC).alias("doc"),
+        F.when(F.col("found"), "medicaid_ptp").otherwise("none").alias("table_scope"),
+        F.when(F.col("found").isNull(), NO_MEDICAID_WARNING).alias("note"),
+        F.lit(False).alias("whole"),
     )
-
-
-def medicare_table(hrefs: DataFrame, payloads: DataFrame) -> TableJob:
-    """E7 for one crawled page: the newest full table (all parts), else the
-    delta zip with a warning, else nothing with a warning. Dedupe spans parts.
-
-    The branch is chosen on the (tiny) list of selected links; it is the one
-    driver decision, like the reference's "parts found?" test.
-    """
-    parts = L.full_table_parts(hrefs).select(F.col("part").alias("part_ord"), "url")
-    if parts.limit(1).count() > 0:
-        edits, dig, warns = _parts_to_edits(parts, payloads, "Skipped part: ")
-        return TableJob(_result("full", parts, edits, dig, warns, None), edits)
-    fb = L.delta_fallback(hrefs).filter(F.col("table_scope") == "delta").select(F.lit(0).alias("part_ord"), "url")
-    edits, dig, warns = _parts_to_edits(fb, payloads, "Skipped part: ")
-    return TableJob(_result("delta", fb, edits, dig, warns, L.DELTA_WARNING), edits)
-
-
-def medicaid_table(hrefs: DataFrame, payloads: DataFrame) -> TableJob:
-    """Newest practitioner Medicaid zips; same walk and dedupe as E7."""
-    z = L.medicaid_zips(hrefs).select(F.col("first_pos").alias("part_ord"), "url")
-    edits, dig, warns = _parts_to_edits(z, payloads, "Skipped zip: ")
-    return TableJob(_result("medicaid_ptp", z, edits, dig, warns, None), edits)
+    return _jobs(pages, chosen, payloads, rows, "Skipped zip")

@@ -93,11 +93,12 @@ def source_file(member: Column, sheet: Column) -> Column:
     return F.when(low.endswith(".xlsx"), F.concat(member, F.lit("#"), F.coalesce(sheet, F.lit("")))).otherwise(member)
 
 
-def candidate_edits(raw: DataFrame, codes: list[str] = RELEVANT_CODES) -> DataFrame:
+def candidate_edits(raw: DataFrame, codes: list[str] = RELEVANT_CODES, group: tuple[str, ...] = ()) -> DataFrame:
     """P1-P4 on raw rows: narrow filters, no shuffle."""
     kind = member_kind(F.col("member"), F.col("sheet"))
     c1, c2 = cell(F.col("cells"), 0), cell(F.col("cells"), 1)
     staged = raw.select(
+        *group,
         "part_ord",
         "file_ord",
         "row_ord",
@@ -115,6 +116,7 @@ def candidate_edits(raw: DataFrame, codes: list[str] = RELEVANT_CODES) -> DataFr
         & (F.col("column1").isin(codes) | F.col("column2").isin(codes))
     )
     return staged.select(
+        *group,
         "part_ord",
         "file_ord",
         "row_ord",
@@ -133,16 +135,17 @@ def first_wins(candidates: DataFrame, key: list[str], order: list[str], payload:
     return agg.select(*key, *[F.col(f"_first.{c}").alias(c) for c in order + payload])
 
 
-def relevant_edits(raw: DataFrame, codes: list[str] = RELEVANT_CODES) -> DataFrame:
+def relevant_edits(raw: DataFrame, codes: list[str] = RELEVANT_CODES, group: tuple[str, ...] = ()) -> DataFrame:
     """Filter + dedupe on (column1, column2, kind), first in part, file and
-    row order wins across all parts. Ordinals are kept for later numbering."""
-    cand = candidate_edits(raw, codes)
+    row order wins across all parts (of each group, such as a page). Ordinals
+    are kept for later numbering."""
+    cand = candidate_edits(raw, codes, group)
     return first_wins(
         cand,
-        key=["column1", "column2", "edit_kind"],
+        key=[*group, "column1", "column2", "edit_kind"],
         order=["part_ord", "file_ord", "row_ord"],
         payload=["modifier_indicator", "source_file"],
-    ).select("part_ord", "file_ord", "row_ord", *EDIT_COLUMNS)
+    ).select(*group, "part_ord", "file_ord", "row_ord", *EDIT_COLUMNS)
 
 
 def combined_digest(parts: DataFrame, group_cols: list[str], ord_col: str = "part_ord", digest_col: str = "digest") -> DataFrame:

@@ -76,14 +76,17 @@ def run_summary(results: DataFrame, files: DataFrame | None, parsed_cols: dict[s
     return base.withColumn("raw_bytes", F.coalesce(F.col("raw_bytes"), F.lit(0).cast("bigint")))
 
 
-# Python json.dumps separators: ', ' and ': ' outside string literals.
-_OUTSIDE_STRINGS = r'(?=(?:[^"\\]|\\.|"(?:[^"\\]|\\.)*")*$)'
-
-
 def python_json_style(js: Column) -> Column:
-    """Compact JSON -> json.dumps default layout (', ' and ': ' separators)."""
-    spaced = F.regexp_replace(js, r"(?s)," + _OUTSIDE_STRINGS, ", ")
-    return F.regexp_replace(spaced, r"(?s):" + _OUTSIDE_STRINGS, ": ")
+    """Compact JSON -> json.dumps default layout (', ' and ': ' separators).
+
+    Escaped backslashes and quotes are set aside, then every second piece
+    between quotes lies outside strings: plain replacements, linear in length.
+    """
+    back, quote = "\x01", "\x02"  # JSON text holds no bare control characters
+    marked = F.replace(F.replace(js, F.lit("\\\\"), F.lit(back)), F.lit('\\"'), F.lit(quote))
+    spaced = lambda x: F.replace(F.replace(x, F.lit(","), F.lit(", ")), F.lit(":"), F.lit(": "))
+    pieces = F.transform(F.split(marked, '"'), lambda x, i: F.when(i % 2 == 0, spaced(x)).otherwise(x))
+    return F.replace(F.replace(F.array_join(pieces, '"'), F.lit(quote), F.lit('\\"')), F.lit(back), F.lit("\\\\"))
 
 
 def rules_flat(rules: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ from fx_source_text""",
     ),
 )
 def q_extract_tip63(spark, sf_dir):
-    out = X.extract_tip63(_src(spark, sf_dir))
+    out = X.extract_tip63(_src(spark, sf_dir), limit=X.POLYSUBSTANCE_LIMIT)
     return out.select(
         "doc_id",
         _joined(F.col("polysubstance_hits"), "|").alias("polysubstance_hits"),

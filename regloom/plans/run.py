@@ -64,7 +64,9 @@ def read_live(spark: SparkSession, live_root: str) -> DataFrame | None:
     """Current live rules: the newest ``version`` partition, or None on first deploy."""
     try:
         allv = spark.read.parquet(live_root)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     # One row; broadcast so the join never shuffles all versions onto one key.
     newest = allv.agg(F.max("version").alias("version"))
@@ -128,7 +130,9 @@ def run(
             ~F.input_file_name().contains(f"/runs/{run_id}/chunks/")
         )
         fresh = C.new_chunks(stored_chunks, earlier)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         fresh = stored_chunks
     sinks.write_json(fresh, f"{root}/runs/{run_id}/new_chunks")
 

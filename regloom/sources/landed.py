@@ -66,12 +66,12 @@ def landed_documents(spark: SparkSession, root: str) -> DataFrame:
     )
     key = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
     # Newest file per source from metadata only (binaryFile skips the content
-    # column when it is not selected); at most one row per source, so the path
-    # list is broadcast and file contents are never shuffled.
+    # column when it is not selected); at most one row per source, and AQE
+    # broadcasts the path list where it is small.
     newest = files.select(key.alias("source_key"), "path", "modificationTime").groupBy("source_key").agg(
-        F.max_by("path", "modificationTime").alias("path")
-    )
-    chosen = files.join(F.broadcast(newest), "path", "left_semi")
+        F.max(F.struct("modificationTime", "path")).alias("_n")
+    ).select(F.col("_n.path").alias("path"))
+    chosen = files.join(newest, "path", "left_semi")
     base = chosen.select(
         key.alias("source_key"),
         F.date_format(F.col("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"),

@@ -1,46 +1,40 @@
-"""Readers for procedure-to-procedure (PTP) edit files.
+"""Reader for procedure-to-procedure (PTP) edit files.
 
-S8 reads tab-delimited latin-1 text members that already sit on storage with
-Spark's CSV source. S9 walks downloaded zip parts: zip archives are not
-splittable, so each archive is one task of a ``mapInPandas`` stage that
-yields rows in bounded Arrow batches; the rows are then spread over the
-cluster by the shuffle of the dedupe that follows.
-
-Both produce the raw-row shape of ``regloom.operators.ptp``:
-part_ord, file_ord, member, sheet, row_ord, cells ARRAY<STRING> (+ warning).
+Tab-delimited latin-1 text files are read with Spark's CSV source into the
+raw-row shape of ``regloom.operators.ptp``: part_ord, file_ord, member, sheet,
+row_ord, cells ARRAY<STRING>. Archives and workbooks are unpacked before they
+land (their decoding is no Spark work); workbook rows arrive as tables with
+a ``sheet``.
 """
 from __future__ import annotations
 
-import csv
-import io
-import re
-import xml.etree.ElementTree as ET
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_CELLS = 16
-BATCH_ROWS = 20000
 
-RAW_SCHEMA = (
-    "part_ord int, file_ord int, member string, sheet string, row_ord bigint, "
-    "cells array<string>, warning string"
-)
+def _widest(spark: SparkSession, paths: list[str] | str) -> int:
+    """Cells of the widest line: one scan that counts tabs."""
+    tabs = F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit("")))
+    return (spark.read.text(paths).agg(F.max(tabs)).first()[0] or 0) + 1
+
+
+def file_name(path: Column) -> Column:
+    """Last step of a file URI, with its percent-encoding undone."""
+    name = F.regexp_extract(path, r"([^/]+)$", 1)
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
 
 
 def read_text_tables(spark: SparkSession, paths: list[str] | str, *, part_ord: int = 0) -> DataFrame:
-    """Tab-delimited, latin-1, quote '"' doubled; only members whose name
-    has 'additions' or 'deletions' count (the kind is decided downstream).
+    """Every cell of every line, however wide; quote '"' doubled. Which
+    members count is decided downstream by their names.
 
     ``multiLine`` keeps quoted cells with newlines whole; such files are read
     one task per file. ``monotonically_increasing_id`` follows the line order
     within a file, which is all the first-wins dedupe needs.
     """
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(MAX_CELLS)])
+    width = _widest(spark, paths)
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
     df = (
         spark.read.schema(schema)
         .option("sep", "\t")
@@ -51,132 +45,21 @@ def read_text_tables(spark: SparkSession, paths: list[str] | str, *, part_ord: i
         .option("mode", "PERMISSIVE")
         .csv(paths)
     )
-    path = F.input_file_name()
-    cells = F.array(*[F.coalesce(F.col(f"_c{i}"), F.lit("")) for i in range(MAX_CELLS)])
+    cells = F.array(*[F.coalesce(F.col(f"_c{i}"), F.lit("")) for i in range(width)])
     # Trailing empty cells are padding from the fixed schema, not data.
     last = F.array_max(F.filter(F.transform(cells, lambda c, i: F.when(c != "", i)), lambda x: x.isNotNull()))
     trimmed = F.when(last.isNull(), F.array().cast("array<string>")).otherwise(F.slice(cells, 1, last + 1))
-    rows = df.select(
-        path.alias("_path"),
-        F.monotonically_increasing_id().alias("row_ord"),
-        trimmed.alias("cells"),
-    )
+    rows = df.select(F.input_file_name().alias("_path"), F.monotonically_increasing_id().alias("row_ord"), trimmed.alias("cells"))
     # Spark packs files into splits by size, so file order comes from the
-    # reader's file index (metadata, no data scan): one row per file, ordered by
-    # path and broadcast back; its size is bounded by the file count.
+    # reader's own file index: one row per file, in name order.
     norm = lambda c: F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
-    listed = sorted(df.inputFiles())
-    ordered = spark.createDataFrame([(p, i) for i, p in enumerate(listed)], "_listed string, file_ord int").select(
-        norm(F.col("_listed")).alias("_key"), "file_ord"
-    )
-    rows = rows.withColumn("_key", norm(F.col("_path")))
-    return rows.join(F.broadcast(ordered), "_key").select(
+    order = [(p, i) for i, p in enumerate(sorted(df.inputFiles()))]
+    ordered = spark.createDataFrame(order, "_listed string, file_ord int").select(norm(F.col("_listed")).alias("_key"), "file_ord")
+    return rows.withColumn("_key", norm(F.col("_path"))).join(ordered, "_key").select(
         F.lit(part_ord).alias("part_ord"),
         "file_ord",
-        F.regexp_extract("_path", r"([^/]+)$", 1).alias("member"),
+        file_name(F.col("_path")).alias("member"),
         F.lit(None).cast("string").alias("sheet"),
         "row_ord",
         "cells",
-        F.lit(None).cast("string").alias("warning"),
     )
-
-
-# ------------------------------------------------------------ zip members
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-
-
-def _col_index(ref: str) -> int:
-    letters = re.match(r"[A-Z]+", ref or "A").group(0)
-    n = 0
-    for ch in letters:
-        n = n * 26 + (ord(ch) - 64)
-    return n - 1
-
-
-def workbook_rows(data: bytes) -> Iterator[tuple[str, list[str | None]]]:
-    """Rows of every worksheet of an .xlsx payload as (sheet title, cells).
-
-    A small stdlib reader (shared strings, inline strings, numbers as text);
-    it streams each sheet with ``iterparse`` so memory stays flat.
-    """
-    with zipfile.ZipFile(io.BytesIO(data)) as zf:
-        names = set(zf.namelist())
-        shared: list[str] = []
-        if "xl/sharedStrings.xml" in names:
-            root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
-            for si in root.findall("m:si", _NS):
-                shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-        rels = {}
-        if "xl/_rels/workbook.xml.rels" in names:
-            for r in ET.fromstring(zf.read("xl/_rels/workbook.xml.rels")):
-                target = r.get("Target", "")
-                rels[r.get("Id")] = target if target.startswith("xl/") else "xl/" + target.lstrip("/")
-        wb = ET.fromstring(zf.read("xl/workbook.xml"))
-        for sh in wb.iter(f"{{{_NS['m']}}}sheet"):
-            title = sh.get("name", "")
-            part = rels.get(sh.get(_REL), "")
-            if part not in names:
-                continue
-            with zf.open(part) as fh:
-                for _, el in ET.iterparse(fh, events=("end",)):
-                    if el.tag != f"{{{_NS['m']}}}row":
-                        continue
-                    cells: list[str | None] = []
-                    for c in el.findall("m:c", _NS):
-                        i = _col_index(c.get("r", ""))
-                        while len(cells) < i:
-                            cells.append(None)
-                        t = c.get("t")
-                        v = c.find("m:v", _NS)
-                        if t == "s" and v is not None:
-                            val = shared[int(v.text)]
-                        elif t == "inlineStr":
-                            val = "".join(x.text or "" for x in c.iter(f"{{{_NS['m']}}}t"))
-                        else:
-                            val = v.text if v is not None else None
-                        cells.append(val)
-                    el.clear()
-                    yield title, cells
-
-
-def _zip_rows(path: str, part_ord: int, content: bytes) -> Iterator[dict]:
-    if not zipfile.is_zipfile(io.BytesIO(content)):
-        yield {"part_ord": part_ord, "file_ord": -1, "member": path, "sheet": None, "row_ord": -1, "cells": None,
-               "warning": f"Not a zip (license redirect?): {path}"}
-        return
-    with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        for file_ord, name in enumerate(zf.namelist()):
-            low = name.lower()
-            if low.endswith(".txt") and ("additions" in low or "deletions" in low):
-                with zf.open(name) as fh:
-                    text = io.TextIOWrapper(fh, encoding="latin-1", errors="ignore", newline="")
-                    for row_ord, row in enumerate(csv.reader(text, delimiter="\t")):
-                        yield {"part_ord": part_ord, "file_ord": file_ord, "member": name, "sheet": None,
-                               "row_ord": row_ord, "cells": row, "warning": None}
-            elif low.endswith(".xlsx"):
-                for row_ord, (sheet, cells) in enumerate(workbook_rows(zf.read(name))):
-                    yield {"part_ord": part_ord, "file_ord": file_ord, "member": name, "sheet": sheet,
-                           "row_ord": row_ord, "cells": cells, "warning": None}
-
-
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    buf: list[dict] = []
-    for pdf in batches:
-        for path, part_ord, content in zip(pdf["path"], pdf["part_ord"], pdf["content"]):
-            for row in _zip_rows(path, int(part_ord), bytes(content)):
-                buf.append(row)
-                if len(buf) >= BATCH_ROWS:
-                    yield pd.DataFrame(buf)
-                    buf = []
-    if buf:
-        yield pd.DataFrame(buf)
-
-
-def read_zip_parts(parts: DataFrame) -> DataFrame:
-    """``parts`` has path, part_ord, content (e.g. from ``binaryFile``).
-
-    Non-zip payloads become one warning row (cells null), so the caller can
-    still count the part and report it.
-    """
-    return parts.select("path", "part_ord", "content").mapInPandas(_walk, RAW_SCHEMA)

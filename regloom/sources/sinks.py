@@ -32,7 +32,8 @@ def read_results(spark: SparkSession, root: str, run_id: str | None = None) -> D
 
 def write_json(df: DataFrame, path: str) -> str:
     """Matrix, diff and chunk JSON (one JSON object per line)."""
-    df.write.mode("overwrite").json(path)
+    # Null fields are written too, so a column without any value is still there when read back.
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path
 
 

@@ -33,7 +33,9 @@ def _append_new(sink_path: str):
             stored = spark.read.parquet(sink_path)
             known = stored.filter(F.col("batch_id") != epoch_id).select("chunk_id")
             fresh = C.new_chunks(chunks, known)
-        except AnalysisException:  # first batch: nothing stored yet
+        except AnalysisException as e:  # first batch: nothing stored yet
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             fresh = chunks
         (
             fresh.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))

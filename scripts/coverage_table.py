@@ -19,7 +19,7 @@ IMPL = {
     "S3": "sources/catalog.py: registered; plans/run.py: select_results", "S4": "sources/raw.py: read_payloads",
     "S5": "operators/ptp.py: combined_digest, scan_summary", "S6": "operators/report.py: failed; try_cast throughout; plans/run.py: with_facts",
     "S7": "sources/sinks.py: write_results, read_results", "S8": "sources/ptp_files.py: read_text_tables",
-    "S9": "sources/ptp_files.py: read_zip_parts, workbook_rows", "S10": "sources/sinks.py: write_json",
+    "S9": "not built: archives and workbooks land unpacked", "S10": "sources/sinks.py: write_json",
     "S11": "sources/sinks.py: write_csv; plans/reports.py", "S12": "sources/sinks.py: read_persisted_json",
     "X1": "functions/regex.py: sorted_distinct", "X1a": "operators/extract.py: cms_g_codes",
     "X1b": "operators/extract.py: any_g_codes, any_h_codes", "X1c": "operators/extract.py: f11_codes",
@@ -30,12 +30,12 @@ IMPL = {
     "X9": "operators/extract.py: strip_template", "X10": "operators/extract.py: polysubstance_hits",
     "X11": "operators/extract.py: excerpt", "X12": "operators/extract.py: clean_ecfr",
     "X13": "operators/markup.py: xml_sections, parse_sections", "X14": "operators/markup.py: parse_pages, main_text_regex",
-    "X15": "operators/markup.py: fcso_page_facts", "X16": "operators/markup.py: discovered_handbook_links, known_handbooks",
+    "X15": "operators/markup.py: fcso_page_facts", "X16": "operators/markup.py: discovered_handbook_links",
     "E1": "operators/extract.py: extract_facts (dispatch)", "E2": "operators/extract.py: extract_cms_ch17",
     "E3": "operators/extract.py: extract_cms_ch39", "E4": "operators/extract.py: extract_mln_booklet",
     "E5": "operators/extract.py: handbook_facts, handbook_rollup; operators/markup.py: discovered_handbook_links",
-    "E6": "operators/markup.py: parse_pages, fcso_page_facts", "E7": "operators/ncci.py: medicare_table",
-    "E8": "operators/ncci.py: medicaid_table", "E9": "operators/markup.py: parse_sections; sources/landed.py",
+    "E6": "operators/markup.py: parse_pages, fcso_page_facts", "E7": "operators/ncci.py: medicare_tables",
+    "E8": "operators/ncci.py: medicaid_tables", "E9": "operators/markup.py: parse_sections; sources/landed.py",
     "E10": "operators/extract.py: extract_tip63", "E11": "operators/extract.py: extract_cdc_zcodes",
     "E12": "operators/extract.py: extract_sunshine", "E13": "operators/extract.py: extract_simply",
     "P1": "operators/ptp.py: cell, looks_like_hcpcs", "P2": "operators/ptp.py: candidate_edits (RELEVANT_CODES)",

@@ -62,24 +62,6 @@ def test_no_global_single_partition_windows_on_data(plans):
             assert ok, (n, parent.strip()[:120])
 
 
-def test_bounded_broadcast_falls_back(spark):
-    from regloom.functions.joins import bounded_broadcast
-
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        yes = big.join(bounded_broadcast(small, max_rows=100), "k")._jdf.queryExecution().executedPlan().toString()
-        no = big.join(bounded_broadcast(small, max_rows=5), "k")._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in yes and "BroadcastHashJoin" not in no
-    finally:
-        if old is None:
-            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        else:
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_multi_check_audits_scan_claims_once(plans):
     for n in ["audit_bundle_iop", "audit_claim_lines", "audit_same_day_pairs"]:
         assert plans[n].count("FileScan parquet [l_orderkey") == 1, n
