@@ -21,6 +21,7 @@ independent: repeated rows give equal results, extra columns are ignored by
 """
 from __future__ import annotations
 
+import gc
 import hashlib
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -33,10 +34,10 @@ from pyspark.sql import DataFrame
 from regloom.llm.vocab import Vocab, load
 
 NONE = np.iinfo(np.int64).max
-#: Leaves that are merged at once: bounds the trees' memory (two 8-byte nodes and three 4-byte links a leaf).
-LEAVES_AT_ONCE = 1 << 20
+#: Leaves that are merged at once: the trees (two 8-byte nodes and three 4-byte links a leaf) stay in the CPU's cache.
+LEAVES_AT_ONCE = 1 << 17
 #: Chunks a worker remembers before it starts anew, and the longest that is remembered.
-CACHE_CHUNKS, CACHE_CHUNK_CHARS = 800_000, 64
+CACHE_CHUNKS, CACHE_CHUNK_CHARS = 500_000, 64
 
 
 def pair_lookup(vocab: Vocab, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +140,13 @@ def lowered(text: str) -> str:
 
 
 def pre_tokens(vocab: Vocab, chunk: str) -> list[str]:
+    """The pre-tokens of a chunk. Letters only, after a space or not, are one by any of the patterns; a comma or stop after them is another."""
+    if chunk.isascii():
+        body = chunk[1:] if chunk[:1] == " " else chunk
+        if body.isalpha():
+            return [chunk.lower() if vocab.lowercase else chunk]
+        if body[-1:] in (",", ".") and body[:-1].isalpha():
+            return [chunk[:-1].lower() if vocab.lowercase else chunk[:-1], chunk[-1]]
     if vocab.lowercase:
         chunk = lowered(chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk))
     return vocab.pattern.findall(chunk)
@@ -173,13 +181,13 @@ class ChunkCache(dict):
 
     def learn(self, missing: Iterable[str]) -> dict[str, object]:
         """Encode chunks not yet known; returns those too long to keep."""
-        todo = list(missing)
+        todo, value = list(missing), self.value
         split = [pre_tokens(self.vocab, c) for c in todo]
         distinct = list({w for ws in split for w in ws})
         known = dict(zip(distinct, self.encode([w.encode("utf-8", "surrogatepass") for w in distinct]), strict=True))
         long = {}
         for c, ws in zip(todo, split, strict=True):
-            (self if len(c) <= CACHE_CHUNK_CHARS else long)[c] = self.value([known[w] for w in ws])
+            (self if len(c) <= CACHE_CHUNK_CHARS else long)[c] = value([known[w] for w in ws])
         return long
 
     def encode(self, words: list[bytes]) -> list[bytes]:
@@ -188,6 +196,7 @@ class ChunkCache(dict):
     def texts(self, texts: list[str]) -> Iterator[list]:
         """For each text the values of its chunks and special tokens, in order."""
         vocab, parted = self.vocab, []
+        gc.disable()  # nothing here makes cycles, and the collector would walk all these lists
         for text in texts:
             parts = vocab.special_split.split(text) if vocab.special_split and any(s in text for s in vocab.specials) else [text]
             parted.append([(p in vocab.specials and i % 2 == 1, p if i % 2 else chunks(vocab, p)) for i, p in enumerate(parts)])
@@ -197,8 +206,11 @@ class ChunkCache(dict):
                 if not special:
                     new.update(p)
         if len(self) > CACHE_CHUNKS:
+            held = {c: self[c] for c in new if c in self}  # what the current block uses stays
             self.clear()
+            self.update(held)
         long = self.learn(new.difference(self))
+        gc.enable()
         get = self.__getitem__ if not long else lambda c: long[c] if c in long else self[c]
         for parts in parted:
             if len(parts) == 1:

@@ -17,10 +17,11 @@ the more similar the sets are.
    similarity; the similarity of greatest likelihood must not lie more than six
    standard errors below the threshold.
 4. Verification on the full sets decides about every remaining pair.
-5. Members of a bucket that ended in different components are compared with
-   each other after all, except where their distances to the smallest member
-   differ too much (Jaccard distance is a metric), so no link between
-   different texts that share a bucket is lost.
+5. Members outside the component of another, random member of their bucket
+   are compared with that one; then members that still are in different
+   components are compared with each other, except where their distances to
+   the smallest member differ too much (Jaccard distance is a metric), so no
+   link between different texts that share a bucket is lost.
 
 Null and word-free texts have the empty set and are linked with nothing; a
 text of fewer words than a shingle is one shingle. Repeated rows fall into one
@@ -37,7 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regloom.llm.bpe import texts_of
@@ -164,17 +165,37 @@ def _likely(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, schema)
 
 
+#: Bits of the filter over candidates' keys: sixteen for each key, within these bounds (16 MB at most).
+FILTER_BITS = (1 << 16, 1 << 27)
+
+
+def _marked(wanted: DataFrame) -> tuple[int, object]:
+    """(bits, broadcast array of 64-bit words): a bit for each key's hash. It keeps
+    most other documents out of the exact join; whatever passes is joined."""
+    low, high = FILTER_BITS
+    bits = min(high, max(low, 1 << (16 * wanted.count()).bit_length()))
+    at = F.pmod(F.xxhash64("id"), F.lit(bits))
+    words = wanted.select(at.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("mark")).toArrow()
+    marks = np.zeros(bits >> 6, np.uint64)
+    marks[words["word"].to_numpy()] = words["mark"].to_numpy().view(np.uint64)
+    return bits, wanted.sparkSession.sparkContext.broadcast(marks)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame:
     """Rows (a, b, near, linked): the exact similarity of each pair on its full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
     kind = docs.schema[key].dataType.simpleString()
+    bits, marks = _marked(wanted)
 
     def sets(batches):
         for b in batches:
+            at = b.column("bit").to_numpy()
+            b = b.filter(pa.array((marks.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([shingle_set(t, rule.words).tobytes() for t in texts_of(b, "t")], pa.binary())], names=["id", "elements"])
 
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).join(wanted, "id", "left_semi")
-    full = written(texts.mapInArrow(sets, f"id {kind}, elements binary").dropDuplicates(["id"]), "sets")
+    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("t"), F.pmod(F.xxhash64(key), F.lit(bits)).alias("bit"))
+    candidates = texts.mapInArrow(sets, f"id {kind}, elements binary")
+    full = written(candidates.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "sets")
     side = lambda x: full.select(F.col("id").alias(x), F.col("elements").alias(f"s{x}"))
 
     def compare(batches):
@@ -212,10 +233,16 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text",
     shared = written(members.join(heads, "bucket").select("bucket", F.col("head.id").alias("a"), F.col("head.n").alias("na"), F.col("id").alias("b"), F.col("n").alias("nb")), "members")
     first = shared.where("a != b").where(fits).select("a", "b", "na", "nb").distinct()
     seen = written(_verified(written(_likely(first, classes, rule), "pairs"), docs, rule, text, key), "verified")
-    links = seen.where("linked").select("a", "b")
-    rest = _across_components(shared, seen, components(links), rule)
-    more = _verified(written(_likely(rest, classes, rule), "pairs"), docs, rule, text, key)
-    roots = components(links.unionByName(more.where("linked").select("a", "b")))
+    roots = components(seen.where("linked").select("a", "b"))
+    for pairs_of in (_other_heads, _across_components):
+        stars = written(roots, "stars")
+        pairs = written(_likely(pairs_of(_placed(shared, seen, stars), rule), classes, rule), "pairs")
+        if not pairs.take(1):
+            roots = stars
+            continue
+        more = _verified(pairs, docs, rule, text, key)
+        joined = stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        roots = components(joined.unionByName(more.where("linked").select("a", "b")))
     named = written(
         classes.select("class", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("class", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")),
         "named",
@@ -227,23 +254,42 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text",
     )
 
 
-def _across_components(shared: DataFrame, seen: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of one bucket in different components that are not yet compared and not too far apart.
+def _placed(shared: DataFrame, seen: DataFrame, roots: DataFrame) -> DataFrame:
+    """Bucket members with their component and their distance to the bucket's smallest member, where it is known."""
+    root = roots.select(F.col("node").alias("b"), "component")
+    known = seen.select("a", "b", (1 - F.col("near")).alias("far"))
+    placed = (
+        shared.join(root, "b", "left").withColumn("component", F.coalesce("component", "b")).join(known, ["a", "b"], "left")
+        .withColumn("far", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far")))
+    )
+    return written(placed.select("bucket", "a", "b", "nb", "component", "far"), "placed")
+
+
+def _sized(x: str, y: str, rule: Rule) -> Column:
+    return F.least(x, y) * 100 >= F.greatest(x, y) * rule.percent
+
+
+def _other_heads(placed: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of a random member of each bucket and the members outside its component.
+
+    Each class is in 32 buckets and so meets as many members of its group,
+    which joins nearly all of a large group of near copies.
+    """
+    heads = written(placed.groupBy("bucket").agg(F.min_by(F.struct("b", "nb", "component"), F.xxhash64("b", "bucket")).alias("x")), "heads")
+    met = placed.join(heads, "bucket").where(F.col("component") != F.col("x.component")).where(_sized("nb", "x.nb", rule))
+    return met.select(F.col("x.b").alias("a"), "b", F.col("x.nb").alias("na"), "nb").distinct()
+
+
+def _across_components(placed: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of one bucket that are still in different components and not too far apart.
 
     With d = 1 - similarity, |d(head, x) - d(head, y)| <= d(x, y), so a pair
     whose members' distances to the head of their bucket differ by more than
-    the gap 1 - percent / 100 can't be linked. A member that isn't in ``seen``
+    the gap 1 - percent / 100 can't be linked. A member without a known distance
     was ruled out by six standard errors; it is taken to be one and a half
     gaps from its head at least.
     """
     gap = 1 - rule.percent / 100
-    root = roots.select(F.col("node").alias("b"), "component")
-    known = seen.select("a", "b", (1 - F.col("near")).alias("far"))
-    placed = (
-        shared.join(root, "b", "left").withColumn("component", F.coalesce("component", "b")).join(known, ["a", "b"], "left")
-        .withColumn("far", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far")))
-    )
-    placed = written(placed.select("bucket", "a", "b", "nb", "component", "far"), "placed")
     mixed_buckets = written(
         placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket"), "mixed"
     )
@@ -253,6 +299,5 @@ def _across_components(shared: DataFrame, seen: DataFrame, roots: DataFrame, rul
     close = F.when(F.col("fx").isNull() & F.col("fy").isNull(), F.lit(True)).when(
         F.col("fx").isNull() | F.col("fy").isNull(), F.coalesce("fx", "fy") >= gap / 2
     ).otherwise(F.abs(F.col("fx") - F.col("fy")) <= gap + 1e-9)
-    sized = F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * rule.percent
-    pairs = x.join(y, "bucket").where("x < y and cx != cy").where(sized).where(close)
+    pairs = x.join(y, "bucket").where("x < y and cx != cy").where(_sized("nx", "ny", rule)).where(close)
     return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
