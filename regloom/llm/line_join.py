@@ -60,8 +60,18 @@ def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
     return docs.select(F.col(key).alias("did"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("lno", "line"))
 
 
+def _parity(hashes: str, shift: int) -> Column:
+    """64 bits: for each value of six bits of the hash whether an odd number of words has it.
+
+    The bits in which two sets' numbers differ are no more than the words that
+    only one of them has.
+    """
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int"))
+    return F.reduce(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
+
+
 def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per different line, as a table bucketed by ``lid``: (lid, first, n, keys, body).
+    """One row per different line, as a table bucketed by ``lid``: (lid, first, n, keys, odd0, odd1, body).
 
     keys are two numbers that very similar sets share with high probability.
     """
@@ -70,7 +80,7 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     one = rows.groupBy("lid").agg(F.min("first").alias("first"), F.min("line").alias("line"), F.max("line").alias("other"))
     ranked = one.where("line = other").select("lid", "first", normal(F.col("line")).alias("body")).select("lid", "first", "body", F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= min_words)
     keys = F.array(F.xxhash64(F.lit(0), F.slice("h", 1, 3)), F.xxhash64(F.lit(1), F.slice("h", -3, 3)))
-    kept = ranked.select("lid", "first", F.size("h").alias("n"), keys.alias("keys"), "body")
+    kept = ranked.select("lid", "first", F.size("h").alias("n"), keys.alias("keys"), _parity("h", 0).alias("odd0"), _parity("h", 6).alias("odd1"), "body")
     name = f"lines_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept.write.bucketBy(parts, "lid").option("path", f"{checkpoint_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
@@ -94,7 +104,14 @@ def _rare_first(body: Column, table: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """(lid) of the later line of every pair (x, y) that is similar."""
+    """(lid) of the later line of every pair (x, y) that is similar.
+
+    Similar sets differ in (nx + ny) * (100 - percent) / (100 + percent) words at
+    most, which the parities bound from below; the rest is counted exactly.
+    """
+    odd = lambda s: lines.select(F.col("lid").alias(s), F.col("n").alias(f"n{s}"), F.col("odd0").alias(f"p{s}"), F.col("odd1").alias(f"q{s}"))
+    differ = lambda c: F.bit_count(F.col(f"{c}x").bitwiseXOR(F.col(f"{c}y"))) * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent)
+    pairs = written(pairs.join(odd("x"), "x").join(odd("y"), "y").where(differ("p") & differ("q")).select("x", "y"), "pairs")
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("lid")).distinct()
     sets = written(lines.join(wanted, "lid", "left_semi").select("lid", "first", "n", "body"), "lines")
     side = lambda s: sets.select(F.col("lid").alias(s), F.col("first").alias(f"f{s}"), F.col("n").alias(f"n{s}"), F.col("body").alias(f"b{s}"))
