@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text",
     roots = components(seen.where("linked").select("a", "b"))
     for pairs_of in (_other_heads, _across_components):
         stars = written(roots, "stars")
-        pairs = written(_likely(pairs_of(_placed(shared, seen, stars), rule), classes, rule), "pairs")
+        pairs = written(_likely(pairs_of(_placed(shared, seen, stars, rule), rule), classes, rule), "pairs")
         if not pairs.take(1):
             roots = stars
             continue
@@ -254,15 +254,21 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text",
     )
 
 
-def _placed(shared: DataFrame, seen: DataFrame, roots: DataFrame) -> DataFrame:
-    """Bucket members with their component and their distance to the bucket's smallest member, where it is known."""
+def _placed(shared: DataFrame, seen: DataFrame, roots: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """Bucket members with their component and their distance to the bucket's smallest member (far) where it is known.
+
+    Elsewhere ``apart`` is a distance they have at least: the sizes' bound
+    1 - smaller / larger if the sizes alone ruled the pair out, and one and a
+    half gaps if the likelihood did, by six standard errors.
+    """
     root = roots.select(F.col("node").alias("b"), "component")
     known = seen.select("a", "b", (1 - F.col("near")).alias("far"))
+    apart = F.when(_sized("na", "nb", rule), 1.5 * (1 - rule.percent / 100)).otherwise(1 - F.least("na", "nb") / F.greatest("na", "nb"))
     placed = (
         shared.join(root, "b", "left").withColumn("component", F.coalesce("component", "b")).join(known, ["a", "b"], "left")
         .withColumn("far", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far")))
     )
-    return written(placed.select("bucket", "a", "b", "nb", "component", "far"), "placed")
+    return written(placed.select("bucket", "a", "b", "nb", "component", "far", F.when(F.col("far").isNull(), apart).alias("apart")), "placed")
 
 
 def _sized(x: str, y: str, rule: Rule) -> Column:
@@ -285,19 +291,18 @@ def _across_components(placed: DataFrame, rule: Rule) -> DataFrame:
 
     With d = 1 - similarity, |d(head, x) - d(head, y)| <= d(x, y), so a pair
     whose members' distances to the head of their bucket differ by more than
-    the gap 1 - percent / 100 can't be linked. A member without a known distance
-    was ruled out by six standard errors; it is taken to be one and a half
-    gaps from its head at least.
+    the gap 1 - percent / 100 can't be linked. Of a member without a known
+    distance only the least one (``apart``) is known.
     """
     gap = 1 - rule.percent / 100
     mixed_buckets = written(
         placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket"), "mixed"
     )
     open_ = placed.where("a != b").join(mixed_buckets, "bucket")
-    x = open_.select("bucket", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("component").alias("cx"), F.col("far").alias("fx"))
-    y = open_.select("bucket", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("component").alias("cy"), F.col("far").alias("fy"))
+    x = open_.select("bucket", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("component").alias("cx"), F.col("far").alias("fx"), F.col("apart").alias("ax"))
+    y = open_.select("bucket", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("component").alias("cy"), F.col("far").alias("fy"), F.col("apart").alias("ay"))
     close = F.when(F.col("fx").isNull() & F.col("fy").isNull(), F.lit(True)).when(
-        F.col("fx").isNull() | F.col("fy").isNull(), F.coalesce("fx", "fy") >= gap / 2
+        F.col("fx").isNull() | F.col("fy").isNull(), F.coalesce("ax", "ay") - F.coalesce("fx", "fy") <= gap + 1e-9
     ).otherwise(F.abs(F.col("fx") - F.col("fy")) <= gap + 1e-9)
     pairs = x.join(y, "bucket").where("x < y and cx != cy").where(_sized("nx", "ny", rule)).where(close)
     return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()

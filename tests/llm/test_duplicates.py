@@ -49,6 +49,30 @@ def test_large_family_of_near_copies(spark):
     assert got == want
 
 
+def test_member_too_short_for_its_head_meets_the_others(spark):
+    """Head 0 of 100 shingles, 97 of them in text 1 and 79 of these in text 2: 79 / 97 is a link, 79 / 100 is under the size filter."""
+    shared = spark.createDataFrame([(7, 0, 100, b, n) for b, n in ((0, 100), (1, 97), (2, 79), (3, 50))], "bucket long, a long, na long, b long, nb long")
+    seen = spark.createDataFrame([(0, 1, 0.97, True)], "a long, b long, near double, linked boolean")
+    stars = spark.createDataFrame([(1, 0)], "node long, component long")
+    pairs = setsketch._across_components(setsketch._placed(shared, seen, stars), setsketch.Rule())
+    assert {(r["a"], r["b"]) for r in pairs.collect()} == {(1, 2)}
+
+
+def test_truncated_copies_in_a_large_family(spark):
+    rnd = random.Random(5)
+    base, other = ([f"{c}{rnd.randint(0, 10**9)}" for _ in range(401)] for c in "wv")
+    texts = [base]
+    for _ in range(80):
+        words = list(base)
+        words[rnd.randrange(401)] = f"x{rnd.randint(0, 10**9)}"
+        texts.append(words)
+    texts += [base[:399], base[:320], other] + [other[: 4 * k + 1] for k in range(75, 100)]
+    rows = [(i, " ".join(t), "en", "s", 0, "", "") for i, t in enumerate(texts)]
+    want = near_components({r[0]: r[1] for r in rows}, 2, 80)
+    got = {r["doc_id"]: r["component_id"] for r in setsketch.near_duplicates(frame(spark, rows), setsketch.Rule(2, 80)).collect()}
+    assert got == want
+
+
 def test_near_duplicates_odd_keys(spark, rows):
     odd = [(None, *rows[0][1:]), (None, None, *rows[0][2:]), rows[0], rows[0]]
     got = setsketch.near_duplicates(frame(spark, odd)).collect()
