@@ -23,8 +23,10 @@ verification joins move pairs and not texts.
 
 Null texts are empty; a line of fewer than ``min_words`` different words is
 never removed, and neither is a line whose 64-bit hash meets that of another
-line. Rows that share a key are one document: the same line in the same place
-of both is not removed. Extra columns are passed through by ``drop_lines`` and
+line. Rows that share key and text are one document: the same line in the same
+place of both is not removed. Rows that share a key, or have none, but differ
+in text are different documents, ordered by line number and then by the text's
+hash. Extra columns are passed through by ``drop_lines`` and
 left aside otherwise. An empty table gives no rows.
 """
 from __future__ import annotations
@@ -55,9 +57,14 @@ def _hashes(body: Column) -> Column:
     return F.array_remove(F.array_distinct(F.transform(F.split(body, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
+def _row_id(text: str) -> Column:
+    """With the key, the identity of a document: rows that share a key but not a text are different documents."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(did, lno, line) of every line."""
-    return docs.select(F.col(key).alias("did"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("lno", "line"))
+    """(did, rid, lno, line) of every line."""
+    return docs.select(F.col(key).alias("did"), _row_id(text).alias("rid"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("lno", "line"))
 
 
 def _parity(hashes: str, shift: int) -> Column:
@@ -76,7 +83,7 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     keys are two numbers that very similar sets share with high probability.
     """
     spark = docs.sparkSession
-    rows = _lines(docs, text, key).select(F.xxhash64("line").alias("lid"), F.struct("did", "lno").alias("first"), "line")
+    rows = _lines(docs, text, key).select(F.xxhash64("line").alias("lid"), F.struct("did", "lno", "rid").alias("first"), "line")
     one = rows.groupBy("lid").agg(F.min("first").alias("first"), F.min("line").alias("line"), F.max("line").alias("other"))
     ranked = one.where("line = other").select("lid", "first", normal(F.col("line")).alias("body")).select("lid", "first", "body", F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= min_words)
     keys = F.array(F.xxhash64(F.lit(0), F.slice("h", 1, 3)), F.xxhash64(F.lit(1), F.slice("h", -3, 3)))
@@ -151,14 +158,14 @@ def repeated_lines(lines: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def line_flags(docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
-    """(did, removed array<boolean>): for each document whether each of its lines goes; one row per different key."""
+    """(did, rid, removed array<boolean>): for each document whether each of its lines goes; one row per different key and text."""
     lines = different_lines(docs, text=text, key=key, min_words=min_words)
     near = repeated_lines(lines, percent).withColumn("near", F.lit(True))
     judged = written(lines.select("lid", "first").join(near, "lid", "left").select("lid", "first", F.coalesce("near", F.lit(False)).alias("near")), "judged")
-    places = _lines(docs, text, key).select("did", "lno", F.xxhash64("line").alias("lid"))
-    goes = F.when(F.col("near").isNull(), F.lit(False)).otherwise(F.col("near") | ~F.col("first").eqNullSafe(F.struct("did", "lno")))
-    flagged = places.join(judged, "lid", "left").select("did", "lno", goes.alias("goes"))
-    return flagged.groupBy("did").agg(F.sort_array(F.collect_set(F.struct("lno", "goes"))).alias("all")).select("did", F.col("all.goes").alias("removed"))
+    places = _lines(docs, text, key).select("did", "rid", "lno", F.xxhash64("line").alias("lid"))
+    goes = F.when(F.col("near").isNull(), F.lit(False)).otherwise(F.col("near") | ~F.col("first").eqNullSafe(F.struct("did", "lno", "rid")))
+    flagged = places.join(judged, "lid", "left").select("did", "rid", "lno", goes.alias("goes"))
+    return flagged.groupBy("did", "rid").agg(F.sort_array(F.collect_set(F.struct("lno", "goes"))).alias("all")).select("did", "rid", F.col("all.goes").alias("removed"))
 
 
 def report(docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -172,9 +179,9 @@ def report(docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent:
 
 def drop_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with repeated lines taken out of their text; those left without any word go."""
-    flags = line_flags(docs, text=text, key=key, percent=percent, min_words=min_words).select(F.col("did").alias("_did"), F.col("removed").alias("_removed"))
+    flags = line_flags(docs, text=text, key=key, percent=percent, min_words=min_words).select(F.col("did").alias("_did"), F.col("rid").alias("_rid"), F.col("removed").alias("_removed"))
     kept = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x, i: ~F.get(F.col("_removed"), i))
-    joined = docs.join(flags, docs[key].eqNullSafe(flags["_did"]))
+    joined = docs.join(flags, docs[key].eqNullSafe(flags["_did"]) & (_row_id(text) == F.col("_rid")))
     cleaned = F.when(F.exists("_removed", lambda x: x), F.array_join(kept, "\n")).otherwise(F.col(text))
     gone = F.exists("_removed", lambda x: x) & ~F.col(text).rlike(r"[^\x20\x09-\x0D]")
     return joined.withColumn(text, cleaned).where(~F.coalesce(gone, F.lit(False))).select(*docs.columns)

@@ -130,6 +130,24 @@ def test_line_dedup_family(spark):
     assert got == removed_lines({r[0]: r[1] for r in rows})
 
 
+def test_line_dedup_null_and_shared_keys(spark):
+    """Key 1 has the line first; documents A and B have one key (none, or 5), and B's line 0 repeats it."""
+    old, own = "a line that was here before", "some other line of this document only"
+    for k in (None, 5):
+        a = "\n".join(["first words of document a alone", own + " a x y", "the end of a comes here"])
+        b = "\n".join([old, "what only b has to say in its second"])
+        head = -1 if k else None
+        docs = spark.createDataFrame([(head, old), (k, a), (k, b), (k, b)], "doc_id long, text string").repartition(3)
+        got = sorted((r["n_lines"], r["removed_lines"]) for r in line_join.report(docs).collect())
+        kept = [r["text"] for r in line_join.drop_lines(docs).collect()]
+        if k:
+            assert got == [(1, []), (2, [0]), (3, [])]
+            assert sorted(kept) == sorted([old, a, b.split("\n")[1], b.split("\n")[1]])
+        else:  # without keys, either place of the line may count as the first; the line stays once, the others untouched
+            assert sorted(n for n, _ in got) == [1, 2, 3] and sum(len(x) for _, x in got) == 1
+            assert a in kept and all(b.split("\n")[1] in x for x in kept if x not in (a, old))
+
+
 def test_pipeline_against_brute_force(spark, rows, tmp_path):
     some = [r[:5] for r in rows[:-1]] + [r[:5] for r in family(30)]
     some = [(i, *r[1:4], None if r[1] is None else len(r[1])) for i, r in enumerate(some)]
