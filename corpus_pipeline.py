@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one leave the texts; texts left without a word go, n_chars follows the text."""
     ensure_defaults(spark)
-    return line_join.drop_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return line_join.drop_lines(docs, min_words=1).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

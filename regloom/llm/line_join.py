@@ -21,9 +21,10 @@ a set with 100 * intersection >= percent * union.
 The different lines are a bucketed table in the shared folder, so that
 verification joins move pairs and not texts.
 
-Null texts are empty; a line of fewer than ``min_words`` different words is
-never removed, and neither is a line whose 64-bit hash meets that of another
-line. Rows that share key and text are one document: the same line in the same
+Null texts are empty; a line without a word is never removed. Sets so small
+that only an equal set is similar (up to three words at 80 percent) need no
+prefix join: equal sets form one group of copies, which step 3 settles.
+``min_words`` above 1 leaves lines of fewer different words alone. Neither is a line removed whose 64-bit hash meets that of another line. Rows that share key and text are one document: the same line in the same
 place of both is not removed. Rows that share a key, or have none, but differ
 in text are different documents, ordered by line number and then by the text's
 hash. Extra columns are passed through by ``drop_lines`` and
@@ -80,13 +81,15 @@ def _parity(hashes: str, shift: int) -> Column:
 def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per different line, as a table bucketed by ``lid``: (lid, first, n, keys, odd0, odd1, body).
 
-    keys are two numbers that very similar sets share with high probability.
+    keys are numbers that very similar sets share with high probability; a set of
+    up to three words has one key, which only equal sets share.
     """
     spark = docs.sparkSession
     rows = _lines(docs, text, key).select(F.xxhash64("line").alias("lid"), F.struct("did", "lno", "rid").alias("first"), "line")
     one = rows.groupBy("lid").agg(F.min("first").alias("first"), F.min("line").alias("line"), F.max("line").alias("other"))
-    ranked = one.where("line = other").select("lid", "first", normal(F.col("line")).alias("body")).select("lid", "first", "body", F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= min_words)
-    keys = F.array(F.xxhash64(F.lit(0), F.slice("h", 1, 3)), F.xxhash64(F.lit(1), F.slice("h", -3, 3)))
+    ranked = one.where("line = other").select("lid", "first", normal(F.col("line")).alias("body")).select("lid", "first", "body", F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= max(min_words, 1))
+    large = F.array(F.xxhash64(F.lit(0), F.slice("h", 1, 3)), F.xxhash64(F.lit(1), F.slice("h", -3, 3)))
+    keys = F.when(F.size("h") <= 3, F.array(F.xxhash64(F.lit(2), F.col("h")))).otherwise(large)
     kept = ranked.select("lid", "first", F.size("h").alias("n"), keys.alias("keys"), _parity("h", 0).alias("odd0"), _parity("h", 6).alias("odd1"), "body")
     name = f"lines_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -140,7 +143,8 @@ def repeated_lines(lines: DataFrame, percent: int = PERCENT) -> DataFrame:
     settled = written(_verified(families, lines, percent), "settled")
     # ceil(percent * n / 100) words must be shared with a set of n at least: prefix length n - that + 1.
     prefix = (F.col("n") - F.ceil(F.col("n") * share / 100) + 1).cast("int")
-    known = lines.join(settled.withColumn("settled", F.lit(True)), "lid", "left")
+    # A set of up to three words with 100 * n < percent * (n + 1) is similar to equal sets only, and those are settled.
+    known = lines.where((F.col("n") > 3) | (F.col("n") * 100 >= share * (F.col("n") + 1))).join(settled.withColumn("settled", F.lit(True)), "lid", "left")
     rows = known.select("lid", "n", F.coalesce("settled", F.lit(False)).alias("settled"), F.slice(_rare_first(F.col("body"), rarity(lines)), F.lit(1), prefix).alias("p"))
     # One number for size, position and state keeps the shuffled rows small.
     packed = (F.col("n") * F.lit(1 << 32) + F.col("at") * F.lit(2) + F.col("settled").cast("int")).cast("long")

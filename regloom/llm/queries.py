@@ -61,7 +61,7 @@ def op9_setsketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_join.report(read_table(spark, sf_dir, "documents"))
+    return line_join.report(read_table(spark, sf_dir, "documents"), min_words=1)
 
 
 QUERIES = {

@@ -130,6 +130,18 @@ def test_line_dedup_family(spark):
     assert got == removed_lines({r[0]: r[1] for r in rows})
 
 
+def test_line_dedup_of_short_lines(spark, tmp_path):
+    short = ["buy now", "Buy now", "now buy now buy", "buy", "BUY", "", " ", "one two three", "three two  one", "one two three four", "buy now today"]
+    rows = [(i, "\n".join([f"start{i}", *short[i % 3 :], f"{i} end", short[i]]), "", "", 0) for i in range(len(short))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    want = removed_lines({r[0]: r[1] for r in rows}, least=1)
+    assert {r["doc_id"]: r["removed_lines"] for r in line_join.report(docs, min_words=1).collect()} == want
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["removed_lines"] for r in QUERIES["op10_line_dedup"][0](spark, str(tmp_path)).collect()} == want
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()}
+    assert left == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in want[i]) for i, t, *_ in rows}
+
+
 def test_line_dedup_null_and_shared_keys(spark):
     """Key 1 has the line first; documents A and B have one key (none, or 5), and B's line 0 repeats it."""
     old, own = "a line that was here before", "some other line of this document only"
