@@ -283,13 +283,17 @@ EXTRACTOR_JOBS = {
 }
 
 
-def extract_facts(docs: DataFrame, text: str = "text", key: str = "source_key") -> DataFrame:
+def extract_facts(docs: DataFrame, text: str = "text", key: str = "source_key", *, every_source: bool = False) -> DataFrame:
     """All single-document extractors in one pass over a mixed results table.
 
     Every fact column is ``CASE WHEN source_key IN (...) THEN expr END``, so a
     row only pays for its own source's regexes and the table is scanned once.
+    ``every_source`` adds the FCSO page's codes and texts, the handbook's flags
+    (``handbook_rollup`` sums them up) and, where the input has ``sections``,
+    the eCFR section count. The NCCI sources' facts are tables: operators.ncci.
     """
     k = F.col(key)
+    fcso, handbook = (k == "fl_mac_fcso_otp", k == "fl_ahca_cbh_handbook") if every_source else (F.lit(False), F.lit(False))
     raw = F.col(text)
     stripped = strip_template(raw)
     mco = k.isin("sunshine_provider_manual", "simply_provider_resources")
@@ -308,18 +312,29 @@ def extract_facts(docs: DataFrame, text: str = "text", key: str = "source_key")
         F.when(is_ch39, weekly_min_services(t)).alias("weekly_bundle_min_services"),
         F.when(is_ch17, iop_threshold(t)).alias("iop_threshold_services"),
         F.when(is_ch17, iop_window(t)).alias("iop_window_days"),
-        F.when(k.isin(cms), cms_g_codes(t)).alias("g_codes_mentioned"),
+        F.when(k.isin(cms), cms_g_codes(t)).when(fcso, any_g_codes(t)).alias("g_codes_mentioned"),
         F.when(k == "cms_mln_otp_booklet", mentions_take_home(t)).alias("mentions_take_home"),
         F.when(k == "samhsa_tip_63", polysubstance_hits(t)).alias("polysubstance_hits"),
         F.when(k == "cdc_icd10_z_codes", z).alias("sdoh_z_codes_found"),
         F.when(k == "cdc_icd10_z_codes", F.size(z)).alias("z_code_count"),
         F.when(sun, f11).alias("f11_dx_codes_referenced"),
-        F.when(sun, h).alias("h_codes_referenced"),
+        F.when(sun | handbook, h).alias("h_codes_referenced"),
         F.when(sun, requires_dx(f11, h)).alias("requires_dx_with_h_codes"),
         F.when(k == "simply_provider_resources", mins).alias("counseling_time_thresholds_minutes"),
         F.when(k == "simply_provider_resources", F.array_min(mins)).alias("min_counseling_threshold_minutes"),
-        F.when(k.isin(excerpt_keys), excerpt(t)).alias("raw_excerpt"),
-        F.when(k.isin(full_keys), t).alias("full_text"),
+        F.when(k.isin(excerpt_keys) | fcso, excerpt(t)).when(handbook, excerpt(t, HANDBOOK_EXCERPT_CHARS)).alias("raw_excerpt"),
+        F.when(k.isin(full_keys) | fcso | handbook, t).alias("full_text"),
+        *(
+            [
+                F.when(handbook, F.length(t)).alias("char_count"),
+                F.when(handbook, hf_flag(t)).alias("mentions_HF_modifier"),
+                F.when(handbook, pos58_flag(t)).alias("mentions_POS_58"),
+                F.when(handbook, hd_hg_flag(t)).alias("mentions_HD_HG_pair"),
+            ]
+            if every_source
+            else []
+        ),
+        *([F.when((k == "ecfr_42_part_8") & F.col("sections").isNotNull(), F.size("sections")).alias("section_count")] if every_source and "sections" in docs.columns else []),
     )
 
 

@@ -20,8 +20,9 @@ CH39, CH17, FCSO = "cms_pub_100_04_ch39", "cms_pub_100_02_ch17", "fl_mac_fcso_ot
 
 def matrix_results(documents: DataFrame, keep_text: bool = False) -> DataFrame:
     """Scrape results with typed facts, derived from fx_results."""
-    fx = FX.fx_results(documents)
-    t, k = F.col("text"), F.col("source_key")
+    fx = FX.fx_results(documents).withColumnRenamed("iop_threshold_services", "_iop").withColumn("_body", F.col("text"))
+    fx = X.extract_facts(fx, "_body", every_source=True)
+    t = F.col("text")
     return fx.select(
         *(["text"] if keep_text else []),
         "result_ord",
@@ -31,10 +32,10 @@ def matrix_results(documents: DataFrame, keep_text: bool = False) -> DataFrame:
         F.sha2(t, 256).alias("content_sha256"),
         F.when(F.col("warning") != "", F.array("warning")).otherwise(F.array().cast("array<string>")).alias("warnings"),
         F.col("parsed_is_empty").alias("parsed_empty"),
-        F.when(k == CH39, X.weekly_min_services(t)).alias("weekly_bundle_min_services"),
-        F.when(k == CH39, X.cms_g_codes(t)).when(k == FCSO, X.any_g_codes(t)).alias("g_codes_mentioned"),
-        F.col("iop_threshold_services").cast("bigint").alias("iop_threshold_services"),
-        F.when(F.col("iop_threshold_services").isNotNull(), F.lit(7)).alias("iop_window_days"),
+        F.col("weekly_bundle_min_services"),
+        F.col("g_codes_mentioned"),
+        F.col("_iop").cast("bigint").alias("iop_threshold_services"),
+        F.when(F.col("_iop").isNotNull(), F.lit(7)).alias("iop_window_days"),
     )
 
 

@@ -25,11 +25,10 @@ def report_results(documents: DataFrame) -> DataFrame:
     res = matrix_results(documents, keep_text=True)
     k, t = F.col("source_key"), F.col("text")
     parsed = ~RP.failed(F.col("warnings")) & ~F.col("parsed_empty")
-    g = F.when(k.isin(CH39, CH17, MLN), X.cms_g_codes(t)).when(k == FCSO, X.any_g_codes(t))
     return res.select(
         "result_ord", "source_key", "source_name", "fetched_at", "content_sha256", "warnings",
         F.when(parsed & (k == ECFR), F.size(F.split(F.coalesce(t, F.lit("")), "\n"))).alias("section_count"),
-        F.when(parsed, g).alias("g_codes_mentioned"),
+        F.when(parsed, F.col("g_codes_mentioned")).alias("g_codes_mentioned"),
         F.when(parsed, X.doc_label(k)).otherwise(F.lit("")).alias("doc_label"),
     )
 

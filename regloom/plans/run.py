@@ -55,7 +55,7 @@ def with_facts(results: DataFrame) -> DataFrame:
     base = results if "sections" in results.columns else results.withColumn(
         "sections", F.lit(None).cast("array<struct<id:string,label:string,text:string>>")
     )
-    facts = X.extract_facts(base)
+    facts = X.extract_facts(base, every_source=True)
     bad = failed(F.col("warnings"))
     return facts.withColumn("parsed_empty", bad)
 
@@ -94,6 +94,8 @@ def run(
     # pipeline feeds engine-1 sources only, available as engine1_only.
     e1 = stored.filter(F.col("engine") == "engine1") if engine1_only else stored
     rules = M.build_rules(e1, edits)
+    handbooks = stored.filter((F.col("source_key") == "fl_ahca_cbh_handbook") & ~F.col("parsed_empty"))
+    sinks.write_json(X.handbook_rollup(handbooks), f"{root}/runs/{run_id}/handbook_rollup")
     cand_path = sinks.write_json(rules, f"{root}/runs/{run_id}/candidate_rules")
     cand = spark.read.json(cand_path, schema=rules.schema)
 

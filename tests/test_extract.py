@@ -102,6 +102,18 @@ def test_extract_facts_single_pass(spark):
     assert f[5].raw_excerpt is None and f[5].g_codes_mentioned is None
 
 
+def test_facts_of_every_source(spark):
+    from regloom.plans.run import with_facts
+
+    rows = [(0, "fl_mac_fcso_otp", "G2067 and G2215"), (1, "fl_ahca_cbh_handbook", "H0020 with modifier HF at POS 58"), (2, "ecfr_42_part_8", "x")]
+    df = spark.createDataFrame([(*r, []) for r in rows], "result_ord int, source_key string, text string, warnings array<string>")
+    facts = with_facts(df)
+    f = {r.result_ord: r for r in facts.collect()}
+    assert f[0].g_codes_mentioned == ["G2067", "G2215"] and f[0].full_text == rows[0][2]
+    assert f[1].mentions_HF_modifier and f[1].mentions_POS_58 and not f[1].mentions_HD_HG_pair and f[1].h_codes_referenced == ["H0020"]
+    assert f[0].mentions_HF_modifier is None and "section_count" in facts.columns
+
+
 def test_handbook_rollup(spark):
     rows = [("a", "modifier HF at POS 58"), ("a", "nothing"), ("b", "HG then HD")]
     hb = X.handbook_facts(spark.createDataFrame(rows, "source_key string, text string"))
