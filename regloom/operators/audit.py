@@ -200,8 +200,17 @@ def claim_line_checks(claims: DataFrame) -> DataFrame:
     return findings_one_pass(claims, [_pos_spec(), _hf_spec(), _sequence_spec(), _dx_spec()])
 
 
+def standard_codes(claims: DataFrame) -> DataFrame:
+    """A12 (R-FLMAC-01, block_standard_hcpcs): lines without a G-code on an OTP
+    claim, which is one that bills a code of G2067 to G2079."""
+    otp = claims.filter(F.col("code").isin(BUNDLE_CODES)).select("claim_id").distinct()
+    bad = claims.filter(~F.col("code").rlike("^G[0-9]{4}$")).join(otp, "claim_id", "left_semi")
+    return finding(bad, "R-FLMAC-01", _claim_key(), F.col("service_date"), F.concat(F.lit("standard code="), F.col("code")))
+
+
 def payer_blocker(claims: DataFrame, allowed: DataFrame) -> DataFrame:
-    """A12 (R-FLMAC-01): G-code lines whose code is not in the allowed list.
+    """A12 (R-FLMAC-01): G-code lines whose code is not in the allowed list;
+    ``standard_codes`` is the rule's other half.
 
     ``allowed`` (code) comes from the rule's enforce list; an empty list
     reports nothing (the semi join keeps no rows).
@@ -375,9 +384,23 @@ def run_audits(
     vault: DataFrame | None = None,
     pairs: DataFrame | None = None,
     allowed_g_codes: DataFrame | None = None,
+    *,
+    admissions: DataFrame | None = None,
+    requests: DataFrame | None = None,
+    narratives: DataFrame | None = None,
+    intakes: DataFrame | None = None,
+    required_fields: Sequence[str] = (),
+    eligibility: DataFrame | None = None,
+    plans: DataFrame | None = None,
+    as_of: str | None = None,
+    patient_region: DataFrame | None = None,
+    routing: DataFrame | None = None,
+    sessions: DataFrame | None = None,
 ) -> DataFrame:
-    """Every check whose inputs are given, as one findings table, federal first.
+    """Every check (A1-A20) whose inputs are given, as one findings table, federal first.
 
+    ``intakes`` need ``required_fields``; ``eligibility`` (30 days) and ``plans``
+    (14 days) need ``as_of``; ``patient_region`` and ``routing`` go together.
     Each check is its own narrow/aggregate plan; the union adds no shuffle."""
     parts: list[DataFrame] = []
     if claims is not None:
@@ -385,11 +408,32 @@ def run_audits(
         if pairs is not None:
             parts.append(same_day_pairs(claims, pairs))
         if allowed_g_codes is not None:
-            parts.append(payer_blocker(claims, allowed_g_codes))
+            parts += [payer_blocker(claims, allowed_g_codes), standard_codes(claims)]
+        if patient_region is not None and routing is not None:
+            parts.append(regional_modifier(claims, patient_region, routing))
     if visits is not None:
         parts += [dosing_counseling_ratio(visits), pdmp_gate(visits)]
     if vault is not None:
         parts.append(vault_reconciliation(vault))
+    if admissions is not None:
+        parts.append(admission_eligibility(admissions))
+    if requests is not None:
+        parts.append(takehome_checks(requests))
+    if narratives is not None:
+        parts.append(counseling_minimum(narratives))
+    if intakes is not None:
+        if not required_fields:
+            raise ValueError("intakes need required_fields")
+        parts.append(intake_fields(intakes, required_fields))
+    for records, rule_id, days in ((eligibility, "R-FASAMS-02", 30), (plans, "R-TPLAN-01", 14)):
+        if records is not None:
+            if as_of is None:
+                raise ValueError(f"{rule_id} needs as_of")
+            parts.append(expiry_warning(records, rule_id, as_of, days))
+    if sessions is not None:
+        parts.append(credentialing(sessions))
+    if (patient_region is None) != (routing is None) or (routing is not None and claims is None):
+        raise ValueError("R-MSO-01 needs claims, patient_region and routing")
     if not parts:
         raise ValueError("no audit inputs given")
     out = parts[0]

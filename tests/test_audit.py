@@ -112,3 +112,32 @@ def test_run_audits_orders_federal_first(spark):
     other = [i for i, r in enumerate(out) if not r.startswith("R-FED-")]
     assert not fed or not other or max(fed) < min(other)
     assert {"R-FL-02", "R-NCCI", "R-FLMAC-01"} <= set(out)
+
+
+def test_run_audits_reaches_every_check(spark):
+    day, old = dt.date(2024, 1, 10), dt.date(2023, 12, 1)
+    df = spark.createDataFrame
+    claims = df([
+        (1, 0, 1, day, "G2067", None, "", "Z1"), (1, 1, 1, day, "99213", "11", "", "Z1"), (2, 0, 2, day, "H0020", "11", "", "Z1"), (2, 1, 2, day, "80305", "11", "", "Z1"),
+        (3, 0, 3, day, "G0137", None, "", ""), (4, 0, 4, day, "G2215", None, "", ""), (5, 0, 5, day, "G2068", None, "", ""),
+    ], CLAIMS)
+    visits = df([(1, 1, day, "DOSING", dt.datetime(2024, 1, 10)), (2, 1, day, "PRESCRIBE", dt.datetime(2024, 1, 10))], "event_id long, patient_id long, service_date date, kind string, ts timestamp")
+    found = A.run_audits(
+        claims, visits, df([(1, day, 9, 1, 0, 0)], "vault_id long, day date, physical_count long, received long, dispensed long, wasted long"),
+        df([("H0020", "80305")], "column1 string, column2 string"), df([("G2067",)], "code string"),
+        admissions=df([(1, day, old, [])], "patient_id long, admission_date date, history_start date, exceptions array<string>"),
+        requests=df([(1, day, 3, 9, False, None)], "request_id long, request_date date, days_in_treatment int, requested_days int, assessment_signed boolean, stable_home boolean"),
+        narratives=df([(1, "a 5 minute counseling session")], "record_id long, text string"),
+        intakes=df([(1, None)], "record_id long, employment string"), required_fields=["employment"],
+        eligibility=df([(1, day)], "record_id long, expiry_date date"), plans=df([(2, day)], "record_id long, expiry_date date"), as_of="2024-01-09",
+        patient_region=df([(2, "north")], "patient_id long, region string"), routing=df([("north", "N1")], "region string, modifier string"),
+        sessions=df([(1, day, False, None)], "session_id long, service_date date, licensed boolean, supervisor_id long"),
+    ).collect()
+    expected = {f"R-FED-0{i}" for i in range(2, 7)} | {f"R-FL-0{i}" for i in range(2, 6)} | {
+        "R-SUNSHINE-01", "R-NCCI", "R-FLMAC-01", "R-SIMPLY-01", "R-FASAMS-01", "R-FASAMS-02", "R-MSO-01", "R-PDMP-01", "R-CRED-01", "R-TPLAN-01"
+    }
+    assert expected | {"R-FED-01"} == {r.rule_id for r in found}
+    # 99213 shares claim 1 with a bundle code; G2215 and G2068 are not listed; claim 2 is no OTP claim.
+    assert {(r.record_key, r.detail) for r in found if r.rule_id == "R-FLMAC-01"} == {
+        ("1:1", "standard code=99213"), ("3:0", "code=G0137"), ("4:0", "code=G2215"), ("5:0", "code=G2068")
+    }
