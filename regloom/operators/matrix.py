@@ -100,10 +100,12 @@ def guard(results: DataFrame) -> DataFrame:
     return results.filter(~failed & ~F.coalesce(F.col("parsed_empty"), F.lit(False)))
 
 
-def template_rules(results: DataFrame) -> DataFrame:
-    """M1, M2, M7-M10, M12-M19 for the results that pass the guard."""
+def template_rules(results: DataFrame, max_h_codes: int | None = None) -> DataFrame:
+    """M1, M2, M7-M10, M12-M19 for the results that pass the guard; ``max_h_codes`` bounds R-SUNSHINE-01's scope."""
     spark = results.sparkSession
     usable = ensure_facts(guard(results))
+    if max_h_codes is not None:
+        usable = usable.withColumn("h_codes_referenced", F.slice("h_codes_referenced", 1, max_h_codes))
     joined = usable.join(F.broadcast(template_table(spark)), "source_key")
     rid = F.col("rule_id")
     message = _switch(rid, [(t.rule_id, message_column(t)) for t in TEMPLATES])
@@ -157,13 +159,13 @@ def check_messages(rules: DataFrame) -> DataFrame:
     return rules.withColumn("friendly_message", F.coalesce(ok.cast("string"), F.col("friendly_message")))
 
 
-def build_rules(results: DataFrame, edits: DataFrame | None = None, *, numbered: bool = True) -> DataFrame:
+def build_rules(results: DataFrame, edits: DataFrame | None = None, *, numbered: bool = True, max_h_codes: int | None = None) -> DataFrame:
     """M4: federal first, then input order, then builder order, then edit order.
 
     Output: rule_ord (0-based, contiguous) + RULE_COLUMNS. ``numbered=False``
     skips the numbering for callers that only count or group the rules.
     """
-    rules = template_rules(results)
+    rules = template_rules(results, max_h_codes)
     if edits is not None:
         rules = rules.unionByName(ncci_rules(results, edits))
     rules = check_messages(rules)

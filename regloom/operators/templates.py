@@ -209,7 +209,7 @@ TEMPLATES: tuple[Template, ...] = (
             ("required_dx_prefix", "F11.2"),
             (
                 "h_codes_in_scope",
-                Expr("slice(coalesce(h_codes_referenced, array()), 1, 25)", "list_slice(coalesce(h_codes_referenced, []::varchar[]), 1, 25)"),
+                Expr("coalesce(h_codes_referenced, array())", "list_slice(coalesce(h_codes_referenced, []::varchar[]), 1, 25)"),
             ),
         ),
         condition=Expr("coalesce(requires_dx_with_h_codes, false)"),

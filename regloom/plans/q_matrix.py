@@ -76,7 +76,7 @@ from rules""",
     ),
 )
 def q_rule_matrix(spark, sf_dir):
-    return M.build_rules(matrix_results(Tables(spark, sf_dir).documents))
+    return M.build_rules(matrix_results(Tables(spark, sf_dir).documents), max_h_codes=25)  # as in the SQL
 
 
 @register(
