@@ -4,15 +4,19 @@ Each applies its operator with production parameters to its whole table.
 """
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import backoff, bpe, chat, kd_shards, line_join, order_minhash, packing, repetition, setsketch, token_count
+from regloom.llm import alignment, backoff, bpe, chat, kd_shards, line_join, order_minhash, packing, repetition, setsketch, spellings, token_count, token_files
+from regloom.session import checkpoint_dir
 from regloom.sources.tables import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Tokens that fit a training sequence.
 CONTEXT = 1024
 
@@ -64,6 +68,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_join.report(read_table(spark, sf_dir, "documents"), min_words=1)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write(read_table(spark, sf_dir, "documents"), BYTE_BPE, folder)
+    return token_files.digests(token_files.read(spark, folder))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(read_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_order_minhash": (op2_order_minhash, None),
@@ -75,4 +93,7 @@ QUERIES = {
     "op8_quality_rules": (op8_quality_rules, None),
     "op9_setsketch_near_duplicates": (op9_setsketch_near_duplicates, None),
     "op10_line_dedup": (op10_line_dedup, None),
+    "op11_token_files": (op11_token_files, None),
+    "op12_token_alignment": (op12_token_alignment, None),
+    "op13_spelling_variants": (op13_spelling_variants, None),
 }
