@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -111,13 +112,13 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 
 def _aligned(texts: list[str], a_path: str, b_path: str) -> list[pa.ListArray]:
     names = a_bytes(a_path), b_bytes(b_path)
-    sides = list(libraries.encode_bytes(a_path, [" " + t for t in texts], True)), list(libraries.encode_pieces(b_path, texts))
+    sides = [x.tolist() for x in libraries.encode_bytes(a_path, [" " + t for t in texts], True)], list(libraries.encode_pieces(b_path, texts))
     for k, t in enumerate(texts):
         want = b" " + t.encode("utf-8", "surrogatepass")
         if not t or any(b"".join(map(n.__getitem__, s[k])) != want for n, s in zip(names, sides, strict=True)):
             sides[0][k] = sides[1][k] = []
     counts = [np.fromiter(map(len, s), np.int64, len(s)) for s in sides]
-    ids = [np.fromiter((i for x in s for i in x), np.int64, int(n.sum())) for s, n in zip(sides, counts, strict=True)]
+    ids = [np.fromiter(itertools.chain.from_iterable(s), np.int64, int(n.sum())) for s, n in zip(sides, counts, strict=True)]
     ends = [np.cumsum(_sizes(p, k)[x]) for p, k, x in zip((a_path, b_path), "ab", ids, strict=True)]
     spans = [x for e in ends for x in (np.concatenate(([0], e[:-1])) if len(e) else e, e)]
     groups = coalesce(*spans)
@@ -151,9 +152,10 @@ def _flat(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
 
 def link_counts(aligned: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Rows (a, b, n): how many links of the whole corpus hold each id pair; one row per pair and task is shuffled."""
+    shared = aligned.sparkSession.sparkContext.broadcast(possible_links(a_path, b_path))
 
     def run(batches):
-        codes = possible_links(a_path, b_path)
+        codes = shared.value
         total = np.zeros(len(codes), np.int64)
         for batch in batches:
             (a_ids, _), (b_ids, _) = _flat(batch, "a_ids"), _flat(batch, "b_ids")

@@ -7,27 +7,34 @@ they do in the whole text.
 from __future__ import annotations
 
 import functools
-import os
 from collections.abc import Iterator
 
+import numpy as np
 import regex
 
+from regloom.llm.vocab import load
+
 #: Code points after which a text is cut at the next place where a new pre-token always starts.
 PIECE_CHARS = 1 << 18
 _CUT = regex.compile(r"(?<=\S)(?= \S)")
 
 
 @functools.lru_cache(maxsize=4)
-def byte_tokenizer(path: str, plain_specials: bool = False):
-    """A tokenizers library instance without truncation and padding; ``plain_specials``: special strings are ordinary text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+def byte_tokenizer(path: str):
+    """The byte-level vocabulary of a tokenizers file with its special tokens, merged by tiktoken's core.
+
+    Such a file numbers its tokens in merge order, so that a token's id is its
+    rank, and splits by the pattern of the rank files. The ids are those of
+    the tokenizers library (tests hold both against each other), which takes
+    four times as long.
+    """
+    import tiktoken
 
-    t = Tokenizer.from_file(path)
-    t.no_truncation()
-    t.no_padding()
-    t.encode_special_tokens = plain_specials
-    return t
+    vocab = load(path)
+    if vocab.drop_unmatched or vocab.lowercase:
+        raise ValueError("not a byte-level vocabulary")
+    ranks = {vocab.word_bytes(t): i for i, t in vocab.tokens.items() if t not in vocab.specials}
+    return tiktoken.Encoding(path, pat_str=vocab.pattern.pattern, mergeable_ranks=ranks, special_tokens=dict(vocab.specials))
 
 
 @functools.lru_cache(maxsize=4)
@@ -55,13 +62,12 @@ def cut(text: str, most: int = PIECE_CHARS) -> list[str]:
     return [*out, text[lo:]]
 
 
-def encode_bytes(path: str, texts: list[str], plain_specials: bool = False) -> Iterator[list[int]]:
-    """Ids of each text by the tokenizers library, without added special tokens."""
-    t = byte_tokenizer(path, plain_specials)
-    parts = [cut(x) for x in texts]
-    found = iter(t.encode_batch_fast([p for ps in parts for p in ps], add_special_tokens=False))
-    for ps in parts:
-        yield next(found).ids if len(ps) == 1 else [i for _ in ps for i in next(found).ids]
+def encode_bytes(path: str, texts: list[str], plain_specials: bool = False) -> Iterator[np.ndarray]:
+    """Ids of each text as the tokenizers library gives them, without added special tokens; ``plain_specials``: their strings are ordinary text."""
+    t, allowed = byte_tokenizer(path), set() if plain_specials else "all"
+    for x in texts:
+        parts = [t.encode_to_numpy(p, allowed_special=allowed, disallowed_special=()) for p in cut(x)]
+        yield parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def encode_pieces(path: str, texts: list[str]) -> Iterator[list[int]]:

@@ -12,6 +12,9 @@ A folder holds two tables:
            pages that hold them, and a read of metadata no ids at all.
 ``parts``  one row per task: its first id's number, its ids and documents.
 
+Ids are those of the tokenizers library with add_special_tokens=False, special
+strings inside a text counting as one token.
+
 Texts are put in key order with one range shuffle, encoded where they are
 written, and never held together: a task's memory is one batch of texts. Rows
 of one key (null keys, a hot key) are spread by the hash of their text and
@@ -45,17 +48,18 @@ END_ID = 2
 
 def _encoded(docs: DataFrame, path: str, text: str, key: str, end_id: int) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
-    names = [key, "part", "at", "n_tokens", "ids"]
+    names, end = [key, "part", "at", "n_tokens", "ids"], np.array([end_id], np.uint32)
 
     def run(batches):
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
             done = 0
             for block in bpe.blocks(bpe.texts_of(b, text)):
-                rows = [np.array([*ids, end_id], np.int32) for ids in libraries.encode_bytes(path, block)]
-                n = np.fromiter(map(len, rows), np.int64, len(rows))
+                rows = list(libraries.encode_bytes(path, block))
+                n = np.fromiter(map(len, rows), np.int64, len(rows)) + 1
                 ends = np.concatenate(([0], np.cumsum(n)))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows)))
+                ids = np.concatenate([x for r in rows for x in (r, end)]).view(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
                 cols = [pa.array(np.full(len(n), part, np.int32)), pa.array(at + ends[:-1]), pa.array(n), lists]
                 yield pa.RecordBatch.from_arrays([b.column(key).slice(done, len(n)), *cols], names=names)
                 at, done = at + int(ends[-1]), done + len(n)

@@ -93,6 +93,19 @@ def test_long_texts_are_cut_without_a_trace(rows):
             assert [i for k, p in enumerate(parts) for i in sp.encode(p[1:] if k else p)] == sp.encode(t)
 
 
+def test_ids_are_those_of_the_tokenizers_library(rows):
+    import random
+
+    rnd = random.Random(2)
+    library = Tokenizer.from_file(BYTE_BPE)
+    odd = ["<|endoftext|>", "<|endoftext|", "'ll", "'S", " ", "  ", "\t", "\n", "\r\n", "\u00a0", "\u2028", "\u0301", "\u200d", "é", "ß", "ẞ", "中", "文字", "½", "٣", "🎉", "👩‍👧", "a", "B", "12", "_", "--", "\x00", "\x1f", "\ufffd", "\U0010ffff"]
+    texts = [r[1] or "" for r in rows] + ["".join(rnd.choice(odd) for _ in range(rnd.randint(1, 30))) for _ in range(4000)]
+    texts += ["".join(chr(rnd.choice([rnd.randrange(32, 0xD800), rnd.randrange(0xE000, 0x110000)])) for _ in range(50)) for _ in range(300)]
+    assert [x.tolist() for x in libraries.encode_bytes(BYTE_BPE, texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    library.encode_special_tokens = True
+    assert [x.tolist() for x in libraries.encode_bytes(BYTE_BPE, texts, True)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 # operator 12
 
 
