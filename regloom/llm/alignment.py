@@ -26,6 +26,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -136,13 +137,28 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text", key:
     def run(batches):
         for b in batches:
             done = 0
-            for block in bpe.blocks(bpe.texts_of(b, text)):
+            for block in libraries.blocks(bpe.texts_of(b, text)):
                 yield pa.RecordBatch.from_arrays([b.column(key).slice(done, len(block)), *_aligned(block, a_path, b_path)], names=[key, *LISTS])
                 done += len(block)
 
     return docs.select(key, text).mapInArrow(run, f"{key} {kind}, " + ", ".join(f"{c} array<int>" for c in LISTS))
 
 
+#: Tokens of one side that are worked on together.
+TOKENS_AT_ONCE = 1 << 17
+
+
+def _parts(batches) -> Iterator[pa.RecordBatch]:
+    """Slices of rows with about TOKENS_AT_ONCE A tokens (at least one row)."""
+    for b in batches:
+        ends = b.column("a_ids").offsets.to_numpy()
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + TOKENS_AT_ONCE, side="right")) - 1)
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
 def _flat(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
     """(values, lengths) of a list column."""
     lists = batch.column(column)
@@ -157,7 +173,7 @@ def link_counts(aligned: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches):
         codes = shared.value
         total = np.zeros(len(codes), np.int64)
-        for batch in batches:
+        for batch in _parts(batches):
             (a_ids, _), (b_ids, _) = _flat(batch, "a_ids"), _flat(batch, "b_ids")
             a, b = links(a_ids, b_ids, a_path, b_path)
             total += np.bincount(np.searchsorted(codes, a_ids[a] << 32 | b_ids[b]), minlength=len(codes))
@@ -190,7 +206,7 @@ def scores(aligned: DataFrame, counts: DataFrame, a_path: str, b_path: str, *, k
         codes, number, best = shared.value
         size = max(len(a_bytes(a_path)), len(b_bytes(b_path)))
         comma, bar, semicolon = _written_ids(size)
-        for batch in batches:
+        for batch in _parts(batches):
             (a_ids, n_a), (b_ids, n_b), (a_sizes, n_groups), (b_sizes, _) = (_flat(batch, c) for c in LISTS)
             a, b = links(a_ids, b_ids, a_path, b_path)
             row = np.repeat(np.arange(len(n_a)), n_a)[a]

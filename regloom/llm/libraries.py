@@ -62,6 +62,18 @@ def cut(text: str, most: int = PIECE_CHARS) -> list[str]:
     return [*out, text[lo:]]
 
 
+def blocks(texts: list[str], most: int = PIECE_CHARS) -> Iterator[list[str]]:
+    """Consecutive texts of together about ``most`` code points (at least one text)."""
+    lo = n = 0
+    for hi, t in enumerate(texts, 1):
+        n += len(t)
+        if n >= most:
+            yield texts[lo:hi]
+            lo, n = hi, 0
+    if lo < len(texts):
+        yield texts[lo:]
+
+
 def encode_bytes(path: str, texts: list[str], plain_specials: bool = False) -> Iterator[np.ndarray]:
     """Ids of each text as the tokenizers library gives them, without added special tokens; ``plain_specials``: their strings are ordinary text."""
     t, allowed = byte_tokenizer(path), set() if plain_specials else "all"
