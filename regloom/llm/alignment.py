@@ -9,11 +9,12 @@ expanded to pairs, as many as the tokens of both at most; the pairs that end
 together are the links.
 
 ``align`` returns the alignment itself: ids of both sides and the number of
-tokens of each group. ``link_counts`` counts linked id pairs over all texts:
-every task counts its own, Spark adds them up. Two tokens that end together
-are suffixes of one another, so the possible pairs are found in the two
-vocabularies beforehand, a few hundred thousand whatever the data; the count
-table is therefore small enough for every worker, which ``scores`` uses.
+tokens of each group. ``alignment_report`` makes the same alignments, keeps
+their digests and links, counts linked id pairs over all texts and scores each
+text's links by those counts. Of two tokens that end together one ends the
+other, so the possible pairs are found in the two vocabularies beforehand, a
+few hundred thousand whatever the data: a link is a number of that table, and
+the counts are small enough for every worker.
 
 A text that is null, empty, or does not come back byte for byte from either
 side's tokens has none: empty lists, no groups. Repeated rows and null keys are
@@ -26,7 +27,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from regloom.llm.vocab import load
 from regloom.session import written
 
 LISTS = ["a_ids", "b_ids", "a_sizes", "b_sizes"]
+LONGS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
 @functools.lru_cache(maxsize=4)
@@ -107,27 +109,34 @@ def links(a_ids: np.ndarray, b_ids: np.ndarray, a_path: str, b_path: str) -> tup
     return a[both], b[both]
 
 
-def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values.astype(np.int32)))
+@dataclass
+class Aligned:
+    """Some texts' alignments one after another; ``a`` and ``b`` sides as pairs."""
+
+    ids: tuple[np.ndarray, np.ndarray]
+    counts: tuple[np.ndarray, np.ndarray]  # tokens of each text
+    groups: tuple[np.ndarray, np.ndarray]  # group of each token, numbered through all texts
+    per_text: np.ndarray  # groups of each text
 
 
-def _aligned(texts: list[str], a_path: str, b_path: str) -> list[pa.ListArray]:
+def aligned(texts: list[str], a_path: str, b_path: str) -> Aligned:
     names = a_bytes(a_path), b_bytes(b_path)
     sides = [x.tolist() for x in libraries.encode_bytes(a_path, [" " + t for t in texts], True)], list(libraries.encode_pieces(b_path, texts))
     for k, t in enumerate(texts):
         want = b" " + t.encode("utf-8", "surrogatepass")
         if not t or any(b"".join(map(n.__getitem__, s[k])) != want for n, s in zip(names, sides, strict=True)):
             sides[0][k] = sides[1][k] = []
-    counts = [np.fromiter(map(len, s), np.int64, len(s)) for s in sides]
-    ids = [np.fromiter(itertools.chain.from_iterable(s), np.int64, int(n.sum())) for s, n in zip(sides, counts, strict=True)]
+    counts = tuple(np.fromiter(map(len, s), np.int64, len(s)) for s in sides)
+    ids = tuple(np.fromiter(itertools.chain.from_iterable(s), np.int64, int(n.sum())) for s, n in zip(sides, counts, strict=True))
     ends = [np.cumsum(_sizes(p, k)[x]) for p, k, x in zip((a_path, b_path), "ab", ids, strict=True)]
-    spans = [x for e in ends for x in (np.concatenate(([0], e[:-1])) if len(e) else e, e)]
-    groups = coalesce(*spans)
-    many = int(groups[0][-1]) + 1 if len(groups[0]) else 0
-    owner = np.zeros(many, np.int64)
+    groups = coalesce(*[x for e in ends for x in (np.concatenate(([0], e[:-1])) if len(e) else e, e)])
+    owner = np.zeros(int(groups[0][-1]) + 1 if len(groups[0]) else 0, np.int64)
     owner[groups[0]] = np.repeat(np.arange(len(texts)), counts[0])
-    per_text = np.bincount(owner, minlength=len(texts))
-    return [*[_lists(x, n) for x, n in zip(ids, counts, strict=True)], *[_lists(np.bincount(g, minlength=many), per_text) for g in groups]]
+    return Aligned(ids, counts, groups, np.bincount(owner, minlength=len(texts)))
+
+
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values.astype(np.int32)))
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -138,98 +147,96 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text", key:
         for b in batches:
             done = 0
             for block in libraries.blocks(bpe.texts_of(b, text)):
-                yield pa.RecordBatch.from_arrays([b.column(key).slice(done, len(block)), *_aligned(block, a_path, b_path)], names=[key, *LISTS])
+                x = aligned(block, a_path, b_path)
+                many = int(x.per_text.sum())
+                lists = [*[_lists(i, n) for i, n in zip(x.ids, x.counts, strict=True)], *[_lists(np.bincount(g, minlength=many), x.per_text) for g in x.groups]]
+                yield pa.RecordBatch.from_arrays([b.column(key).slice(done, len(block)), *lists], names=[key, *LISTS])
                 done += len(block)
 
     return docs.select(key, text).mapInArrow(run, f"{key} {kind}, " + ", ".join(f"{c} array<int>" for c in LISTS))
 
 
-#: Tokens of one side that are worked on together.
-TOKENS_AT_ONCE = 1 << 17
-
-
-def _parts(batches) -> Iterator[pa.RecordBatch]:
-    """Slices of rows with about TOKENS_AT_ONCE A tokens (at least one row)."""
-    for b in batches:
-        ends = b.column("a_ids").offsets.to_numpy()
-        lo = 0
-        while lo < b.num_rows:
-            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + TOKENS_AT_ONCE, side="right")) - 1)
-            yield b.slice(lo, hi - lo)
-            lo = hi
+@functools.lru_cache(maxsize=2)
+def _written_ids(size: int) -> tuple[np.ndarray, ...]:
+    """Decimal ids followed by each separator."""
+    return tuple(np.array([b"%d%s" % (i, sep) for i in range(size)], object) for sep in (b",", b"|", b";"))
 
 
-def _flat(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
-    """(values, lengths) of a list column."""
-    lists = batch.column(column)
-    ends = lists.offsets.to_numpy()
-    return lists.values.to_numpy()[ends[0] : ends[-1]].astype(np.int64), np.diff(ends)
+def group_digests(x: Aligned, size: int) -> list[str]:
+    """SHA-256 of each text's groups written as ``a1,a2|b1;a3|b2,b3``; '' without tokens."""
+    comma, bar, semicolon = _written_ids(size)
+    written_ids = []
+    for ids, groups, last in zip(x.ids, x.groups, (bar, semicolon), strict=True):
+        some = comma[ids]
+        end = np.append(groups[1:] != groups[:-1], [True])[: len(ids)]
+        some[end] = last[ids[end]]
+        written_ids.append(some)
+    place = np.argsort(np.concatenate((2 * x.groups[0], 2 * x.groups[1] + 1)), kind="stable")
+    parts = np.concatenate(written_ids)[place].tolist()
+    cut = np.concatenate(([0], np.cumsum(x.counts[0] + x.counts[1]))).tolist()
+    return [hashlib.sha256(b"".join(parts[i:j])[:-1]).hexdigest() if j > i else "" for i, j in itertools.pairwise(cut)]
 
 
-def link_counts(aligned: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Rows (a, b, n): how many links of the whole corpus hold each id pair; one row per pair and task is shuffled."""
-    shared = aligned.sparkSession.sparkContext.broadcast(possible_links(a_path, b_path))
+def summaries(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Rows (key, n_a, n_b, n_groups, n_links, groups_sha256, links): each text's links as numbers of ``possible_links``."""
+    kind = docs.schema[key].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(possible_links(a_path, b_path))
 
     def run(batches):
-        codes = shared.value
-        total = np.zeros(len(codes), np.int64)
-        for batch in _parts(batches):
-            (a_ids, _), (b_ids, _) = _flat(batch, "a_ids"), _flat(batch, "b_ids")
-            a, b = links(a_ids, b_ids, a_path, b_path)
-            total += np.bincount(np.searchsorted(codes, a_ids[a] << 32 | b_ids[b]), minlength=len(codes))
-        seen = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array((codes[seen] >> 32).astype(np.int32)), pa.array((codes[seen] & 0xFFFFFFFF).astype(np.int32)), pa.array(total[seen])], names=["a", "b", "n"])
+        codes, size = shared.value, max(len(a_bytes(a_path)), len(b_bytes(b_path)))
+        for batch in batches:
+            done = 0
+            for block in libraries.blocks(bpe.texts_of(batch, text)):
+                x = aligned(block, a_path, b_path)
+                a, b = links(*x.ids, a_path, b_path)
+                found = np.searchsorted(codes, x.ids[0][a] << 32 | x.ids[1][b])
+                n_links = np.bincount(np.repeat(np.arange(len(block)), x.counts[0])[a], minlength=len(block))
+                numbers = [pa.array(c.astype(np.int64)) for c in (*x.counts, x.per_text, n_links)]
+                cols = [*numbers, pa.array(group_digests(x, size), pa.string()), _lists(found, n_links)]
+                yield pa.RecordBatch.from_arrays([batch.column(key).slice(done, len(block)), *cols], names=[key, *LONGS, "groups_sha256", "links"])
+                done += len(block)
 
-    return aligned.select("a_ids", "b_ids").mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, " + ", ".join(f"{c} long" for c in LONGS) + ", groups_sha256 string, links array<int>")
 
 
-@functools.lru_cache(maxsize=2)
-def _written_ids(size: int) -> tuple[np.ndarray, ...]:
-    """Decimal ids followed by each separator."""
-    return tuple(np.array([b"%d%s" % (i, sep) for i in range(size)], object) for sep in (b",", b"|", b";"))
+def link_counts(summary: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """Rows (link, b, n, best): how many links of the whole corpus are this one, its B id, and whether no other link of that id has more."""
+    spark = summary.sparkSession
+    counts = summary.select(F.explode("links").alias("link")).groupBy("link").agg(F.count(F.lit(1)).alias("n"))
+    ids = spark.createDataFrame(pa.table({"link": pa.array(np.arange(len(possible_links(a_path, b_path)), dtype=np.int32)), "b": pa.array((possible_links(a_path, b_path) & 0xFFFFFFFF).astype(np.int32))}))
+    return counts.join(ids, "link").withColumn("best", F.col("n") == F.max("n").over(Window.partitionBy("b")))
 
 
-def scores(aligned: DataFrame, counts: DataFrame, a_path: str, b_path: str, *, key: str = "doc_id") -> DataFrame:
+def scores(summary: DataFrame, counts: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """Rows (key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256).
 
-    n_best: links whose pair's count is the highest of its B id; count_sum: the
-    sum of the links' counts. The count table (at most ``possible_links`` rows)
-    goes to every worker.
+    n_best: links whose count is the highest of their B id; count_sum: the sum
+    of the links' counts. The counts (at most ``possible_links`` rows) go to
+    every worker.
     """
-    ranked = counts.withColumn("best", F.col("n") == F.max("n").over(Window.partitionBy("b")))
-    table = ranked.select((F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("code"), "n", "best").orderBy("code").toPandas()
-    shared = aligned.sparkSession.sparkContext.broadcast(tuple(table[c].to_numpy() for c in ("code", "n", "best")))
-    kind = aligned.schema[key].dataType.simpleString()
-    longs = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    table = counts.select("link", "n", "best").toPandas()
+    number, best = (np.zeros(int(table["link"].max()) + 1 if len(table) else 0, t) for t in (np.int64, bool))
+    number[table["link"]], best[table["link"]] = table["n"], table["best"]
+    shared = summary.sparkSession.sparkContext.broadcast((number, best))
+    kind = summary.schema[key].dataType.simpleString()
+    kept = [key, *LONGS, "groups_sha256"]
 
     def run(batches):
-        codes, number, best = shared.value
-        size = max(len(a_bytes(a_path)), len(b_bytes(b_path)))
-        comma, bar, semicolon = _written_ids(size)
-        for batch in _parts(batches):
-            (a_ids, n_a), (b_ids, n_b), (a_sizes, n_groups), (b_sizes, _) = (_flat(batch, c) for c in LISTS)
-            a, b = links(a_ids, b_ids, a_path, b_path)
-            row = np.repeat(np.arange(len(n_a)), n_a)[a]
-            at = np.searchsorted(codes, a_ids[a] << 32 | b_ids[b])
-            count_sum = np.zeros(len(n_a), np.int64)
-            np.add.at(count_sum, row, number[at])
-            text = np.empty(len(a_ids) + len(b_ids), object)
-            group = np.arange(len(a_sizes))
-            place = np.argsort(np.concatenate((2 * np.repeat(group, a_sizes), 2 * np.repeat(group, b_sizes) + 1)), kind="stable")
-            for names, ids, ends, lo in ((bar, a_ids, np.cumsum(a_sizes) - 1, 0), (semicolon, b_ids, np.cumsum(b_sizes) - 1, len(a_ids))):
-                some = comma[ids]
-                some[ends] = names[ids[ends]]
-                text[lo : lo + len(ids)] = some
-            text = text[place].tolist()
-            cut = np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()
-            sha = [hashlib.sha256(b"".join(text[i:j])[:-1]).hexdigest() if j > i else "" for i, j in zip(cut[:-1], cut[1:], strict=True)]
-            cols = [n_a, n_b, n_groups, np.bincount(row, minlength=len(n_a)), np.bincount(row[best[at]], minlength=len(n_a)), count_sum]
-            yield pa.RecordBatch.from_arrays([batch.column(key), *[pa.array(c.astype(np.int64)) for c in cols], pa.array(sha, pa.string())], names=[key, *longs, "groups_sha256"])
-
-    return aligned.select(key, *LISTS).mapInArrow(run, f"{key} {kind}, " + ", ".join(f"{c} long" for c in longs) + ", groups_sha256 string")
+        number, best = shared.value
+        for batch in batches:
+            lists = batch.column("links")
+            ends = lists.offsets.to_numpy()
+            link, rows = lists.values.to_numpy()[ends[0] : ends[-1]], np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            count_sum = np.zeros(batch.num_rows, np.int64)
+            np.add.at(count_sum, rows, number[link])
+            n_best = np.bincount(rows[best[link]], minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(n_best.astype(np.int64)), pa.array(count_sum)], names=[*kept, "n_best", "count_sum"])
+
+    scored = summary.select(*kept, "links").mapInArrow(run, f"{key} {kind}, " + ", ".join(f"{c} long" for c in LONGS) + ", groups_sha256 string, n_best long, count_sum long")
+    return scored.select(key, *LONGS, "n_best", "count_sum", "groups_sha256")
 
 
 def alignment_report(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Scores of every document's alignment, which is written once and read for the counts and for the scores."""
-    aligned = written(align(docs, a_path, b_path, text=text, key=key), "alignment")
-    return scores(aligned, link_counts(aligned, a_path, b_path), a_path, b_path, key=key)
+    """Scores of every document's alignment; digests and links are written once and read for the counts and for the scores."""
+    summary = written(summaries(docs, a_path, b_path, text=text, key=key), "links")
+    return scores(summary, link_counts(summary, a_path, b_path), key=key)

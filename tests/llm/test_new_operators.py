@@ -153,6 +153,18 @@ def test_alignment(spark, rows):
     assert got[900]["n_a"] == 0 and got[901]["n_a"] > 0
 
 
+def test_groups_of_an_alignment(spark, rows):
+    want = model_alignment({r[0]: r[1] for r in rows})
+    got = alignment.align(frame(spark, rows[:-1], 3), BYTE_BPE, PIECE_BPE).collect()
+    assert len(got) == len(rows) - 1
+    for r in got:
+        a, b, groups = list(r["a_ids"]), list(r["b_ids"]), []
+        for n, m in zip(r["a_sizes"], r["b_sizes"], strict=True):
+            groups.append(",".join(map(str, a[:n])) + "|" + ",".join(map(str, b[:m])))
+            a, b = a[n:], b[m:]
+        assert (";".join(groups), a, b) == (want[r["doc_id"]][4], [], [])
+
+
 def test_intervals():
     a, b = np.array([0, 2, 5, 6, 9]), np.array([0, 3, 4, 6, 7, 9])
     spans = a[:-1], a[1:], b[:-1], b[1:]
