@@ -9,10 +9,14 @@ promotion decision read, so the join runs once.
 """
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from decimal import Decimal
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHANGE_SCHEMA = "rule_id string, change_type string, path string, old_value string, new_value string"
 _CHANGE_FIELDS = ["change_type", "path", "old_value", "new_value"]
@@ -45,71 +49,74 @@ def _field_change(c: str) -> Column:
     )
 
 
-def _json_kind(v: Column) -> Column:
-    first = F.substring(v, 1, 1)
-    return (
-        F.when(v.isNull(), F.lit(None))
-        .when(first == '"', "str")
-        .when(first == "[", "list")
-        .when(first == "{", "dict")
-        .when(v.isin("true", "false"), "bool")
-        .when(v == "null", "none")
-        .otherwise("number")
-    )
+PARAMS_ROOT = "root['params']"
+_CHANGES_TYPE = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in _CHANGE_FIELDS]))
 
 
-#: Levels of nesting that are brought into canonical form; what lies deeper compares as rendered.
-CANONICAL_DEPTH = 4
+def _kind(v) -> str:
+    return {bool: "bool", int: "int", Decimal: "float", str: "str", list: "list", dict: "dict"}.get(type(v), "none")
 
 
-def canonical_json_value(v: Column, depth: int = CANONICAL_DEPTH) -> Column:
-    """Text of a VARIANT in which equal values are equal texts: elements keep
-    their JSON types, lists are sorted sets, objects are sorted by key, at
-    every level."""
-    text = F.to_json(v)
-    if depth == 0:
-        return text
-    items = F.try_variant_get(v, "$", "array<variant>")
-    listed = F.array_sort(F.array_distinct(F.transform(items, lambda x: F.coalesce(canonical_json_value(x, depth - 1), F.lit("null")))))
-    fields = F.try_variant_get(v, "$", "map<string,variant>")
-    named = F.transform(
-        F.array_sort(F.map_keys(fields)), lambda k: F.concat(F.to_json(F.array(k)), F.lit(":"), F.coalesce(canonical_json_value(fields[k], depth - 1), F.lit("null")))
-    )
-    first = F.substring(text, 1, 1)
-    return (
-        F.when(first == "[", F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")))
-        .when(first == "{", F.concat(F.lit("{"), F.array_join(named, ","), F.lit("}")))
-        .otherwise(text)
-    )
+def _rendered(v) -> str:
+    """Compact JSON with sorted keys; numbers as they were written."""
+    if isinstance(v, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_rendered(v[k])}" for k in sorted(v)) + "}"
+    if isinstance(v, list):
+        return "[" + ",".join(map(_rendered, v)) + "]"
+    return str(v) if isinstance(v, Decimal) else json.dumps(v, ensure_ascii=False)
+
+
+def _identity(v) -> tuple:
+    """Equal for equal values: lists as sets and objects without order, at every level."""
+    if isinstance(v, dict):
+        return "dict", frozenset((k, _identity(x)) for k, x in v.items())
+    return ("list", frozenset(map(_identity, v))) if isinstance(v, list) else (_kind(v), v)
+
+
+def params_changes(old: str | None, new: str | None) -> list[tuple]:
+    """Change rows (change_type, path, old_value, new_value) between two JSON params texts.
+
+    Objects are walked key by key to any depth; a list is one value, compared
+    as a set whose items are compared the same way. Texts that are no JSON are
+    compared as texts.
+    """
+    if old is None or new is None:
+        return [] if old == new else [("dictionary_item_added" if old is None else "dictionary_item_removed", PARAMS_ROOT, old, new)]
+    try:
+        a, b = (json.loads(x, parse_float=Decimal) for x in (old, new))
+    except ValueError:
+        return [] if old == new else [("values_changed", PARAMS_ROOT, old, new)]
+    out, todo = [], [(PARAMS_ROOT, a, b)]
+    while todo:
+        path, a, b = todo.pop()
+        if isinstance(a, dict) and isinstance(b, dict):
+            for k in sorted(a.keys() | b.keys(), reverse=True):
+                step = f"{path}['{k}']"
+                if k in a and k in b:
+                    todo.append((step, a[k], b[k]))
+                else:
+                    out.append(("dictionary_item_removed", step, _rendered(a[k]), None) if k in a else ("dictionary_item_added", step, None, _rendered(b[k])))
+        elif _kind(a) != _kind(b):
+            out.append(("type_changes", path, _rendered(a), _rendered(b)))
+        elif _identity(a) != _identity(b):
+            out.append(("values_changed", path, _rendered(a), _rendered(b)))
+    return sorted(out, key=lambda x: x[1])
+
+
+@F.pandas_udf(_CHANGES_TYPE)
+def _params_changes_udf(old: pd.Series, new: pd.Series) -> pd.Series:
+    return pd.Series([[dict(zip(_CHANGE_FIELDS, c, strict=True)) for c in params_changes(a, b)] for a, b in zip(old, new, strict=True)])
 
 
 def _params_changes(params_col: str) -> Column:
-    """Per-key changes of a JSON params object (absent object counts too)."""
+    """D3 for params: changes at any depth (absent object counts too).
+
+    No built-in expression recurses as deep as the data, so texts that differ
+    are walked in Arrow batches; equal ones go through as nulls.
+    """
     o, n = F.col(f"_l.{params_col}"), F.col(f"_c.{params_col}")
-    root = "root['params']"
-    whole = (
-        F.when(o.isNull() & n.isNotNull(), F.array(_change("dictionary_item_added", root, F.lit(None), n)))
-        .when(o.isNotNull() & n.isNull(), F.array(_change("dictionary_item_removed", root, o, F.lit(None))))
-    )
-    # VARIANT keeps each value's JSON type and renders objects with sorted keys.
-    om = F.parse_json(o).cast("map<string,variant>")
-    nm = F.parse_json(n).cast("map<string,variant>")
-    keys = F.array_sort(F.array_union(F.map_keys(om), F.map_keys(nm)))
-
-    def per_key(k: Column) -> Column:
-        ov, nv = F.to_json(om[k]), F.to_json(nm[k])
-        path = F.concat(F.lit(root + "['"), k, F.lit("']"))
-        mk = lambda t, a, b: F.struct(F.lit(t).alias("change_type"), path.alias("path"), a.alias("old_value"), b.alias("new_value"))
-        return (
-            F.when(ov.isNull() & nv.isNotNull() & ~F.map_contains_key(om, k), mk("dictionary_item_added", F.lit(None).cast("string"), nv))
-            .when(nv.isNull() & ov.isNotNull() & ~F.map_contains_key(nm, k), mk("dictionary_item_removed", ov, F.lit(None).cast("string")))
-            .when(~_json_kind(ov).eqNullSafe(_json_kind(nv)), mk("type_changes", ov, nv))
-            .when(~canonical_json_value(om[k]).eqNullSafe(canonical_json_value(nm[k])), mk("values_changed", ov, nv))
-        )
-
-    keyed = F.filter(F.transform(keys, per_key), lambda x: x.isNotNull())
-    both = o.isNotNull() & n.isNotNull()
-    return F.coalesce(whole, F.when(both, keyed), F.array().cast(f"array<struct<{', '.join(f + ' string' for f in _CHANGE_FIELDS)}>>"))
+    differ = ~o.eqNullSafe(n)
+    return _params_changes_udf(F.when(differ, o), F.when(differ, n))
 
 
 def diff_rules(

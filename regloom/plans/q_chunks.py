@@ -88,7 +88,7 @@ def sectioned_results(documents: DataFrame) -> DataFrame:
 
     Every third document carries sections (one per text line; the id is left
     out on every ninth document to exercise the '?' label); the others carry
-    full text, and doc_id % 4 == 1 leaves full_text empty so raw_excerpt is used.
+    their text, where doc_id % 4 == 1 as the raw form (whole, no full_text).
     """
     d = F.col("doc_id")
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
@@ -107,7 +107,7 @@ def sectioned_results(documents: DataFrame) -> DataFrame:
         F.concat(F.lit("name-"), F.col("source")).alias("source_name"),
         F.when(has, sections).alias("sections"),
         F.when(~has & (d % 4 != 1), F.col("text")).otherwise(F.lit("")).alias("full_text"),
-        F.when(~has, F.substring("text", 1, 2000)).alias("raw_excerpt"),
+        F.when(~has, F.col("text")).alias("raw_excerpt"),
     )
 
 
@@ -129,7 +129,7 @@ sec as (
   from sec_units),
 free_src as (
   select doc_id as result_ord, source as source_key, 'name-' || source as label,
-         coalesce(nullif(case when doc_id % 4 <> 1 then text else '' end, ''), nullif(substring(text, 1, 2000), ''), '') as body
+         coalesce(text, '') as body
   from documents where doc_id % 3 <> 0),
 free_paras as (
   select result_ord, source_key, label,

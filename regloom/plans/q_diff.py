@@ -127,3 +127,67 @@ def q_rules_last_wins(spark, sf_dir):
         F.col("p_size").alias("min_services"),
     )
     return D.index_last(rules).select("rule_id", "rule_ord", "payer_type", "min_services")
+
+
+#: Objects that wrap a rule's innermost params.
+DEPTH = 8
+_OPEN, _CLOSE = "".join(f'{{"level{i}":' for i in range(1, DEPTH)), "}" * (DEPTH - 1)
+_INNER_PATH = "root['params']" + "".join(f"['level{i}']" for i in range(1, DEPTH))
+
+
+def _nested(inner, outer):
+    return F.concat(F.lit('{"top":'), outer, F.lit(f',"deep":{_OPEN}'), inner, F.lit(f"{_CLOSE}}}"))
+
+
+def fx_nested_rules(part: DataFrame, candidate: bool) -> DataFrame:
+    """Rules whose params are eight objects deep; what the candidate changes depends on the part key modulo 8."""
+    k = F.col("p_partkey")
+    size, brand = F.col("p_size").cast("string"), F.col("p_brand")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    same = text('{"list":[1,["', brand, '",{"n":[', size, ',0]}]],"n":', size, "}")
+    inner, outer = same, text('["', brand, '",2]')
+    if candidate:
+        inner = (
+            F.when(k % 8 == 0, text('{"n":', size, ',"list":[[{"n":[0,', size, ',0]},"', brand, '"],1]}'))  # order and repetition only
+            .when(k % 8 == 1, text('{"list":[1,["', brand, '",{"n":[', size, ',0]}]],"n":', (F.col("p_size") + 1).cast("string"), "}"))
+            .when(k % 8 == 2, text('{"list":[1,["', brand, '",{"n":[', size, ',9]}]],"n":', size, "}"))
+            .when(k % 8 == 3, text('{"list":[1,["', brand, '",{"n":[', size, ',0]}]],"n":"', size, '"}'))
+            .when(k % 8 == 4, text('{"list":[1,["', brand, '",{"n":[', size, ',0]}]],"n":', size, ',"added":{"by":"', brand, '"}}'))
+            .when(k % 8 == 5, text('{"n":', size, "}"))
+            .otherwise(same)
+        )
+        outer = F.when(k % 8 == 6, text('[2,"', brand, '","x"]')).otherwise(text('[2,"', brand, '",2]'))
+    params = _nested(inner, outer)
+    if candidate:
+        params = F.when(k % 8 != 7, params)
+    return part.select(F.concat(F.lit("N-"), k.cast("string")).alias("rule_id"), k.alias("rule_ord"), F.lit("P").alias("payer_type"), params.alias("params_json"))
+
+
+_OLD_LIST = "'[1,[\"' || p_brand || '\",{\"n\":[' || p_size || ',0]}]]'"
+
+
+@register(
+    "diff_params",
+    covers=("D3",),
+    oracle=f"""
+with changes as (
+  select p_partkey, p_brand, p_size, p_partkey % 8 as k, '{_INNER_PATH.replace("'", "''").replace("root[''params'']", "root[''params''][''deep'']")}' as inner_path from part)
+select 'N-' || p_partkey as rule_id, change_type, path, old_value, new_value from (
+  select p_partkey, 'values_changed' as change_type, inner_path || '[''n'']' as path, cast(p_size as varchar) as old_value, cast(p_size + 1 as varchar) as new_value from changes where k = 1
+  union all
+  select p_partkey, 'values_changed', inner_path || '[''list'']', {_OLD_LIST}, replace({_OLD_LIST}, ',0]', ',9]') from changes where k = 2
+  union all
+  select p_partkey, 'type_changes', inner_path || '[''n'']', cast(p_size as varchar), '"' || p_size || '"' from changes where k = 3
+  union all
+  select p_partkey, 'dictionary_item_added', inner_path || '[''added'']', null, '{{"by":"' || p_brand || '"}}' from changes where k = 4
+  union all
+  select p_partkey, 'dictionary_item_removed', inner_path || '[''list'']', {_OLD_LIST}, null from changes where k = 5
+  union all
+  select p_partkey, 'values_changed', 'root[''params''][''top'']', '["' || p_brand || '",2]', '[2,"' || p_brand || '","x"]' from changes where k = 6
+  union all
+  select p_partkey, 'dictionary_item_removed', 'root[''params'']',
+         '{{"top":["' || p_brand || '",2],"deep":{_OPEN}' || '{{"list":' || {_OLD_LIST} || ',"n":' || p_size || '}}' || '{_CLOSE}}}', null from changes where k = 7)""",
+)
+def q_diff_params(spark, sf_dir):
+    part = Tables(spark, sf_dir).part
+    return D.diff_rules(fx_nested_rules(part, False), fx_nested_rules(part, True), ["payer_type"], params_col="params_json")

@@ -43,9 +43,11 @@ def all_queries() -> dict[str, Query]:
         q_chunks,
         q_diff,
         q_extract,
+        q_handbooks,
         q_links,
         q_markup,
         q_matrix,
+        q_ncci,
         q_ptp,
         q_reports,
     )

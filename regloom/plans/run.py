@@ -8,12 +8,16 @@ anything is ``is_material``; promotion appends a new live version instead of
 overwriting the path the plan reads.
 
 ``landed`` columns: source_key, fetched_at, content_sha256, raw_path, text,
-warnings ARRAY<STRING>; optional: sections (for the section route).
+warnings ARRAY<STRING>; optional: sections (for the section route), kept_links
+(the FCSO page's PDFs), document and anchors (the handbook source's files and
+its page's links). The handbook source's rows become one result (E5).
+``tables`` adds the PTP sources: their jobs' results and edits (E7, E8).
 ``run_id`` must sort in time order (e.g. an ISO timestamp): the live
 version is the greatest one.
 """
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +27,10 @@ from pyspark.sql.utils import AnalysisException
 from regloom.operators import chunks as C
 from regloom.operators import diff as D
 from regloom.operators import extract as X
+from regloom.operators import handbooks as H
+from regloom.operators import markup as MK
 from regloom.operators import matrix as M
+from regloom.operators.ncci import TableJobs
 from regloom.operators.report import failed
 from regloom.sources import catalog as S
 from regloom.sources import sinks
@@ -45,7 +52,7 @@ def select_results(spark: SparkSession, landed: DataFrame, only: list[str] | Non
     cat = S.registered(S.select_sources(S.catalog_df(spark), only), spark)
     dims = cat.select(
         F.col("key").alias("source_key"), F.col("catalog_ord").cast("bigint").alias("result_ord"),
-        F.col("name").alias("source_name"), "engine",
+        F.col("name").alias("source_name"), "engine", F.col("url").alias("source_url"),
     )
     return landed.join(F.broadcast(dims), "source_key")
 
@@ -55,9 +62,28 @@ def with_facts(results: DataFrame) -> DataFrame:
     base = results if "sections" in results.columns else results.withColumn(
         "sections", F.lit(None).cast("array<struct<id:string,label:string,text:string>>")
     )
-    facts = X.extract_facts(base, every_source=True)
-    bad = failed(F.col("warnings"))
-    return facts.withColumn("parsed_empty", bad)
+    facts = X.extract_facts(base, every_source=True).withColumn("doc", X.doc_label(F.col("source_key")))
+    if "kept_links" in facts.columns:
+        pdfs = MK.linked_pdfs(F.col("source_url"), F.col("kept_links"))
+        facts = facts.withColumn("linked_pdfs", F.when(F.col("source_key") == "fl_mac_fcso_otp", pdfs))
+    facts = facts.withColumn("parsed_empty", failed(F.col("warnings")))
+    return H.composed_results(facts).drop("source_url", "kept_links", "anchors", "document")
+
+
+def with_tables(spark: SparkSession, results: DataFrame, tables: Mapping[str, TableJobs], only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The PTP sources' results, one row per source, and their edits with positions."""
+    cat = S.select_sources(S.catalog_df(spark), only).select(
+        F.col("key").alias("source_key"), F.col("catalog_ord").cast("bigint").alias("result_ord"), F.col("name").alias("source_name"), "engine"
+    )
+    edits = None
+    for key, jobs in tables.items():
+        dims = F.broadcast(cat.where(F.col("source_key") == key))
+        counted = F.when(F.col("table_scope") != "none", F.col("edit_count_relevant"))
+        facts = jobs.results.drop("page_id").withColumns({"source_key": F.lit(key), "edit_count_relevant": counted}).join(dims, "source_key")
+        results = results.unionByName(facts.withColumn("parsed_empty", failed(F.col("warnings"))), allowMissingColumns=True)
+        own = jobs.edits.withColumn("source_key", F.lit(key)).join(dims.select("source_key", "result_ord"), "source_key")
+        edits = own if edits is None else edits.unionByName(own)
+    return results, M.number_edits(edits)
 
 
 def read_live(spark: SparkSession, live_root: str) -> DataFrame | None:
@@ -82,20 +108,23 @@ def run(
     only: list[str] | None = None,
     promote: bool = False,
     edits: DataFrame | None = None,
+    tables: Mapping[str, TableJobs] | None = None,
     engine1_only: bool = False,
     scope_diff_to_seen: bool = False,
 ) -> RunSummary:
     root = out_root.rstrip("/")
     results = with_facts(select_results(spark, landed, only))
+    if tables:
+        results, edits = with_tables(spark, results, tables, only)
     sinks.write_results(results, root, run_id)
-    stored = sinks.read_results(spark, root, run_id)
+    stored = sinks.read_results(spark, root, run_id, results.schema)
 
     # Rules (M). The matrix function takes any results (Q1); the reference's
     # pipeline feeds engine-1 sources only, available as engine1_only.
     e1 = stored.filter(F.col("engine") == "engine1") if engine1_only else stored
     rules = M.build_rules(e1, edits)
-    handbooks = stored.filter((F.col("source_key") == "fl_ahca_cbh_handbook") & ~F.col("parsed_empty"))
-    sinks.write_json(X.handbook_rollup(handbooks), f"{root}/runs/{run_id}/handbook_rollup")
+    handbooks = stored.filter((F.col("source_key") == H.SOURCE_KEY) & ~F.col("parsed_empty"))
+    sinks.write_json(handbooks.select("source_key", "doc", *H.ROLLUP, "handbooks"), f"{root}/runs/{run_id}/handbooks")
     cand_path = sinks.write_json(rules, f"{root}/runs/{run_id}/candidate_rules")
     cand = spark.read.json(cand_path, schema=rules.schema)
 

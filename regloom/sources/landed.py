@@ -1,13 +1,18 @@
 """Landed raw files -> the ``landed`` input of ``plans.run`` (S4 -> E glue).
 
-``<root>/<source_key>/<sha12><suffix>``: text-like payloads (.txt, .html,
-.xml) are decoded in the JVM (``CAST(content AS STRING)``, UTF-8); HTML goes
-through the page parser (main text), eCFR XML through the section parser.
-The newest file per source wins (max modificationTime, a partial aggregate).
+``<root>/<source_key>/[<document>/]<sha12><suffix>``: text-like payloads
+(.txt, .html, .xml) are decoded in the JVM (``CAST(content AS STRING)``,
+UTF-8); HTML goes through the page parser (main text and links), eCFR XML
+through the section parser. A source with several documents lands each in a
+folder of its own, named by the document's URL (percent-encoded). The newest
+file of each (source, document) wins (max modificationTime, a partial
+aggregate); a handbook text without a folder is a document by itself. What can
+not be parsed becomes a failed result with the error among its warnings (S6).
 PDF decoding is not built: PDF sources must be landed as extracted .txt.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,46 +20,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regloom.operators import markup as MK
+from regloom.operators.handbooks import SOURCE_KEY as HANDBOOK_KEY
 
 DECODED_SCHEMA = (
-    "source_key string, fetched_at string, content_sha256 string, raw_path string, text string, "
-    "warnings array<string>, sections array<struct<id:string,label:string,text:string>>"
+    "source_key string, document string, fetched_at string, content_sha256 string, raw_path string, text string, warnings array<string>, "
+    "sections array<struct<id:string,label:string,text:string>>, kept_links array<string>, anchors array<struct<href:string,label:string>>"
 )
+_PASSED = ["source_key", "document", "fetched_at", "content_sha256", "raw_path"]
+
+
+def _decoded(kind: str, body: str) -> dict:
+    """One file: HTML -> main text and links, XML -> sections, anything else -> the decoded text itself."""
+    out = {"text": None, "warnings": [], "sections": None, "kept_links": None, "anchors": None}
+    if kind == "html":
+        page, error = MK.read_page(body)
+        if error is None:
+            out |= {"text": " ".join(page.text), "kept_links": page.kept_links, "anchors": [{"href": h, "label": lab} for h, lab in page.all_links]}
+    elif kind == "xml":
+        out["sections"], error = MK.read_sections(body)
+    else:
+        out["text"], error = body, None
+    return out if error is None else out | {"warnings": [MK.SCRAPE_FAILED + error]}
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One pass over every landed file: HTML -> main text, XML -> sections,
-    anything else -> the decoded text itself."""
     for pdf in batches:
-        texts, warns, secs = [], [], []
-        for kind, body in zip(pdf["kind"], pdf["body"]):
-            body = body or ""
-            if kind == "html":
-                p = MK._PageParser()
-                try:
-                    p.feed(body)
-                    p.close()
-                except Exception:  # noqa: BLE001 - a bad page yields what was parsed
-                    pass
-                texts.append(" ".join(p.text))
-                warns.append([])
-                secs.append(None)
-            elif kind == "xml":
-                try:
-                    secs.append(MK.xml_sections(body))
-                    warns.append([])
-                except Exception as exc:  # noqa: BLE001 - becomes a failed result
-                    secs.append([])
-                    warns.append([f"scrape_failed: {exc}"])
-                texts.append(None)
-            else:
-                texts.append(body)
-                warns.append([])
-                secs.append(None)
-        yield pd.DataFrame({
-            "source_key": pdf["source_key"], "fetched_at": pdf["fetched_at"], "content_sha256": pdf["content_sha256"],
-            "raw_path": pdf["raw_path"], "text": texts, "warnings": warns, "sections": secs,
-        })
+        rows = [_decoded(kind, body or "") for kind, body in zip(pdf["kind"], pdf["body"], strict=True)]
+        yield pd.DataFrame({c: pdf[c] for c in _PASSED} | {c: [r[c] for r in rows] for c in ("text", "warnings", "sections", "kept_links", "anchors")})
 
 
 def landed_documents(spark: SparkSession, root: str) -> DataFrame:
@@ -64,16 +56,18 @@ def landed_documents(spark: SparkSession, root: str) -> DataFrame:
         .option("pathGlobFilter", "*.{txt,html,xml}")
         .load(root)
     )
-    key = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
-    # Newest file per source from metadata only (binaryFile skips the content
-    # column when it is not selected); at most one row per source, and AQE
-    # broadcasts the path list where it is small.
-    newest = files.select(key.alias("source_key"), "path", "modificationTime").groupBy("source_key").agg(
-        F.max(F.struct("modificationTime", "path")).alias("_n")
-    ).select(F.col("_n.path").alias("path"))
-    chosen = files.join(newest, "path", "left_semi")
+    below = re.escape(re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", root).rstrip("/"))
+    part = lambda g: F.regexp_extract("path", f"{below}/([^/]+)/(?:(.+)/)?([^/]+)$", g)
+    folder = F.coalesce(F.try_url_decode(F.replace(part(2), F.lit("+"), F.lit("%2B"))), part(2))
+    alone = (part(1) == HANDBOOK_KEY) & part(3).endswith(".txt") & (part(2) == "")
+    named = files.withColumn("source_key", part(1)).withColumn("document", F.when(alone, part(3)).otherwise(folder))
+    # Newest file per document from metadata only (binaryFile skips the content
+    # column when it is not selected); AQE broadcasts the path list where it is small.
+    newest = named.groupBy("source_key", "document").agg(F.max(F.struct("modificationTime", "path")).alias("_n")).select(F.col("_n.path").alias("path"))
+    chosen = named.join(newest, "path", "left_semi")
     base = chosen.select(
-        key.alias("source_key"),
+        "source_key",
+        "document",
         F.date_format(F.col("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"),
         F.sha2(F.col("content"), 256).alias("content_sha256"),
         F.col("path").alias("raw_path"),

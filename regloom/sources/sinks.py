@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def write_results(results: DataFrame, root: str, run_id: str) -> str:
@@ -24,9 +25,11 @@ def write_results(results: DataFrame, root: str, run_id: str) -> str:
     return path
 
 
-def read_results(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
-    """Read persisted results back; a run filter prunes partitions."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/results")
+def read_results(spark: SparkSession, root: str, run_id: str | None = None, schema: StructType | None = None) -> DataFrame:
+    """Read persisted results back; a run filter prunes partitions. With a
+    schema (of the results as written) nothing is inferred, also where a run has no result."""
+    reader = spark.read if schema is None else spark.read.schema(StructType([*schema.fields, StructField("run_id", StringType())]))
+    df = reader.parquet(f"{root.rstrip('/')}/results")
     return df.filter(F.col("run_id") == run_id) if run_id else df
 
 

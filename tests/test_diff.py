@@ -52,6 +52,39 @@ def test_nested_object_key_order_ignored(spark):
     assert D.diff_rules(live, cand, ["payer_type"], params_col="params_json").count() == 0
 
 
+def nested(depth, leaf):
+    return json.dumps(leaf) if depth == 0 else '{"k%d":%s}' % (depth, nested(depth - 1, leaf))
+
+
+def test_changes_at_any_depth(spark):
+    cases = {
+        "leaf": (nested(8, 1), nested(8, 2), [("values_changed", 8, "1", "2")]),
+        "type": (nested(8, 1), nested(8, "1"), [("type_changes", 8, "1", '"1"')]),
+        "none": (nested(8, None), nested(8, False), [("type_changes", 8, "null", "false")]),
+        "order": (nested(8, [1, [2, [3, [4, [5, [6, {"x": [7, 8]}]]]]]]), nested(8, [[[[[[{"x": [8, 7, 8]}, 6], 5], 4], 3], 2], 1]), []),
+        "deep list": (nested(8, [1, [2, [3, [4, [5, [6, 7]]]]]]), nested(8, [1, [2, [3, [4, [5, [6, 8]]]]]]), [("values_changed", 8, "[1,[2,[3,[4,[5,[6,7]]]]]]", "[1,[2,[3,[4,[5,[6,8]]]]]]")]),
+        "numbers": (nested(8, 1.50), nested(8, 1.5), []),
+        "far down": (nested(300, "a"), nested(300, "b"), [("values_changed", 300, '"a"', '"b"')]),
+    }
+    live = rules(spark, [(0, k, "P", "c", "s", old) for k, (old, _, _) in cases.items()])
+    cand = rules(spark, [(0, k, "P", "c", "s", new) for k, (_, new, _) in cases.items()])
+    got = {}
+    for r in D.diff_rules(live, cand, ["payer_type"], params_col="params_json").collect():
+        got.setdefault(r.rule_id, []).append((r.change_type, r.path.count("['k"), r.old_value, r.new_value))
+    assert got == {k: want for k, (_, _, want) in cases.items() if want}
+
+
+def test_keys_at_depth_and_texts_that_are_no_json(spark):
+    live = rules(spark, [(0, "A", "P", "c", "s", '{"a":{"b":{"gone":1,"same":[1]},"x":{}}}'), (1, "B", "P", "c", "s", "{no json"), (2, "C", "P", "c", "s", "{no json")])
+    cand = rules(spark, [(0, "A", "P", "c", "s", '{"a":{"x":{"new":{"z":0,"y":[]}},"b":{"same":[1,1]}}}'), (1, "B", "P", "c", "s", "{}"), (2, "C", "P", "c", "s", "{no json")])
+    got = sorted((r.rule_id, r.change_type, r.path, r.old_value, r.new_value) for r in D.diff_rules(live, cand, ["payer_type"], params_col="params_json").collect())
+    assert got == [
+        ("A", "dictionary_item_added", "root['params']['a']['x']['new']", None, '{"y":[],"z":0}'),
+        ("A", "dictionary_item_removed", "root['params']['a']['b']['gone']", "1", None),
+        ("B", "values_changed", "root['params']", "{no json", "{}"),
+    ]
+
+
 def test_no_change_is_not_material(spark):
     r = rules(spark, [(0, "R-A", "P", "c", "s", None)])
     assert D.summary(D.diff_rules(r, r, ["payer_type", "code"])).first().is_material is False

@@ -139,6 +139,84 @@ def test_landed_reader_takes_newest_file(spark, scratch):
     assert len(got) == 1 and got[0].text == "new text" and got[0].raw_path.endswith("bbbbbbbbbbbb.txt")
 
 
+def land(root, *steps, body, age=0):
+    path = os.path.join(root, *steps)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(body.encode("utf-8"))
+    os.utime(path, (1_700_000_000 - age, 1_700_000_000 - age))
+
+
+def test_all_handbooks_of_a_landing_page(spark, scratch):
+    from urllib.parse import quote
+
+    from regloom.operators import handbooks as H
+    from regloom.operators import markup as MK
+    from regloom.sources.landed import landed_documents
+
+    root, key = os.path.join(scratch, "raw"), H.SOURCE_KEY
+    name, url = MK.KNOWN_HANDBOOK_PDFS[1]
+    found, extra = "https://ahca.myflorida.com/content/download/9/file/new%20rule.pdf", "https://ahca.myflorida.com/x/unlisted.pdf"
+    land(root, key, "land.html", body=f'<a href="/content/download/9/file/new%20rule.pdf"> New rule </a><a href="{url}">other name</a><a href="/gone.pdf">Gone</a>')
+    land(root, key, quote(url, safe=""), "old.txt", body="old text H9999", age=3600)
+    land(root, key, quote(url, safe=""), "new.txt", body="Use modifier HF at POS-58. H0020 " + "long " * 800)
+    land(root, key, quote(found, safe=""), "a.txt", body="HD before HG")
+    land(root, key, quote(extra, safe=""), "b.txt", body="H0001 and H0004")
+    land(root, "fl_mac_fcso_otp", "p.html", body="<article>G2067 <a href='/b.pdf'>b</a><a href='a.PDF'>a</a></article><nav><a href='/n.pdf'>n</a></nav>")
+    land(root, "samhsa_tip_63", "p.html", body="<![bad[x]]>text that no parser reads")
+    out = os.path.join(scratch, "out")
+    docs = landed_documents(spark, root)
+    assert docs.where(docs.source_key == key).count() == 4
+    run(spark, docs, out, "r1")
+    results = {r.source_key: r for r in spark.read.parquet(os.path.join(out, "results")).collect()}
+    got = results[key]
+    assert [(h.label, h.url) for h in got.handbooks] == [(name, url), ("New rule", found), (extra, extra)]
+    assert got.handbooks[0].full_text.endswith("long ") and len(got.handbooks[0].full_text) > 4000 and len(got.handbooks[0].excerpt) == 1500
+    assert [h.h_codes_referenced for h in got.handbooks] == [["H0020"], [], ["H0001", "H0004"]]
+    assert (got.handbook_count, got.any_HF_mentioned, got.any_POS_58_mentioned, got.any_HD_HG_pair_mentioned, got.parsed_empty) == (3, True, True, True, False)
+    missing = [u for _, u in MK.KNOWN_HANDBOOK_PDFS if u != url] + ["https://ahca.myflorida.com/gone.pdf"]
+    assert got.warnings == [f"{H.FILE_WARNING}{u}: not landed" for u in missing]
+    assert results["fl_mac_fcso_otp"].linked_pdfs == ["https://medicare.fcso.com/b.pdf", "https://medicare.fcso.com/specialties/a.PDF"]
+    broken = results["samhsa_tip_63"]
+    assert broken.parsed_empty and broken.warnings[0].startswith("scrape_failed: ") and broken.full_text is None
+
+
+def test_a_run_with_its_ptp_tables(spark, scratch):
+    from regloom.operators import ncci
+    from regloom.plans.reports import write_reports
+
+    base = "https://www.cms.gov/p/"
+    href = "medicare-ncci-2025q1-practitioner-ptp-edits-ccipra-v1r0-f1.zip"
+    hrefs = spark.createDataFrame([(1, base, 0, href)], "page_id int, base_url string, href_pos int, href string")
+    payloads = spark.createDataFrame([(base + href, "d1")], "url string, digest string")
+    rows = spark.createDataFrame(
+        [(base + href, 0, "x_additions.txt", None, i, c) for i, c in enumerate([["H0020", "80305", "1"], ["G2067", "99213", "0"], ["H0020", "80305", "9"]])],
+        "url string, file_ord int, member string, sheet string, row_ord bigint, cells array<string>",
+    )
+    jobs = {"cms_ncci_edits": ncci.medicare_tables(hrefs, payloads, rows), "cms_ncci_medicaid": ncci.medicaid_tables(hrefs, payloads, rows)}
+    out = os.path.join(scratch, "out")
+    s = run(spark, landed(spark), out, "r1", tables=jobs)
+    assert s.rule_count == 12
+    rules = spark.read.json(os.path.join(out, "runs", "r1", "candidate_rules"))
+    assert sorted((r.rule_id, r.code) for r in rules.where("logic_type = 'BundleGuard'").collect()) == [("R-NCCI-0000", "H0020"), ("R-NCCI-0001", "G2067")]
+    summary = spark.read.option("header", True).csv(write_reports(spark, out, "r1")["run_summary"])
+    got = {r.source_key: (r.status, r.extracted_count, r.extracted_unit, r.doc_label) for r in summary.collect()}
+    assert got["cms_ncci_edits"] == ("OK", "2", "NCCI edits", "NCCI PTP Edits (practitioner, FULL table)")
+    assert got["cms_ncci_medicaid"] == ("OK", "0", None, "Medicaid NCCI PTP Edits")
+    assert got["ecfr_42_part_8"][3] == "42 CFR Part 8" and got["fl_mac_fcso_otp"][3] is None
+
+
+def test_reports_of_a_run_without_rules(spark, scratch):
+    from regloom.plans.reports import write_reports
+
+    out = os.path.join(scratch, "out")
+    nothing = run(spark, landed(spark), out, "r0", only=["asam_criteria"])
+    assert (nothing.rule_count, nothing.chunk_count) == (0, 0)
+    run(spark, landed(spark), out, "r1", only=["samhsa_tip_63"])
+    t = spark.read.option("header", True).csv(write_reports(spark, out, "r1")["totals"]).first()
+    assert (t.ok, t.fail, t.rule_count, t.chunk_count) == ("1", "0", "0", "3")
+
+
 def test_streaming_many_batches_in_one_run(spark, scratch):
     src, sink, ckpt = (os.path.join(scratch, x) for x in ("land2", "chunks2", "ckpt2"))
     schema = "doc_id bigint, source_key string, label string, text string"

@@ -4,7 +4,7 @@ import pytest
 from regloom.plans.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
-PYTHON_STAGES = {"page_main_text", "fcso_page_facts", "handbook_links", "ecfr_sections"}
+PYTHON_STAGES = {"page_main_text", "page_status", "fcso_page_facts", "handbook_links", "handbook_results", "ecfr_sections", "diff_params"}
 
 
 def plan(df) -> str:

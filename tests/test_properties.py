@@ -1,16 +1,17 @@
-"""Property tests: extractors vs Python re, chunker vs the Python loop.
+"""Property tests: extractors vs Python re, chunker vs its closed form.
 
 Each hypothesis example is a batch of texts evaluated in ONE Spark job, so a
 few examples cover many inputs. The alphabet avoids U+001C..U+001F, which
 Python counts as whitespace and Java does not (a documented difference).
 """
+import hashlib
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from regloom.operators import chunks as C
 from regloom.operators import extract as X
-from tests.test_chunks import py_id, py_paragraphs, py_window
 from tests.test_extract import py_facts
 
 TOKENS = [
@@ -46,18 +47,30 @@ def test_extractors_match_python(spark, texts):
         assert got == py_facts(texts[r.i]), repr(texts[r.i])
 
 
+#: Paragraphs have neither blank lines nor white space around them; whatever stands between them is a gap.
+paragraph = st.lists(st.sampled_from([t for t in TOKENS if t.strip() == t]), min_size=1, max_size=25).flatmap(
+    lambda words: st.lists(st.sampled_from([" ", "  ", "\n", "\t", ", "]), min_size=len(words) - 1, max_size=len(words) - 1).map(
+        lambda seps: words[0] + "".join(s + w for s, w in zip(seps, words[1:], strict=True))
+    )
+)
+gap = st.sampled_from(["\n\n", "\n \n", "\n\t \n\n", "\r\n\r\n", "  \n\n  "])
+edge = st.sampled_from(["", "\n", "  ", "\n\n \n"])
+
+
 @settings(max_examples=6, deadline=None)
-@given(st.lists(text, min_size=1, max_size=30), st.integers(2, 60), st.integers(0, 59))
-def test_chunks_match_python(spark, texts, size, overlap):
-    overlap = overlap % size
+@given(st.lists(st.tuples(st.lists(paragraph, max_size=5), gap, edge), min_size=1, max_size=20), st.integers(2, 60), st.integers(0, 59))
+def test_chunks_in_closed_form(spark, docs, size, overlap):
+    stride = size - overlap % size
+    texts = [before + between.join(paragraphs) + before for paragraphs, between, before in docs]
     units = spark.createDataFrame([(i, "src", "lab", t) for i, t in enumerate(texts)], "doc_id int, source_key string, label string, text string")
-    paras = C.paragraph_units(units)
-    got = {}
-    for r in C.explode_windows(paras, size=size, overlap=overlap).collect():
-        got[(r.doc_id, r.unit_ord, r.window_ord)] = (r.text, r.chunk_id)
-    exp = {}
-    for i, t in enumerate(texts):
-        for u, p in enumerate(py_paragraphs(t)):
-            for w, piece in enumerate(py_window(p, size, overlap)):
-                exp[(i, u, w)] = (piece, py_id("src", "lab", piece))
-    assert got == exp
+    rows = C.explode_windows(C.paragraph_units(units), size=size, overlap=size - stride).collect()
+    got = {(r.doc_id, r.unit_ord, r.window_ord): (r.text, r.chunk_id) for r in rows}
+    assert len(got) == len(rows)
+    want = {}
+    for i, (paragraphs, _, _) in enumerate(docs):
+        for u, p in enumerate(paragraphs):
+            count = 1 + max(0, -(-(len(p) - size) // stride))
+            for w in range(count):
+                piece = p[w * stride : w * stride + size]
+                want[i, u, w] = piece, hashlib.sha256(f"src|lab|{piece}".encode()).hexdigest()[:16]
+    assert got == want
