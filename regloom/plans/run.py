@@ -4,16 +4,16 @@ landed documents -> select + registry (S2, S3) -> facts in one pass (E) ->
 results written per run (S7; this also cuts lineage) -> three branches read
 the written table: rules (M) -> candidate, diff against the live version (D),
 chunks for engine-2 sources (C). The only driver action that decides
-anything is ``is_material``; promotion appends a new live version instead of
-overwriting the path the plan reads.
+anything is ``is_material``; promotion writes a new version and then moves the
+pointer to it (sources.live), and known chunk ids are an index of ids alone
+(sources.id_index).
 
 ``landed`` columns: source_key, fetched_at, content_sha256, raw_path, text,
 warnings ARRAY<STRING>; optional: sections (for the section route), kept_links
 (the FCSO page's PDFs), document and anchors (the handbook source's files and
 its page's links). The handbook source's rows become one result (E5).
 ``tables`` adds the PTP sources: their jobs' results and edits (E7, E8).
-``run_id`` must sort in time order (e.g. an ISO timestamp): the live
-version is the greatest one.
+``run_id`` names the run's folders and the version it may promote.
 """
 from __future__ import annotations
 
@@ -22,7 +22,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from regloom.operators import chunks as C
 from regloom.operators import diff as D
@@ -33,7 +32,9 @@ from regloom.operators import matrix as M
 from regloom.operators.ncci import TableJobs
 from regloom.operators.report import failed
 from regloom.sources import catalog as S
-from regloom.sources import sinks
+from regloom.sources import id_index, sinks
+from regloom.sources.live import promote as promote_rules
+from regloom.sources.live import read_live
 
 COMPARE_COLS = ["payer_type", "code", "required_modifier", "logic_type", "friendly_message"]
 
@@ -86,19 +87,6 @@ def with_tables(spark: SparkSession, results: DataFrame, tables: Mapping[str, Ta
     return results, M.number_edits(edits)
 
 
-def read_live(spark: SparkSession, live_root: str) -> DataFrame | None:
-    """Current live rules: the newest ``version`` partition, or None on first deploy."""
-    try:
-        allv = spark.read.parquet(live_root)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    # One row; broadcast so the join never shuffles all versions onto one key.
-    newest = allv.agg(F.max("version").alias("version"))
-    return allv.join(F.broadcast(newest), "version").drop("version")
-
-
 def run(
     spark: SparkSession,
     landed: DataFrame,
@@ -129,8 +117,7 @@ def run(
     cand = spark.read.json(cand_path, schema=rules.schema)
 
     # Diff (D) against the live version.
-    live_root = f"{root}/live_rules"
-    live = read_live(spark, live_root)
+    live = read_live(spark, root, rules.schema)
     if live is None:
         changes = D.first_deploy(cand).drop("rule_ord")
         first = True
@@ -156,23 +143,14 @@ def run(
     chunk_path = sinks.write_json(chunks, f"{root}/runs/{run_id}/chunks")
     # Only chunk ids no earlier run produced need embedding.
     stored_chunks = spark.read.json(chunk_path, schema=chunks.schema)
-    try:
-        earlier = spark.read.schema(chunks.schema).json(f"{root}/runs/*/chunks").filter(
-            ~F.input_file_name().contains(f"/runs/{run_id}/chunks/")
-        )
-        fresh = C.new_chunks(stored_chunks, earlier)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        fresh = stored_chunks
-    sinks.write_json(fresh, f"{root}/runs/{run_id}/new_chunks")
-
-    promoted = False
-    if promote and material:
-        cand.withColumn("version", F.lit(run_id)).write.mode("append").partitionBy("version").parquet(live_root)
-        promoted = True
+    new_path = sinks.write_json(id_index.new_chunks(stored_chunks, root, run_id).select(*chunks.columns), f"{root}/runs/{run_id}/new_chunks")
+    fresh = spark.read.json(new_path, schema=chunks.schema)
+    id_index.add_ids(fresh, root, run_id)
+
+    promoted = promote and material
+    if promoted:
+        promote_rules(cand, root, run_id)
 
     rule_count = spark.read.json(cand_path, schema=rules.schema).count()
     chunk_count = spark.read.json(chunk_path, schema=chunks.schema).count()
-    new_count = spark.read.json(f"{root}/runs/{run_id}/new_chunks", schema=chunks.schema).count()
-    return RunSummary(rule_count, chunk_count, material, promoted, new_count)
+    return RunSummary(rule_count, chunk_count, material, promoted, fresh.count())

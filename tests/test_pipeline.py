@@ -249,3 +249,51 @@ def test_streaming_many_batches_in_one_run(spark, scratch):
     df = spark.read.parquet(sink)
     assert len(os.listdir(os.path.join(ckpt, "commits"))) >= 3
     assert sorted(r.text for r in df.collect()) == ["a1", "b1", "c1", "d1"]
+
+
+def test_a_failed_promotion_leaves_the_old_version(spark, scratch):
+    import pytest
+
+    from regloom.sources import live
+
+    out = os.path.join(scratch, "out")
+    assert live.read_live(spark, out, "rule_id string") is None
+    rules = lambda *ids: spark.createDataFrame([(i,) for i in ids], "rule_id string")
+    live.promote(rules("R-1"), out, "v1")
+    broken = rules("R-1", "R-2").select(F.when(F.col("rule_id") == "R-2", F.raise_error(F.lit("lost"))).otherwise(F.col("rule_id")).alias("rule_id"))
+    with pytest.raises(Exception, match="lost"):
+        live.promote(broken, out, "v2")
+    assert live.live_version(spark, out) == "v1"
+    live.write_version(rules("R-1", "R-3"), out, "v3")  # written, and the job ends before the pointer moves
+    assert [r.rule_id for r in live.read_live(spark, out, "rule_id string").collect()] == ["R-1"]
+    live.move_pointer(spark, out, "v3")
+    now = live.read_live(spark, out, "rule_id string")
+    assert sorted(r.rule_id for r in now.collect()) == ["R-1", "R-3"]
+    assert all("version=v3" in f for f in now.inputFiles())
+    live.move_pointer(spark, out, "v1")
+    assert live.live_version(spark, out) == "v1"
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        live.move_pointer(spark, out, "v9")
+    assert live.live_version(spark, out) == "v1"
+
+
+def test_known_ids_are_read_without_texts_and_exchange(spark, scratch):
+    from regloom.sources import id_index
+
+    out = os.path.join(scratch, "out")
+    chunks = lambda *ids: spark.createDataFrame([(f"{i:016x}", "text") for i in ids], "chunk_id string, text string")
+    tables = lambda: [t.name for t in spark.catalog.listTables()]
+    before = tables()
+    for run_id, ids in (("r1", range(500)), ("r2", range(400, 900)), ("r2", range(400, 900))):
+        fresh = id_index.new_chunks(chunks(*ids), out, run_id)
+        want = set(ids) - (set(range(500)) if run_id == "r2" else set())
+        assert sorted(int(r.chunk_id, 16) for r in fresh.collect()) == sorted(want)
+        id_index.add_ids(fresh, out, run_id)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = id_index.new_chunks(chunks(1, 1000), out, "r3")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "SelectedBucketsCount: 64 out of 64" in plan
+    assert "ReadSchema: struct<chunk_id:string,run_id:string>" in plan
+    assert tables() == before
