@@ -48,6 +48,8 @@ MATURITY = {
 BUNDLE_CODES = [f"G20{n}" for n in range(67, 80)]  # G2067..G2079
 SUD_CODES = [c for c in RELEVANT_CODES if c.startswith("H")]
 CAP_SCHEDULE = [(0, 14, 7), (15, 31, 14), (32, None, 28)]  # days in treatment -> cap days
+#: Last day that rows of a dated schedule are binned for.
+CAP_HORIZON = "2099-12-31"
 
 
 def severity(rule_id: str) -> str:
@@ -271,7 +273,8 @@ def admission_eligibility(admissions: DataFrame, min_months: int = 12) -> DataFr
     months = F.months_between(F.col("admission_date"), F.col("history_start"))
     ok = F.coalesce(months >= min_months, F.lit(False)) | F.coalesce(F.size("exceptions") > 0, F.lit(False))
     bad = admissions.filter(~ok)
-    return finding(bad, "R-FED-03", F.col("patient_id"), F.col("admission_date"), F.concat(F.lit("months="), F.round(months, 2).cast("string")))
+    documented = F.coalesce(F.round(months, 2).cast("string"), F.lit("none"))
+    return finding(bad, "R-FED-03", F.col("patient_id"), F.col("admission_date"), F.concat(F.lit("months="), documented))
 
 
 def takehome_stability(requests: DataFrame) -> DataFrame:
@@ -291,29 +294,55 @@ def cap_days(days_in_treatment: Column, schedule=CAP_SCHEDULE) -> Column:
     return out
 
 
-def takehome_gate(requests: DataFrame, window_days: int = 14, initial_cap: int = 7, schedule=CAP_SCHEDULE) -> DataFrame:
-    """A9 (R-FED-05): block if (days < 14 and requested > 7) or the stability
-    assessment is not signed; later requests are held to the cap schedule."""
+def scheduled_caps(requests: DataFrame, schedule: DataFrame, horizon: str = CAP_HORIZON) -> DataFrame:
+    """Requests with the ``cap_days`` of the schedule row in force on their day.
+
+    ``schedule`` rows (effective_from, effective_to, day_from, day_to,
+    cap_days) hold from one date to another (null: until further notice) for a
+    range of days in treatment (null: open); they do not overlap. The interval
+    join goes by bins: a row is listed under every month it holds in, up to
+    the horizon, and a request meets the rows of its month. A request that no
+    row covers has a null cap.
+    """
+    month = lambda c: F.trunc(c, "MM")
+    until = F.least(F.coalesce("effective_to", F.to_date(F.lit(horizon))), F.to_date(F.lit(horizon)))
+    holds = F.col("effective_from") <= until
+    rows = schedule.where(holds).select("*", F.explode(F.sequence(month("effective_from"), month(until), F.expr("interval 1 month"))).alias("_month"))
+    dated = requests.withColumn("_month", month("request_date"))
+    at, day = F.col("request_date"), F.col("days_in_treatment")
+    in_force = (at >= F.col("effective_from")) & (at <= F.coalesce("effective_to", at)) & (day >= F.col("day_from")) & (day <= F.coalesce("day_to", day))
+    met = dated.join(rows, (dated["_month"] == rows["_month"]) & in_force, "left")
+    return met.select(*[dated[c] for c in requests.columns], "cap_days")
+
+
+def _gate(requests: DataFrame, window_days: int, initial_cap: int, schedule) -> tuple[DataFrame, Column, Column]:
+    """(requests, violation of A9, its detail); the schedule is a list of (lo, hi, cap) or a dated table."""
     d, r = F.col("days_in_treatment"), F.col("requested_days")
+    if isinstance(schedule, DataFrame):
+        requests, cap = scheduled_caps(requests, schedule), F.col("cap_days")
+    else:
+        cap = cap_days(d, schedule)
     early = (d < window_days) & (r > initial_cap)
     unsigned = ~F.coalesce(F.col("assessment_signed"), F.lit(False))
-    over_cap = r > cap_days(d, schedule)
-    bad = requests.filter(early | unsigned | over_cap)
+    over_cap = F.coalesce(r > cap, F.lit(False))
     detail = F.concat_ws(",", F.when(early, F.lit("early")), F.when(unsigned, F.lit("unsigned")), F.when(over_cap, F.lit("over_cap")))
-    return finding(bad, "R-FED-05", F.col("request_id"), F.col("request_date"), detail)
+    return requests, early | unsigned | over_cap, detail
+
+
+def takehome_gate(requests: DataFrame, window_days: int = 14, initial_cap: int = 7, schedule=CAP_SCHEDULE) -> DataFrame:
+    """A9 (R-FED-05): block if (days < 14 and requested > 7) or the stability
+    assessment is not signed; later requests are held to the cap schedule."""
+    requests, bad, detail = _gate(requests, window_days, initial_cap, schedule)
+    return finding(requests.filter(bad), "R-FED-05", F.col("request_id"), F.col("request_date"), detail)
 
 
 def takehome_checks(requests: DataFrame, window_days: int = 14, initial_cap: int = 7, schedule=CAP_SCHEDULE) -> DataFrame:
     """A8 and A9 over the same requests in one pass."""
-    d, r = F.col("days_in_treatment"), F.col("requested_days")
-    early = (d < window_days) & (r > initial_cap)
-    unsigned = ~F.coalesce(F.col("assessment_signed"), F.lit(False))
-    over_cap = r > cap_days(d, schedule)
-    detail = F.concat_ws(",", F.when(early, F.lit("early")), F.when(unsigned, F.lit("unsigned")), F.when(over_cap, F.lit("over_cap")))
+    requests, bad, detail = _gate(requests, window_days, initial_cap, schedule)
     key, day = F.col("request_id"), F.col("request_date")
     return findings_one_pass(requests, [
         ("R-FED-04", ~F.coalesce(F.col("stable_home"), F.lit(False)), key, day, F.lit("stable_home not documented")),
-        ("R-FED-05", early | unsigned | over_cap, key, day, detail),
+        ("R-FED-05", bad, key, day, detail),
     ])
 
 
@@ -347,11 +376,14 @@ def expiry_warning(records: DataFrame, rule_id: str, as_of: str, window_days: in
 def regional_modifier(claims: DataFrame, patient_region: DataFrame, routing: DataFrame) -> DataFrame:
     """A17 (R-MSO-01): the line must carry its patient's regional modifier.
 
-    ``patient_region``: patient_id, region; ``routing``: region, modifier
-    (a fixed mapping, broadcast)."""
-    j = claims.join(patient_region, "patient_id").join(F.broadcast(routing), "region")
-    bad = j.filter(~F.array_contains(_mods(), F.col("modifier")))
-    return finding(bad, "R-MSO-01", _claim_key(), F.col("service_date"), F.concat(F.lit("needs="), F.col("modifier")))
+    ``patient_region``: patient_id, region; ``routing``: region, modifier (left
+    to AQE, which measures it). A patient without a region can't be routed, so
+    every line is reported; a region without a modifier asks for none."""
+    regions = patient_region.join(routing, "region", "left").select("patient_id", "region", "modifier")
+    j = claims.join(regions, "patient_id", "left")
+    bad = j.filter(F.col("region").isNull() | ~F.array_contains(_mods(), F.col("modifier")))
+    detail = F.when(F.col("region").isNull(), F.lit("no region")).otherwise(F.concat(F.lit("needs="), F.col("modifier")))
+    return finding(bad, "R-MSO-01", _claim_key(), F.col("service_date"), detail)
 
 
 def pdmp_gate(visits: DataFrame) -> DataFrame:

@@ -47,6 +47,11 @@ def window_count(length: Column, size: int, stride: int) -> Column:
     return F.greatest(F.lit(0), extra).cast("int") + F.lit(1)
 
 
+def chunk_counts(length: Column, size: int = DEFAULT_CHUNK_CHARS, overlap: int = DEFAULT_OVERLAP_CHARS) -> Column:
+    """Chunks of a text of so many characters, without cutting it (null: the empty text)."""
+    return window_count(F.coalesce(length, F.lit(0)), size, _check_window(size, overlap))
+
+
 def explode_windows(
     units: DataFrame,
     *,

@@ -6,6 +6,8 @@ a per-partition top-k followed by a small merge, never a full collect.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,33 +116,42 @@ def chunk_table(chunks: DataFrame) -> DataFrame:
 def totals(results: DataFrame, rules: DataFrame, chunks: DataFrame) -> DataFrame:
     """Ok / fail sources, rule and chunk counts (one row).
 
-    The three inputs are tagged and unioned, then counted in ONE aggregation
-    (no joins between single-row aggregates)."""
+    ``chunks`` are rows of chunks, or of texts with their ``chunk_count``. The
+    three inputs are tagged and unioned, then counted in ONE aggregation (no
+    joins between single-row aggregates)."""
+    many = F.col("chunk_count") if "chunk_count" in chunks.columns else F.lit(1)
+    one = F.lit(1).cast("bigint").alias("_n")
     tagged = (
-        results.select(F.when(failed(F.col("warnings")), F.lit("fail")).otherwise(F.lit("ok")).alias("_t"))
-        .unionByName(rules.select(F.lit("rule").alias("_t")))
-        .unionByName(chunks.select(F.lit("chunk").alias("_t")))
-    )
-    t = F.col("_t")
-    return tagged.agg(
-        F.count_if(t == "ok").alias("ok"),
-        F.count_if(t == "fail").alias("fail"),
-        F.count_if(t == "rule").alias("rule_count"),
-        F.count_if(t == "chunk").alias("chunk_count"),
+        results.select(F.when(failed(F.col("warnings")), F.lit("fail")).otherwise(F.lit("ok")).alias("_t"), one)
+        .unionByName(rules.select(F.lit("rule").alias("_t"), one))
+        .unionByName(chunks.select(F.lit("chunk").alias("_t"), many.cast("bigint").alias("_n")))
     )
+    count = lambda t: F.coalesce(F.sum(F.when(F.col("_t") == t, F.col("_n"))), F.lit(0)).cast("bigint")
+    return tagged.agg(count("ok").alias("ok"), count("fail").alias("fail"), count("rule").alias("rule_count"), count("chunk").alias("chunk_count"))
 
 
 def chunks_per_source(chunks: DataFrame) -> DataFrame:
-    """R7."""
-    return chunks.groupBy("source_key").agg(F.count(F.lit(1)).alias("chunk_count"))
+    """R7; ``chunks`` are rows of chunks, or of texts with their ``chunk_count`` (no text is cut to count)."""
+    many = F.sum("chunk_count") if "chunk_count" in chunks.columns else F.count(F.lit(1))
+    return chunks.groupBy("source_key").agg(many.cast("bigint").alias("chunk_count"))
 
 
-def chunk_samples(chunks: DataFrame, order: list[str]) -> DataFrame:
-    """First three chunks in chunk order, text cut at 400 with an ellipsis."""
-    top = chunks.orderBy(*order).limit(SAMPLE_COUNT)
+def _sample(chunks: DataFrame, order: list[str]) -> DataFrame:
     t = F.col("text")
     cut = F.concat(F.substring(t, 1, SAMPLE_CHARS), F.when(F.length(t) > SAMPLE_CHARS, F.lit(ELLIPSIS)).otherwise(F.lit("")))
-    return top.select(*order, "source_key", "label", "char_count", cut.alias("sample"))
+    return chunks.orderBy(*order).limit(SAMPLE_COUNT).select(*order, "source_key", "label", "char_count", cut.alias("sample"))
+
+
+def chunk_samples(chunks: DataFrame, order: list[str]) -> DataFrame:
+    """First three chunks in chunk order, text cut at 400 with an ellipsis."""
+    return _sample(chunks, order)
+
+
+def first_chunk_samples(units: DataFrame, unit_order: list[str], explode: Callable[[DataFrame], DataFrame], chunk_order: list[str]) -> DataFrame:
+    """R8 from texts that give at least one chunk each: the first three chunks
+    come from the first three texts, so only those are chunked (a top-k below
+    the generator)."""
+    return _sample(explode(units.orderBy(*unit_order).limit(SAMPLE_COUNT)), [*unit_order, *chunk_order])
 
 
 def diff_overview(changes: DataFrame, order_col: str = "rule_id") -> DataFrame:

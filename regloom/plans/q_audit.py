@@ -239,28 +239,58 @@ def q_audit_takehome(spark, sf_dir):
     return A.takehome_checks(takehome_requests(FX.fx_visits(Tables(spark, sf_dir).events)))
 
 
+#: A cap schedule that changes twice (effective_from, effective_to, day_from, day_to, cap_days); the days from the 25th on have none for 10 to 12 days.
+SCHEDULE = [
+    ("2023-01-01", "2024-01-10", 0, 14, 7), ("2023-01-01", "2024-01-10", 15, 31, 14), ("2023-01-01", "2024-01-10", 32, None, 28),
+    ("2024-01-11", "2024-01-24", 0, 5, 3), ("2024-01-11", "2024-01-24", 6, None, 21),
+    ("2024-01-25", None, 0, 9, 10), ("2024-01-25", None, 13, None, 30),
+]
+_SCHEDULE_SQL = ", ".join(f"(date '{a}', {f'date {b!r}' if b else 'cast(null as date)'}, {lo}, {'null' if hi is None else hi}, {cap})" for a, b, lo, hi, cap in SCHEDULE)
+
+
+@register(
+    "audit_takehome_schedule",
+    covers=("A9",),
+    oracle=FX.with_fixtures(
+        _REQ_SQL
+        + f""",
+schedule as (select * from (values {_SCHEDULE_SQL}) as v(effective_from, effective_to, day_from, day_to, cap_days)),
+capped as (
+  select req.*, cap_days from req left join schedule
+    on request_date between effective_from and coalesce(effective_to, date '2999-01-01') and days_in_treatment between day_from and coalesce(day_to, 100000)),
+f as (select *, concat_ws(',', case when days_in_treatment < 14 and requested_days > 7 then 'early' end,
+                               case when not coalesce(assessment_signed, false) then 'unsigned' end, case when requested_days > cap_days then 'over_cap' end) as why from capped)
+{_finding_sql('R-FED-05', 'request_id', 'request_date', 'why')} from f where why <> ''""",
+        "fx_visits",
+    ),
+)
+def q_audit_takehome_schedule(spark, sf_dir):
+    rows = spark.createDataFrame(SCHEDULE, "effective_from string, effective_to string, day_from int, day_to int, cap_days int")
+    schedule = rows.withColumns({c: F.col(c).cast("date") for c in ("effective_from", "effective_to")})
+    return A.takehome_gate(takehome_requests(FX.fx_visits(Tables(spark, sf_dir).events)), schedule=schedule)
+
+
 @register(
     "audit_admission",
     covers=("A7",),
     oracle=FX.with_fixtures(
         f""",
-a as (select patient_id, min(service_date) as history_start,
-             min(service_date) filter (where kind = 'DOSING') as admission_date from fx_visits group by patient_id),
-m as (select *, datediff('month', history_start, admission_date) as whole_months from a where admission_date is not null)
-{_finding_sql('R-FED-03', 'patient_id', 'admission_date', "'months=' || cast(round(whole_months + (day(admission_date) - day(history_start)) / 31.0, 2) as varchar)")}
-from m where patient_id % 7 <> 0""",
+a as (select patient_id, min(date_trunc('month', service_date)) filter (where kind = 'DOSING') as admission_date from fx_visits group by patient_id),
+m as (select *, case when patient_id % 10 <> 3 then patient_id % 25 end as months from a where admission_date is not null)
+{_finding_sql('R-FED-03', 'patient_id', 'cast(admission_date as date)', "'months=' || coalesce(cast(cast(months as double) as varchar), 'none')")}
+from m where coalesce(months, 0) < 12 and patient_id % 7 <> 0""",
         "fx_visits",
     ),
 )
 def q_audit_admission(spark, sf_dir):
+    """Admissions in the month of the first dosing; histories of 0 to 24 months, some not documented, some with an exception."""
     v = FX.fx_visits(Tables(spark, sf_dir).events)
-    adm = v.groupBy("patient_id").agg(
-        F.min("service_date").alias("history_start"),
-        F.min(F.when(F.col("kind") == "DOSING", F.col("service_date"))).alias("admission_date"),
-    ).filter(F.col("admission_date").isNotNull())
+    p = F.col("patient_id")
+    adm = v.groupBy("patient_id").agg(F.min(F.when(F.col("kind") == "DOSING", F.trunc("service_date", "MM"))).alias("admission_date")).filter(F.col("admission_date").isNotNull())
     adm = adm.select(
         "*",
-        F.when(F.col("patient_id") % 7 == 0, F.array(F.lit("pregnancy"))).otherwise(F.array().cast("array<string>")).alias("exceptions"),
+        F.when(p % 10 != 3, F.add_months("admission_date", -(p % 25).cast("int"))).alias("history_start"),
+        F.when(p % 7 == 0, F.array(F.lit("pregnancy"))).otherwise(F.array().cast("array<string>")).alias("exceptions"),
     )
     return A.admission_eligibility(adm)
 
@@ -328,11 +358,11 @@ def q_audit_plan_expiry(spark, sf_dir):
         f""",
 c2 as (select *, case when line_no % 2 = 0 then modifiers_csv || ',U' || cast(patient_id % 5 + 1 as varchar) else modifiers_csv end as mods_csv
        from fx_claims),
-pr as (select c_custkey as patient_id, n_regionkey as region from customer join nation on c_nationkey = n_nationkey),
+pr as (select c_custkey as patient_id, n_regionkey as region from customer join nation on c_nationkey = n_nationkey where c_custkey % 17 <> 0),
 rt as (select r_regionkey as region, 'U' || cast(r_regionkey + 1 as varchar) as modifier from region),
-j as (select c2.*, rt.modifier from c2 join pr using (patient_id) join rt using (region))
-{_finding_sql('R-MSO-01', _CLAIM_KEY, 'service_date', "'needs=' || modifier")}
-from j where not list_contains(list_filter(string_split(coalesce(mods_csv, ''), ','), lambda m: m <> ''), modifier)""",
+j as (select c2.*, pr.region, rt.modifier from c2 left join pr using (patient_id) left join rt using (region))
+{_finding_sql('R-MSO-01', _CLAIM_KEY, 'service_date', "case when region is null then 'no region' else 'needs=' || modifier end")}
+from j where region is null or not list_contains(list_filter(string_split(coalesce(mods_csv, ''), ','), lambda m: m <> ''), modifier)""",
         "fx_claims",
     ),
 )
@@ -347,7 +377,7 @@ def q_audit_regional_modifier(spark, sf_dir):
     # nation and region have a fixed size (25 and 5 rows), so broadcasting them is safe.
     pr = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("patient_id"), F.col("n_regionkey").alias("region")
-    )
+    ).where(F.col("patient_id") % 17 != 0)
     routing = t.region.select(
         F.col("r_regionkey").alias("region"), F.concat(F.lit("U"), (F.col("r_regionkey") + 1).cast("string")).alias("modifier")
     )
@@ -375,19 +405,39 @@ def q_audit_credentialing(spark, sf_dir):
     return A.credentialing(s)
 
 
+_PLACEHOLDER = "[ Grab your reader's attention with 5 min of counseling here. ]"
+_NARRATIVES_SQL = f""",
+n as (
+  select doc_id, case doc_id % 5 when 0 then '{_PLACEHOLDER.replace("'", "''")}' || chr(10) || '  ' || text
+                                 when 1 then text || ' 10 minutes of counseling.' when 2 then text || ' Session: 8 min therapy and 30 min therapy.' else text end as text
+  from fx_source_text),
+stripped as (select doc_id, regexp_replace(regexp_replace(text, '(?i){X.RE_TEMPLATE_PLACEHOLDER}', '', 'g'), '^\\s+', '') as text from n)"""
+
+
+def narratives(documents: DataFrame) -> DataFrame:
+    """Narratives with documented minutes below and above the minimum, some of them behind a template's placeholder (whose minutes do not count)."""
+    k, t = F.col("doc_id") % 5, F.col("text")
+    text = (
+        F.when(k == 0, F.concat(F.lit(_PLACEHOLDER + "\n  "), t)).when(k == 1, F.concat(t, F.lit(" 10 minutes of counseling.")))
+        .when(k == 2, F.concat(t, F.lit(" Session: 8 min therapy and 30 min therapy."))).otherwise(t)
+    )
+    return FX.fx_source_text(documents).select(F.col("doc_id").alias("record_id"), X.strip_template(text).alias("text"))
+
+
+@register("narratives_stripped", covers=("X9",), oracle=FX.with_fixtures(_NARRATIVES_SQL + "\nselect doc_id as record_id, text from stripped", "fx_source_text"))
+def q_narratives_stripped(spark, sf_dir):
+    return narratives(Tables(spark, sf_dir).documents)
+
+
 @register(
     "audit_counseling_minutes",
     covers=("A14", "X7"),
     oracle=FX.with_fixtures(
-        f""",
-m as (select doc_id, list_min(list_transform(regexp_extract_all(regexp_replace(regexp_replace(text,
-          '(?i){X.RE_TEMPLATE_PLACEHOLDER}', '', 'g'), '^\\s+', ''), '(?i){X.RE_COUNSELING_TIME}', 1), lambda x: try_cast(x as integer))) as mn
-      from fx_source_text)
+        f"""{_NARRATIVES_SQL},
+m as (select doc_id, list_min(list_transform(regexp_extract_all(text, '(?i){X.RE_COUNSELING_TIME}', 1), lambda x: try_cast(x as integer))) as mn from stripped)
 {_finding_sql('R-SIMPLY-01', 'doc_id', None, "'minutes=' || cast(mn as varchar)")} from m where mn < 15""",
         "fx_source_text",
     ),
 )
 def q_audit_counseling_minutes(spark, sf_dir):
-    docs = FX.fx_source_text(Tables(spark, sf_dir).documents)
-    narratives = docs.select(F.col("doc_id").alias("record_id"), X.strip_template(F.col("text")).alias("text"))
-    return A.counseling_minimum(narratives)
+    return A.counseling_minimum(narratives(Tables(spark, sf_dir).documents))

@@ -28,16 +28,18 @@ select {extra}, cast(window_ord as integer) as window_ord,
 from windows"""
 
 
-def documents_chunks(documents: DataFrame) -> DataFrame:
-    units = documents.select(
-        "doc_id",
-        F.col("source").alias("source_key"),
-        F.col("lang").alias("label"),
-        F.col("text"),
-    )
+def document_units(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", F.col("source").alias("source_key"), F.col("lang").alias("label"), "text")
+
+
+def unit_chunks(units: DataFrame) -> DataFrame:
     return C.explode_windows(units).select("doc_id", "window_ord", *C.CHUNK_COLUMNS)
 
 
+def documents_chunks(documents: DataFrame) -> DataFrame:
+    return unit_chunks(document_units(documents))
+
+
 @register(
     "chunk_windows",
     covers=("C2", "C3"),
@@ -163,11 +165,12 @@ windows as ({_WINDOWS_SQL.format(units='units')})
     ),
 )
 def q_chunk_engine2(spark, sf_dir):
-    spark_catalog = S.catalog_df(spark)
-    res = FX.fx_results(Tables(spark, sf_dir).documents)
-    routed = C.route_engine2(res, spark_catalog)
-    units = routed.select("result_ord", "source_key", F.col("source_key").alias("label"), "text")
-    return C.explode_windows(units).select("result_ord", "window_ord", *C.CHUNK_COLUMNS)
+    return C.explode_windows(engine2_units(spark, sf_dir)).select("result_ord", "window_ord", *C.CHUNK_COLUMNS)
+
+
+def engine2_units(spark, sf_dir) -> DataFrame:
+    routed = C.route_engine2(FX.fx_results(Tables(spark, sf_dir).documents), S.catalog_df(spark))
+    return routed.select("result_ord", "source_key", F.col("source_key").alias("label"), "text")
 
 
 @register(

@@ -4,10 +4,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regloom.operators import chunks as C
 from regloom.operators import extract as X
 from regloom.operators import matrix as M
 from regloom.operators import report as RP
-from regloom.plans.q_chunks import documents_chunks, q_chunk_engine2
+from regloom.plans.q_chunks import document_units, documents_chunks, engine2_units, unit_chunks
 from regloom.plans.q_diff import fixture_changes
 from regloom.plans.q_matrix import matrix_results
 from regloom.plans.registry import _REGISTRY, register
@@ -23,12 +24,14 @@ def report_results(documents: DataFrame) -> DataFrame:
     """Results with the facts the run summary reads (present only when the
     result parsed: a failed or empty result has no facts)."""
     res = matrix_results(documents, keep_text=True)
-    k, t = F.col("source_key"), F.col("text")
+    d, k, t = F.col("result_ord"), F.col("source_key"), F.col("text")
     parsed = ~RP.failed(F.col("warnings")) & ~F.col("parsed_empty")
     return res.select(
         "result_ord", "source_key", "source_name", "fetched_at", "content_sha256", "warnings",
         F.when(parsed & (k == ECFR), F.size(F.split(F.coalesce(t, F.lit("")), "\n"))).alias("section_count"),
-        F.when(parsed, F.col("g_codes_mentioned")).alias("g_codes_mentioned"),
+        F.when(parsed & (d % 9 != 4), F.col("g_codes_mentioned")).alias("g_codes_mentioned"),
+        F.when(parsed & (d % 11 == 6), d % 5).alias("edit_count_relevant"),
+        F.when(parsed & (d % 3 == 1), F.split(F.substring(t, 1, 60), " ")).alias("candidate_links"),
         F.when(parsed, X.doc_label(k)).otherwise(F.lit("")).alias("doc_label"),
     )
 
@@ -49,11 +52,15 @@ s as (
   select r.*, not failed and not parsed_empty as parsed,
          case when source_key = '{ECFR}' then cast(len(string_split(coalesce(text, ''), chr(10))) as bigint) end as sc,
          case when source_key in ('{CH39}', '{CH17}', '{MLN}') then cast(len(list_distinct(regexp_extract_all(text, '{X.RE_G_CODE_CMS}', 1))) as bigint)
-              when source_key = '{FCSO}' then cast(len(list_distinct(regexp_extract_all(text, '{X.RE_G_CODE_ANY}', 1))) as bigint) end as gc
+              when source_key = '{FCSO}' then cast(len(list_distinct(regexp_extract_all(text, '{X.RE_G_CODE_ANY}', 1))) as bigint) end as gc0,
+         case when result_ord % 9 <> 4 then gc0 end as gc,
+         case when result_ord % 11 = 6 then result_ord % 5 end as ec,
+         case when result_ord % 3 = 1 then cast(len(string_split(substring(text, 1, 60), ' ')) as bigint) end as cl
   from r)
 select result_ord, source_key, case when failed then 'FAIL' else 'OK' end as status,
-       case when parsed and sc is not null then sc when parsed and gc is not null then gc else cast(0 as bigint) end as extracted_count,
-       case when parsed and sc is not null then 'sections' when parsed and gc is not null then 'G-codes mentioned' else '' end as extracted_unit,
+       cast(case when not parsed then 0 when sc is not null then sc when ec is not null then ec when gc is not null then gc when cl is not null then cl else 0 end as bigint) as extracted_count,
+       case when not parsed then '' when sc is not null then 'sections' when ec is not null then 'NCCI edits' when gc is not null then 'G-codes mentioned'
+            when cl is not null then 'PDF links' else '' end as extracted_unit,
        case when failed then 'scrape_failed: 503' else '' end as warnings_text,
        cast(coalesce(f.raw_bytes, 0) as bigint) as raw_bytes,
        case when not parsed then ''
@@ -69,7 +76,7 @@ from s left join f using (source_key)
 def q_run_summary(spark, sf_dir):
     docs = Tables(spark, sf_dir).documents
     res = report_results(docs)
-    parsed_cols = {"section_count": F.col("section_count"), "g_codes_mentioned": F.col("g_codes_mentioned")}
+    parsed_cols = {c: F.col(c) for c in ("section_count", "edit_count_relevant", "g_codes_mentioned", "candidate_links")}
     out = RP.run_summary(res, landed_files(docs), parsed_cols)
     return out.select(
         "result_ord", "source_key", "status", "extracted_count", "extracted_unit", "warnings_text", "raw_bytes",
@@ -113,7 +120,8 @@ def q_chunk_report(spark, sf_dir):
     oracle=f"select source_key, count(*) as chunk_count from {_sub('chunk_windows')} c group by source_key",
 )
 def q_chunks_per_source(spark, sf_dir):
-    return RP.chunks_per_source(documents_chunks(Tables(spark, sf_dir).documents))
+    units = document_units(Tables(spark, sf_dir).documents)
+    return RP.chunks_per_source(units.select("source_key", C.chunk_counts(F.length("text")).alias("chunk_count")))
 
 
 @register(
@@ -125,7 +133,7 @@ select doc_id, window_ord, source_key, label, char_count,
 from {_sub('chunk_windows')} c order by doc_id, window_ord limit 3""",
 )
 def q_chunk_samples(spark, sf_dir):
-    return RP.chunk_samples(documents_chunks(Tables(spark, sf_dir).documents), ["doc_id", "window_ord"])
+    return RP.first_chunk_samples(document_units(Tables(spark, sf_dir).documents), ["doc_id"], unit_chunks, ["window_ord"])
 
 
 @register(
@@ -141,7 +149,7 @@ def q_run_totals(spark, sf_dir):
     docs = Tables(spark, sf_dir).documents
     res = matrix_results(docs)
     rules = M.build_rules(res, numbered=False)
-    chunks = q_chunk_engine2(spark, sf_dir)
+    chunks = engine2_units(spark, sf_dir).select(C.chunk_counts(F.length("text")).alias("chunk_count"))
     return RP.totals(res, rules, chunks)
 
 

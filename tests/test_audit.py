@@ -141,3 +141,26 @@ def test_run_audits_reaches_every_check(spark):
     assert {(r.record_key, r.detail) for r in found if r.rule_id == "R-FLMAC-01"} == {
         ("1:1", "standard code=99213"), ("3:0", "code=G0137"), ("4:0", "code=G2215"), ("5:0", "code=G2068")
     }
+
+
+def test_caps_of_a_schedule_that_changes(spark):
+    import itertools
+
+    day = dt.date.fromisoformat
+    schedule = [
+        (day("2023-12-15"), day("2024-01-31"), 0, 14, 7), (day("2023-12-15"), day("2024-01-31"), 15, None, 14),
+        (day("2024-02-01"), None, 0, 9, 3), (day("2024-02-01"), None, 20, None, 28), (day("2200-01-01"), None, 0, None, 1),
+    ]
+    days = [day("2023-12-14"), day("2023-12-15"), day("2024-01-31"), day("2024-02-01"), day("2099-12-31")]
+    requests = [(i, d, n) for i, (d, n) in enumerate(itertools.product(days, [0, 9, 10, 14, 15, 19, 20, 400]))]
+    got = A.scheduled_caps(
+        spark.createDataFrame(requests, "request_id int, request_date date, days_in_treatment int"),
+        spark.createDataFrame(schedule, "effective_from date, effective_to date, day_from int, day_to int, cap_days int"),
+    )
+    want = {
+        i: next((cap for a, b, lo, hi, cap in schedule if a <= d <= (b or d) and lo <= n <= (n if hi is None else hi)), None) for i, d, n in requests
+    }
+    rows = got.collect()
+    assert len(rows) == len(requests) and {r.request_id: r.cap_days for r in rows} == want
+    assert None in want.values() and {7, 14, 3, 28} <= set(want.values())
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()

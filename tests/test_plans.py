@@ -70,3 +70,15 @@ def test_multi_check_audits_scan_claims_once(plans):
 def test_link_selection_scans_pages_once(plans):
     for n in ["ncci_full_table_parts", "ncci_delta_fallback", "medicaid_ptp_zips"]:
         assert plans[n].count("FileScan parquet [page_id") == 1, n
+
+
+def test_samples_chunk_three_documents_only(plans):
+    p = plans["chunk_samples"]
+    lines = [x for x in p.split("\n")]
+    generate = next(i for i, x in enumerate(lines) if "Generate" in x)
+    assert any("TakeOrderedAndProject(limit=3, orderBy=[doc_id" in x for x in lines[generate:])
+
+
+def test_counts_cut_no_texts(plans):
+    for n in ["chunks_per_source", "run_totals"]:
+        assert "Generate" not in plans[n] and "sha2" not in plans[n], n
