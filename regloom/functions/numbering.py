@@ -1,63 +1,48 @@
-"""Contiguous 0-based numbering without a single-task window.
+"""Contiguous 0-based numbering without a single-task window over the rows.
 
 ``row_number().over(Window.orderBy(...))`` without a partition moves every row
-into one task. Here the rows are range-partitioned and sorted instead; each
-partition counts its rows per group (a tiny table: at most one row per
-partition and group it touches), prefix sums over that table give each
-partition's offset, and the offsets are joined back by broadcast. The
-position inside a partition comes from ``monotonically_increasing_id``, whose
-low 33 bits count rows in iteration order.
-
-The ranged, tagged rows are written once as a table under
-``spark.checkpoint.dir`` (the cluster's shared folder) and read back, so the
-partition id and position are stored columns: the count branch and the
-numbered rows read the same values whatever AQE, column pruning or a lost
-executor does afterwards. Writing computes the input once (a reliable RDD
-checkpoint would compute it twice). The table holds one copy of the rows
-being numbered.
-
-``order_cols`` (with ``group_cols``) should be a total order so the result is
-reproducible across runs.
+into one task. Here the order is made of levels: rows are numbered within
+their fine key, fine keys within their coarse key, and coarse keys by a window
+over one row each; a row's number is the sum of the three. The levels are the
+leading columns of the order, with ordinals cut into runs (``run_of``), so
+that a coarse key covers many fine keys and a fine key a bounded number of
+rows, whatever a single result or table holds.
+
+Everything is part of the caller's plan: nothing is written or computed while
+it is built, and only keys and counts are shuffled besides the rows.
 """
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regloom.session import checkpoint_dir
+#: Ordinals in a run.
+RUN = 1 << 16
 
 
-def contiguous_index(
-    df: DataFrame,
-    order_cols: Sequence[str | Column],
-    *,
-    group_cols: Sequence[str] = (),
-    index_col: str = "idx",
-    num_partitions: int | None = None,
+def run_of(ordinal: str | Column, width: int = RUN) -> Column:
+    """The run that an ordinal belongs to; runs keep the ordinals' order."""
+    c = F.col(ordinal) if isinstance(ordinal, str) else ordinal
+    return F.floor(c / width)
+
+
+def level_index(
+    df: DataFrame, coarse: Sequence[str], fine: Sequence[str], order: Sequence[str], *, group: Sequence[str] = (), index_col: str = "idx"
 ) -> DataFrame:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    keys = [F.col(c) if isinstance(c, str) else c for c in (*group_cols, *order_cols)]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/numbering-{uuid.uuid4().hex}"
-    (
-        ranged.withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), 33))
-        .write.parquet(path)
-    )
-    tagged = spark.read.parquet(path)
-    counts = tagged.groupBy("_pid", *group_cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_mid").alias("_base"),
-    )
-    w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *group_cols, "_base", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # offsets holds at most (partitions x groups touched) rows: its size is
-    # bounded by the partition count when there are few groups.
-    joined = tagged.join(F.broadcast(offsets), ["_pid", *group_cols])
-    return joined.withColumn(index_col, F.col("_off") + F.col("_mid") - F.col("_base")).drop(
-        "_pid", "_mid", "_base", "_off"
-    )
+    """Position of each row in the order of (coarse, fine, order) columns, within each group; the keys hold no nulls.
+
+    Rows that tie in all of them get different positions in no fixed order.
+    """
+    group, coarse, fine = list(group), list(coarse), list(fine)
+    keys = [*group, *coarse, *fine]
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    within = counts.withColumn("_fine", before(Window.partitionBy(*group, *coarse).orderBy(*fine)))
+    totals = counts.groupBy(*group, *coarse).agg(F.sum("_n").alias("_n"))
+    # One row per coarse key: the only window that may have a single task.
+    offsets = totals.select(*group, *coarse, before(Window.partitionBy(*group).orderBy(*coarse)).alias("_coarse"))
+    starts = within.join(offsets, [*group, *coarse]).select(*keys, (F.col("_coarse") + F.col("_fine")).alias("_start"))
+    placed = df.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+    return placed.join(starts, keys).withColumn(index_col, F.col("_start") + F.col("_place")).drop("_start", "_place")

@@ -26,7 +26,10 @@ def url_join(base: Column, href: Column) -> Column:
     absolute URLs, scheme-relative ('//host/..'), absolute and relative paths
     with dot segments, query-only, fragment-only and empty.
     """
-    h = F.coalesce(href, F.lit(""))
+    return F.get(F.transform(F.array(F.coalesce(href, F.lit(""))), lambda h: _joined(base, h)), 0)  # the href is named many times, and bound once
+
+
+def _joined(base: Column, h: Column) -> Column:
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
     origin = F.regexp_extract(base, _ORIGIN, 1)
     no_frag = F.regexp_replace(base, "#.*$", "")
@@ -39,11 +42,14 @@ def url_join(base: Column, href: Column) -> Column:
     joined = F.concat(folder, F.split(h_path, "/"))
     inner = F.filter(F.slice(joined, F.lit(2), F.size(joined) - 2), lambda s: s != "")
     relative = F.concat(F.array(F.lit("")), inner, F.slice(joined, -1, 1))
+    rooted = h.startswith("/")
+    # Paths are taken apart only where a segment may be a dot segment.
     return (
         F.when(h == "", base)
         .when(h.rlike(_SCHEME), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, _without_dots(F.split(h_path, "/")), rest))
+        .when(rooted & ~h.contains("/."), F.concat(origin, h))
+        .when(rooted, F.concat(origin, _without_dots(F.split(h_path, "/")), rest))
         .when(h.startswith("?"), F.concat(no_query, h))
         .when(h.startswith("#"), F.concat(no_frag, h))
         .otherwise(F.concat(origin, _without_dots(relative), rest))
@@ -56,10 +62,11 @@ def unwrap_license(href: Column) -> Column:
     ``try_parse_url`` reads path and query of relative hrefs; the ``file``
     value is percent-decoded like ``parse_qs``; an empty target keeps the href.
     """
+    may_be = href.contains("/license/ama")
     path = F.try_parse_url(href, F.lit("PATH"))
     target = F.try_url_decode(F.try_parse_url(href, F.lit("QUERY"), F.lit("file")))
     wrapped = F.coalesce(path.endswith("/license/ama"), F.lit(False)) & F.coalesce(target != "", F.lit(False))
-    return F.when(wrapped, F.regexp_replace(target, "/{2,}", "/")).otherwise(href)
+    return F.when(may_be & wrapped, F.regexp_replace(target, "/{2,}", "/")).otherwise(href)
 
 
 def resolve_cms_href(href: Column, base: Column) -> Column:

@@ -107,10 +107,10 @@ def medicaid_zips(hrefs: DataFrame) -> DataFrame:
     """L3: newest-release practitioner Medicaid PTP zips, distinct resolved URLs
     in first-seen order (``first_pos``)."""
     pat = R.pattern(RE_MEDICAID_PTP, ignore_case=True)
-    m = hrefs.filter(F.col("href").rlike(pat)).select(
-        "page_id", "href_pos", release_key(F.col("href")).alias("rel"),
-        resolve_cms_href(F.col("href"), F.col("base_url")).alias("url"),
-    )
-    per_url = m.groupBy("page_id", "rel", "url").agg(F.min("href_pos").alias("first_pos"))
+    m = hrefs.filter(F.col("href").rlike(pat)).select("page_id", "href_pos", "href", "base_url", release_key(F.col("href")).alias("rel"))
+    per_href = m.groupBy("page_id", "rel", "href", "base_url").agg(F.min("href_pos").alias("first_pos"))
     newest = F.max("rel").over(Window.partitionBy("page_id"))
-    return per_url.withColumn("_best", newest).filter(F.col("rel") == F.col("_best")).select("page_id", "url", "first_pos")
+    chosen = per_href.withColumn("_best", newest).filter(F.col("rel") == F.col("_best"))
+    # Only the winners are resolved; the rows of a page are together by now.
+    resolved = chosen.select("page_id", resolve_cms_href(F.col("href"), F.col("base_url")).alias("url"), "first_pos")
+    return resolved.groupBy("page_id", "url").agg(F.min("first_pos").alias("first_pos"))

@@ -8,15 +8,15 @@ Input ``edits`` (optional, NCCI): source_key, result_ord, edit_ord, column1, col
 
 Plan: the guard (M3) is a narrow filter; the template table (19 fixed rows)
 is broadcast into the results, so building rules is a map-side join; the
-only wide step is the final numbering (M4), done with range partitioning and
-per-partition offsets rather than a single-task window.
+only wide step is the final numbering (M4), done by levels of ordinals rather
+than a single-task window.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.functions.numbering import contiguous_index
+from regloom.functions.numbering import level_index, run_of
 from regloom.operators.templates import (
     FACT_TYPES,
     FEDERAL_KEYS,
@@ -38,6 +38,8 @@ RULE_COLUMNS = [
     "friendly_message",
     "params_json",
 ]
+#: Results whose rules are numbered together.
+RESULT_RUN = 4096
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
 
@@ -149,7 +151,8 @@ def ncci_rules(results: DataFrame, edits: DataFrame) -> DataFrame:
 
 def number_edits(edits: DataFrame, scope: list[str] = ["source_key", "result_ord"]) -> DataFrame:
     """Positions of deduplicated edits in first-seen order within each table."""
-    return contiguous_index(edits, ["part_ord", "file_ord", "row_ord"], group_cols=scope, index_col="edit_ord")
+    keyed = edits.withColumn("_run", run_of("row_ord"))
+    return level_index(keyed, ["part_ord", "file_ord"], ["_run"], ["row_ord"], group=scope, index_col="edit_ord").drop("_run")
 
 
 def check_messages(rules: DataFrame) -> DataFrame:
@@ -172,8 +175,9 @@ def build_rules(results: DataFrame, edits: DataFrame | None = None, *, numbered:
     if not numbered:
         return rules.select(*RULE_COLUMNS)
     bucket = F.when(F.col("source_key").isin(FEDERAL_KEYS), F.lit(0)).otherwise(F.lit(1)).alias("bucket")
-    staged = rules.select(bucket, "*")
-    numbered = contiguous_index(staged, ["bucket", "result_ord", "template_ord", "edit_ord"], index_col="rule_ord")
+    # A run covers many results, and a result's edits come in runs of their own.
+    staged = rules.select(bucket, run_of("result_ord", RESULT_RUN).alias("_results"), run_of("edit_ord").alias("_edits"), "*")
+    numbered = level_index(staged, ["bucket", "_results"], ["result_ord", "_edits"], ["template_ord", "edit_ord"], index_col="rule_ord")
     return numbered.select("rule_ord", *RULE_COLUMNS)
 
 

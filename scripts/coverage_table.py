@@ -45,7 +45,7 @@ IMPL = {
     "L3": "operators/links.py: medicaid_zips", "L4": "operators/links.py: release_key",
     "L5": "functions/urls.py: unwrap_license, url_join, resolve_cms_href",
     "M1": "operators/matrix.py: template_rules, check_messages", "M2": "operators/matrix.py: template_table (broadcast join)",
-    "M3": "operators/matrix.py: guard", "M4": "operators/matrix.py: build_rules; functions/numbering.py: contiguous_index",
+    "M3": "operators/matrix.py: guard", "M4": "operators/matrix.py: build_rules; functions/numbering.py: level_index",
     "M5": "operators/matrix.py: provenance", "M6": "operators/matrix.py: header",
     "M7": "operators/templates.py: R-FED-01", "M8": "operators/templates.py: R-FED-02 (condition)",
     "M9": "operators/templates.py: R-FL-02..05", "M10": "operators/templates.py: R-FED-03..06",
