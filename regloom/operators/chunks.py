@@ -16,6 +16,9 @@ from regloom.functions.regex import PY_SPACE, pattern, py_strip
 DEFAULT_CHUNK_CHARS = 1200
 DEFAULT_OVERLAP_CHARS = 150
 
+#: Windows of a text from which on it is cut into strides first.
+LONG_TEXT_WINDOWS = 8
+
 CHUNK_COLUMNS = ["chunk_id", "source_key", "label", "text", "char_count"]
 
 
@@ -73,6 +76,14 @@ def explode_windows(
     # only their own piece, never the whole document.
     starts = F.sequence(F.lit(0), window_count(n, size, stride) - 1)
     pieces = F.transform(starts, lambda i: F.substring(text, i * F.lit(stride) + F.lit(1), F.lit(size)))
+    # Characters are found by counting from the text's start, which many windows
+    # of one text would do over and over: long texts are cut into strides once,
+    # and a window is put together from its own stride and those it reaches into.
+    strides = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
+    reach = 1 + -(-overlap // stride)
+    windows = lambda cut: F.transform(starts, lambda i: F.substring(F.array_join(F.slice(cut, i + 1, reach), ""), 1, size))
+    long_pieces = F.get(F.transform(F.array(strides), windows), 0)
+    pieces = F.when(n > LONG_TEXT_WINDOWS * stride, long_pieces).otherwise(pieces)
     exploded = units.select(*keep, F.posexplode(pieces).alias(window_ord_col, "text"))
     return exploded.select(
         *keep,

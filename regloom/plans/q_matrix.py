@@ -63,7 +63,7 @@ facts as (
 
 @register(
     "rule_matrix",
-    covers=("M1", "M2", "M3", "M4", "M6", "M7", "M8", "M9", "M10", "M12", "M13", "M14", "M15", "M16", "M17", "M18", "M19"),
+    covers=("M1", "M2", "M3", "M4", "M6", "M7", "M8", "M10", "M12"),
     oracle=FX.with_fixtures(
         _FACTS_SQL
         + f""",
@@ -79,6 +79,91 @@ def q_rule_matrix(spark, sf_dir):
     return M.build_rules(matrix_results(Tables(spark, sf_dir).documents), max_h_codes=25)  # as in the SQL
 
 
+#: Every source with rules, the deferred ones (11, 12), one of each kind without rules.
+ALL_SOURCES = [
+    CH39, CH17, "cms_mln_otp_booklet", "fl_ahca_cbh_handbook", "ecfr_42_part_8", FCSO, "sunshine_provider_manual", "simply_provider_resources", "fl_dcf_fasams",
+    "fl_mso_contracts", "fl_eforcse_pdmp", "internal_policy", "fl_ahca_carf_ai_consent", "fl_65d30_fac", "samhsa_tip_63", "not_in_the_catalog",
+]
+
+
+def source_results(documents: DataFrame) -> DataFrame:
+    """Every document as a result of one of ALL_SOURCES in turn, with the facts of its text; every 19th failed."""
+    d = F.col("doc_id")
+    key = F.element_at(F.array(*[F.lit(k) for k in ALL_SOURCES]), (d % len(ALL_SOURCES) + 1).cast("int"))
+    src = FX.fx_source_text(documents).select(d.alias("result_ord"), key.alias("source_key"), "text")
+    # Sunshine and Simply texts take turns in what they say: the kinds of fx_source_text go by the document's number.
+    said = F.when(F.col("result_ord") % 3 == 0, F.lit(" H0020 and H0001 with F11.20; 25 min session.")).when(F.col("result_ord") % 3 == 1, F.lit(" H2010 only.")).otherwise(F.lit(" G0137 requires a minimum of twelve services."))
+    facts = X.extract_facts(src.withColumn("text", F.concat("text", said)), every_source=True)
+    return facts.withColumns({
+        "source_name": F.col("source_key"), "fetched_at": F.lit(""), "content_sha256": F.lit(""), "parsed_empty": F.lit(False),
+        "warnings": F.when(F.col("result_ord") % 19 == 5, F.array(F.lit("scrape_failed: 503"))).otherwise(F.array().cast("array<string>")),
+    })
+
+
+_CODES = lambda c: f"'[' || coalesce(array_to_string(list_transform({c}, lambda x: '\"' || x || '\"'), ','), '') || ']'"
+# Rules as the sources' texts ask for them: (place of the source, order, id, payer, code, modifier, logic, params, numbers of the message, condition).
+# Fixed values, written out by hand.
+_SOURCE_RULES = [
+    (0, 0, "R-FED-01", "Medicare Advantage", "G2067", None, "BundleValidation", f"""'{{"min_services_in_bundle":' || weekly || ',"window_days":7,"g_codes_in_scope":' || {_CODES('g_cms')} || '}}'""", "'2067,2079,' || weekly || ',7,100,04,39'", "true"),
+    (1, 0, "R-FED-02", "Medicare", "G0137", None, "IopThresholdGuard", """'{"required_services":' || iop || ',"window_days":7}'""", "'0137,' || iop || ',7,0137,100,02,17'", "coalesce(iop, 0) <> 0"),
+    (3, 0, "R-FL-02", "Managed Medicaid", "H0020", "POS-58", "PointOfCareBlock", "null", "'0020,58'", "true"),
+    (3, 1, "R-FL-03", "AHCA Medicaid", "ALL_SUD", "HF", "SubstanceAbuseModifier", "null", "''", "true"),
+    (3, 2, "R-FL-04", "AHCA Medicaid", "H0020", "HD>HG", "ModifierSequencer", """'{"trigger_icd_prefix":"O","alt_modifier":"HG"}'""", "'0020,10'", "true"),
+    (3, 3, "R-FL-05", "AHCA Medicaid", "H0020", None, "DosingCounselingRatio", """'{"min_counseling_sessions":1,"window_days":30,"regulatory_basis":"FL AHCA Community Behavioral Health Services Handbook","maturity":"evolving","matrix_rule_number":4}'""", "'0020,1,30'", "true"),
+    (4, 0, "R-FED-03", "Federal SAMHSA", "ADMISSION", None, "AdmissionEligibilityGuard", """'{"min_history_months":12,"documented_exceptions":["pregnancy","released_from_incarceration_within_6mo","prior_treatment_within_2yr"],"regulatory_basis":"42 CFR 8.12(e)(1)","maturity":"established","matrix_rule_number":38,"pending_reclassification":"engine2_nlp"}'""", "'1,42,8,12,1,6,2'", "true"),
+    (4, 1, "R-FED-04", "Federal SAMHSA", "TAKEHOME", None, "TakeHomeStabilityGuard", """'{"blocking_factor":"stable_home_environment","all_factors":"42 CFR 8.12(i)(2)(i)-(viii)","regulatory_basis":"42 CFR 8.12(i)(2)","maturity":"established","matrix_rule_number":33}'""", "'42,8,12,2'", "true"),
+    (4, 2, "R-FED-05", "Federal SAMHSA", "TAKEHOME", None, "TakeHomeStabilityGate", """'{"initial_window_days":14,"initial_cap_days":7,"cap_schedule_days":{"0-14":7,"15-31":14,"32+":28},"requires_stability_assessment":true,"stability_flag_field":"Stability_Assessment_Complete","regulatory_basis":"42 CFR 8.12(i)(2), 8.12(i)(3)(i) (2024 final rule)","maturity":"established","matrix_rule_number":8}'""", "'2024,1,1,14,7,42,8,12,3,2,42,8,12,2,14,7'", "true"),
+    (4, 3, "R-FED-06", "Federal DEA", "VAULT", None, "ControlledSubstanceReconciliation", """'{"allowed_variance_mg":0,"regulatory_basis":"21 CFR 1304.21, 1304.22(c)","maturity":"established","matrix_rule_number":2}'""", "'21,1304,21,22'", "true"),
+    (5, 0, "R-FLMAC-01", "Medicare", "G2067", None, "PayerBlocker", f"""'{{"enforce_g_codes":' || {_CODES('g_any')} || ',"block_standard_hcpcs":true}}'""", "'2067,2079'", "true"),
+    (6, 0, "R-SUNSHINE-01", "Sunshine MCO", "H0020", None, "DiagnosisRequired", f"""'{{"required_dx_prefix":"F11.2","h_codes_in_scope":' || {_CODES('h')} || '}}'""", "'11,2'", "len(f11) > 0 and len(h) > 0"),
+    (7, 0, "R-SIMPLY-01", "Simply MCO", "COUNSELING", None, "CounselingTimeMinimum", """'{"min_minutes":' || coalesce(minutes, 15) || '}'""", "coalesce(minutes, 15)", "true"),
+    (8, 0, "R-FASAMS-01", "FL DCF/MSO", "INTAKE", None, "IntakeFieldValidation", """'{"matrix_rule_number":28,"required_field_groups":["demographic","employment"],"regulatory_basis":"FL DCF Pamphlet 155-2 (FASAMS data elements)","maturity":"evolving"}'""", "''", "true"),
+    (8, 1, "R-FASAMS-02", "FL DCF/MSO", "ELIGIBILITY", None, "EligibilityExpiryWarning", """'{"matrix_rule_number":29,"warning_window_days":30,"regulatory_basis":"FL DCF financial eligibility / sliding-fee rules","maturity":"evolving"}'""", "'30'", "true"),
+    (9, 0, "R-MSO-01", "Regional MSO", "ALL_SUD", None, "RegionalModifierRouting", """'{"matrix_rule_number":30,"regulatory_basis":"Regional MSO contracts (LSF, Central Florida Cares, etc.)","maturity":"contract"}'""", "''", "true"),
+    (10, 0, "R-PDMP-01", "FL E-FORCSE", "PRESCRIBE", None, "PdmpQueryGate", """'{"matrix_rule_number":35,"regulatory_basis":"FL Statute 893.055(2)(a)","maturity":"established"}'""", "''", "true"),
+    (13, 0, "R-CRED-01", "FL DCF Medicaid", "COUNSELING", None, "CredentialingBillingBlock", """'{"matrix_rule_number":36,"regulatory_basis":"FL Admin Code 65D-30.004 (personnel)","maturity":"established"}'""", "'65,30'", "true"),
+    (13, 1, "R-TPLAN-01", "CARF/FL", "TREATMENT_PLAN", None, "TreatmentPlanExpiry", """'{"matrix_rule_number":37,"warning_window_days":14,"regulatory_basis":"CARF Behavioral Health standards + FL 65D-30.0046","maturity":"established"}'""", "'65,30,14'", "true"),
+]
+_FEDERAL_PLACES = "0, 1, 2, 4"
+
+
+def _source_rules_sql() -> str:
+    found = lambda pattern, group=1: f"list_sort(list_distinct(regexp_extract_all(text, '{pattern}', {group})))"
+    rules = "\nunion all\n".join(
+        f"select result_ord, place, {n} as template_ord, '{rule}' as rule_id, '{payer}' as payer_type, '{code}' as code, cast({'null' if mod is None else repr(mod)} as varchar) as required_modifier, "
+        f"'{logic}' as logic_type, cast({params} as varchar) as params_json, cast({numbers} as varchar) as message_numbers from said where place = {place} and {condition}"
+        for place, n, rule, payer, code, mod, logic, params, numbers, condition in _SOURCE_RULES
+    )
+    keys = ", ".join(f"'{k}'" for k in ALL_SOURCES)
+    return f""",
+src as (
+  select doc_id as result_ord, doc_id % {len(ALL_SOURCES)} as place,
+         text || case doc_id % 3 when 0 then ' H0020 and H0001 with F11.20; 25 min session.' when 1 then ' H2010 only.' else ' G0137 requires a minimum of twelve services.' end as text
+  from fx_source_text where doc_id % 19 <> 5),
+said as (
+  select *, {found(X.RE_G_CODE_CMS)} as g_cms, {found(X.RE_G_CODE_ANY)} as g_any, {found(X.RE_H_CODE)} as h, {found(X.RE_F11, 0)} as f11,
+         case when {_search('text', X.RE_WEEKLY_THRESHOLD)} then {_word_or_int(_first('text', X.RE_WEEKLY_THRESHOLD))} else 1 end as weekly,
+         {_word_or_int(_first('text', X.RE_IOP_G0137))} as iop,
+         nullif(list_min(list_transform(regexp_extract_all(text, '(?i){X.RE_COUNSELING_TIME}', 1), lambda x: try_cast(x as integer))), 0) as minutes
+  from src),
+rules as ({rules})
+select row_number() over (order by case when place in ({_FEDERAL_PLACES}) then 0 else 1 end, result_ord, template_ord) - 1 as rule_ord,
+       rule_id, payer_type, code, required_modifier, logic_type, ([{keys}])[place + 1] as source_key, params_json, message_numbers
+from rules"""
+
+
+@register(
+    "rule_matrix_sources",
+    covers=("M2", "M3", "M4", "M7", "M8", "M9", "M10", "M12", "M13", "M14", "M15", "M16", "M17", "M18", "M19"),
+    oracle=FX.with_fixtures(_source_rules_sql(), "fx_source_text"),
+)
+def q_rule_matrix_sources(spark, sf_dir):
+    """Rules of every source; of the message the numbers it names."""
+    rules = M.build_rules(source_results(Tables(spark, sf_dir).documents), max_h_codes=25)
+    numbers = F.array_join(F.regexp_extract_all("friendly_message", F.lit(r"(\d+)"), 1), ",")
+    return rules.select(*[c for c in rules.columns if c != "friendly_message"], numbers.alias("message_numbers"))
+
+
 @register(
     "matrix_provenance",
     covers=("M5",),

@@ -18,8 +18,20 @@ def test_oracles_are_subset_of_queries():
 
 
 def test_every_query_matches_its_oracle(spark):
-    bad = [f"{x.name}: {x.message}" for x in compare(spark, SF) if not x.ok]
+    found = compare(spark, SF)
+    bad = [f"{x.name}: {x.message}" for x in found if not x.ok]
     assert bad == []
+    assert [x.name for x in found if x.rows == 0] == []
+
+
+def test_every_rule_has_rows(spark):
+    """Queries that are listed for a rule's id must hold a row of it."""
+    from regloom.operators.templates import DEFERRED_KEYS, TEMPLATES
+    from regloom.plans.registry import all_queries
+
+    rows = all_queries()["rule_matrix_sources"].build(spark, SF).select("rule_id", "source_key").distinct().collect()
+    assert {r.rule_id for r in rows} == {t.rule_id for t in TEMPLATES}
+    assert not {r.source_key for r in rows} & set(DEFERRED_KEYS)
 
 
 def test_coverage_ids_are_survey_ids():
