@@ -105,7 +105,7 @@ _CODES = lambda c: f"'[' || coalesce(array_to_string(list_transform({c}, lambda
 # Fixed values, written out by hand.
 _SOURCE_RULES = [
     (0, 0, "R-FED-01", "Medicare Advantage", "G2067", None, "BundleValidation", f"""'{{"min_services_in_bundle":' || weekly || ',"window_days":7,"g_codes_in_scope":' || {_CODES('g_cms')} || '}}'""", "'2067,2079,' || weekly || ',7,100,04,39'", "true"),
-    (1, 0, "R-FED-02", "Medicare", "G0137", None, "IopThresholdGuard", """'{"required_services":' || iop || ',"window_days":7}'""", "'0137,' || iop || ',7,0137,100,02,17'", "coalesce(iop, 0) <> 0"),
+    (1, 0, "R-FED-02", "Medicare", "G0137", None, "IopThresholdGuard", """'{"required_services":' || iop || ',"window_days":7}'""", "'0137,' || iop || ',7,100,02,17'", "coalesce(iop, 0) <> 0"),
     (3, 0, "R-FL-02", "Managed Medicaid", "H0020", "POS-58", "PointOfCareBlock", "null", "'0020,58'", "true"),
     (3, 1, "R-FL-03", "AHCA Medicaid", "ALL_SUD", "HF", "SubstanceAbuseModifier", "null", "''", "true"),
     (3, 2, "R-FL-04", "AHCA Medicaid", "H0020", "HD>HG", "ModifierSequencer", """'{"trigger_icd_prefix":"O","alt_modifier":"HG"}'""", "'0020,10'", "true"),
