@@ -18,6 +18,7 @@ names. An empty table gives no rows.
 """
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 
 import numpy as np
@@ -96,14 +97,14 @@ def measure(texts: list[str], limits: Mapping[int, float] = NGRAM_LIMITS) -> dic
         "word_chars": np.array([len(t) - sum(map(r.count, _EACH_WHITE)) for t, r in zip(texts, raw, strict=True)], np.int64).reshape(count),
         "n_symbols": np.array([sum(map(r.count, _EACH_SYMBOL)) for r in raw], np.int64).reshape(count),
     }
-    line_stats = np.array([_lines(r) for r in raw], np.int64).reshape(count, 4)
+    line_stats = np.array([_lines(r) for r in raw], np.int64).reshape(count, 3)
     out["n_dup_lines"] = line_stats[:, 1]
     again = repeated(words, doc, REPEAT_WINDOW, first=True)
     out["n_repeat_words"] = np.bincount(doc[again], minlength=count).astype(np.int64)
     out["base_failed"] = (sizes < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT_PERCENT * sizes)
     whole = np.maximum(out["word_chars"], 1)
     out["dup_line_share"] = line_stats[:, 1] / np.maximum(line_stats[:, 0], 1)
-    out["dup_line_char_share"] = line_stats[:, 3] / np.maximum(line_stats[:, 2], 1)
+    out["dup_line_char_share"] = line_stats[:, 2] / whole
     good = ~out["base_failed"] & (out["dup_line_char_share"] <= LINE_CHAR_LIMIT)
     for n, limit in limits.items():
         at = np.nonzero(repeated(words, doc, n, first=False))[0]
@@ -119,21 +120,27 @@ _EACH_WHITE = [_WHITE[i : i + 1] for i in range(len(_WHITE))]
 _EACH_SYMBOL = [SYMBOLS[i : i + 1] for i in range(len(SYMBOLS))]
 
 
-def _lines(raw: bytes) -> tuple[int, int, int, int]:
-    """Lines with a word, those equal to an earlier one, and the bytes of both."""
+def _lines(raw: bytes) -> tuple[int, int, int]:
+    """Lines with a word, those equal to an earlier one, and the characters in the words of the latter."""
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    seen = dict.fromkeys(lines)
-    total = sum(map(len, lines))
-    return len(lines), len(lines) - len(seen), total, total - sum(map(len, seen))
+    again = len(lines) - len(set(lines))
+    if not again:
+        return len(lines), 0, 0
+    chars = sum((many - 1) * _word_chars(line) for line, many in Counter(lines).items() if many > 1)
+    return len(lines), again, chars
+
+
+def _word_chars(raw: bytes) -> int:
+    return (len(raw) if raw.isascii() else len(raw.decode("utf-8", "surrogatepass"))) - sum(map(raw.count, _EACH_WHITE))
 
 
 def report(docs: DataFrame, *, text: str = "text", key: str = "doc_id", limits: Mapping[int, float] = NGRAM_LIMITS) -> DataFrame:
     """One row per document: (key, counts, shares, base_failed, kept). Narrow: no shuffle."""
     longs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     shares = ("dup_line_share", "dup_line_char_share", *(f"dup_{n}gram_share" for n in limits))
-    names = [key, *longs, *shares, "base_failed", "kept"]
+    names = [key, *longs, "base_failed", "kept", *shares]
     kind = docs.schema[key].dataType.simpleString()
-    schema = ", ".join([f"{key} {kind}", *(f"{c} long" for c in longs), *(f"{c} double" for c in shares), "base_failed boolean", "kept boolean"])
+    schema = ", ".join([f"{key} {kind}", *(f"{c} long" for c in longs), "base_failed boolean", "kept boolean", *(f"{c} double" for c in shares)])
 
     def run(batches):
         for b in batches:

@@ -82,3 +82,24 @@ def quality(text) -> tuple:
     cover = {i + j for i in range(len(words) - 2) if seen[tuple(words[i : i + 3])] > 1 for j in range(3)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
     return len(words), sum(map(len, words)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(cover)
+
+
+def repetition_shares(text, lengths=(5, 7, 10)) -> dict:
+    """Characters of the words in n-grams that repeat an earlier one, and in lines equal to an earlier one, over all words' characters."""
+    text = text or ""
+    words = WORD.findall(text)
+    chars = max(1, sum(map(len, words)))
+    out = {}
+    for n in lengths:
+        seen, inside = set(), set()
+        for i in range(len(words) - n + 1):
+            gram = tuple(words[i : i + n])
+            if gram in seen:
+                inside |= set(range(i, i + n))
+            seen.add(gram)
+        out[f"dup_{n}gram_share"] = sum(len(words[i]) for i in inside) / chars
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    again = [x for i, x in enumerate(lines) if x in lines[:i]]
+    out["dup_line_share"] = len(again) / max(1, len(lines))
+    out["dup_line_char_share"] = sum(len(w) for x in again for w in WORD.findall(x)) / chars
+    return out

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regloom.llm import backoff, chat, kd_shards, order_minhash, repetition
-from tests.llm.data import SCHEMA, documents, frame, quality
+from tests.llm.data import SCHEMA, documents, frame, quality, repetition_shares
 
 
 @pytest.fixture(scope="module")
@@ -153,6 +153,27 @@ def test_quality_counts(spark, rows):
     assert repetition.report(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_shares_and_verdict_by_definition(spark, rows):
+    line = "日本語のテキスト が 二度 現れる"
+    unique = " ".join(f"w{i}" for i in range(400))
+    more = [
+        (700, f"{line}\n{unique}\n{line}", "ja", "s", 1, "x", "y"), (701, f"{unique}\n" + "  é ß\t\n" * 120, "de", "s", 1, "x", "y"),
+        (702, " ".join(f"a{i % 60}" for i in range(300)), "en", "s", 1, "x", "y"), (703, unique + " " + " ".join(f"w{i}" for i in range(100, 160)), "en", "s", 1, "x", "y"),
+    ]
+    found = repetition.report(frame(spark, [*rows, *more]))
+    assert found.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "dup_line_share", "dup_line_char_share", *(f"dup_{n}gram_share" for n in repetition.NGRAM_LIMITS)]
+    got = {r["doc_id"]: r.asDict() for r in found.collect()}
+    verdicts = set()
+    for i, text, *_ in [*rows, *more]:
+        want = repetition_shares(text)
+        for name, share in want.items():
+            assert abs(got[i][name] - share) < 1e-9, (i, name)
+        limits = {f"dup_{n}gram_share": x for n, x in repetition.NGRAM_LIMITS.items()} | {"dup_line_char_share": repetition.LINE_CHAR_LIMIT}
+        assert got[i]["kept"] == (not got[i]["base_failed"] and all(want[c] <= x for c, x in limits.items()))
+        verdicts.add((got[i]["base_failed"], got[i]["kept"]))
+    assert verdicts == {(True, False), (False, False), (False, True)}
+
+
 def test_repetition_decides(spark):
     rnd = np.random.default_rng(5)
     fresh = [f"w{x}" for x in rnd.integers(0, 10**6, 400)]
