@@ -112,6 +112,61 @@ def test_shards_of_equal_documents(spark):
     assert set(sizes) == set(range(24)) and max(sizes.values()) <= 1.1 * 125
 
 
+def test_shards_of_repeated_rows(spark):
+    """One row many times over (a key and a text that hold half of the table) is divided like any others."""
+    rows = [(7, "the same row", "en", "hot", 9, "", "")] * 6000 + [(i, "x" * (i % 40), ["en", "fr", None][i % 3], f"s{i % 9}", 9, "", "") for i in range(6000)]
+    got = kd_shards.kd_shards(frame(spark, rows, 5), shards=24).collect()
+    sizes, slots = Counter(), defaultdict(list)
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(sizes.values()) / 24
+    assert len(got) == len(rows) and set(sizes) == set(range(24))
+    assert max(sizes.values()) <= 1.01 * mean and min(sizes.values()) >= 0.99 * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def plain_tree(rows, shards, n_dims, first=0):
+    """Shard of each row (size, coordinates) by recursion over sorted lists."""
+    if shards == 1 or not rows:
+        return {r: first for r in rows}
+    spread = [max(r[1][i] for r in rows) // 2**kd_shards.TIE_BITS - min(r[1][i] for r in rows) // 2**kd_shards.TIE_BITS for i in range(n_dims)]
+    dim = spread.index(max(spread))
+    half = shards // 2
+    goal, upto, low = sum(r[0] for r in rows) * half / shards, 0, []
+    for r in sorted(rows, key=lambda r: r[1][dim]):
+        if upto + r[0] >= goal:
+            if goal - upto > upto + r[0] - goal:
+                low.append(r)
+            break
+        low.append(r)
+        upto += r[0]
+    high = [r for r in rows if r not in set(low)]
+    return plain_tree(low, half, n_dims, first) | plain_tree(high, shards - half, n_dims, first + half)
+
+
+@pytest.mark.parametrize("shards", [2, 5, 13])
+def test_splits_are_those_of_a_plain_tree(spark, rows, shards, monkeypatch):
+    monkeypatch.setattr(kd_shards, "TOLERANCE", 0.0)
+    cloud = kd_shards.points(frame(spark, rows, 4))
+    got = {(r["size"], (r["d0"], r["d1"], r["d2"])): r["node"] for r in kd_shards.assign(cloud, shards, 3).collect()}
+    assert len(got) == len(rows)
+    assert got == plain_tree(list(got), shards, 3)
+
+
+def test_coordinates_are_shares_of_the_bytes(spark, rows):
+    cloud = kd_shards.points(frame(spark, rows, 4)).collect()
+    total = sum(r["size"] for r in cloud)
+    for dim in ("d0", "d1", "d2"):
+        share = lambda r, dim=dim: r[dim] >> kd_shards.TIE_BITS
+        at = 0
+        for value in sorted({share(r) for r in cloud}):
+            own = sum(r["size"] for r in cloud if share(r) == value)
+            assert abs(value / 65535 - (at + own / 2) / total) < 2e-2 + own / total / 2
+            at += own
+    assert len({r["d0"] >> kd_shards.TIE_BITS for r in cloud}) > 20
+
+
 TURNS = [
     (1, 0, "system", "be kind"), (1, 1, "user", "hi </turn>\n### user: x"), (1, 2, "assistant", "\\### Assistant: </turn> ok\\"), (1, 3, "user", None), (1, 4, "assistant", ""),
     (1, 5, "assistant", "\\\\ é 🎉\n\n"), (2, 0, "user", "no answer"), (3, 2, "assistant", "late"), (3, 1, "user", "early"), (3, 1, "user", "early"),
