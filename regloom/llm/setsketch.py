@@ -1,7 +1,7 @@
 """Operator 9: near-duplicates by SetSketch registers.
 
 A document's set holds the 64-bit hashes of its distinct word shingles. Equal
-sets form a class, represented by its smallest key. For a class the sketch
+sets form a class, which has a number and stands for its smallest key. For a class the sketch
 keeps, per register, the smallest of the elements' hashes as an exponential
 variate, rounded down to powers of ``BASE`` and truncated: sketches of parts
 merge by the register-wise maximum, and registers of two sets agree more often
@@ -9,8 +9,9 @@ the more similar the sets are.
 
 1. Bands: ``ROWS`` registers form a band; classes that agree in a whole band
    share a bucket. At similarity 0.8, a pair shares none of the 32 bands with
-   a probability of 3e-6.
-2. Candidates: a bucket's members are compared with its smallest member, not
+   a probability of 3e-6. The full sets of the classes that share a bucket are
+   written once, and everything below works on them.
+2. Candidates: a bucket's members are compared with its first member, not
    with each other, so a bucket of n classes gives n - 1 pairs.
 3. Likelihood: the registers of a pair that are larger on the left, larger on
    the right and equal have known probabilities given both set sizes and the
@@ -18,14 +19,19 @@ the more similar the sets are.
    standard errors below the threshold.
 4. Verification on the full sets decides about every remaining pair.
 5. Members outside the component of another, random member of their bucket
-   are compared with that one; then members that still are in different
-   components are compared with each other, except where their distances to
-   the smallest member differ too much (Jaccard distance is a metric), so no
-   link between different texts that share a bucket is lost.
+   are compared with that one, which joins nearly all of a large group.
+6. Buckets that still hold members of different components are settled by an
+   exact join: with all shingles in one order, rare ones first, two sets that
+   are similar enough share one of the first (1 - t) * size + 1 of each, and at
+   the first that they share enough is left in both. Only pairs of different
+   components that meet so are verified, however many members a bucket has.
+   So no link between classes that share a bucket is lost, whatever the
+   likelihood gave up before.
 
 Null and word-free texts have the empty set and are linked with nothing; a
 text of fewer words than a shingle is one shingle. Repeated rows fall into one
-class; rows that share a key but not a text count as linked. Rows without a
+class; rows that share a key but not a text count as linked (their classes
+are, each verified by its own set). Rows without a
 key stay, with a null component, and are not kept. Only the key and text
 columns are read. An empty table gives no rows.
 """
@@ -121,7 +127,7 @@ def sketch(docs: DataFrame, rule: Rule, *, text: str = "text", key: str = "doc_i
                 n.append(len(s))
                 if len(s):
                     k = registers(s)
-                    group.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    group.append(class_of(s))
                     regs.append(k.tobytes())
                     bands.append(band_keys(k).tolist())
                 else:
@@ -147,7 +153,7 @@ def likelihood_estimate(more: np.ndarray, less: np.ndarray, equal: np.ndarray, n
 
 def _likely(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b, na, nb) whose jointly estimated similarity doesn't rule a link out."""
-    side = lambda x: classes.select(F.col("id").alias(x), F.col("registers").alias(f"r{x}"))
+    side = lambda x: classes.select(F.col("node").alias(x), F.col("registers").alias(f"r{x}"))
     goal = rule.percent / 100
     least = goal - ERRORS * math.sqrt(goal * (1 - goal) / (BANDS * ROWS))
 
@@ -161,8 +167,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
             kept = likelihood_estimate(more, less, ra.shape[1] - more - less, na, nb) >= least
             yield b.select(["a", "b", "na", "nb"]).filter(pa.array(kept))
 
-    schema = pairs.select("a", "b", "na", "nb").schema
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, schema)
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, na long, nb long")
 
 
 #: Bits of the filter over candidates' keys: sixteen for each key, within these bounds (16 MB at most).
@@ -171,7 +176,7 @@ FILTER_BITS = (1 << 16, 1 << 27)
 
 def _marked(wanted: DataFrame) -> tuple[int, object]:
     """(bits, broadcast array of 64-bit words): a bit for each key's hash. It keeps
-    most other documents out of the exact join; whatever passes is joined."""
+    most other documents from being shingled again; whatever passes is joined."""
     low, high = FILTER_BITS
     bits = min(high, max(low, 1 << (16 * wanted.count()).bit_length()))
     at = F.pmod(F.xxhash64("id"), F.lit(bits))
@@ -181,35 +186,57 @@ def _marked(wanted: DataFrame) -> tuple[int, object]:
     return bits, wanted.sparkSession.sparkContext.broadcast(marks)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame:
-    """Rows (a, b, near, linked): the exact similarity of each pair on its full sets."""
-    wanted = written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
-    kind = docs.schema[key].dataType.simpleString()
+def class_of(elements: np.ndarray) -> bytes:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+
+
+def _sets(wanted: DataFrame, docs: DataFrame, rule: Rule, text: str, key: str) -> DataFrame:
+    """Rows (node, n, elements) of the wanted classes (node, class, id): the full set of each, once.
+
+    Its text is found by the class's key; where that key has several texts,
+    the one that gives the class is taken.
+    """
     bits, marks = _marked(wanted)
 
-    def sets(batches):
+    def run(batches):
         for b in batches:
             at = b.column("bit").to_numpy()
             b = b.filter(pa.array((marks.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([shingle_set(t, rule.words).tobytes() for t in texts_of(b, "t")], pa.binary())], names=["id", "elements"])
+            sets = [shingle_set(t, rule.words) for t in texts_of(b, "t")]
+            cols = [pa.array([class_of(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["class", "n", "elements"])
+
+    texts = docs.where(F.col(key).isNotNull()).select(F.col(text).alias("t"), F.pmod(F.xxhash64(key), F.lit(bits)).alias("bit"))
+    found = texts.mapInArrow(run, "class binary, n long, elements binary")
+    return written(found.join(wanted.select("node", "class"), "class").dropDuplicates(["node"]).select("node", "n", "elements"), "sets")
+
 
-    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("t"), F.pmod(F.xxhash64(key), F.lit(bits)).alias("bit"))
-    candidates = texts.mapInArrow(sets, f"id {kind}, elements binary")
-    full = written(candidates.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "sets")
-    side = lambda x: full.select(F.col("id").alias(x), F.col("elements").alias(f"s{x}"))
+def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Those of the pairs (a, b) that are linked, by their full sets."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("elements").alias(f"s{x}"))
 
     def compare(batches):
         for b in batches:
-            near, linked = [], []
+            linked = []
             for x, y in zip(b.column("sa"), b.column("sb"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - both
-                near.append(both / max(union, 1))
-                linked.append(100 * both >= rule.percent * union)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(near, pa.float64()), pa.array(linked, pa.bool_())], names=["a", "b", "near", "linked"])
+                linked.append(100 * both >= rule.percent * (len(x) + len(y) - both))
+            yield b.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(compare, f"a {kind}, b {kind}, near double, linked boolean")
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+
+
+def _sized(x: str, y: str, rule: Rule) -> Column:
+    return F.least(x, y) * 100 >= F.greatest(x, y) * rule.percent
+
+
+def _key_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of each key that has several."""
+    several = rows.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("id", "low")
+    pairs = rows.select("id", "class").join(several, "id").where("class != low").select("low", "class").distinct()
+    node = lambda c, name: classes.select(F.col("class").alias(c), F.col("node").alias(name))
+    return pairs.join(node("low", "a"), "low").join(node("class", "b"), "class").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -220,33 +247,29 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text",
     """
     sketched = written(sketch(docs, rule, text=text, key=key), "sketch")
     some = sketched.where("class is not null")
+    keyed = some.where("id is not null")
     body = F.struct("n", "registers", "bands")
-    classes = written(
-        some.where("id is not null").groupBy("class").agg(F.min("id").alias("id"), F.min_by(body, "id").alias("body")).select("class", "id", "body.*"), "classes"
-    )
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * rule.percent
-    # Buckets of two classes or more, with their smallest member.
-    members = classes.select(F.explode("bands").alias("bucket"), "id", "n")
+    numbered = keyed.groupBy("class").agg(F.min("id").alias("id"), F.min_by(body, "id").alias("body")).select(F.monotonically_increasing_id().alias("node"), "class", "id", "body.*")
+    classes = written(numbered, "classes")
+    # Buckets of two classes or more, with their first member.
+    members = classes.select(F.explode("bands").alias("bucket"), "node", "n")
     heads = written(
-        members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "head"), "buckets"
-    )
-    shared = written(members.join(heads, "bucket").select("bucket", F.col("head.id").alias("a"), F.col("head.n").alias("na"), F.col("id").alias("b"), F.col("n").alias("nb")), "members")
-    first = shared.where("a != b").where(fits).select("a", "b", "na", "nb").distinct()
-    seen = written(_verified(written(_likely(first, classes, rule), "pairs"), docs, rule, text, key), "verified")
-    roots = components(seen.where("linked").select("a", "b"))
-    for pairs_of in (_other_heads, _across_components):
-        stars = written(roots, "stars")
-        pairs = written(_likely(pairs_of(_placed(shared, seen, stars, rule), rule), classes, rule), "pairs")
-        if not pairs.take(1):
-            roots = stars
-            continue
-        more = _verified(pairs, docs, rule, text, key)
-        joined = stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        roots = components(joined.unionByName(more.where("linked").select("a", "b")))
-    named = written(
-        classes.select("class", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("class", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id")),
-        "named",
+        members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "head"), "buckets"
     )
+    shared = written(members.join(heads, "bucket").select("bucket", F.col("head.node").alias("a"), F.col("head.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")), "members")
+    wanted = written(classes.select("node", "class", "id").join(shared.select(F.col("b").alias("node")).distinct(), "node", "left_semi"), "wanted")
+    sets = _sets(wanted, docs, rule, text, key)
+    first = shared.where("a != b").where(_sized("na", "nb", rule)).select("a", "b", "na", "nb").distinct()
+    links = written(_verified(_likely(first, classes, rule), sets, rule).unionByName(_key_links(keyed, classes)), "verified")
+    roots = written(components(links), "stars")
+    for pairs_of in (lambda p: _likely(_other_heads(p, rule), classes, rule), lambda p: _open_pairs(p, sets, rule)):
+        pairs = written(pairs_of(_placed(shared, roots)), "pairs")
+        if pairs.take(1):
+            joined = roots.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            roots = written(components(joined.unionByName(_verified(pairs, sets, rule))), "stars")
+    at = classes.select("node", "class", F.col("id").alias("class_id")).join(roots, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = at.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    named = written(at.join(smallest, "component").select("class", "class_id", "component_id"), "named")
     placed = some.select("id", "n", "class").join(named, "class", "left")
     alone = sketched.where("class is null").select("id", "n", F.lit(None).cast("binary").alias("class"), F.col("id").alias("class_id"), F.col("id").alias("component_id"))
     return placed.select("id", "n", "class", "class_id", "component_id").unionByName(alone).select(
@@ -254,25 +277,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, text: str = "text",
     )
 
 
-def _placed(shared: DataFrame, seen: DataFrame, roots: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Bucket members with their component and their distance to the bucket's smallest member (far) where it is known.
-
-    Elsewhere ``apart`` is a distance they have at least: the sizes' bound
-    1 - smaller / larger if the sizes alone ruled the pair out, and one and a
-    half gaps if the likelihood did, by six standard errors.
-    """
+def _placed(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Bucket members (bucket, b, nb) with their component."""
     root = roots.select(F.col("node").alias("b"), "component")
-    known = seen.select("a", "b", (1 - F.col("near")).alias("far"))
-    apart = F.when(_sized("na", "nb", rule), 1.5 * (1 - rule.percent / 100)).otherwise(1 - F.least("na", "nb") / F.greatest("na", "nb"))
-    placed = (
-        shared.join(root, "b", "left").withColumn("component", F.coalesce("component", "b")).join(known, ["a", "b"], "left")
-        .withColumn("far", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far")))
-    )
-    return written(placed.select("bucket", "a", "b", "nb", "component", "far", F.when(F.col("far").isNull(), apart).alias("apart")), "placed")
-
-
-def _sized(x: str, y: str, rule: Rule) -> Column:
-    return F.least(x, y) * 100 >= F.greatest(x, y) * rule.percent
+    return written(shared.join(root, "b", "left").select("bucket", "b", "nb", F.coalesce("component", "b").alias("component")), "placed")
 
 
 def _other_heads(placed: DataFrame, rule: Rule) -> DataFrame:
@@ -286,23 +294,47 @@ def _other_heads(placed: DataFrame, rule: Rule) -> DataFrame:
     return met.select(F.col("x.b").alias("a"), "b", F.col("x.nb").alias("na"), "nb").distinct()
 
 
-def _across_components(placed: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of one bucket that are still in different components and not too far apart.
+#: Cells of the table that orders shingles by how many open sets hold them.
+CELLS = 1 << 18
 
-    With d = 1 - similarity, |d(head, x) - d(head, y)| <= d(x, y), so a pair
-    whose members' distances to the head of their bucket differ by more than
-    the gap 1 - percent / 100 can't be linked. Of a member without a known
-    distance only the least one (``apart``) is known.
-    """
-    gap = 1 - rule.percent / 100
-    mixed_buckets = written(
-        placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket"), "mixed"
-    )
-    open_ = placed.where("a != b").join(mixed_buckets, "bucket")
-    x = open_.select("bucket", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("component").alias("cx"), F.col("far").alias("fx"), F.col("apart").alias("ax"))
-    y = open_.select("bucket", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("component").alias("cy"), F.col("far").alias("fy"), F.col("apart").alias("ay"))
-    close = F.when(F.col("fx").isNull() & F.col("fy").isNull(), F.lit(True)).when(
-        F.col("fx").isNull() | F.col("fy").isNull(), F.coalesce("ax", "ay") - F.coalesce("fx", "fy") <= gap + 1e-9
-    ).otherwise(F.abs(F.col("fx") - F.col("fy")) <= gap + 1e-9)
-    pairs = x.join(y, "bucket").where("x < y and cx != cy").where(_sized("nx", "ny", rule)).where(close)
-    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct()
+
+def _open_pairs(placed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked, among the members of buckets that hold several components."""
+    mixed_buckets = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
+    members = placed.join(mixed_buckets, "bucket").select(F.col("b").alias("node"), "component").distinct()
+    open_ = written(sets.join(members, "node").select("node", "n", "component", "elements"), "open")
+
+    def count(batches):
+        total = np.zeros(CELLS, np.int64)
+        for b in batches:
+            for x in b.column("elements"):
+                total += np.bincount((np.frombuffer(x.as_buffer(), np.uint64) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+        seen = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["cell", "many"])
+
+    rarity = np.zeros(CELLS, np.uint64)
+    table = open_.select("elements").mapInArrow(count, "cell long, many long").groupBy("cell").agg(F.sum("many").alias("many")).toArrow()  # CELLS rows at most
+    rarity[table["cell"].to_numpy()] = table["many"].to_numpy().astype(np.uint64)
+    held = placed.sparkSession.sparkContext.broadcast(rarity)
+
+    def prefixes(batches):
+        for b in batches:
+            nodes, sizes, groups, shingles, places = [], [], [], [], []
+            for node, component, x in zip(b.column("node").to_pylist(), b.column("component").to_pylist(), b.column("elements"), strict=True):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                n = len(x)
+                first = n + (-rule.percent * n // 100) + 1  # n - ceil(percent * n / 100) + 1
+                x = x[np.lexsort((x, held.value[(x & np.uint64(CELLS - 1)).astype(np.int64)]))][:first]
+                nodes.append(np.full(len(x), node)), sizes.append(np.full(len(x), n)), groups.append(np.full(len(x), component))
+                shingles.append(x.view(np.int64)), places.append(np.arange(len(x)))
+            if nodes:
+                cols = [pa.array(np.concatenate(c).astype(np.int64)) for c in (shingles, nodes, sizes, groups, places)]
+                yield pa.RecordBatch.from_arrays(cols, names=["shingle", "node", "n", "component", "at"])
+
+    entries = open_.select("node", "component", "elements").mapInArrow(prefixes, "shingle long, node long, n long, component long, at long")
+    side = lambda s: entries.select("shingle", *[F.col(c).alias(s + c) for c in ("node", "n", "component", "at")])
+    # At the first shared shingle, this one and what follows in the shorter rest must reach the needed overlap.
+    left = F.least(F.col("xn") - F.col("xat"), F.col("yn") - F.col("yat"))
+    enough = left * (100 + rule.percent) >= rule.percent * (F.col("xn") + F.col("yn"))
+    met = side("x").join(side("y"), "shingle").where((F.col("xnode") < F.col("ynode")) & (F.col("xcomponent") != F.col("ycomponent")) & enough & _sized("xn", "yn", rule))
+    return met.select(F.col("xnode").alias("a"), F.col("ynode").alias("b")).distinct()

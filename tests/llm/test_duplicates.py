@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from regloom.llm import components, line_join, packing, repetition, setsketch
+from regloom.llm import chat, components, kd_shards, line_join, packing, repetition, setsketch
 from regloom.llm.queries import BYTE_BPE, QUERIES
 from tests.llm.data import SCHEMA, documents, frame, near_components, removed_lines, shingles
 
@@ -49,13 +49,60 @@ def test_large_family_of_near_copies(spark):
     assert got == want
 
 
-def test_member_too_short_for_its_head_meets_the_others(spark):
-    """Head 0 of 100 shingles, 97 of them in text 1 and 79 of these in text 2: 79 / 97 is a link, 79 / 100 is under the size filter."""
-    shared = spark.createDataFrame([(7, 0, 100, b, n) for b, n in ((0, 100), (1, 97), (2, 79), (3, 50))], "bucket long, a long, na long, b long, nb long")
-    seen = spark.createDataFrame([(0, 1, 0.97, True)], "a long, b long, near double, linked boolean")
-    stars = spark.createDataFrame([(1, 0)], "node long, component long")
-    pairs = setsketch._across_components(setsketch._placed(shared, seen, stars), setsketch.Rule())
-    assert {(r["a"], r["b"]) for r in pairs.collect()} == {(1, 2)}
+def model_pairs(sets, components, percent):
+    return {
+        (a, b) for a in sets for b in sets
+        if a < b and components[a] != components[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    }
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_open_buckets_give_every_pair_that_may_be_linked(spark, percent):
+    """Members of one bucket, many of them alike just below and just above the threshold, some in one component already."""
+    rnd = np.random.default_rng(3)
+    core = rnd.integers(0, 2**63, 300, np.uint64)
+    sets, components = {}, {}
+    for i in range(120):
+        own = rnd.integers(0, 2**63, rnd.integers(20, 60), np.uint64)
+        sets[i] = np.unique(np.concatenate((rnd.choice(core, rnd.integers(200, 300), replace=False), own)))
+        components[i] = i if i % 10 else 0
+    sets[200], sets[201] = sets[5][:-30], sets[5][: len(sets[5]) * percent // 100]
+    components |= {200: 200, 201: 201}
+    placed = spark.createDataFrame([(7, i, len(x), components[i]) for i, x in sets.items()], "bucket long, b long, nb long, component long")
+    full = spark.createDataFrame([(i, len(x), bytearray(x.tobytes())) for i, x in sets.items()], "node long, n long, elements binary")
+    rule = setsketch.Rule(2, percent)
+    want = model_pairs({i: set(x.tolist()) for i, x in sets.items()}, components, percent)
+    pairs = setsketch._open_pairs(placed, full, rule)
+    assert want <= {(r["a"], r["b"]) for r in pairs.collect()}
+    assert {(r["a"], r["b"]) for r in setsketch._verified(pairs, full, rule).collect()} == want and len(want) > 2
+
+
+def test_family_alike_just_below_the_threshold(spark):
+    """No two of these are linked, though all share buckets; two true links hide among them."""
+    rnd = random.Random(6)
+    base = [f"w{rnd.randint(0, 10**9)}" for _ in range(300)]
+    texts = []
+    for _ in range(90):
+        words = list(base)
+        for k in rnd.sample(range(300), 18):
+            words[k] = f"x{rnd.randint(0, 10**9)}"
+        texts.append(words)
+    texts += [[*texts[40][:-3], "one", "more"], [*texts[70], "last"]]
+    rows = [(i, " ".join(t), "en", "s", 0, "", "") for i, t in enumerate(texts)]
+    want = near_components({r[0]: r[1] for r in rows}, 2, 80)
+    assert 60 < len(set(want.values())) < len(texts)
+    got = {r["doc_id"]: r["component_id"] for r in setsketch.near_duplicates(frame(spark, rows), setsketch.Rule(2, 80)).collect()}
+    assert got == want
+
+
+def test_rows_that_share_a_key_link_their_texts(spark):
+    rnd = random.Random(4)
+    a, b = ([f"{c}{rnd.randint(0, 10**9)}" for _ in range(100)] for c in "ab")
+    near = lambda t: " ".join([*t[:99], "changed"])
+    rows = [(1, " ".join(a)), (5, near(a)), (5, " ".join(b)), (9, near(b)), (12, "something else entirely here"), (12, None), (13, " ".join(reversed(b)))]
+    docs = frame(spark, [(*r, "en", "s", 0, "", "") for r in rows])
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in setsketch.near_duplicates(docs, setsketch.Rule(2, 80)).collect())
+    assert got == [(1, 99, 1, True), (5, 99, 1, False), (5, 99, 1, False), (9, 99, 1, False), (12, 0, 12, True), (12, 3, 12, True), (13, 99, 13, True)]
 
 
 def test_truncated_copies_in_a_large_family(spark):
@@ -184,13 +231,15 @@ def test_pipeline_against_brute_force(spark, rows, tmp_path):
 
 def test_native_operators_run_no_python(spark, rows):
     docs = frame(spark, rows)
-    for df in (line_join.report(docs), line_join.drop_lines(docs)):
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(turns)
+    for df in (line_join.report(docs), line_join.drop_lines(docs), kd_shards.kd_shards(docs, shards=5), chat.digests(formatted), chat.expand(formatted, contexts=True)):
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", df._jdf.queryExecution().executedPlan().toString())
 
 
 def test_entry_registers_every_operator():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and {*QUERIES, "pipeline"} <= set(names)
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and {*QUERIES, "pipeline"} <= set(names)
     assert "op3_stupid_backoff" in __spark_entry__.oracle_sql()
 
 
