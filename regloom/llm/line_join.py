@@ -4,30 +4,33 @@ A line's set holds its distinct lower-case words. A line is removed when an
 earlier line of the corpus (by key, then line number) is the same line, or has
 a set with 100 * intersection >= percent * union.
 
-1. Different lines: one row for each different line, with its first place.
-2. Rarity: word counts over all different lines, in 2**16 hash cells, order
-   every line's words from rare to common (ties by hash). Only this table of
-   fixed size reaches the driver and goes back out as a literal.
+1. Rarity: word counts over all lines, in 2**16 hash cells, order every line's
+   words from rare to common (ties by hash). Only this table of fixed size
+   reaches the driver and goes back out as a literal.
+2. Different lines: one row for each, with its first place, its size, the
+   hashes of its rarest words, and 32 parities of its words. Texts stay where
+   they are; these rows alone are shuffled, and stored bucketed by line.
 3. Groups of copies: lines that agree in their three smallest or three largest
    word hashes are compared with the earliest such line, and those that match
    it are settled. In a group of n near copies that leaves few lines to pair
    with the others.
-4. Prefix join: two similar sets share one of their (1 - t) * size + 1 rarest
-   words. Lines meet on those words; the length filter, and the positional
-   filter (what can still be shared after this word), discard pairs; pairs of
-   two settled lines are not needed.
-5. Verification counts the shared words of each pair that is left.
-
-The different lines are a bucketed table in the shared folder, so that
-verification joins move pairs and not texts.
-
-Null texts are empty; a line without a word is never removed. Sets so small
-that only an equal set is similar (up to three words at 80 percent) need no
-prefix join: equal sets form one group of copies, which step 3 settles.
-``min_words`` above 1 leaves lines of fewer different words alone. Neither is a line removed whose 64-bit hash meets that of another line. Rows that share key and text are one document: the same line in the same
-place of both is not removed. Rows that share a key, or have none, but differ
-in text are different documents, ordered by line number and then by the text's
-hash. Extra columns are passed through by ``drop_lines`` and
+4. Prefix join: of two similar sets the larger has one of the words among its
+   (1 - t) * size + 1 rarest that the smaller has among its
+   (1 - t) / (1 + t) * size + 1 rarest. Lines meet on those words; the length
+   filter, the positional filter (what can still be shared after this word)
+   and the parities (a lower bound of the words not shared) discard pairs
+   inside the join, and pairs of two settled lines are not needed.
+5. Verification fetches the texts of the lines that are left in a pair, each
+   once, and counts the words that they share.
+
+Lines are told apart by their MD5. Null texts are empty; a line without
+a word is never removed. Sets so small that only an equal set is similar (up to
+three words at 80 percent) need no prefix join: equal sets form one group of
+copies, which step 3 settles. ``min_words`` above 1 leaves lines of fewer
+different words alone. Rows that share key and text are one document: the same
+line in the same place of both is not removed. Rows that share a key, or have
+none, but differ in text are different documents, ordered by line number and
+then by the text's hash. Extra columns are passed through by ``drop_lines`` and
 left aside otherwise. An empty table gives no rows.
 """
 from __future__ import annotations
@@ -40,17 +43,19 @@ from pyspark.sql import functions as F
 from regloom.session import checkpoint_dir, written
 
 PERCENT, MIN_WORDS = 80, 3
-#: Cells of the rarity table (a power of two).
-CELLS = 1 << 16
+#: Cells of the rarity table (a power of two), and 64-bit words of a filter's bit table at most.
+CELLS, FILTER_WORDS = 1 << 16, 1 << 16
+#: Sizes and places are kept up to these numbers in the prefix join; sets that reach them pass its filters.
+MOST_WORDS, MOST_PLACE = (1 << 16) - 1, (1 << 15) - 1
 _BLANK = "\t\x0b\x0c\r"
 
 
-def normal(line: Column) -> Column:
-    """Lower case, white space inside a line as spaces."""
+def normal(text: Column) -> Column:
+    """Lower case, white space inside lines as spaces."""
     odd = F.lit(False)
     for c in _BLANK:
-        odd = odd | F.contains(line, F.lit(c))
-    return F.lower(F.when(odd, F.translate(line, _BLANK, " " * len(_BLANK))).otherwise(line))
+        odd = odd | F.contains(text, F.lit(c))
+    return F.lower(F.when(odd, F.translate(text, _BLANK, " " * len(_BLANK))).otherwise(text))
 
 
 def _hashes(body: Column) -> Column:
@@ -64,110 +69,158 @@ def _row_id(text: str) -> Column:
 
 
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(did, rid, lno, line) of every line."""
-    return docs.select(F.col(key).alias("did"), _row_id(text).alias("rid"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("lno", "line"))
+    """(did, rid, lno, num, lid, body) of every line in normal form: its MD5 is its identity, a 64-bit hash its number in pairs."""
+    bodies = F.split(normal(F.coalesce(text, F.lit(""))), "\n")
+    rows = docs.select(F.col(key).alias("did"), _row_id(text).alias("rid"), F.posexplode(bodies).alias("lno", "body"))
+    return rows.select("did", "rid", "lno", F.xxhash64("body").alias("num"), F.unhex(F.md5("body")).alias("lid"), "body")
 
 
-def _parity(hashes: str, shift: int) -> Column:
-    """64 bits: for each value of six bits of the hash whether an odd number of words has it.
+def _literal(numbers: list[int], kind: str) -> Column:
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+
+
+def rarity(docs: DataFrame, *, text: str = "text") -> Column:
+    """Array literal: for each hash cell 4 * log2(1 + occurrences of its words), over all texts."""
+    cell = F.xxhash64("w").bitwiseAND(F.lit(CELLS - 1)).cast("int")
+    words = docs.select(F.explode(F.split(F.replace(normal(F.col(text)), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    counts = words.groupBy(cell.alias("cell")).agg(F.floor(4 * F.log2(F.count(F.lit(1)) + 1)).cast("int").alias("level"))
+    table = [0] * CELLS
+    for r in counts.collect():  # CELLS rows at most
+        table[r["cell"]] = r["level"]
+    return _literal(table, "int")
+
+
+def _shift(c: Column | str, by: int) -> Column:
+    return F.shiftleft(c, by)
+
+
+def _parity(hashes: str) -> Column:
+    """32 bits: for each value of five bits of the hash whether an odd number of words has it.
 
     The bits in which two sets' numbers differ are no more than the words that
     only one of them has.
     """
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int"))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(31)).cast("int"))
     return F.reduce(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
 
 
-def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per different line, as a table bucketed by ``lid``: (lid, first, n, keys, odd0, odd1, body).
+def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per different line, as a table bucketed by ``lid``: (lid, num, first, n, keys, odd, prefix).
 
     keys are numbers that very similar sets share with high probability; a set of
-    up to three words has one key, which only equal sets share.
+    up to three words has one key, which only equal sets share. ``prefix`` holds
+    32-bit hashes of the rarest words, enough to share one with any similar set.
     """
     spark = docs.sparkSession
-    rows = _lines(docs, text, key).select(F.xxhash64("line").alias("lid"), F.struct("did", "lno", "rid").alias("first"), "line")
-    one = rows.groupBy("lid").agg(F.min("first").alias("first"), F.min("line").alias("line"), F.max("line").alias("other"))
-    ranked = one.where("line = other").select("lid", "first", normal(F.col("line")).alias("body")).select("lid", "first", "body", F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= max(min_words, 1))
+    table = rarity(docs, text=text)
+    place = F.struct("did", "lno", "rid").alias("first")
+    sets = _lines(docs, text, key).select("lid", "num", place, F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= max(min_words, 1))
+    n = F.size("h")
+    # Rarity in the high bits, then the hash; only the order and 32 bits of the hash are kept.
+    rank = lambda h: _shift(F.get(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 48) + F.shiftrightunsigned(h, 16)
+    # ceil(percent * n / 100) words must be shared with a set of n at least: prefix length n - that + 1.
+    length = (n - F.ceil(n * F.lit(percent) / 100) + 1).cast("int")
+    rarest = F.transform(F.slice(F.sort_array(F.transform("h", rank)), F.lit(1), length), lambda w: F.pmod(w, F.lit(1 << 32)) - F.lit(1 << 31))
     large = F.array(F.xxhash64(F.lit(0), F.slice("h", 1, 3)), F.xxhash64(F.lit(1), F.slice("h", -3, 3)))
-    keys = F.when(F.size("h") <= 3, F.array(F.xxhash64(F.lit(2), F.col("h")))).otherwise(large)
-    kept = ranked.select("lid", "first", F.size("h").alias("n"), keys.alias("keys"), _parity("h", 0).alias("odd0"), _parity("h", 6).alias("odd1"), "body")
+    keys = F.when(n <= 3, F.array(F.xxhash64(F.lit(2), F.col("h")))).otherwise(large)
+    # A set of up to three words with 100 * n < percent * (n + 1) is similar to equal sets only.
+    alone = (n <= 3) & (n * 100 < F.lit(percent) * (n + 1))
+    prefix = F.when(alone, F.array().cast("array<int>")).otherwise(rarest.cast("array<int>"))
+    rows = sets.select("lid", "num", "first", n.alias("n"), keys.alias("keys"), _parity("h").alias("odd"), prefix.alias("prefix"))
+    same = [F.first(c).alias(c) for c in ("num", "n", "keys", "odd", "prefix")]
+    kept = rows.groupBy("lid").agg(F.min("first").alias("first"), *same)  # dealt by the buckets' hash, so each bucket is one task's
     name = f"lines_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kept.write.bucketBy(parts, "lid").option("path", f"{checkpoint_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    place_of = f"{checkpoint_dir(spark)}/{name}"
+    kept.write.bucketBy(parts, "lid").option("path", place_of).saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the session's definition alone; the files and this plan stay
+    return stored
 
 
-def rarity(lines: DataFrame) -> Column:
-    """Array literal: for each hash cell 4 * log2(1 + occurrences of its words), over all different lines."""
-    cell = F.xxhash64("w").bitwiseAND(F.lit(CELLS - 1)).cast("int")
-    counts = lines.select(F.explode(F.split("body", " ")).alias("w")).groupBy(cell.alias("cell")).agg(F.floor(4 * F.log2(F.count(F.lit(1)) + 1)).cast("int").alias("level"))
-    table = [0] * CELLS
-    for r in counts.collect():  # CELLS rows at most
-        table[r["cell"]] = r["level"]
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
-
-
-def _rare_first(body: Column, table: Column) -> Column:
-    """A line's words as numbers in ascending order: rarity in the high bits, then the hash."""
-    rank = lambda h: F.shiftleft(F.get(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 48) + F.shiftrightunsigned(h, 16)
-    return F.sort_array(F.transform(_hashes(body), rank))
-
+def _among(ids: DataFrame, column: str) -> Column:
+    """Condition on a number column that holds for all of ``ids`` and, while they are few, for little else.
 
-def _verified(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """(lid) of the later line of every pair (x, y) that is similar.
-
-    Similar sets differ in (nx + ny) * (100 - percent) / (100 + percent) words at
-    most, which the parities bound from below; the rest is counted exactly.
+    A bit table of fixed size; what passes it by chance is left to the join behind it.
     """
-    odd = lambda s: lines.select(F.col("lid").alias(s), F.col("n").alias(f"n{s}"), F.col("odd0").alias(f"p{s}"), F.col("odd1").alias(f"q{s}"))
-    differ = lambda c: F.bit_count(F.col(f"{c}x").bitwiseXOR(F.col(f"{c}y"))) * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent)
-    pairs = written(pairs.join(odd("x"), "x").join(odd("y"), "y").where(differ("p") & differ("q")).select("x", "y"), "pairs")
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("lid")).distinct()
-    sets = written(lines.join(wanted, "lid", "left_semi").select("lid", "first", "n", "body"), "lines")
-    side = lambda s: sets.select(F.col("lid").alias(s), F.col("first").alias(f"f{s}"), F.col("n").alias(f"n{s}"), F.col("body").alias(f"b{s}"))
-    words = lambda s: F.array_remove(F.split(f"b{s}", " "), "")
-    both = pairs.join(side("x"), "x").join(side("y"), "y").withColumn("shared", F.size(F.array_intersect(words("x"), words("y"))))
-    near = both.where(100 * F.col("shared") >= percent * (F.col("nx") + F.col("ny") - F.col("shared")))
-    return near.select(F.when(F.col("fx") < F.col("fy"), F.col("y")).otherwise(F.col("x")).alias("lid")).distinct()
-
-
-def repeated_lines(lines: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(lid) of every different line that is similar to an earlier one."""
-    share = F.lit(percent)
-    members = lines.select(F.explode("keys").alias("key"), "lid", "first", "n")
-    heads = written(
-        members.groupBy("key").agg(F.min(F.struct("first", "lid", "n")).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1").select("key", "head"), "heads"
+    words = FILTER_WORDS
+    at = F.pmod(F.xxhash64(column), F.lit(64 * words))
+    rows = ids.select(at.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("mark")).collect()  # FILTER_WORDS rows at most
+    marks = [0] * words
+    for r in rows:
+        marks[r["word"]] = r["mark"]
+    mark = F.get(_literal(marks, "bigint"), F.shiftright(at, 6).cast("int"))
+    return F.call_function("shiftrightunsigned", mark, at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, percent: int) -> DataFrame:
+    """(lid) of the later line of every pair (x, y) of numbers that is similar, by the words of both."""
+    wanted = written(pairs.select(F.explode(F.array("x", "y")).alias("num")).distinct(), "wanted")
+    found = _lines(docs, text, key).where(_among(wanted, "num")).join(wanted, "num", "left_semi")
+    sets = written(found.groupBy("num", "lid").agg(F.min(F.struct("did", "lno", "rid")).alias("first"), F.first("body").alias("body")), "texts")
+    side = lambda s: sets.select(F.col("num").alias(s), F.col("lid").alias(f"l{s}"), F.col("first").alias(f"f{s}"), F.array_remove(F.array_distinct(F.split("body", " ")), "").alias(f"w{s}"))
+    both = pairs.join(side("x"), "x").join(side("y"), "y").withColumn("shared", F.size(F.array_intersect("wx", "wy")))
+    near = both.where(100 * F.col("shared") >= percent * (F.size("wx") + F.size("wy") - F.col("shared")))
+    return near.select(F.when(F.col("fx") < F.col("fy"), F.col("ly")).otherwise(F.col("lx")).alias("lid")).distinct()
+
+
+def _close(x: str, y: str, percent: int) -> Column:
+    """What sizes and parities leave: similar sets differ in (nx + ny) * (100 - percent) / (100 + percent) words at most."""
+    nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
+    apart = F.bit_count(F.col(f"{x}odd").bitwiseXOR(F.col(f"{y}odd")))
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & ((F.greatest(nx, ny) >= MOST_WORDS) | (apart * (100 + percent) <= (nx + ny) * (100 - percent)))
+
+
+def _families(lines: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of the earliest line of each key and the others that may match it."""
+    members = lines.select(F.explode("keys").alias("key"), "num", F.col("n").alias("yn"), F.col("odd").alias("yodd"), "first")
+    head = F.min(F.struct("first", F.col("num").alias("x"), F.col("yn").alias("xn"), F.col("yodd").alias("xodd")))
+    heads = written(members.groupBy("key").agg(head.alias("h"), F.count(F.lit(1)).alias("many")).where("many > 1").select("key", "h.x", "h.xn", "h.xodd"), "heads")
+    met = members.select("key", F.col("num").alias("y"), "yn", "yodd").where(_among(heads, "key")).join(heads, "key")
+    return met.where((F.col("x") != F.col("y")) & _close("x", "y", percent)).select("x", "y").distinct()
+
+
+def _candidates(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) that meet on a prefix word and pass the filters."""
+    known = lines.join(settled.withColumn("settled", F.lit(1)), "lid", "left")
+    entries = known.select(
+        "num", F.posexplode("prefix").alias("at", "word"), F.least("n", F.lit(MOST_WORDS)).cast("long").alias("n"), "odd", F.coalesce("settled", F.lit(0)).cast("long").alias("settled")
     )
-    fits = F.least("n", "head.n") * 100 >= F.greatest("n", "head.n") * share
-    families = written(members.join(heads, "key").where(F.col("lid") != F.col("head.lid")).where(fits).select(F.col("head.lid").alias("x"), F.col("lid").alias("y")).distinct(), "families")
-    settled = written(_verified(families, lines, percent), "settled")
-    # ceil(percent * n / 100) words must be shared with a set of n at least: prefix length n - that + 1.
-    prefix = (F.col("n") - F.ceil(F.col("n") * share / 100) + 1).cast("int")
-    # A set of up to three words with 100 * n < percent * (n + 1) is similar to equal sets only, and those are settled.
-    known = lines.where((F.col("n") > 3) | (F.col("n") * 100 >= share * (F.col("n") + 1))).join(settled.withColumn("settled", F.lit(True)), "lid", "left")
-    rows = known.select("lid", "n", F.coalesce("settled", F.lit(False)).alias("settled"), F.slice(_rare_first(F.col("body"), rarity(lines)), F.lit(1), prefix).alias("p"))
-    # One number for size, position and state keeps the shuffled rows small.
-    packed = (F.col("n") * F.lit(1 << 32) + F.col("at") * F.lit(2) + F.col("settled").cast("int")).cast("long")
-    met = rows.select("lid", "n", "settled", F.posexplode("p").alias("at", "word")).select("word", "lid", packed.alias("m"))
-    a, b = met.alias("a"), met.alias("b")
-    size = lambda s: F.shiftright(F.col(f"{s}.m"), 32)
-    left = lambda s: size(s) - F.shiftright(F.col(f"{s}.m").bitwiseAND(F.lit((1 << 32) - 1)), 1) - 1
-    long_enough = (F.least(size("a"), size("b")) * 100 >= F.greatest(size("a"), size("b")) * share) & (
-        (1 + F.least(left("a"), left("b"))) * (100 + share) >= share * (size("a") + size("b"))
-    )
-    open_ = F.col("a.m").bitwiseAND(F.lit(1)) + F.col("b.m").bitwiseAND(F.lit(1)) < 2
-    pairs = a.join(b, F.col("a.word") == F.col("b.word")).where(F.col("a.lid") < F.col("b.lid")).where(open_ & long_enough)
-    found = written(pairs.select(F.col("a.lid").alias("x"), F.col("b.lid").alias("y")).distinct(), "candidates")
-    return settled.unionByName(_verified(found, lines, percent)).distinct()
+    # One number for parities, size, place and state keeps the shuffled rows small.
+    place = F.least("at", F.lit(MOST_PLACE)).cast("long")
+    packed = entries.select("word", "num", (_shift("odd", 32) + _shift("n", 16) + _shift(place, 1) + F.col("settled")).alias("m"))
+    part = lambda s, by, bits: F.shiftrightunsigned(f"{s}m", by).bitwiseAND(F.lit((1 << bits) - 1))
+    side = lambda s: packed.select("word", F.col("num").alias(s), F.col("m").alias(f"{s}m"))
+    parts = lambda s: {f"{s}odd": part(s, 32, 32), f"{s}n": part(s, 16, 16), f"{s}at": part(s, 1, 15), f"{s}settled": part(s, 0, 1)}
+    named = {k: v for s in ("x", "y") for k, v in parts(s).items()}
+    get = named.__getitem__
+    xn, yn, full = get("xn"), get("yn"), (get("xn") >= MOST_WORDS) | (get("yn") >= MOST_WORDS) | (get("xat") >= MOST_PLACE) | (get("yat") >= MOST_PLACE)
+    # x is the smaller set (ties by number): of its words the first size - ceil(2 t / (1 + t) * size) + 1 suffice.
+    smaller = (xn < yn) | ((xn == yn) & (F.col("x") < F.col("y")))
+    indexed = get("xat") <= xn - F.ceil(xn * F.lit(2 * percent) / (100 + percent))
+    left = F.least(xn - get("xat"), yn - get("yat"))  # this word and what follows
+    enough = left * (100 + percent) >= F.lit(percent) * (xn + yn)
+    apart = F.bit_count(get("xodd").bitwiseXOR(get("yodd"))) * (100 + percent) <= (xn + yn) * (100 - percent)
+    sized = F.least(xn, yn) * 100 >= F.greatest(xn, yn) * percent
+    open_ = get("xsettled") + get("ysettled") < 2
+    met = side("x").where(indexed | (xn >= MOST_WORDS) | (get("xat") >= MOST_PLACE)).join(side("y"), "word").where(smaller & open_ & sized & (full | (enough & apart)))
+    return met.select("x", "y").distinct()
+
+
+def repeated_lines(lines: DataFrame, docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+    """(lid) of every different line that is similar to an earlier one."""
+    settled = written(_verified(written(_families(lines, percent), "families"), docs, text, key, percent), "settled")
+    found = written(_candidates(lines, settled, percent), "candidates")
+    return settled.unionByName(_verified(found, docs, text, key, percent)).distinct()
 
 
 def line_flags(docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """(did, rid, removed array<boolean>): for each document whether each of its lines goes; one row per different key and text."""
-    lines = different_lines(docs, text=text, key=key, min_words=min_words)
-    near = repeated_lines(lines, percent).withColumn("near", F.lit(True))
-    judged = written(lines.select("lid", "first").join(near, "lid", "left").select("lid", "first", F.coalesce("near", F.lit(False)).alias("near")), "judged")
-    places = _lines(docs, text, key).select("did", "rid", "lno", F.xxhash64("line").alias("lid"))
-    goes = F.when(F.col("near").isNull(), F.lit(False)).otherwise(F.col("near") | ~F.col("first").eqNullSafe(F.struct("did", "lno", "rid")))
+    lines = different_lines(docs, text=text, key=key, percent=percent, min_words=min_words)
+    near = repeated_lines(lines, docs, text=text, key=key, percent=percent).withColumn("near", F.lit(True))
+    judged = lines.select("lid", "first").join(near, "lid", "left")
+    places = _lines(docs, text, key).select("did", "rid", "lno", "lid")
+    goes = F.col("first").isNotNull() & (F.col("near").isNotNull() | ~F.col("first").eqNullSafe(F.struct("did", "lno", "rid")))
     flagged = places.join(judged, "lid", "left").select("did", "rid", "lno", goes.alias("goes"))
     return flagged.groupBy("did", "rid").agg(F.sort_array(F.collect_set(F.struct("lno", "goes"))).alias("all")).select("did", "rid", F.col("all.goes").alias("removed"))
 
