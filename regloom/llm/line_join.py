@@ -8,7 +8,7 @@ a set with 100 * intersection >= percent * union.
    words from rare to common (ties by hash). Only this table of fixed size
    reaches the driver and goes back out as a literal.
 2. Different lines: one row for each, with its first place, its size, the
-   hashes of its rarest words, and 32 parities of its words. Texts stay where
+   hashes of its rarest words, and 128 parities of its words. Texts stay where
    they are; these rows alone are shuffled, and stored bucketed by line.
 3. Groups of copies: lines that agree in their three smallest or three largest
    word hashes are compared with the earliest such line, and those that match
@@ -90,22 +90,18 @@ def rarity(docs: DataFrame, *, text: str = "text") -> Column:
     return _literal(table, "int")
 
 
-def _shift(c: Column | str, by: int) -> Column:
-    return F.shiftleft(c, by)
-
-
-def _parity(hashes: str) -> Column:
-    """32 bits: for each value of five bits of the hash whether an odd number of words has it.
+def _parity(hashes: str, shift: int) -> Column:
+    """64 bits: for each value of six bits of the hash whether an odd number of words has it.
 
     The bits in which two sets' numbers differ are no more than the words that
     only one of them has.
     """
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(31)).cast("int"))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int"))
     return F.reduce(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
 
 
 def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per different line, as a table bucketed by ``lid``: (lid, num, first, n, keys, odd, prefix).
+    """One row per different line, as a table bucketed by ``lid``: (lid, num, first, n, keys, odd0, odd1, prefix).
 
     keys are numbers that very similar sets share with high probability; a set of
     up to three words has one key, which only equal sets share. ``prefix`` holds
@@ -117,7 +113,7 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     sets = _lines(docs, text, key).select("lid", "num", place, F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= max(min_words, 1))
     n = F.size("h")
     # Rarity in the high bits, then the hash; only the order and 32 bits of the hash are kept.
-    rank = lambda h: _shift(F.get(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 48) + F.shiftrightunsigned(h, 16)
+    rank = lambda h: F.shiftleft(F.get(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 48) + F.shiftrightunsigned(h, 16)
     # ceil(percent * n / 100) words must be shared with a set of n at least: prefix length n - that + 1.
     length = (n - F.ceil(n * F.lit(percent) / 100) + 1).cast("int")
     rarest = F.transform(F.slice(F.sort_array(F.transform("h", rank)), F.lit(1), length), lambda w: F.pmod(w, F.lit(1 << 32)) - F.lit(1 << 31))
@@ -126,8 +122,8 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     # A set of up to three words with 100 * n < percent * (n + 1) is similar to equal sets only.
     alone = (n <= 3) & (n * 100 < F.lit(percent) * (n + 1))
     prefix = F.when(alone, F.array().cast("array<int>")).otherwise(rarest.cast("array<int>"))
-    rows = sets.select("lid", "num", "first", n.alias("n"), keys.alias("keys"), _parity("h").alias("odd"), prefix.alias("prefix"))
-    same = [F.first(c).alias(c) for c in ("num", "n", "keys", "odd", "prefix")]
+    rows = sets.select("lid", "num", "first", n.alias("n"), keys.alias("keys"), _parity("h", 0).alias("odd0"), _parity("h", 6).alias("odd1"), prefix.alias("prefix"))
+    same = [F.first(c).alias(c) for c in ("num", "n", "keys", "odd0", "odd1", "prefix")]
     kept = rows.groupBy("lid").agg(F.min("first").alias("first"), *same)  # dealt by the buckets' hash, so each bucket is one task's
     name = f"lines_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -158,8 +154,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, percent: i
     wanted = written(pairs.select(F.explode(F.array("x", "y")).alias("num")).distinct(), "wanted")
     found = _lines(docs, text, key).where(_among(wanted, "num")).join(wanted, "num", "left_semi")
     sets = written(found.groupBy("num", "lid").agg(F.min(F.struct("did", "lno", "rid")).alias("first"), F.first("body").alias("body")), "texts")
-    side = lambda s: sets.select(F.col("num").alias(s), F.col("lid").alias(f"l{s}"), F.col("first").alias(f"f{s}"), F.array_remove(F.array_distinct(F.split("body", " ")), "").alias(f"w{s}"))
-    both = pairs.join(side("x"), "x").join(side("y"), "y").withColumn("shared", F.size(F.array_intersect("wx", "wy")))
+    side = lambda s: sets.select(F.col("num").alias(s), F.col("lid").alias(f"l{s}"), F.col("first").alias(f"f{s}"), F.col("body").alias(f"b{s}"))
+    words = lambda s: F.array_remove(F.array_distinct(F.split(f"b{s}", " ")), "").alias(f"w{s}")
+    both = pairs.join(side("x"), "x").join(side("y"), "y").select("lx", "ly", "fx", "fy", words("x"), words("y")).withColumn("shared", F.size(F.array_intersect("wx", "wy")))
     near = both.where(100 * F.col("shared") >= percent * (F.size("wx") + F.size("wy") - F.col("shared")))
     return near.select(F.when(F.col("fx") < F.col("fy"), F.col("ly")).otherwise(F.col("lx")).alias("lid")).distinct()
 
@@ -167,28 +164,34 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, percent: i
 def _close(x: str, y: str, percent: int) -> Column:
     """What sizes and parities leave: similar sets differ in (nx + ny) * (100 - percent) / (100 + percent) words at most."""
     nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
-    apart = F.bit_count(F.col(f"{x}odd").bitwiseXOR(F.col(f"{y}odd")))
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & ((F.greatest(nx, ny) >= MOST_WORDS) | (apart * (100 + percent) <= (nx + ny) * (100 - percent)))
+    apart = F.greatest(*[F.bit_count(F.col(f"{x}odd{i}").bitwiseXOR(F.col(f"{y}odd{i}"))) for i in (0, 1)])
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (apart * (100 + percent) <= (nx + ny) * (100 - percent))
+
+
+def _side(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select(F.col("num").alias(name), F.col("n").alias(f"{name}n"), F.col("odd0").alias(f"{name}odd0"), F.col("odd1").alias(f"{name}odd1"))
 
 
 def _families(lines: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) of the earliest line of each key and the others that may match it."""
-    members = lines.select(F.explode("keys").alias("key"), "num", F.col("n").alias("yn"), F.col("odd").alias("yodd"), "first")
-    head = F.min(F.struct("first", F.col("num").alias("x"), F.col("yn").alias("xn"), F.col("yodd").alias("xodd")))
-    heads = written(members.groupBy("key").agg(head.alias("h"), F.count(F.lit(1)).alias("many")).where("many > 1").select("key", "h.x", "h.xn", "h.xodd"), "heads")
-    met = members.select("key", F.col("num").alias("y"), "yn", "yodd").where(_among(heads, "key")).join(heads, "key")
-    return met.where((F.col("x") != F.col("y")) & _close("x", "y", percent)).select("x", "y").distinct()
+    members = lines.select(F.explode("keys").alias("key"), "num", "n", "odd0", "odd1", "first")
+    head = F.min(F.struct("first", "num", "n", "odd0", "odd1"))
+    heads = written(members.groupBy("key").agg(head.alias("h"), F.count(F.lit(1)).alias("many")).where("many > 1").select("key", "h.*"), "heads")
+    others = members.where(_among(heads, "key")).select("key", F.struct("num", "n", "odd0", "odd1").alias("o"))
+    met = heads.select("key", F.struct("num", "n", "odd0", "odd1").alias("h")).join(others, "key")
+    named = met.select(*[F.col(f"{c}.{f}").alias(s + t) for c, s in (("h", "x"), ("o", "y")) for f, t in (("num", ""), ("n", "n"), ("odd0", "odd0"), ("odd1", "odd1"))])
+    return named.where((F.col("x") != F.col("y")) & _close("x", "y", percent)).select("x", "y").distinct()
 
 
 def _candidates(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) that meet on a prefix word and pass the filters."""
     known = lines.join(settled.withColumn("settled", F.lit(1)), "lid", "left")
     entries = known.select(
-        "num", F.posexplode("prefix").alias("at", "word"), F.least("n", F.lit(MOST_WORDS)).cast("long").alias("n"), "odd", F.coalesce("settled", F.lit(0)).cast("long").alias("settled")
+        "num", F.posexplode("prefix").alias("at", "word"), F.least("n", F.lit(MOST_WORDS)).cast("long").alias("n"), F.col("odd0").bitwiseXOR(F.shiftrightunsigned("odd0", 32)).alias("odd"), F.coalesce("settled", F.lit(0)).cast("long").alias("settled")
     )
-    # One number for parities, size, place and state keeps the shuffled rows small.
+    # One number for parities (folded to 32), size, place and state keeps the shuffled rows small.
     place = F.least("at", F.lit(MOST_PLACE)).cast("long")
-    packed = entries.select("word", "num", (_shift("odd", 32) + _shift("n", 16) + _shift(place, 1) + F.col("settled")).alias("m"))
+    packed = entries.select("word", "num", (F.shiftleft("odd", 32) + F.shiftleft("n", 16) + F.shiftleft(place, 1) + F.col("settled")).alias("m"))
     part = lambda s, by, bits: F.shiftrightunsigned(f"{s}m", by).bitwiseAND(F.lit((1 << bits) - 1))
     side = lambda s: packed.select("word", F.col("num").alias(s), F.col("m").alias(f"{s}m"))
     parts = lambda s: {f"{s}odd": part(s, 32, 32), f"{s}n": part(s, 16, 16), f"{s}at": part(s, 1, 15), f"{s}settled": part(s, 0, 1)}
@@ -204,7 +207,21 @@ def _candidates(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     sized = F.least(xn, yn) * 100 >= F.greatest(xn, yn) * percent
     open_ = get("xsettled") + get("ysettled") < 2
     met = side("x").where(indexed | (xn >= MOST_WORDS) | (get("xat") >= MOST_PLACE)).join(side("y"), "word").where(smaller & open_ & sized & (full | (enough & apart)))
-    return met.select("x", "y").distinct()
+    pairs = met.select("x", "y").distinct().join(_side(lines, "x"), "x").join(_side(lines, "y"), "y")
+    return _sharing(pairs.where(_close("x", "y", percent)).select("x", "y"), lines, percent)
+
+
+def _sharing(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose prefixes share enough.
+
+    Of the set whose prefix ends at the rarer word, the prefix's words that the
+    other has are in the other's prefix. So the sets share no more than their
+    prefixes do (equal hashes only add to it) and what lies behind the prefix.
+    """
+    side = lambda s: lines.select(F.col("num").alias(s), F.col("n").alias(f"{s}n"), F.col("prefix").alias(f"{s}p"))
+    both = pairs.join(side("x"), "x").join(side("y"), "y")
+    behind = F.greatest(F.col("xn") - F.size("xp"), F.col("yn") - F.size("yp"))
+    return both.where((F.size(F.array_intersect("xp", "yp")) + behind) * (100 + percent) >= F.lit(percent) * (F.col("xn") + F.col("yn"))).select("x", "y")
 
 
 def repeated_lines(lines: DataFrame, docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
