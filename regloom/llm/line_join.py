@@ -4,7 +4,7 @@ A line's set holds its distinct lower-case words. A line is removed when an
 earlier line of the corpus (by key, then line number) is the same line, or has
 a set with 100 * intersection >= percent * union.
 
-1. Rarity: word counts over all lines, in 2**16 hash cells, order every line's
+1. Rarity: word counts over all lines, in 2**20 hash cells, order every line's
    words from rare to common (ties by hash). Only this table of fixed size
    reaches the driver and goes back out as a literal.
 2. Different lines: one row for each, with its first place, its size, the
@@ -40,11 +40,11 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regloom.session import checkpoint_dir, written
+from regloom.session import job_folder, written
 
 PERCENT, MIN_WORDS = 80, 3
 #: Cells of the rarity table (a power of two), and 64-bit words of a filter's bit table at most.
-CELLS, FILTER_WORDS = 1 << 16, 1 << 16
+CELLS, FILTER_WORDS = 1 << 20, 1 << 16
 #: Sizes and places are kept up to these numbers in the prefix join; sets that reach them pass its filters.
 MOST_WORDS, MOST_PLACE = (1 << 16) - 1, (1 << 15) - 1
 _BLANK = "\t\x0b\x0c\r"
@@ -80,14 +80,20 @@ def _literal(numbers: list[int], kind: str) -> Column:
 
 
 def rarity(docs: DataFrame, *, text: str = "text") -> Column:
-    """Array literal: for each hash cell 4 * log2(1 + occurrences of its words), over all texts."""
+    """Literal of CELLS bytes: for each hash cell 4 * log2(1 + occurrences of its words), over all texts."""
     cell = F.xxhash64("w").bitwiseAND(F.lit(CELLS - 1)).cast("int")
     words = docs.select(F.explode(F.split(F.replace(normal(F.col(text)), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
-    counts = words.groupBy(cell.alias("cell")).agg(F.floor(4 * F.log2(F.count(F.lit(1)) + 1)).cast("int").alias("level"))
-    table = [0] * CELLS
-    for r in counts.collect():  # CELLS rows at most
-        table[r["cell"]] = r["level"]
-    return _literal(table, "int")
+    counts = words.groupBy(cell.alias("cell")).agg(F.least(F.floor(4 * F.log2(F.count(F.lit(1)) + 1)), F.lit(127)).cast("int").alias("level"))
+    table = bytearray(CELLS)
+    packed = counts.groupBy(F.shiftright("cell", 8).alias("run")).agg(F.collect_list(F.shiftleft("cell", 7) + F.col("level")).alias("levels"))
+    for r in packed.collect():  # CELLS numbers at most, in CELLS / 256 rows
+        for x in r["levels"]:
+            table[x >> 7] = x & 127
+    return F.lit(bytes(table))
+
+
+def _level(table: Column, h: Column) -> Column:
+    return F.ascii(F.substring(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
 
 
 def _parity(hashes: str, shift: int) -> Column:
@@ -113,7 +119,7 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     sets = _lines(docs, text, key).select("lid", "num", place, F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= max(min_words, 1))
     n = F.size("h")
     # Rarity in the high bits, then the hash; only the order and 32 bits of the hash are kept.
-    rank = lambda h: F.shiftleft(F.get(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 48) + F.shiftrightunsigned(h, 16)
+    rank = lambda h: F.shiftleft(_level(table, h).cast("long"), 48) + F.shiftrightunsigned(h, 16)
     # ceil(percent * n / 100) words must be shared with a set of n at least: prefix length n - that + 1.
     length = (n - F.ceil(n * F.lit(percent) / 100) + 1).cast("int")
     rarest = F.transform(F.slice(F.sort_array(F.transform("h", rank)), F.lit(1), length), lambda w: F.pmod(w, F.lit(1 << 32)) - F.lit(1 << 31))
@@ -127,7 +133,7 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     kept = rows.groupBy("lid").agg(F.min("first").alias("first"), *same)  # dealt by the buckets' hash, so each bucket is one task's
     name = f"lines_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    place_of = f"{checkpoint_dir(spark)}/{name}"
+    place_of = f"{job_folder(spark)}/{name}"
     kept.write.bucketBy(parts, "lid").option("path", place_of).saveAsTable(name)
     stored = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the session's definition alone; the files and this plan stay
@@ -206,7 +212,9 @@ def _candidates(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     apart = F.bit_count(get("xodd").bitwiseXOR(get("yodd"))) * (100 + percent) <= (xn + yn) * (100 - percent)
     sized = F.least(xn, yn) * 100 >= F.greatest(xn, yn) * percent
     open_ = get("xsettled") + get("ysettled") < 2
-    met = side("x").where(indexed | (xn >= MOST_WORDS) | (get("xat") >= MOST_PLACE)).join(side("y"), "word").where(smaller & open_ & sized & (full | (enough & apart)))
+    # Tested after the shuffle (a place is never negative, but that keeps the test in the join): both sides are the same shuffled rows.
+    in_index = indexed | full | (get("yat") < 0)
+    met = side("x").join(side("y"), "word").where(in_index & smaller & open_ & sized & (full | (enough & apart)))
     pairs = met.select("x", "y").distinct().join(_side(lines, "x"), "x").join(_side(lines, "y"), "y")
     return _sharing(pairs.where(_close("x", "y", percent)).select("x", "y"), lines, percent)
 

@@ -4,14 +4,12 @@ Each applies its operator with production parameters to its whole table.
 """
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regloom.llm import alignment, backoff, bpe, chat, kd_shards, line_join, order_minhash, packing, repetition, setsketch, spellings, token_count, token_files
-from regloom.session import checkpoint_dir
+from regloom.session import job_folder
 from regloom.sources.tables import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,7 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{checkpoint_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    folder = job_folder(spark, "token-files")
     token_files.write(read_table(spark, sf_dir, "documents"), BYTE_BPE, folder)
     return token_files.digests(token_files.read(spark, folder))
 
