@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regloom.sources.catalog import catalog_df
+
 WARNINGS_CHARS = 300
 PREVIEW_CHARS = 200
 SAMPLE_CHARS = 400
@@ -61,7 +63,10 @@ def raw_bytes(files: DataFrame, key: str = "source_key") -> DataFrame:
 
 
 def run_summary(results: DataFrame, files: DataFrame | None, parsed_cols: dict[str, Column]) -> DataFrame:
-    """R1 + R2 + R3: one row per result, ordered by its file name ('<key>.json')."""
+    """R1 + R2 + R3: one row per result, ordered by its file name ('<key>.json').
+
+    Sizes are summed per source of the catalog first, so they fit a broadcast
+    and the results stay where they are."""
     count, unit = extracted(parsed_cols)
     base = results.select(
         "*",
@@ -72,7 +77,9 @@ def run_summary(results: DataFrame, files: DataFrame | None, parsed_cols: dict[s
         F.concat(F.col("source_key"), F.lit(".json")).alias("file_name"),
     )
     if files is not None:
-        base = base.join(raw_bytes(files), "source_key", "left")
+        known = F.broadcast(catalog_df(results.sparkSession).select(F.col("key").alias("source_key")))
+        sizes = raw_bytes(files.join(known, "source_key", "left_semi"))  # a row per source of the catalog at most
+        base = base.join(F.broadcast(sizes), "source_key", "left")
     else:
         base = base.withColumn("raw_bytes", F.lit(None).cast("bigint"))
     return base.withColumn("raw_bytes", F.coalesce(F.col("raw_bytes"), F.lit(0).cast("bigint")))

@@ -151,6 +151,21 @@ def q_audit_payer_blocker(spark, sf_dir):
     return A.payer_blocker(_claims(spark, sf_dir), allowed)
 
 
+@register(
+    "audit_standard_codes",
+    covers=("A12",),
+    oracle=FX.with_fixtures(
+        f"""
+{_finding_sql('R-FLMAC-01', _CLAIM_KEY, 'service_date', "'standard code=' || code")}
+from fx_claims where not regexp_matches(code, '^G[0-9]{{4}}$') and claim_id in (select claim_id from fx_claims where code between 'G2067' and 'G2079')""",
+        "fx_claims",
+    ),
+)
+def q_audit_standard_codes(spark, sf_dir):
+    """A12, the other half: standard codes on claims that bill an OTP bundle."""
+    return A.standard_codes(_claims(spark, sf_dir))
+
+
 def vault_counts(vault: DataFrame) -> DataFrame:
     """Physical counts for fx_vault: running stock plus the planted variance."""
     w = Window.partitionBy("vault_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)

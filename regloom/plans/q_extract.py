@@ -94,7 +94,7 @@ def q_extract_cms_ch39(spark, sf_dir):
         f"""
 select doc_id, {_sd('text', X.RE_G_CODE_CMS, 1)} as g_codes_mentioned,
        {_search('text', X.RE_TAKEHOME)} as mentions_take_home,
-       cast(length(substring(text, 1, 2000)) as integer) as excerpt_chars
+       substring(text, 1, 2000) as raw_excerpt
 from fx_source_text""",
         "fx_source_text",
     ),
@@ -105,7 +105,7 @@ def q_extract_mln(spark, sf_dir):
         "doc_id",
         _joined(F.col("g_codes_mentioned")).alias("g_codes_mentioned"),
         "mentions_take_home",
-        F.length("raw_excerpt").alias("excerpt_chars"),
+        "raw_excerpt",
     )
 
 
@@ -117,8 +117,7 @@ def q_extract_mln(spark, sf_dir):
 select doc_id,
        array_to_string(list_slice(regexp_extract_all(text, '(?i){X.RE_POLYSUBSTANCE}', 1), 1, 50), '|') as polysubstance_hits,
        cast(len(list_slice(regexp_extract_all(text, '(?i){X.RE_POLYSUBSTANCE}', 1), 1, 50)) as integer) as hit_count,
-       cast(length(substring(text, 1, 2000)) as integer) as excerpt_chars,
-       cast(length(text) as integer) as full_text_chars
+       substring(text, 1, 2000) as raw_excerpt, text as full_text
 from fx_source_text""",
         "fx_source_text",
     ),
@@ -129,8 +128,8 @@ def q_extract_tip63(spark, sf_dir):
         "doc_id",
         _joined(F.col("polysubstance_hits"), "|").alias("polysubstance_hits"),
         F.size("polysubstance_hits").alias("hit_count"),
-        F.length("raw_excerpt").alias("excerpt_chars"),
-        F.length("full_text").alias("full_text_chars"),
+        "raw_excerpt",
+        "full_text",
     )
 
 
@@ -192,7 +191,7 @@ m as (select doc_id, t, list_sort(list_distinct(list_transform(
           regexp_extract_all(t, '(?i){X.RE_COUNSELING_TIME}', 1), lambda x: try_cast(x as integer)))) as mins from s)
 select doc_id, array_to_string(mins, ',') as counseling_time_thresholds_minutes,
        cast(list_min(mins) as integer) as min_counseling_threshold_minutes,
-       cast(length(substring(t, 1, 2000)) as integer) as excerpt_chars
+       substring(t, 1, 2000) as raw_excerpt, t as full_text
 from m""",
         "fx_source_text",
     ),
@@ -205,7 +204,8 @@ def q_extract_simply(spark, sf_dir):
             "counseling_time_thresholds_minutes"
         ),
         "min_counseling_threshold_minutes",
-        F.length("raw_excerpt").alias("excerpt_chars"),
+        "raw_excerpt",
+        "full_text",
     )
 
 

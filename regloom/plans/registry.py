@@ -50,6 +50,7 @@ def all_queries() -> dict[str, Query]:
         q_ncci,
         q_ptp,
         q_reports,
+        q_sinks,
     )
 
     return dict(_REGISTRY)

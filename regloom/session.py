@@ -93,10 +93,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def job_folder(spark: SparkSession, name: str = "") -> str:
+    """The folder of this application's tables in the shared checkpoint folder, or a new place of that name in it."""
+    folder = f"{checkpoint_dir(spark)}/regloom-{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}" if name else folder
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once as a table in the shared checkpoint folder and read it
-    back: later plans start there, and a lost executor rereads files instead of
-    recomputing. The folder's retention policy removes old tables."""
-    path = f"{checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    """Write ``df`` once as a table in the job's folder and read it back: later
+    plans start there, and a lost executor rereads files instead of recomputing.
+    ``remove_written`` removes the folder when its results are no longer read."""
+    path = job_folder(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove every table this application wrote by ``written`` or to a place of its ``job_folder``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(job_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -12,7 +12,6 @@ PDF decoding is not built: PDF sources must be landed as extracted .txt.
 """
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 
 from regloom.operators import markup as MK
 from regloom.operators.handbooks import SOURCE_KEY as HANDBOOK_KEY
+from regloom.sources.raw import below
 
 DECODED_SCHEMA = (
     "source_key string, document string, fetched_at string, content_sha256 string, raw_path string, text string, warnings array<string>, "
@@ -56,11 +56,10 @@ def landed_documents(spark: SparkSession, root: str) -> DataFrame:
         .option("pathGlobFilter", "*.{txt,html,xml}")
         .load(root)
     )
-    below = re.escape(re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", root).rstrip("/"))
-    part = lambda g: F.regexp_extract("path", f"{below}/([^/]+)/(?:(.+)/)?([^/]+)$", g)
-    folder = F.coalesce(F.try_url_decode(F.replace(part(2), F.lit("+"), F.lit("%2B"))), part(2))
-    alone = (part(1) == HANDBOOK_KEY) & part(3).endswith(".txt") & (part(2) == "")
-    named = files.withColumn("source_key", part(1)).withColumn("document", F.when(alone, part(3)).otherwise(folder))
+    key, folder, name = (below(root, part) for part in (1, 2, 3))
+    document = F.coalesce(F.try_url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))), folder)
+    alone = (key == HANDBOOK_KEY) & name.endswith(".txt") & (folder == "")
+    named = files.withColumn("source_key", key).withColumn("document", F.when(alone, name).otherwise(document))
     # Newest file per document from metadata only (binaryFile skips the content
     # column when it is not selected); AQE broadcasts the path list where it is small.
     newest = named.groupBy("source_key", "document").agg(F.max(F.struct("modificationTime", "path")).alias("_n")).select(F.col("_n.path").alias("path"))

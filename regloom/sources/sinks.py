@@ -41,9 +41,9 @@ def write_json(df: DataFrame, path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with header; an empty frame still writes its header, since the
-    schema is explicit."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header, quotes doubled, nulls and empty texts both empty; an
+    empty frame still writes its header, since the schema is explicit."""
+    df.write.mode("overwrite").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="", nullValue="").csv(path)
     return path
 
 

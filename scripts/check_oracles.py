@@ -9,7 +9,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from regloom.plans.verify import compare  # noqa: E402
+from tests.oracles import compare  # noqa: E402
 from regloom.session import local_session  # noqa: E402
 
 

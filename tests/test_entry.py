@@ -1,6 +1,6 @@
 """Driver contract and the SQL-oracle gate on the smallest scale."""
 import __spark_entry__ as E
-from regloom.plans.verify import compare
+from tests.oracles import compare
 
 SF = "/root/testdata/sf0.001"
 

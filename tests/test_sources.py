@@ -25,6 +25,25 @@ def test_binary_payloads_and_sizes(spark, scratch):
     assert sizes == {"cms_ncci_edits": (15, 2), "samhsa_tip_63": (13, 1)}
 
 
+def test_payloads_in_document_folders_belong_to_their_source(spark, scratch):
+    root = os.path.join(scratch, "raw")
+    for place in ("src/a.bin", "src/doc%20one/b.bin", "other/x/y/c.bin"):
+        os.makedirs(os.path.dirname(os.path.join(root, place)), exist_ok=True)
+        with open(os.path.join(root, place), "wb") as f:
+            f.write(place.encode())
+    sizes = {r.source_key: (r.raw_bytes, r.raw_files) for r in raw.raw_bytes_per_source(spark, root).collect()}
+    assert sizes == {"src": (9 + 19, 2), "other": (15, 1)}
+
+
+def test_csv_values_come_back(spark, scratch):
+    import csv
+
+    rows = [("plain", 1), ('says "no", twice', 2), ("back\\slash \\\"", None), ("", 3), (None, 4), ("é,;\t'", 5)]
+    path = sinks.write_csv(spark.createDataFrame(rows, "note string, n int").coalesce(1), os.path.join(scratch, "csv"))
+    with open(os.path.join(path, next(f for f in os.listdir(path) if f.endswith(".csv"))), encoding="utf-8", newline="") as f:
+        assert list(csv.reader(f)) == [["note", "n"], *[["" if a is None else a, "" if b is None else str(b)] for a, b in rows]]
+
+
 def test_results_keep_history_per_run(spark, scratch):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "source_key string, v int")
     sinks.write_results(df, scratch, "r1")
@@ -59,3 +78,17 @@ def test_catalog_selection_and_registry(spark):
     assert S.by_key(cat, keys).first().engine == "engine2"
     with pytest.raises(Exception):
         S.by_key(cat, spark.createDataFrame([("unknown",)], "source_key string")).collect()
+
+
+def test_tables_of_a_job_are_in_one_folder_that_can_be_removed(spark):
+    from regloom.session import job_folder, remove_written, written
+
+    made = written(spark.range(5), "numbers")
+    place = job_folder(spark, "own")
+    spark.range(2).write.parquet(place)
+    folder = job_folder(spark).removeprefix("file:")
+    assert made.count() == 5 and len(os.listdir(folder)) >= 2 and place.startswith(job_folder(spark))
+    assert all(f.startswith(("file:" + folder, "file://" + folder)) for f in made.inputFiles())
+    remove_written(spark)
+    assert not os.path.exists(folder)
+    assert written(spark.range(3), "numbers").count() == 3
