@@ -229,6 +229,20 @@ def test_pipeline_against_brute_force(spark, rows, tmp_path):
     assert BYTE_BPE
 
 
+def test_pipeline_copies_with_null_and_shared_keys(spark):
+    rnd = random.Random(11)
+    a, b, c = (" ".join(f"{x}{rnd.randint(0, 10**6)}" for _ in range(80)) for x in "abc")
+    rows = [(None, a), (None, a), (3, a + " more"), (3, b), (7, b), (7, b), (2, c), (2, c), (None, c), (None, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, _extra long").repartition(3)
+    left = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    # Key 3 comes before no key, so its near copy of a stays; its other text and key 2's repeated row stay too.
+    assert got == sorted([(3, a + " more"), (3, b), (2, c), (2, c), (None, None), (4, "")], key=str)
+    keyless = docs.where("doc_id is null and text is not null")
+    assert sorted(r["text"] for r in corpus_pipeline.near_duplicates(spark, keyless, "").collect()) == sorted([a, a, c])
+
+
 def test_native_operators_run_no_python(spark, rows):
     docs = frame(spark, rows)
     turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
