@@ -4,7 +4,7 @@ A line's set holds its distinct lower-case words. A line is removed when an
 earlier line of the corpus (by key, then line number) is the same line, or has
 a set with 100 * intersection >= percent * union.
 
-1. Rarity: word counts over all lines, in 2**20 hash cells, order every line's
+1. Rarity: word counts over all lines, in 2**18 hash cells, order every line's
    words from rare to common (ties by hash). Only this table of fixed size
    reaches the driver and goes back out as a literal.
 2. Different lines: one row for each, with its first place, its size, the
@@ -44,7 +44,7 @@ from regloom.session import job_folder, written
 
 PERCENT, MIN_WORDS = 80, 3
 #: Cells of the rarity table (a power of two), and 64-bit words of a filter's bit table at most.
-CELLS, FILTER_WORDS = 1 << 20, 1 << 16
+CELLS, FILTER_WORDS = 1 << 18, 1 << 14
 #: Sizes and places are kept up to these numbers in the prefix join; sets that reach them pass its filters.
 MOST_WORDS, MOST_PLACE = (1 << 16) - 1, (1 << 15) - 1
 _BLANK = "\t\x0b\x0c\r"
@@ -80,20 +80,16 @@ def _literal(numbers: list[int], kind: str) -> Column:
 
 
 def rarity(docs: DataFrame, *, text: str = "text") -> Column:
-    """Literal of CELLS bytes: for each hash cell 4 * log2(1 + occurrences of its words), over all texts."""
+    """Array literal: for each hash cell 4 * log2(1 + occurrences of its words), over all texts."""
     cell = F.xxhash64("w").bitwiseAND(F.lit(CELLS - 1)).cast("int")
     words = docs.select(F.explode(F.split(F.replace(normal(F.col(text)), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
-    counts = words.groupBy(cell.alias("cell")).agg(F.least(F.floor(4 * F.log2(F.count(F.lit(1)) + 1)), F.lit(127)).cast("int").alias("level"))
-    table = bytearray(CELLS)
-    packed = counts.groupBy(F.shiftright("cell", 8).alias("run")).agg(F.collect_list(F.shiftleft("cell", 7) + F.col("level")).alias("levels"))
+    counts = words.groupBy(cell.alias("cell")).agg(F.floor(4 * F.log2(F.count(F.lit(1)) + 1)).cast("int").alias("level"))
+    table = [0] * CELLS
+    packed = counts.groupBy(F.shiftright("cell", 8).alias("run")).agg(F.collect_list(F.shiftleft("cell", 8) + F.col("level")).alias("levels"))
     for r in packed.collect():  # CELLS numbers at most, in CELLS / 256 rows
         for x in r["levels"]:
-            table[x >> 7] = x & 127
-    return F.lit(bytes(table))
-
-
-def _level(table: Column, h: Column) -> Column:
-    return F.ascii(F.substring(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
+            table[x >> 8] = x & 255
+    return _literal(table, "int")
 
 
 def _parity(hashes: str, shift: int) -> Column:
@@ -119,7 +115,7 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     sets = _lines(docs, text, key).select("lid", "num", place, F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= max(min_words, 1))
     n = F.size("h")
     # Rarity in the high bits, then the hash; only the order and 32 bits of the hash are kept.
-    rank = lambda h: F.shiftleft(_level(table, h).cast("long"), 48) + F.shiftrightunsigned(h, 16)
+    rank = lambda h: F.shiftleft(F.get(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 48) + F.shiftrightunsigned(h, 16)
     # ceil(percent * n / 100) words must be shared with a set of n at least: prefix length n - that + 1.
     length = (n - F.ceil(n * F.lit(percent) / 100) + 1).cast("int")
     rarest = F.transform(F.slice(F.sort_array(F.transform("h", rank)), F.lit(1), length), lambda w: F.pmod(w, F.lit(1 << 32)) - F.lit(1 << 31))
@@ -174,16 +170,14 @@ def _close(x: str, y: str, percent: int) -> Column:
     return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (apart * (100 + percent) <= (nx + ny) * (100 - percent))
 
 
-def _side(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select(F.col("num").alias(name), F.col("n").alias(f"{name}n"), F.col("odd0").alias(f"{name}odd0"), F.col("odd1").alias(f"{name}odd1"))
-
-
 def _families(lines: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) of the earliest line of each key and the others that may match it."""
-    members = lines.select(F.explode("keys").alias("key"), "num", "n", "odd0", "odd1", "first")
+    keys = lines.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("key")
+    shared = written(keys, "keys")
+    members = lines.select(F.explode("keys").alias("key"), "num", "n", "odd0", "odd1", "first").where(_among(shared, "key")).join(shared, "key", "left_semi")
     head = F.min(F.struct("first", "num", "n", "odd0", "odd1"))
-    heads = written(members.groupBy("key").agg(head.alias("h"), F.count(F.lit(1)).alias("many")).where("many > 1").select("key", "h.*"), "heads")
-    others = members.where(_among(heads, "key")).select("key", F.struct("num", "n", "odd0", "odd1").alias("o"))
+    heads = written(members.groupBy("key").agg(head.alias("h")).select("key", "h.*"), "heads")
+    others = members.select("key", F.struct("num", "n", "odd0", "odd1").alias("o"))
     met = heads.select("key", F.struct("num", "n", "odd0", "odd1").alias("h")).join(others, "key")
     named = met.select(*[F.col(f"{c}.{f}").alias(s + t) for c, s in (("h", "x"), ("o", "y")) for f, t in (("num", ""), ("n", "n"), ("odd0", "odd0"), ("odd1", "odd1"))])
     return named.where((F.col("x") != F.col("y")) & _close("x", "y", percent)).select("x", "y").distinct()
@@ -193,30 +187,28 @@ def _candidates(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     """Pairs (x, y) that meet on a prefix word and pass the filters."""
     known = lines.join(settled.withColumn("settled", F.lit(1)), "lid", "left")
     entries = known.select(
-        "num", F.posexplode("prefix").alias("at", "word"), F.least("n", F.lit(MOST_WORDS)).cast("long").alias("n"), F.col("odd0").bitwiseXOR(F.shiftrightunsigned("odd0", 32)).alias("odd"), F.coalesce("settled", F.lit(0)).cast("long").alias("settled")
-    )
-    # One number for parities (folded to 32), size, place and state keeps the shuffled rows small.
+        "num", F.posexplode("prefix").alias("at", "word"), F.least("n", F.lit(MOST_WORDS)).cast("long").alias("n"),
+        F.col("odd0").bitwiseXOR(F.shiftrightunsigned("odd0", 32)).alias("odd0"), "odd1", F.coalesce("settled", F.lit(0)).cast("long").alias("settled"),
+    )
+    # One number for 32 parities (64 folded), size, place and state keeps the shuffled rows small.
     place = F.least("at", F.lit(MOST_PLACE)).cast("long")
-    packed = entries.select("word", "num", (F.shiftleft("odd", 32) + F.shiftleft("n", 16) + F.shiftleft(place, 1) + F.col("settled")).alias("m"))
+    packed = entries.select("word", "num", "odd1", (F.shiftleft("odd0", 32) + F.shiftleft("n", 16) + F.shiftleft(place, 1) + F.col("settled")).alias("m"))
     part = lambda s, by, bits: F.shiftrightunsigned(f"{s}m", by).bitwiseAND(F.lit((1 << bits) - 1))
-    side = lambda s: packed.select("word", F.col("num").alias(s), F.col("m").alias(f"{s}m"))
-    parts = lambda s: {f"{s}odd": part(s, 32, 32), f"{s}n": part(s, 16, 16), f"{s}at": part(s, 1, 15), f"{s}settled": part(s, 0, 1)}
-    named = {k: v for s in ("x", "y") for k, v in parts(s).items()}
-    get = named.__getitem__
-    xn, yn, full = get("xn"), get("yn"), (get("xn") >= MOST_WORDS) | (get("yn") >= MOST_WORDS) | (get("xat") >= MOST_PLACE) | (get("yat") >= MOST_PLACE)
+    side = lambda s: packed.select("word", F.col("num").alias(s), F.col("m").alias(f"{s}m"), F.col("odd1").alias(f"{s}odd1"))
+    xn, yn, xat, yat = part("x", 16, 16), part("y", 16, 16), part("x", 1, 15), part("y", 1, 15)
+    full = (xn >= MOST_WORDS) | (yn >= MOST_WORDS) | (xat >= MOST_PLACE) | (yat >= MOST_PLACE)
     # x is the smaller set (ties by number): of its words the first size - ceil(2 t / (1 + t) * size) + 1 suffice.
     smaller = (xn < yn) | ((xn == yn) & (F.col("x") < F.col("y")))
-    indexed = get("xat") <= xn - F.ceil(xn * F.lit(2 * percent) / (100 + percent))
-    left = F.least(xn - get("xat"), yn - get("yat"))  # this word and what follows
-    enough = left * (100 + percent) >= F.lit(percent) * (xn + yn)
-    apart = F.bit_count(get("xodd").bitwiseXOR(get("yodd"))) * (100 + percent) <= (xn + yn) * (100 - percent)
+    indexed = xat <= xn - F.ceil(xn * F.lit(2 * percent) / (100 + percent))
+    enough = F.least(xn - xat, yn - yat) * (100 + percent) >= F.lit(percent) * (xn + yn)  # this word and what follows
+    differ = F.greatest(F.bit_count(part("x", 32, 32).bitwiseXOR(part("y", 32, 32))), F.bit_count(F.col("xodd1").bitwiseXOR(F.col("yodd1"))))
+    apart = differ * (100 + percent) <= (xn + yn) * (100 - percent)
     sized = F.least(xn, yn) * 100 >= F.greatest(xn, yn) * percent
-    open_ = get("xsettled") + get("ysettled") < 2
+    open_ = part("x", 0, 1) + part("y", 0, 1) < 2
     # Tested after the shuffle (a place is never negative, but that keeps the test in the join): both sides are the same shuffled rows.
-    in_index = indexed | full | (get("yat") < 0)
+    in_index = indexed | full | (yat < 0)
     met = side("x").join(side("y"), "word").where(in_index & smaller & open_ & sized & (full | (enough & apart)))
-    pairs = met.select("x", "y").distinct().join(_side(lines, "x"), "x").join(_side(lines, "y"), "y")
-    return _sharing(pairs.where(_close("x", "y", percent)).select("x", "y"), lines, percent)
+    return _sharing(met.select("x", "y").distinct(), lines, percent)
 
 
 def _sharing(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
