@@ -19,7 +19,7 @@ a set with 100 * intersection >= percent * union.
    (1 - t) / (1 + t) * size + 1 rarest. Lines meet on those words; the length
    filter, the positional filter (what can still be shared after this word)
    and the parities (a lower bound of the words not shared) discard pairs
-   inside the join, and pairs of two settled lines are not needed.
+   inside the join. A settled line is needed only as the earlier one of a pair.
 5. Verification fetches the texts of the lines that are left in a pair, each
    once, and counts the words that they share.
 
@@ -39,6 +39,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from regloom.session import job_folder, written
 
@@ -187,30 +188,42 @@ def _candidates(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     """Pairs (x, y) that meet on a prefix word and pass the filters."""
     known = lines.join(settled.withColumn("settled", F.lit(1)), "lid", "left")
     entries = known.select(
-        "num", F.posexplode("prefix").alias("at", "word"), F.least("n", F.lit(MOST_WORDS)).cast("long").alias("n"),
-        F.col("odd0").bitwiseXOR(F.shiftrightunsigned("odd0", 32)).alias("odd0"), "odd1", F.coalesce("settled", F.lit(0)).cast("long").alias("settled"),
-    )
-    # One number for 32 parities (64 folded), size, place and state keeps the shuffled rows small.
-    place = F.least("at", F.lit(MOST_PLACE)).cast("long")
-    packed = entries.select("word", "num", "odd1", (F.shiftleft("odd0", 32) + F.shiftleft("n", 16) + F.shiftleft(place, 1) + F.col("settled")).alias("m"))
+        "num", F.posexplode("prefix").alias("at", "word"), F.least("n", F.lit(MOST_WORDS)).cast("long").alias("n"), "odd0", "odd1", _place(lines).alias("place"), F.coalesce("settled", F.lit(0)).cast("long").alias("settled")
+    )
+    # One number for place in the corpus, size, place in the line and state keeps the shuffled rows small.
+    at = F.least("at", F.lit(MOST_PLACE)).cast("long")
+    packed = entries.select("word", "num", "odd0", "odd1", (F.shiftleft("place", 32) + F.shiftleft("n", 16) + F.shiftleft(at, 1) + F.col("settled")).alias("m"))
     part = lambda s, by, bits: F.shiftrightunsigned(f"{s}m", by).bitwiseAND(F.lit((1 << bits) - 1))
-    side = lambda s: packed.select("word", F.col("num").alias(s), F.col("m").alias(f"{s}m"), F.col("odd1").alias(f"{s}odd1"))
+    side = lambda s: packed.select("word", F.col("num").alias(s), *[F.col(c).alias(f"{s}{c}") for c in ("m", "odd0", "odd1")])
     xn, yn, xat, yat = part("x", 16, 16), part("y", 16, 16), part("x", 1, 15), part("y", 1, 15)
     full = (xn >= MOST_WORDS) | (yn >= MOST_WORDS) | (xat >= MOST_PLACE) | (yat >= MOST_PLACE)
     # x is the smaller set (ties by number): of its words the first size - ceil(2 t / (1 + t) * size) + 1 suffice.
     smaller = (xn < yn) | ((xn == yn) & (F.col("x") < F.col("y")))
     indexed = xat <= xn - F.ceil(xn * F.lit(2 * percent) / (100 + percent))
     enough = F.least(xn - xat, yn - yat) * (100 + percent) >= F.lit(percent) * (xn + yn)  # this word and what follows
-    differ = F.greatest(F.bit_count(part("x", 32, 32).bitwiseXOR(part("y", 32, 32))), F.bit_count(F.col("xodd1").bitwiseXOR(F.col("yodd1"))))
+    differ = F.greatest(*[F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in ("odd0", "odd1")])
     apart = differ * (100 + percent) <= (xn + yn) * (100 - percent)
     sized = F.least(xn, yn) * 100 >= F.greatest(xn, yn) * percent
-    open_ = part("x", 0, 1) + part("y", 0, 1) < 2
+    xs, ys = part("x", 0, 1), part("y", 0, 1)
+    open_ = (xs + ys == 0) | ((xs + ys == 1) & F.when(xs == 1, part("x", 32, 31) <= part("y", 32, 31)).otherwise(part("y", 32, 31) <= part("x", 32, 31)))
     # Tested after the shuffle (a place is never negative, but that keeps the test in the join): both sides are the same shuffled rows.
     in_index = indexed | full | (yat < 0)
     met = side("x").join(side("y"), "word").where(in_index & smaller & open_ & sized & (full | (enough & apart)))
     return _sharing(met.select("x", "y").distinct(), lines, percent)
 
 
+def _place(lines: DataFrame) -> Column:
+    """A number of 31 bits that rises with a line's key, where that is a number (0 elsewhere): an earlier line never has the larger one."""
+    did = F.col("first.did")
+    if not isinstance(lines.schema["first"].dataType["did"].dataType, NumericType):
+        return F.lit(0).cast("long")
+    low, high = lines.agg(F.min(did).cast("double"), F.max(did).cast("double")).first()
+    if low is None or high <= low:
+        return F.lit(0).cast("long")
+    share = F.floor((did.cast("double") - F.lit(low)) / F.lit(high - low) * F.lit(float((1 << 31) - 2))).cast("long")
+    return F.when(did.isNull(), F.lit(0)).otherwise(share + 1).cast("long")
+
+
 def _sharing(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
     """Pairs whose prefixes share enough.
 
