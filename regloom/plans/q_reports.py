@@ -189,3 +189,30 @@ def q_source_selection(spark, sf_dir):
     cat = S.registered(S.select_sources(S.catalog_df(spark), _ONLY), spark).select(F.col("key").alias("source_key"))
     res = FX.fx_results(Tables(spark, sf_dir).documents)
     return res.join(F.broadcast(cat), "source_key", "left_semi").groupBy("source_key").agg(F.count(F.lit(1)).alias("result_count"))
+
+
+def _catalog_values() -> str:
+    from regloom.sources.catalog import SOURCES
+
+    text = lambda v: "'" + v.replace("'", "''") + "'"
+    return ",\n  ".join("(" + ", ".join(map(text, row)) + ")" for row in SOURCES)
+
+
+@register(
+    "source_lookup",
+    covers=("S1",),
+    oracle=FX.with_fixtures(
+        f""",
+catalog(source_key, source_name, url, cadence, engine, fetch_mode) as (values
+  {_catalog_values()})
+select result_ord, source_key, source_name, url, cadence, engine, fetch_mode from fx_results join catalog using (source_key)""",
+        "fx_results",
+    ),
+)
+def q_source_lookup(spark, sf_dir):
+    """Every result with its source's catalog entry."""
+    from regloom.sources import catalog as S
+
+    res = FX.fx_results(Tables(spark, sf_dir).documents).select("result_ord", "source_key")
+    found = S.by_key(S.catalog_df(spark), res)
+    return found.select("result_ord", "source_key", F.col("name").alias("source_name"), "url", "cadence", "engine", "fetch_mode")
