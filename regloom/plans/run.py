@@ -67,8 +67,13 @@ def with_facts(results: DataFrame) -> DataFrame:
     if "kept_links" in facts.columns:
         pdfs = MK.linked_pdfs(F.col("source_url"), F.col("kept_links"))
         facts = facts.withColumn("linked_pdfs", F.when(F.col("source_key") == "fl_mac_fcso_otp", pdfs))
-    facts = facts.withColumn("parsed_empty", failed(F.col("warnings")))
-    return H.composed_results(facts).drop("source_url", "kept_links", "anchors", "document")
+    return facts.withColumn("parsed_empty", failed(F.col("warnings")))
+
+
+def run_results(spark: SparkSession, landed: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """One result per source of the catalog, the handbook source's files composed (E5)."""
+    results = H.composed_results(with_facts(select_results(spark, landed, only)))
+    return results.drop("source_url", "kept_links", "anchors", "document")
 
 
 def with_tables(spark: SparkSession, results: DataFrame, tables: Mapping[str, TableJobs], only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -101,7 +106,7 @@ def run(
     scope_diff_to_seen: bool = False,
 ) -> RunSummary:
     root = out_root.rstrip("/")
-    results = with_facts(select_results(spark, landed, only))
+    results = run_results(spark, landed, only)
     if tables:
         results, edits = with_tables(spark, results, tables, only)
     sinks.write_results(results, root, run_id)
