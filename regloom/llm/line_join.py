@@ -11,8 +11,8 @@ a set with 100 * intersection >= percent * union.
    hashes of its rarest words, and 128 parities of its words. Texts stay where
    they are; these rows alone are shuffled, and stored bucketed by line.
 3. Groups of copies: lines that agree in their three smallest or three largest
-   word hashes are compared with the earliest such line, and those that match
-   it are settled. In a group of n near copies that leaves few lines to pair
+   word hashes (long ones also in the next threes) are compared with the
+   earliest such line, and those that match it are settled. In a group of n near copies that leaves few lines to pair
    with the others.
 4. Prefix join: of two similar sets the larger has one of the words among its
    (1 - t) * size + 1 rarest that the smaller has among its
@@ -120,7 +120,8 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     # ceil(percent * n / 100) words must be shared with a set of n at least: prefix length n - that + 1.
     length = (n - F.ceil(n * F.lit(percent) / 100) + 1).cast("int")
     rarest = F.transform(F.slice(F.sort_array(F.transform("h", rank)), F.lit(1), length), lambda w: F.pmod(w, F.lit(1 << 32)) - F.lit(1 << 31))
-    large = F.array(F.xxhash64(F.lit(0), F.slice("h", 1, 3)), F.xxhash64(F.lit(1), F.slice("h", -3, 3)))
+    three = lambda i, start: F.xxhash64(F.lit(i), F.slice("h", start, 3))
+    large = F.when(n < 18, F.array(three(0, 1), three(1, -3))).otherwise(F.array(three(0, 1), three(1, -3), *[three(i, at) for i, at in ((3, 4), (4, 7), (5, -6), (6, -9))]))
     keys = F.when(n <= 3, F.array(F.xxhash64(F.lit(2), F.col("h")))).otherwise(large)
     # A set of up to three words with 100 * n < percent * (n + 1) is similar to equal sets only.
     alone = (n <= 3) & (n * 100 < F.lit(percent) * (n + 1))
