@@ -11,10 +11,11 @@ one backslash of each pair gives the text back. Role names are URL-encoded
 (the usual names stay as they are).
 
 Every assistant turn becomes an example of its own: all turns before it are
-context, and only its reply is under the loss mask. Since contexts are
-prefixes of the transcript, an example names its context by a length instead
-of repeating it; ``contexts=True`` writes it out (its size grows with the
-square of a conversation's length).
+context, and only its reply is under the loss mask. The formatted rows name a
+context by its length, since contexts are prefixes of the transcript; ``expand``
+writes every example's context and target out (the contexts' size grows with
+the square of a conversation's length; ``contexts=False`` leaves them to the
+reader), and ``digests`` reads those examples back.
 
 Null texts and roles are empty strings; turns are ordered by turn (null
 first), then role and text, so repeated rows stand side by side. A null
@@ -28,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, CLOSE, ANSWERER = "### ", "</turn>", "assistant"
+#: Ends a turn; inside texts the mark has a backslash before it.
+_END = rf"(?<!\\){CLOSE}\n"
 
 
 def escaped(text: Column) -> Column:
@@ -64,20 +67,19 @@ def format_conversations(turns: DataFrame, *, conv: str = "conv_id", turn: str =
     )
 
 
-def expand(formatted: DataFrame, *, conv: str = "conv_id", contexts: bool = False) -> DataFrame:
+def expand(formatted: DataFrame, *, conv: str = "conv_id", contexts: bool = True) -> DataFrame:
     """One example per assistant turn: (conv, example, context_chars, target[, context]).
 
-    ``target`` is the reply as it stands in the transcript (still escaped);
-    the context is the transcript's first ``context_chars`` characters.
+    ``target`` is the reply as it stands in the transcript (still escaped) and
+    under the loss mask; the context is everything before it, the transcript's
+    first ``context_chars`` characters, and not under the mask.
     """
-
-    def example(x: Column) -> Column:
-        cut = F.substring(F.col("transcript"), (x["context_chars"] + 1).cast("int"), x["target_chars"].cast("int"))
-        more = [F.substring(F.col("transcript"), F.lit(1), x["context_chars"].cast("int")).alias("context")] if contexts else []
-        return F.struct(x["context_chars"].alias("context_chars"), cut.alias("target"), *more)
-
-    rows = formatted.select(F.col(conv), F.posexplode(F.transform("spans", example)).alias("example", "e"))
-    return rows.select(conv, F.col("example").cast("long").alias("example"), "e.*")
+    # One example at a time is cut out, so a long conversation's contexts are never in memory together.
+    rows = formatted.select(conv, "transcript", F.posexplode("spans").alias("example", "x"))
+    cut = lambda start, size: F.substring(F.col("transcript"), start, size.cast("int"))
+    target = cut((F.col("x.context_chars") + 1).cast("int"), F.col("x.target_chars")).alias("target")
+    more = [cut(F.lit(1), F.col("x.context_chars")).alias("context")] if contexts else []
+    return rows.select(conv, F.col("example").cast("long").alias("example"), "x.context_chars", target, *more)
 
 
 def read_turns(formatted: DataFrame, *, conv: str = "conv_id") -> DataFrame:
@@ -88,24 +90,35 @@ def read_turns(formatted: DataFrame, *, conv: str = "conv_id") -> DataFrame:
         role = F.url_decode(F.substring(part, F.lit(len(OPEN) + 1), colon - len(OPEN) - 1))
         return F.struct(role.alias("role"), unescaped(F.substring(part, colon + 2, F.length(part) - colon - 2)).alias("text"))
 
-    parts = F.split("transcript", rf"(?<!\\){CLOSE}\n")
+    parts = F.split("transcript", _END)
     return formatted.select(F.col(conv), F.transform(F.slice(parts, 1, F.size(parts) - 1), turn).alias("turns"))
 
 
 def digests(formatted: DataFrame, *, conv: str = "conv_id") -> DataFrame:
-    """(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_examples), all read from the formatted output."""
+    """(conv, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_examples, context_turns, example_chars), all read from the formatted output.
+
+    The last three and the loss come from the expanded examples: context_turns
+    counts the whole turns in all their contexts, example_chars all characters
+    of their contexts and targets.
+    """
     turns = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
     told = read_turns(formatted, conv=conv).select(
         F.col(conv).alias("_conv"), F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256")
     )
     sizes = formatted.select(F.col(conv).alias("_conv"), F.length("transcript").cast("long").alias("formatted_chars"))
-    replies = expand(formatted, conv=conv).groupBy(F.col(conv).alias("_conv")).agg(
-        F.sort_array(F.collect_list(F.struct("example", unescaped(F.col("target")).alias("target")))).alias("all")
+    read = expand(formatted, conv=conv).select(
+        F.col(conv).alias("_conv"), "example", unescaped(F.col("target")).alias("target"), F.regexp_count("context", F.lit(_END)).alias("turns"),
+        (F.length("context") + F.length("target")).alias("chars"),
+    )
+    loss = read.groupBy("_conv").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "target"))), lambda x: x["target"]), "").alias("loss"),
+        F.count(F.lit(1)).alias("n"), F.sum("turns").alias("turns"), F.sum("chars").alias("chars"),
     )
-    loss = replies.select("_conv", F.array_join(F.transform("all", lambda x: x["target"]), "").alias("loss"), F.size("all").cast("long").alias("n"))
     t, s, x = told.alias("t"), sizes.alias("s"), loss.alias("x")
     joined = t.join(s, F.col("t._conv").eqNullSafe(F.col("s._conv"))).join(x, F.col("t._conv").eqNullSafe(F.col("x._conv")), "left")
+    or_none = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return joined.select(
         F.col("t._conv").alias(conv), "n_turns", "turns_sha256", F.coalesce(F.length("loss"), F.lit(0)).cast("long").alias("loss_chars"),
-        F.sha2(F.coalesce("loss", F.lit("")), 256).alias("loss_sha256"), "formatted_chars", F.coalesce("n", F.lit(0).cast("long")).alias("n_examples"),
+        F.sha2(F.coalesce("loss", F.lit("")), 256).alias("loss_sha256"), "formatted_chars", or_none("n").alias("n_examples"),
+        or_none("turns").alias("context_turns"), or_none("chars").alias("example_chars"),
     )

@@ -197,6 +197,20 @@ def test_chat(spark):
     assert chat.digests(chat.format_conversations(turns.limit(0))).count() == 0
 
 
+def test_chat_contexts_are_expanded(spark):
+    """Digests come from examples whose contexts are written out, each with every turn before its reply."""
+    talk = [("user", r"a </turn> ### b"), ("assistant", "one\\"), ("assistant", "</turn>\n"), ("user", "é 𝄞"), ("assistant", "three"), ("user", "end")]
+    rows = [(c, t, role, text) for c in (1, 2) for t, (role, text) in enumerate(talk[: 6 * c])] + [(3, 0, "user", "alone")]
+    formatted = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    examples = [r for r in chat.expand(formatted).orderBy("conv_id", "example").collect() if r["conv_id"] == 1]
+    whole = next(r["transcript"] for r in formatted.collect() if r["conv_id"] == 1)
+    assert [r["context"].count("</turn>\n### ") for r in examples] == [1, 2, 4]
+    assert all(whole.startswith(r["context"] + r["target"]) and len(r["context"]) == r["context_chars"] for r in examples)
+    got = {r["conv_id"]: (r["n_examples"], r["context_turns"], r["example_chars"]) for r in chat.digests(formatted).collect()}
+    size = sum(len(r["context"] + r["target"]) for r in examples)
+    assert got == {1: (3, 1 + 2 + 4, size), 2: (3, 1 + 2 + 4, size), 3: (0, 0, 0)}
+
+
 def test_quality_counts(spark, rows):
     got = {r["doc_id"]: r for r in repetition.report(frame(spark, rows)).collect()}
     for i, text, *_ in rows:
