@@ -52,7 +52,9 @@ def _jobs(pages: DataFrame, chosen: DataFrame, payloads: DataFrame, rows: DataFr
     zipped = F.coalesce("is_zip", F.lit(True)) if "is_zip" in payloads.columns else F.lit(True)
     fetched = chosen.join(payloads.select("url", "digest", zipped.alias("is_zip")), "url", "left")
     listed = F.col("digest").isNotNull() & F.col("is_zip")
-    of_pages = fetched.where(listed).select("page_id", "part_ord", "url").join(file_edits(rows), "url")
+    # A listed file is a short row here and all its edits behind the join, so they are dealt out by page, into all partitions, before they are sorted.
+    parts_of_job = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    of_pages = fetched.where(listed).select("page_id", "part_ord", "url").join(file_edits(rows), "url").repartition(parts_of_job, "page_id")
     edits = P.first_wins(
         of_pages, key=["page_id", "column1", "column2", "edit_kind"], order=["part_ord", "file_ord", "row_ord"], payload=["modifier_indicator", "source_file"]
     ).select("page_id", "part_ord", "file_ord", "row_ord", *P.EDIT_COLUMNS)

@@ -10,10 +10,10 @@ Raw input shape (one row per spreadsheet / text line):
   cells ARRAY<STRING>
 
 Plan at scale: the filters (P1, P2) are narrow and run inside the scan stage,
-so only relevant rows reach the single shuffle of the dedupe (P5). The dedupe
-is ``min(struct(ord..., payload))`` per key: a partial aggregate, so a key that
-holds a third of all rows is collapsed map-side to one row per partition
-before the shuffle.
+so only relevant rows reach the shuffles of the dedupe (P5). Repeats are first
+reduced by a hash aggregate, then ``min(struct(ord..., payload))`` picks one row
+per key. Both are partial aggregates, so a key that holds a third of all rows is
+collapsed map-side to a few rows per partition before the first shuffle.
 """
 from __future__ import annotations
 
@@ -129,9 +129,16 @@ def candidate_edits(raw: DataFrame, codes: list[str] = RELEVANT_CODES, group: tu
 
 
 def first_wins(candidates: DataFrame, key: list[str], order: list[str], payload: list[str]) -> DataFrame:
-    """P5: keep the first row per key by ``order`` (a partial aggregate)."""
+    """P5: keep the first row per key by ``order`` (ties by ``payload``; nulls first).
+
+    Repeats that differ in the last order column only are reduced to the first
+    by a hash aggregate: its memory follows the different edits, not the rows.
+    A minimum of structs sorts its rows, so it gets only what is left.
+    """
+    *leading, last = order
+    firsts = candidates.groupBy(*key, *leading, *payload, F.col(last).isNull().alias("_unplaced")).agg(F.min(last).alias(last))
     first = F.min(F.struct(*[F.col(c) for c in order + payload])).alias("_first")
-    agg = candidates.groupBy(*key).agg(first)
+    agg = firsts.groupBy(*key).agg(first)
     return agg.select(*key, *[F.col(f"_first.{c}").alias(c) for c in order + payload])
 
 

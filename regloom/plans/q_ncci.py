@@ -30,7 +30,9 @@ def fx_file_rows(urls: DataFrame, part: DataFrame) -> DataFrame:
     bucket = F.conv(F.substring(F.sha2("url", 256), 1, 2), 16, 10).cast("bigint")
     files = urls.select("url", bucket.alias("_bucket")).distinct()
     rows = raw_rows(part).drop("part_ord").withColumn("_bucket", F.col("row_ord") % DEALT)
-    return files.join(rows, "_bucket").drop("_bucket")
+    # Few bytes go into this join and many rows come out: a number of partitions is named, or they would be coalesced by what goes in.
+    parts = min(DEALT, int(part.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return files.repartition(parts, "_bucket").join(rows.repartition(parts, "_bucket"), "_bucket").drop("_bucket")
 
 
 def _inputs(spark, sf_dir, chosen) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
