@@ -16,6 +16,10 @@ the number of ranges follows the corpus), the totals are summed there and
 joined back to each block's n-grams, and the blocks add up the logarithms per
 document. Everything counted covers the whole corpus.
 
+Hashes take far more room than totals, most of which are small numbers. So the
+hash ranges are counted in ``PASSES`` jobs, one after the other; each writes its
+ranges' totals, and only one job's hashes are on disk at a time.
+
 Words are runs of anything but ASCII white space. A null or empty text has no
 words: n_words 0 and a null mean. Repeated rows are documents of their own, so
 they know each other's n-grams. Only the key and text columns are read. An
@@ -24,6 +28,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +38,13 @@ from pyspark.sql import functions as F
 from regloom.llm.bpe import texts_of
 from regloom.llm.repetition import mixed, rolling
 from regloom.llm.setsketch import _WORDS as WORD_HASH
+from regloom.session import written
 
 ORDER, ALPHA = 3, 0.4
 #: Text bytes of a block, and n-grams of a hash range (both on average).
 BLOCK_BYTES, RANGE_NGRAMS = 4 << 20, 4 << 20
+#: Jobs that the hash ranges are counted in.
+PASSES = 3
 
 
 def corpus_size(docs: DataFrame, text: str) -> tuple[int, int]:
@@ -116,11 +124,19 @@ def scores(docs: DataFrame, *, text: str = "text", key: str = "doc_id", order: i
     kind = docs.schema[key].dataType.simpleString()
     dealt = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.pmod(F.xxhash64(key, text), F.lit(blocks)).alias("block"))
 
-    def count(name: tuple, table: pa.Table) -> pa.Table:
-        keys, n = np.unique(np.concatenate(ngrams(texts_of(table, "text"), order)[2]), return_counts=True)
-        cuts = np.append(np.searchsorted(keys, _edges(ranges)), len(keys)).tolist()
-        rows = [(r, name[0].as_py(), planes(np.diff(keys[lo:hi], prepend=np.uint64(0))), planes(n[lo:hi])) for r, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)) if lo < hi]
-        return pa.Table.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["range", "block", "keys", "n"])
+    def counter(first: int, end: int):
+        """Counts of the ranges from ``first`` to below ``end``."""
+        edges = _edges(ranges)
+
+        def count(name: tuple, table: pa.Table) -> pa.Table:
+            found = np.concatenate(ngrams(texts_of(table, "text"), order)[2])
+            found = found[found >= edges[first]]
+            keys, n = np.unique(found[found < edges[end]] if end < ranges else found, return_counts=True)
+            cuts = np.append(np.searchsorted(keys, edges[first:end]), len(keys)).tolist()
+            rows = [(r, name[0].as_py(), planes(np.diff(keys[lo:hi], prepend=np.uint64(0))), planes(n[lo:hi])) for r, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False), first) if lo < hi]
+            return pa.Table.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["range", "block", "keys", "n"])
+
+        return count
 
     def total(name: tuple, table: pa.Table) -> pa.Table:
         keys = [np.cumsum(from_planes(x), dtype=np.uint64) for x in table["keys"].to_pylist()]
@@ -139,8 +155,13 @@ def scores(docs: DataFrame, *, text: str = "text", key: str = "doc_id", order: i
         mean = [s / n if n else None for s, n in zip(summed.tolist(), sizes.tolist(), strict=True)]
         return pa.Table.from_arrays([left["id"], pa.array(sizes, pa.int64()), pa.array(summed, pa.float64()), pa.array(mean, pa.float64())], names=[key, "n_words", "log_score", "mean_log_score"])
 
-    counted = dealt.groupBy("block").applyInArrow(count, "range long, block long, keys binary, n binary")
-    totals = counted.groupBy("range").applyInArrow(total, "block long, range long, totals binary")
+    def totals_of(first: int, end: int) -> DataFrame:
+        counted = dealt.groupBy("block").applyInArrow(counter(first, end), "range long, block long, keys binary, n binary")
+        return written(counted.groupBy("range").applyInArrow(total, "block long, range long, totals binary"), "totals")
+
+    passes = min(PASSES, ranges)
+    cuts = [ranges * i // passes for i in range(passes + 1)]
+    totals = reduce(DataFrame.unionByName, [totals_of(*cut) for cut in zip(cuts, cuts[1:], strict=False)])
     return dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, f"{key} {kind}, n_words long, log_score double, mean_log_score double")
 
 

@@ -10,6 +10,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,8 @@ SQL_DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
+#: Removes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SHIPPED: set[str] = set()
 
 
@@ -99,12 +103,29 @@ def job_folder(spark: SparkSession, name: str = "") -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}" if name else folder
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that run inside go when their query ends, not
+    when the driver's garbage collector comes to their plan. For results that
+    are written and read back: a plan that is run a second time would shuffle anew."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as a table in the job's folder and read it back: later
     plans start there, and a lost executor rereads files instead of recomputing.
     ``remove_written`` removes the folder when its results are no longer read."""
     path = job_folder(df.sparkSession, tag)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

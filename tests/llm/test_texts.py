@@ -89,6 +89,19 @@ def test_backoff_scores(spark, rows, monkeypatch):
     assert backoff.scores(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_backoff_totals_are_stored_by_passes(spark, rows, monkeypatch):
+    """Hash ranges are counted in jobs of their own: the result's plan starts at stored totals and counts nothing, and the number of jobs changes no score."""
+    monkeypatch.setattr(backoff, "RANGE_NGRAMS", 3_000)
+    docs = frame(spark, rows[:-1]).select("doc_id", "text")
+    found = []
+    for passes in (1, 2, 5):
+        monkeypatch.setattr(backoff, "PASSES", passes)
+        scored = backoff.scores(docs)
+        assert "FlatMapGroupsInArrow" not in scored._jdf.queryExecution().toString()
+        found.append({tuple(r) for r in scored.collect()})
+    assert found[0] == found[1] == found[2]
+
+
 def test_shards(spark, rows):
     docs = frame(spark, rows)
     got = kd_shards.kd_shards(docs, shards=7).collect()
