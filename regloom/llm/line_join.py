@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from regloom.session import job_folder, written
+from regloom.session import job_folder, shuffles_removed, written
 
 PERCENT, MIN_WORDS = 80, 3
 #: Cells of the rarity table (a power of two), and 64-bit words of a filter's bit table at most.
@@ -76,8 +76,10 @@ def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
     return rows.select("did", "rid", "lno", F.xxhash64("body").alias("num"), F.unhex(F.md5("body")).alias("lid"), "body")
 
 
-def _literal(numbers: list[int], kind: str) -> Column:
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+def _dense(numbers: DataFrame, size: int) -> DataFrame:
+    """One row, one array: number ``x`` of each place ``at`` below ``size`` (a fixed one), 0 where there is none."""
+    every = numbers.sparkSession.range(size, numPartitions=1).withColumnRenamed("id", "at").join(numbers, "at", "left")
+    return every.agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("x", F.lit(0)).alias("x")))).alias("all")).select("all.x")
 
 
 def rarity(docs: DataFrame, *, text: str = "text") -> Column:
@@ -90,7 +92,7 @@ def rarity(docs: DataFrame, *, text: str = "text") -> Column:
     for r in packed.collect():  # CELLS numbers at most, in CELLS / 256 rows
         for x in r["levels"]:
             table[x >> 8] = x & 255
-    return _literal(table, "int")
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
 
 def _parity(hashes: str, shift: int) -> Column:
@@ -132,7 +134,8 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     name = f"lines_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place_of = f"{job_folder(spark)}/{name}"
-    kept.write.bucketBy(parts, "lid").option("path", place_of).saveAsTable(name)
+    with shuffles_removed(spark):
+        kept.write.bucketBy(parts, "lid").option("path", place_of).saveAsTable(name)
     stored = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the session's definition alone; the files and this plan stay
     return stored
@@ -143,13 +146,9 @@ def _among(ids: DataFrame, column: str) -> Column:
 
     A bit table of fixed size; what passes it by chance is left to the join behind it.
     """
-    words = FILTER_WORDS
-    at = F.pmod(F.xxhash64(column), F.lit(64 * words))
-    rows = ids.select(at.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("mark")).collect()  # FILTER_WORDS rows at most
-    marks = [0] * words
-    for r in rows:
-        marks[r["word"]] = r["mark"]
-    mark = F.get(_literal(marks, "bigint"), F.shiftright(at, 6).cast("int"))
+    at = F.pmod(F.xxhash64(column), F.lit(64 * FILTER_WORDS))
+    marks = ids.select(at.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("x"))
+    mark = F.get(_dense(marks, FILTER_WORDS).scalar(), F.shiftright(at, 6).cast("int"))
     return F.call_function("shiftrightunsigned", mark, at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 

@@ -260,3 +260,24 @@ def test_entry_registers_every_operator():
 def test_lone_columns(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id long, text string")
     assert setsketch.near_duplicates(docs).where(F.col("kept")).count() == 2
+
+
+def test_bit_filter_is_no_literal_of_the_plan(spark):
+    from regloom.llm import line_join
+
+    ids = spark.range(0, 500, 5).withColumnRenamed("id", "num")
+    found = spark.range(20_000).withColumnRenamed("id", "num").where(line_join._among(ids, "num"))
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 5_000
+    got = {r["num"] for r in found.collect()}
+    assert got >= set(range(0, 500, 5)) and len(got) < 200
+
+
+def test_shuffle_files_go_with_a_written_table(spark):
+    from regloom.session import SHUFFLE_CLEANUP, shuffles_removed, written
+
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    with shuffles_removed(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    table = written(spark.range(100).groupBy("id").count(), "cleaned")
+    assert table.count() == 100 and table.count() == 100
