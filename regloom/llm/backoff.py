@@ -9,12 +9,14 @@ logarithms, summed per document.
 
 The corpus counts are relations partitioned by the n-grams' 64-bit hashes. So
 that a frequent n-gram isn't shuffled once per occurrence, documents are dealt
-to blocks of a few megabytes by hash, a block's n-grams are exploded and
-counted inside it, and one row per (block, hash range) carries its distinct
-hashes and counts. Rows of one hash range meet in one group (its size is fixed:
-the number of ranges follows the corpus), the totals are summed there and
-joined back to each block's n-grams, and the blocks add up the logarithms per
-document. Everything counted covers the whole corpus.
+to blocks of a few megabytes by hash. Texts are cut into words once: a block is
+stored as its different words' hashes and one short number per word, in a table
+bucketed by block, and all later steps roll their n-grams from there. A block's
+n-grams are counted inside it, and one row per (block, hash range) carries its
+distinct hashes and counts. Rows of one hash range meet in one group (its size
+is fixed: the number of ranges follows the corpus), the totals are summed there
+and joined back to each block's n-grams, and the blocks add up the logarithms
+per document. Everything counted covers the whole corpus.
 
 Hashes take far more room than totals, most of which are small numbers. So the
 hash ranges are counted in ``PASSES`` jobs, one after the other; each writes its
@@ -32,13 +34,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regloom.llm.bpe import texts_of
 from regloom.llm.repetition import mixed, rolling
-from regloom.llm.setsketch import _WORDS as WORD_HASH
-from regloom.session import written
+from regloom.session import written, written_by
 
 ORDER, ALPHA = 3, 0.4
 #: Text bytes of a block, and n-grams of a hash range (both on average).
@@ -47,40 +49,68 @@ BLOCK_BYTES, RANGE_NGRAMS = 4 << 20, 4 << 20
 PASSES = 3
 
 
-def corpus_size(docs: DataFrame, text: str) -> tuple[int, int]:
-    """(bytes, words) of all texts."""
+def planes(x: np.ndarray, width: int = 8) -> bytes:
+    """Numbers of ``width`` bytes, byte by byte: the high bytes, mostly zeros, lie together and compress away."""
+    return np.ascontiguousarray(x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
 
-    def run(batches):
-        for b in batches:
-            raw = [t.encode("utf-8", "surrogatepass") for t in texts_of(b, text)]
-            yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, raw))], pa.int64()), pa.array([sum(len(r.split()) for r in raw)], pa.int64())], names=["bytes", "words"])
 
-    found = docs.select(text).mapInArrow(run, "bytes long, words long").agg(F.sum("bytes"), F.sum("words")).first()
-    return found[0] or 0, found[1] or 0
+def from_planes(raw: bytes, width: int = 8) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
-def planes(x: np.ndarray) -> bytes:
-    """64-bit numbers, byte by byte: the high bytes, mostly zeros, lie together and compress away."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+def words_of(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words per text, each word's number, hash of each number)."""
+    whole = pa.concat_arrays([c.cast(pa.large_string()) for c in texts.chunks] or [pa.array([], pa.large_string())]).fill_null("")
+    split = pc.ascii_split_whitespace(whole)
+    found = split.values.dictionary_encode()
+    filled = pc.binary_length(split.values).to_numpy() > 0  # white space at an end of a text gives an empty word
+    text = np.repeat(np.arange(len(whole)), np.diff(split.offsets.to_numpy()))
+    ends, data = np.frombuffer(found.dictionary.buffers()[1], np.int64)[: len(found.dictionary) + 1].tolist(), memoryview(found.dictionary.buffers()[2] or b"")
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(data[lo:hi]) for lo, hi in zip(ends, ends[1:], strict=False)), np.uint64, len(found.dictionary))
+    return np.bincount(text[filled], minlength=len(whole)), found.indices.to_numpy()[filled], hashes
 
 
-def from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
-
-
-def ngrams(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """(words per text, text of each word, hashes by n, index of the last word of each hash by n)."""
-    split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    words = np.fromiter((h for ws in split for h in map(WORD_HASH.__getitem__, ws)), np.uint64, int(sizes.sum()))
-    doc = np.repeat(np.arange(len(texts)), sizes)
+def ngrams(words: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(text of each word, hashes by n, index of the last word of each hash by n) of texts of ``sizes`` words, given by the words' hashes."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
     hashes, ends = [], []
     for n in range(1, order + 1):
         keys = rolling(words, n)
         at = np.nonzero(doc[: len(keys)] == doc[n - 1 :])[0] if len(keys) else np.empty(0, np.int64)
         hashes.append(mixed(keys[at] + np.uint64(n)))
         ends.append(at + n - 1)
-    return sizes, doc, hashes, ends
+    return doc, hashes, ends
+
+
+def in_order(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that sorts the hashes and leaves equal ones in their order, whether a new hash begins at each place there).
+
+    High bits and place are sorted as one number, which is several times faster
+    than sorting places; the few different hashes that agree in the high bits
+    are put right afterwards.
+    """
+    if not len(hashes):
+        return np.empty(0, np.int64), np.empty(0, bool)
+    low, bits = hashes.min(), np.uint64(len(hashes).bit_length())
+    packed = (hashes - low) << np.uint64(64 - max(1, int(hashes.max() - low).bit_length()))
+    packed = (packed >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
+    packed.sort()
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    packed >>= bits
+    ranked = hashes[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])
+    mixed_up = np.unique(packed[1:][new[1:] & (packed[1:] == packed[:-1])])
+    for lo, hi in zip(np.searchsorted(packed, mixed_up), np.searchsorted(packed, mixed_up, "right"), strict=True):
+        order[lo:hi] = order[lo:hi][np.argsort(ranked[lo:hi], kind="stable")]
+    if len(mixed_up):
+        ranked = hashes[order]
+        new = np.append(True, ranked[1:] != ranked[:-1])
+    return order, new
+
+
+def run_lengths(new: np.ndarray) -> np.ndarray:
+    """Length of each run, by the places where runs begin."""
+    return np.diff(np.append(np.nonzero(new)[0], len(new)))
 
 
 def _edges(ranges: int) -> np.ndarray:
@@ -88,24 +118,21 @@ def _edges(ranges: int) -> np.ndarray:
     return np.array([-(-(i << 64) // ranges) for i in range(ranges)], dtype=np.uint64)
 
 
-def _own(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """How often each n-gram occurs in its own document."""
-    _, back, count = np.unique(mixed(hashes + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
-    return count[back]
-
-
-def block_scores(texts: list[str], totals: np.ndarray, corpus_words: int, order: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-    """(words, summed log score) of each text; totals: corpus counts of the block's distinct hashes in ascending order."""
-    sizes, doc, hashes, ends = ngrams(texts, order)
-    _, back = np.unique(np.concatenate(hashes), return_inverse=True)
-    every, at = totals[back].astype(np.int64), 0
+def block_scores(words: np.ndarray, sizes: np.ndarray, totals: np.ndarray, corpus_words: int, order: int, alpha: float) -> np.ndarray:
+    """Summed log score of each text; totals: corpus counts of the block's distinct hashes in ascending order."""
+    doc, hashes, ends = ngrams(words, sizes, order)
+    by_hash, new = in_order(np.concatenate(hashes))
+    text = doc[np.concatenate(ends)][by_hash]  # ascending inside a hash, so an n-gram's places in one text are a run
+    own = run_lengths(new | np.append(True, text[1:] != text[:-1])[: len(new)])
+    counts = np.empty(len(by_hash), np.int64)  # in other documents
+    counts[by_hash] = np.repeat(totals.astype(np.int64), run_lengths(new)) - np.repeat(own, own)
+    at = 0
     others: list[np.ndarray] = []  # by n, for the word each n-gram ends in: its count in other documents (0 where there is none)
-    for h, end in zip(hashes, ends, strict=True):
+    for end in ends:
         k = np.zeros(len(doc), np.int64)
-        if len(h):
-            k[end] = every[at : at + len(h)] - _own(h, doc[end])
+        k[end] = counts[at : at + len(end)]
         others.append(k)
-        at += len(h)
+        at += len(end)
     rest = corpus_words - sizes[doc]
     score = np.where(others[0] > 0, np.log(np.maximum(others[0], 1) / np.maximum(rest, 1)), -np.log(rest + 1.0))
     for n in range(1, order):
@@ -113,56 +140,72 @@ def block_scores(texts: list[str], totals: np.ndarray, corpus_words: int, order:
         longer = np.log(np.maximum(others[n], 1) / np.maximum(context, 1))
         place = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         score = np.where(others[n] > 0, longer, score + np.where(place >= n, math.log(alpha), 0.0))
-    return sizes, np.bincount(doc, weights=score, minlength=len(texts))
+    return np.bincount(doc, weights=score, minlength=len(sizes))
 
 
 def scores(docs: DataFrame, *, text: str = "text", key: str = "doc_id", order: int = ORDER, alpha: float = ALPHA) -> DataFrame:
     """One row per document: (key, n_words, log_score, mean_log_score)."""
-    total_bytes, total_words = corpus_size(docs, text)
+    total_bytes = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks = max(1, -(-total_bytes // BLOCK_BYTES))
-    ranges = max(1, -(-total_words * order // RANGE_NGRAMS))
     kind = docs.schema[key].dataType.simpleString()
     dealt = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.pmod(F.xxhash64(key, text), F.lit(blocks)).alias("block"))
 
+    def cut(name: tuple, table: pa.Table) -> pa.Table:
+        sizes, numbers, hashes = words_of(table["text"])
+        ids = pa.concat_arrays(table["id"].chunks)
+        columns = [[name[0].as_py()], [len(numbers)], pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), [planes(sizes)], [planes(numbers, 4)], [planes(hashes)]]
+        return pa.Table.from_arrays([pa.array(c, t) if isinstance(c, list) else c for c, t in zip(columns, (pa.int64(), pa.int64(), None, *[pa.binary()] * 3), strict=True)], names=["block", "words", "ids", "sizes", "numbers", "hashes"])
+
+    def words(table: pa.Table | pa.RecordBatch, row: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(hash of each word, words per text) of a stored block."""
+        sizes, numbers, hashes = (from_planes(table[c][row].as_py(), w) for c, w in (("sizes", 8), ("numbers", 4), ("hashes", 8)))
+        return hashes[numbers], sizes.astype(np.int64)
+
+    stored = written_by(dealt.groupBy("block").applyInArrow(cut, f"block long, words long, ids array<{kind}>, sizes binary, numbers binary, hashes binary"), "blocks", "block")
+    total_words = stored.agg(F.sum("words")).first()[0] or 0
+    ranges = max(1, -(-total_words * order // RANGE_NGRAMS))
+
     def counter(first: int, end: int):
         """Counts of the ranges from ``first`` to below ``end``."""
         edges = _edges(ranges)
 
-        def count(name: tuple, table: pa.Table) -> pa.Table:
-            found = np.concatenate(ngrams(texts_of(table, "text"), order)[2])
-            found = found[found >= edges[first]]
-            keys, n = np.unique(found[found < edges[end]] if end < ranges else found, return_counts=True)
-            cuts = np.append(np.searchsorted(keys, edges[first:end]), len(keys)).tolist()
-            rows = [(r, name[0].as_py(), planes(np.diff(keys[lo:hi], prepend=np.uint64(0))), planes(n[lo:hi])) for r, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False), first) if lo < hi]
-            return pa.Table.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["range", "block", "keys", "n"])
+        def count(batches):
+            for b in batches:
+                for at, block in enumerate(b["block"].to_pylist()):
+                    found = np.concatenate(ngrams(*words(b, at), order)[1])
+                    found = found[found >= edges[first]]
+                    keys, n = np.unique(found[found < edges[end]] if end < ranges else found, return_counts=True)
+                    cuts = np.append(np.searchsorted(keys, edges[first:end]), len(keys)).tolist()
+                    rows = [(r, block, planes(np.diff(keys[lo:hi], prepend=np.uint64(0))), planes(n[lo:hi])) for r, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False), first) if lo < hi]
+                    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["range", "block", "keys", "n"])
 
         return count
 
     def total(name: tuple, table: pa.Table) -> pa.Table:
         keys = [np.cumsum(from_planes(x), dtype=np.uint64) for x in table["keys"].to_pylist()]
         n = np.concatenate([from_planes(x) for x in table["n"].to_pylist()])
-        _, back = np.unique(np.concatenate(keys), return_inverse=True)
-        summed = np.zeros(int(back.max()) + 1, np.uint64)
-        np.add.at(summed, back, n)
-        answer = np.split(summed[back], np.cumsum([len(k) for k in keys])[:-1])
+        by_key, new = in_order(np.concatenate(keys))
+        summed = np.empty(len(n), np.uint64)
+        summed[by_key] = np.repeat(np.add.reduceat(n[by_key], np.nonzero(new)[0]), run_lengths(new))
+        answer = np.split(summed, np.cumsum([len(k) for k in keys])[:-1])
         return pa.Table.from_arrays([table["block"], table["range"], pa.array([planes(a) for a in answer], pa.binary())], names=["block", "range", "totals"])
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = texts_of(left, "text")
         parts = sorted(zip(right["range"].to_pylist(), right["totals"].to_pylist(), strict=True))
         totals = np.concatenate([np.empty(0, np.uint64), *[from_planes(x) for _, x in parts]])
-        sizes, summed = block_scores(texts, totals, total_words, order, alpha)
+        hashes, sizes = words(left)
+        summed = block_scores(hashes, sizes, totals, total_words, order, alpha)
         mean = [s / n if n else None for s, n in zip(summed.tolist(), sizes.tolist(), strict=True)]
-        return pa.Table.from_arrays([left["id"], pa.array(sizes, pa.int64()), pa.array(summed, pa.float64()), pa.array(mean, pa.float64())], names=[key, "n_words", "log_score", "mean_log_score"])
+        return pa.Table.from_arrays([left["ids"].chunk(0).flatten(), pa.array(sizes, pa.int64()), pa.array(summed, pa.float64()), pa.array(mean, pa.float64())], names=[key, "n_words", "log_score", "mean_log_score"])
 
     def totals_of(first: int, end: int) -> DataFrame:
-        counted = dealt.groupBy("block").applyInArrow(counter(first, end), "range long, block long, keys binary, n binary")
+        counted = stored.mapInArrow(counter(first, end), "range long, block long, keys binary, n binary")
         return written(counted.groupBy("range").applyInArrow(total, "block long, range long, totals binary"), "totals")
 
     passes = min(PASSES, ranges)
     cuts = [ranges * i // passes for i in range(passes + 1)]
     totals = reduce(DataFrame.unionByName, [totals_of(*cut) for cut in zip(cuts, cuts[1:], strict=False)])
-    return dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, f"{key} {kind}, n_words long, log_score double, mean_log_score double")
+    return stored.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, f"{key} {kind}, n_words long, log_score double, mean_log_score double")
 
 
 def oracle(table: str = "documents", order: int = ORDER, alpha: float = ALPHA) -> str:

@@ -129,6 +129,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_by(df: DataFrame, tag: str, column: str) -> DataFrame:
+    """Write ``df``, dealt by ``column`` already, as a table bucketed by it: later groups and joins on it don't shuffle
+    this side. A bucket is one task's, because it is dealt by the same hash."""
+    spark, name = df.sparkSession, f"{tag}_{uuid.uuid4().hex}"
+    with shuffles_removed(spark):
+        df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", f"{job_folder(spark)}/{name}").saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the session's definition alone; the files and this plan stay
+    return stored
+
+
 def remove_written(spark: SparkSession) -> None:
     """Remove every table this application wrote by ``written`` or to a place of its ``job_folder``."""
     jvm = spark.sparkContext._jvm

@@ -5,7 +5,9 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from regloom.llm import backoff, chat, kd_shards, order_minhash, repetition
@@ -102,6 +104,29 @@ def test_backoff_totals_are_stored_by_passes(spark, rows, monkeypatch):
     assert found[0] == found[1] == found[2]
 
 
+def test_backoff_cuts_texts_once(spark, rows, tmp_path):
+    """Texts are cut into words by one job; counting and scoring read the stored words, and only totals are shuffled for the scores."""
+    frame(spark, rows[:-1]).write.parquet(f"{tmp_path}/documents")
+    scored = backoff.scores(spark.read.parquet(f"{tmp_path}/documents"))
+    assert not [f for f in scored.inputFiles() if str(tmp_path) in f]
+    assert scored._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_backoff_words_and_order():
+    """Words are those of bytes.split; places sort by hash also where different hashes agree in the bits that are sorted first."""
+    texts = ["", None, " a  b ", "".join(f"{chr(i)}x" for i in range(256)), "ünï a\u2003b", "\n\t"]
+    sizes, numbers, hashes = backoff.words_of(pa.chunked_array([texts[:3], texts[3:]], pa.string()))
+    want = [(t or "").encode().split() for t in texts]
+    assert sizes.tolist() == list(map(len, want))
+    assert hashes[numbers].tolist() == [xxhash.xxh3_64_intdigest(w) for ws in want for w in ws]
+    assert [len(x) for x in backoff.words_of(pa.chunked_array([], pa.string()))] == [0, 0, 0]
+    rng = np.random.default_rng(3)
+    for found in (rng.integers(0, 40, 999).astype(np.uint64), rng.integers(0, 40, 999).astype(np.uint64) | (rng.integers(0, 2, 999).astype(np.uint64) << np.uint64(63)), np.zeros(5, np.uint64), np.empty(0, np.uint64), rng.integers(0, 1 << 63, 999).astype(np.uint64)):
+        order, new = backoff.in_order(found)
+        assert order.tolist() == np.argsort(found, kind="stable").tolist()
+        assert found[order][new].tolist() == np.unique(found).tolist()
+
+
 def test_shards(spark, rows):
     docs = frame(spark, rows)
     got = kd_shards.kd_shards(docs, shards=7).collect()
