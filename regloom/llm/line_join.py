@@ -19,7 +19,8 @@ a set with 100 * intersection >= percent * union.
    (1 - t) / (1 + t) * size + 1 rarest. Lines meet on those words; the length
    filter, the positional filter (what can still be shared after this word)
    and the parities (a lower bound of the words not shared) discard pairs
-   inside the join. A settled line is needed only as the earlier one of a pair.
+   inside the join. The words are met in ``PASSES`` jobs, one after the other,
+   so that only one job's rows are on disk at a time. A settled line is needed only as the earlier one of a pair.
 5. Verification fetches the texts of the lines that are left in a pair, each
    once, and counts the words that they share.
 
@@ -35,19 +36,21 @@ left aside otherwise. An empty table gives no rows.
 """
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from regloom.session import job_folder, shuffles_removed, written
+from regloom.session import written, written_by
 
 PERCENT, MIN_WORDS = 80, 3
 #: Cells of the rarity table (a power of two), and 64-bit words of a filter's bit table at most.
 CELLS, FILTER_WORDS = 1 << 18, 1 << 14
 #: Sizes and places are kept up to these numbers in the prefix join; sets that reach them pass its filters.
 MOST_WORDS, MOST_PLACE = (1 << 16) - 1, (1 << 15) - 1
+#: Jobs that the prefix words are met in.
+PASSES = 3
 _BLANK = "\t\x0b\x0c\r"
 
 
@@ -72,7 +75,8 @@ def _row_id(text: str) -> Column:
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
     """(did, rid, lno, num, lid, body) of every line in normal form: its MD5 is its identity, a 64-bit hash its number in pairs."""
     bodies = F.split(normal(F.coalesce(text, F.lit(""))), "\n")
-    rows = docs.select(F.col(key).alias("did"), _row_id(text).alias("rid"), F.posexplode(bodies).alias("lno", "body"))
+    named = docs.select(F.col(key).alias("did"), _row_id(text).alias("rid"), text)  # hashed once, not for every line
+    rows = named.select("did", "rid", F.posexplode(bodies).alias("lno", "body"))
     return rows.select("did", "rid", "lno", F.xxhash64("body").alias("num"), F.unhex(F.md5("body")).alias("lid"), "body")
 
 
@@ -95,14 +99,20 @@ def rarity(docs: DataFrame, *, text: str = "text") -> Column:
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
 
-def _parity(hashes: str, shift: int) -> Column:
-    """64 bits: for each value of six bits of the hash whether an odd number of words has it.
+def _parity(hashes: str, half: int) -> Column:
+    """One half of 128 bits: for each value of seven bits of the hash whether an odd number of words has it.
 
-    The bits in which two sets' numbers differ are no more than the words that
-    only one of them has.
+    The bits in which two sets' numbers differ are, in both halves together, no
+    more than the words that only one of them has.
     """
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(63)).cast("int"))
-    return F.reduce(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
+    bits = [0] * (64 * half) + [1 << i for i in range(63)] + [-(1 << 63)] + [0] * (64 - 64 * half)
+    table = F.split(F.lit(",".join(map(str, bits))), ",").cast("array<long>")
+    return F.reduce(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(F.get(table, h.bitwiseAND(F.lit(127)).cast("int"))))
+
+
+def _differ(x: str, y: str) -> Column:
+    """Words that only one of two sets has, at least."""
+    return F.bit_count(F.col(f"{x}odd0").bitwiseXOR(F.col(f"{y}odd0"))) + F.bit_count(F.col(f"{x}odd1").bitwiseXOR(F.col(f"{y}odd1")))
 
 
 def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -115,7 +125,9 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     spark = docs.sparkSession
     table = rarity(docs, text=text)
     place = F.struct("did", "lno", "rid").alias("first")
-    sets = _lines(docs, text, key).select("lid", "num", place, F.sort_array(_hashes(F.col("body"))).alias("h")).where(F.size("h") >= max(min_words, 1))
+    sets = _lines(docs, text, key).where(F.trim("body") != "").select("lid", "num", place, F.sort_array(_hashes(F.col("body"))).alias("h"))
+    if min_words > 1:  # a condition on the words is pushed down, where they are hashed once more
+        sets = sets.where(F.size("h") >= min_words)
     n = F.size("h")
     # Rarity in the high bits, then the hash; only the order and 32 bits of the hash are kept.
     rank = lambda h: F.shiftleft(F.get(table, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long"), 48) + F.shiftrightunsigned(h, 16)
@@ -128,17 +140,9 @@ def different_lines(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     # A set of up to three words with 100 * n < percent * (n + 1) is similar to equal sets only.
     alone = (n <= 3) & (n * 100 < F.lit(percent) * (n + 1))
     prefix = F.when(alone, F.array().cast("array<int>")).otherwise(rarest.cast("array<int>"))
-    rows = sets.select("lid", "num", "first", n.alias("n"), keys.alias("keys"), _parity("h", 0).alias("odd0"), _parity("h", 6).alias("odd1"), prefix.alias("prefix"))
+    rows = sets.select("lid", "num", "first", n.alias("n"), keys.alias("keys"), _parity("h", 0).alias("odd0"), _parity("h", 1).alias("odd1"), prefix.alias("prefix"))
     same = [F.first(c).alias(c) for c in ("num", "n", "keys", "odd0", "odd1", "prefix")]
-    kept = rows.groupBy("lid").agg(F.min("first").alias("first"), *same)  # dealt by the buckets' hash, so each bucket is one task's
-    name = f"lines_{uuid.uuid4().hex}"
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    place_of = f"{job_folder(spark)}/{name}"
-    with shuffles_removed(spark):
-        kept.write.bucketBy(parts, "lid").option("path", place_of).saveAsTable(name)
-    stored = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the session's definition alone; the files and this plan stay
-    return stored
+    return written_by(rows.groupBy("lid").agg(F.min("first").alias("first"), *same), "lines", "lid")
 
 
 def _among(ids: DataFrame, column: str) -> Column:
@@ -167,8 +171,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, percent: i
 def _close(x: str, y: str, percent: int) -> Column:
     """What sizes and parities leave: similar sets differ in (nx + ny) * (100 - percent) / (100 + percent) words at most."""
     nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
-    apart = F.greatest(*[F.bit_count(F.col(f"{x}odd{i}").bitwiseXOR(F.col(f"{y}odd{i}"))) for i in (0, 1)])
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (apart * (100 + percent) <= (nx + ny) * (100 - percent))
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (_differ(x, y) * (100 + percent) <= (nx + ny) * (100 - percent))
 
 
 def _families(lines: DataFrame, percent: int) -> DataFrame:
@@ -199,17 +202,21 @@ def _candidates(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame
     full = (xn >= MOST_WORDS) | (yn >= MOST_WORDS) | (xat >= MOST_PLACE) | (yat >= MOST_PLACE)
     # x is the smaller set (ties by number): of its words the first size - ceil(2 t / (1 + t) * size) + 1 suffice.
     smaller = (xn < yn) | ((xn == yn) & (F.col("x") < F.col("y")))
-    indexed = xat <= xn - F.ceil(xn * F.lit(2 * percent) / (100 + percent))
+    indexed = (xn - xat) * (100 + percent) >= xn * (2 * percent)
     enough = F.least(xn - xat, yn - yat) * (100 + percent) >= F.lit(percent) * (xn + yn)  # this word and what follows
-    differ = F.greatest(*[F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in ("odd0", "odd1")])
-    apart = differ * (100 + percent) <= (xn + yn) * (100 - percent)
-    sized = F.least(xn, yn) * 100 >= F.greatest(xn, yn) * percent
+    apart = _differ("x", "y") * (100 + percent) <= (xn + yn) * (100 - percent)
+    sized = xn * 100 >= yn * percent
     xs, ys = part("x", 0, 1), part("y", 0, 1)
     open_ = (xs + ys == 0) | ((xs + ys == 1) & F.when(xs == 1, part("x", 32, 31) <= part("y", 32, 31)).otherwise(part("y", 32, 31) <= part("x", 32, 31)))
     # Tested after the shuffle (a place is never negative, but that keeps the test in the join): both sides are the same shuffled rows.
     in_index = indexed | full | (yat < 0)
-    met = side("x").join(side("y"), "word").where(in_index & smaller & open_ & sized & (full | (enough & apart)))
-    return _sharing(met.select("x", "y").distinct(), lines, percent)
+    passes = sized & smaller & (full | apart) & in_index & (full | enough) & open_  # what discards most comes first
+
+    def met(k: int) -> DataFrame:
+        x, y = (side(s).where(F.pmod("word", F.lit(PASSES)) == k) for s in "xy")
+        return written(x.join(y, "word").where(passes).select("x", "y").distinct(), "met")
+
+    return _sharing(reduce(DataFrame.unionByName, map(met, range(PASSES))).distinct(), lines, percent)
 
 
 def _place(lines: DataFrame) -> Column:

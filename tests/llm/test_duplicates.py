@@ -177,6 +177,32 @@ def test_line_dedup_family(spark):
     assert got == removed_lines({r[0]: r[1] for r in rows})
 
 
+def test_line_dedup_meets_words_in_jobs(spark, monkeypatch):
+    """Each job shuffles the entries of its own words only; their number changes no line."""
+    rows = [(i, "\n".join(f"w{i // 3} w{i // 3 + j} " + " ".join(f"t{(i // 2) * 7 + k + j * 31}" for k in range(14)) + f" x{i}" for j in range(3))) for i in range(40)]
+    docs, want = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), removed_lines(dict(rows))
+    assert any(want.values())
+    plain = line_join.written
+    for passes in (1, 3):
+        tags = []
+        monkeypatch.setattr(line_join, "PASSES", passes)
+        monkeypatch.setattr(line_join, "written", lambda df, tag: tags.append(tag) or plain(df, tag))
+        assert {r["doc_id"]: r["removed_lines"] for r in line_join.report(docs).collect()} == want
+        assert tags.count("met") == passes
+
+
+def test_line_parities_tell_long_lines_apart(spark):
+    """Lines of 180 words that share none are no candidates; those that share enough always are."""
+    sets = [[f"{a}{i}" for i in range(180)] for a in "abcdef"] + [[f"a{i}" for i in range(n, n + 180)] for n in (1, 10, 20)]
+    bodies = spark.createDataFrame([(n, " ".join(ws)) for n, ws in enumerate(sets)], "i long, body string")
+    found = bodies.select("i", F.sort_array(line_join._hashes(F.col("body"))).alias("h")).select("i", F.size("h").alias("n"), line_join._parity("h", 0).alias("odd0"), line_join._parity("h", 1).alias("odd1"))
+    side = lambda s: found.select(*[F.col(c).alias(s + c) for c in found.columns])
+    close = {(r["xi"], r["yi"]) for r in side("x").join(side("y"), F.col("xi") < F.col("yi")).where(line_join._close("x", "y", 80)).collect()}
+    similar = {(x, y) for x in range(len(sets)) for y in range(x + 1, len(sets)) if 100 * len(set(sets[x]) & set(sets[y])) >= 80 * len(set(sets[x]) | set(sets[y]))}
+    assert similar and similar <= close
+    assert not {(x, y) for x, y in close if y < 6}
+
+
 def test_line_dedup_of_short_lines(spark, tmp_path):
     short = ["buy now", "Buy now", "now buy now buy", "buy", "BUY", "", " ", "one two three", "three two  one", "one two three four", "buy now today"]
     rows = [(i, "\n".join([f"start{i}", *short[i % 3 :], f"{i} end", short[i]]), "", "", 0) for i in range(len(short))]
